@@ -21,32 +21,37 @@ def select_targets(panel: DataFrame, targets: list, threshold: float = TARGET_MI
     return long.where(F.col("total") > F.lit(threshold))
 
 
-def quantile_bounds(df: DataFrame, col: str, k: float = 1.5, accuracy: int | None = None) -> tuple[Column, Column]:
-    """Lower and upper IQR bounds of ``col`` as scalar-subquery columns (lazy).
+def quantile_bounds(df: DataFrame, col: str, k: float = 1.5, accuracy: int | None = None) -> tuple:
+    """ACTION (one aggregate, one row back). Lower and upper IQR bounds of ``col``.
 
     Exact by default: ``percentile`` interpolates linearly between order statistics,
-    the same definition as the pandas default. ``accuracy`` switches to the
-    ``percentile_approx`` sketch for columns with very many distinct values."""
+    the same definition as the pandas default; its buffer holds one entry per distinct
+    value. ``accuracy`` switches to the ``percentile_approx`` sketch (bounded memory)
+    for columns with very many distinct values."""
     probs = F.array(F.lit(0.25), F.lit(0.75))
-    if accuracy is None:
-        q = F.percentile(F.col(col), probs)
-    else:
-        q = F.percentile_approx(F.col(col), probs, accuracy)
-    qs = df.agg(q.alias("q")).select(
-        (F.col("q")[0] - F.lit(k) * (F.col("q")[1] - F.col("q")[0])).alias("lo"),
-        (F.col("q")[1] + F.lit(k) * (F.col("q")[1] - F.col("q")[0])).alias("hi"))
-    return qs.select("lo").scalar(), qs.select("hi").scalar()
+    q = F.percentile(F.col(col), probs) if accuracy is None else F.percentile_approx(F.col(col), probs, accuracy)
+    r = df.agg(q.alias("q")).first()["q"]
+    if r is None or r[0] is None:
+        return None, None
+    q1, q3 = float(r[0]), float(r[1])
+    return q1 - k * (q3 - q1), q3 + k * (q3 - q1)
 
 
 def iqr_filter(df: DataFrame, features: list, k: float = 1.5, accuracy: int | None = None) -> DataFrame:
     """Coerce the features to double, drop rows with a null in any of them, then for
     each feature in order keep ``lo <= x <= hi`` where the bounds are computed on the
-    rows the previous features left. Lazy: bounds are scalar subqueries."""
+    rows the previous features left.
+
+    One small aggregate job per feature (the bounds depend on the previous filter);
+    the bounds come back as literals, so the returned plan is a plain filtered scan
+    whose predicates Catalyst can push down."""
     cur = df.select(*[to_number(F.col(c)).alias(c) if c in features else F.col(c) for c in df.columns])
     cur = cur.na.drop(subset=list(features))
     for f in features:
         lo, hi = quantile_bounds(cur, f, k, accuracy)
-        cur = cur.where((F.col(f) >= lo) & (F.col(f) <= hi))
+        if lo is None:
+            return cur.limit(0)
+        cur = cur.where((F.col(f) >= F.lit(lo)) & (F.col(f) <= F.lit(hi)))
     return cur
 
 
@@ -72,39 +77,46 @@ def hash_key(id_cols: list, seed: int = SEED) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in id_cols]))
 
 
-def mark_lowest_hash(df: DataFrame, class_col: str, id_cols: list, quota: DataFrame,
+def mark_lowest_hash(df: DataFrame, class_col: str, id_cols: list, quota_of,
                      out_col: str = "selected", seed: int = SEED) -> DataFrame:
     """Add ``out_col``: true for the ``quota`` rows of each class with the smallest
     ``hash_key`` (ties by id), exactly what ``ROW_NUMBER() OVER (PARTITION BY class
     ORDER BY md5) <= quota`` gives, without sorting a whole class in one task.
 
     Rows are put into 65536 buckets by the hash prefix; a small aggregate counts the
-    rows per (class, bucket) and a running sum over the buckets says which buckets are
-    wholly in, wholly out, or on the edge. Only the edge bucket of each class is
-    ranked by a window. ``quota`` is a DataFrame ``class_col, quota``."""
+    rows per (class, bucket) and a running sum over the buckets finds, per class, the
+    edge bucket where the quota runs out. Buckets before it are wholly in, after it
+    wholly out (a comparison against one broadcast row per class); only the rows of
+    the edge bucket are shuffled and ranked by a window.
+    ``quota_of`` maps the per-class counts (``class_col, n``) to ``class_col, quota``.
+    The bucket table (at most #classes x 65536 rows) is cached: both branches and the
+    class counts reuse it."""
     h = hash_key(id_cols, seed)
+    # the bucket is made non-nullable so Catalyst infers no extra null filter that would
+    # compute the md5 a second time
     d = df.withColumn("_h", h).withColumn(
-        "_b", F.conv(F.substring(F.col("_h"), 1, RANK_BUCKET_HEX), 16, 10).cast("int"))
-    counts = d.groupBy(class_col, "_b").agg(F.count(F.lit(1)).alias("_n"))
+        "_b", F.coalesce(F.conv(F.substring(F.col("_h"), 1, RANK_BUCKET_HEX), 16, 10).cast("int"), F.lit(-1)))
+    counts = d.groupBy(class_col, "_b").agg(F.count(F.lit(1)).alias("_n")).cache()
+    quota = quota_of(counts.groupBy(class_col).agg(F.sum("_n").alias("n")))
     w = Window.partitionBy(class_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    info = (counts.withColumn("_cum", F.sum("_n").over(w))
-            .join(quota, class_col, "left")
-            .select(class_col, "_b",
-                    F.when(F.col("_cum") <= F.coalesce(F.col("quota"), F.lit(0)), "in")
-                     .when(F.col("_cum") - F.col("_n") >= F.coalesce(F.col("quota"), F.lit(0)), "out")
-                     .otherwise("edge").alias("_st"),
-                    (F.coalesce(F.col("quota"), F.lit(0)) - (F.col("_cum") - F.col("_n"))).alias("_need")))
-    # at most (#classes x 65536) rows: a proven bound, broadcast
-    d = d.join(F.broadcast(info), [class_col, "_b"], "left")
-    sure = d.where(F.col("_st") != "edge").withColumn(out_col, F.col("_st") == "in")
+    q = F.coalesce(F.col("quota"), F.lit(0))
+    # per class: the first bucket whose running count passes the quota (the edge) and how
+    # many of its rows are still needed; buckets before it are in, after it out
+    edge_of = (counts.withColumn("_cum", F.sum("_n").over(w))
+               .join(quota, class_col, "left")
+               .where(F.col("_cum") > q)
+               .groupBy(class_col)
+               .agg(F.min_by(F.struct(F.col("_b").alias("_eb"), (q - (F.col("_cum") - F.col("_n"))).alias("_need")),
+                             F.col("_b")).alias("_e"))
+               .select(class_col, "_e._eb", "_e._need"))
+    # one row per class: a proven bound, broadcast
+    d = d.join(F.broadcast(edge_of), class_col, "left").withColumn(
+        "_eb", F.coalesce(F.col("_eb"), F.lit(1 << (4 * RANK_BUCKET_HEX))))
+    sure = d.where(F.col("_b") != F.col("_eb")).withColumn(out_col, F.col("_b") < F.col("_eb"))
     rw = Window.partitionBy(class_col, "_b").orderBy("_h", *id_cols)
-    edge = (d.where(F.col("_st") == "edge")
+    edge = (d.where(F.col("_b") == F.col("_eb"))
             .withColumn(out_col, F.row_number().over(rw) <= F.col("_need")))
-    return sure.unionByName(edge).drop("_h", "_b", "_st", "_need")
-
-
-def class_counts(df: DataFrame, class_col: str) -> DataFrame:
-    return df.groupBy(class_col).agg(F.count(F.lit(1)).alias("n"))
+    return sure.unionByName(edge).drop("_h", "_b", "_eb", "_need")
 
 
 def undersample(df: DataFrame, class_col: str, id_cols: list, classes: tuple = (0, 1),
@@ -113,32 +125,39 @@ def undersample(df: DataFrame, class_col: str, id_cols: list, classes: tuple = (
     smallest hash, ``m`` = the smallest class count. Empty when a class is missing.
     Reproducible: the same rows on a rerun and after any repartition."""
     df = df.where(F.col(class_col).isin(*classes))
-    cc = class_counts(df, class_col)
-    m = cc.agg(F.when(F.count(F.lit(1)) == len(classes), F.min("n")).otherwise(F.lit(0)).alias("m")).scalar()
-    quota = cc.select(class_col, m.alias("quota"))
-    return mark_lowest_hash(df, class_col, id_cols, quota, "_keep", seed).where("_keep").drop("_keep")
+
+    def quota_of(cc):
+        # cc has one row per class present (a handful): a window over all of it is tiny
+        everything = Window.partitionBy()
+        return cc.select(class_col,
+                         F.when(F.count(F.lit(1)).over(everything) == len(classes), F.min("n").over(everything))
+                          .otherwise(F.lit(0)).alias("quota"))
+
+    return mark_lowest_hash(df, class_col, id_cols, quota_of, "_keep", seed).where("_keep").drop("_keep")
 
 
 def split_train_test(df: DataFrame, class_col: str, id_cols: list, test_fraction: float = 0.2,
                      seed: int = SEED, out_col: str = "split") -> DataFrame:
     """Stratified split: within each class the ``n - ceil(test_fraction*n)`` rows with the
     smallest hash are ``train``, the rest ``test``."""
-    cc = class_counts(df, class_col)
-    quota = cc.select(class_col, (F.col("n") - F.ceil(F.col("n") * F.lit(test_fraction))).alias("quota"))
-    m = mark_lowest_hash(df, class_col, id_cols, quota, "_train", seed)
+    def quota_of(cc):
+        return cc.select(class_col, (F.col("n") - F.ceil(F.col("n") * F.lit(test_fraction))).alias("quota"))
+
+    m = mark_lowest_hash(df, class_col, id_cols, quota_of, "_train", seed)
     return m.withColumn(out_col, F.when(F.col("_train"), "train").otherwise("test")).drop("_train")
 
 
 def standardize(df: DataFrame, features: list, fit_on: Column | None = None, digits: int | None = None,
                 suffix: str = "_z") -> DataFrame:
-    """Add ``<f>_z = (f - mean) / stddev_samp`` with mean and deviation fitted on the rows
-    where ``fit_on`` holds (all rows when None). The fit is one merged aggregate used
-    as scalar subqueries: lazy, no collect."""
+    """ACTION (one aggregate, one row back). Add ``<f>_z = (f - mean) / stddev_samp`` with
+    mean and deviation fitted on the rows where ``fit_on`` holds (all rows when None).
+    The fitted values come back as literals: the transform is a plain projection."""
     fit = df.where(fit_on) if fit_on is not None else df
-    stats = fit.agg(*[F.avg(f).alias(f"m_{f}") for f in features],
-                    *[F.stddev_samp(f).alias(f"s_{f}") for f in features])
+    st = fit.agg(*[F.avg(f).alias(f"m_{f}") for f in features],
+                 *[F.stddev_samp(f).alias(f"s_{f}") for f in features]).first()
     out = df
     for f in features:
-        z = (F.col(f) - stats.select(f"m_{f}").scalar()) / stats.select(f"s_{f}").scalar()
+        m, sd = st[f"m_{f}"], st[f"s_{f}"]
+        z = (F.col(f) - F.lit(m).cast("double")) / F.lit(sd).cast("double")
         out = out.withColumn(f + suffix, F.round(z, digits) if digits is not None else z)
     return out
