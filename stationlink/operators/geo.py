@@ -7,10 +7,12 @@ search is a grid equi-join with ring expansion that is exact."""
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import GAZETTEER_SCHEMA, SENTINELS
 from ..session import checkpoint_dir
@@ -35,37 +37,48 @@ def gazetteer_from_nested(spark: SparkSession, nested: dict) -> DataFrame:
 
 
 def _literal_lookup(text: Column, entries: list) -> Column:
-    arr = F.array(*[F.struct(F.lit(o).alias("ord"), F.lit(w).alias("wide"), F.lit(n).alias("narrow"),
-                             F.lit(la).cast("double").alias("lat"), F.lit(ln).cast("double").alias("lng"))
-                    for (o, w, n, la, ln) in entries])
+    # the entries travel as one JSON text literal; from_json of a literal is folded into
+    # one constant array by the optimizer (one driver call instead of one per field)
+    doc = json.dumps([{"ord": o, "wide": w, "narrow": n, "lat": la, "lng": ln} for (o, w, n, la, ln) in entries])
+    arr = F.from_json(F.lit(doc), T.ArrayType(GAZETTEER_SCHEMA))
     hits = F.filter(arr, lambda e: F.contains(text, e["wide"]) & F.contains(text, e["narrow"]))
     return F.get(hits, 0)
 
 
-def place_lookup(df: DataFrame, text_col: str, gazetteer: DataFrame, id_col: str | None = None,
+def place_lookup(df: DataFrame, text_col: str, gazetteer, id_col: str | None = None,
                  drop_missing: bool = True, literal_max: int = LITERAL_GAZETTEER_MAX) -> DataFrame:
     """Give each row the first gazetteer entry (by ``ord``) whose region name and city
     name both occur in ``text_col``; ``wide, narrow, lat, lng`` are null when none fits.
 
-    Runs one small count on the gazetteer to choose the strategy. Up to ``literal_max``
-    entries the gazetteer is inlined (no join, no shuffle, stays in codegen); above it a
-    substring equi-join is used, which needs a unique ``id_col``."""
+    ``gazetteer`` is either the flattened config as a list of ``(ord, wide, narrow, lat,
+    lng)`` or a DataFrame of that shape. Up to ``literal_max`` entries (a list's length,
+    or one count on the DataFrame) it is inlined as a literal array (no join, no
+    shuffle); above it a substring equi-join is used, which needs a unique ``id_col``."""
     if drop_missing:
         df = df.where(F.col(text_col).isNotNull())
-    n = gazetteer.count()
-    if n <= literal_max:
+    if not isinstance(gazetteer, DataFrame):
+        entries = sorted((tuple(e) for e in gazetteer), key=lambda e: e[0])
+        if len(entries) > literal_max:
+            gazetteer = df.sparkSession.createDataFrame(entries, GAZETTEER_SCHEMA)
+            return _substring_join_lookup(df, text_col, gazetteer, _need_id(id_col))
+    elif gazetteer.count() <= literal_max:
         entries = [tuple(r) for r in gazetteer.select("ord", "wide", "narrow", "lat", "lng").orderBy("ord").collect()]
-        if not entries:
-            return df.select("*", *[F.lit(None).cast(t).alias(c) for c, t in
-                                    (("wide", "string"), ("narrow", "string"), ("lat", "double"), ("lng", "double"))])
-        hit = _literal_lookup(F.col(text_col), entries)
-        return df.withColumn("_hit", hit).select(
-            *[F.col(f"`{c}`") for c in df.columns],
-            F.col("_hit.wide").alias("wide"), F.col("_hit.narrow").alias("narrow"),
-            F.col("_hit.lat").alias("lat"), F.col("_hit.lng").alias("lng"))
+    else:
+        return _substring_join_lookup(df, text_col, gazetteer, _need_id(id_col))
+    if not entries:
+        return df.select("*", *[F.lit(None).cast(t).alias(c) for c, t in
+                                (("wide", "string"), ("narrow", "string"), ("lat", "double"), ("lng", "double"))])
+    hit = _literal_lookup(F.col(text_col), entries)
+    return df.withColumn("_hit", hit).select(
+        *[F.col(f"`{c}`") for c in df.columns],
+        F.col("_hit.wide").alias("wide"), F.col("_hit.narrow").alias("narrow"),
+        F.col("_hit.lat").alias("lat"), F.col("_hit.lng").alias("lng"))
+
+
+def _need_id(id_col):
     if id_col is None:
         raise ValueError("a unique id_col is needed for a large gazetteer")
-    return _substring_join_lookup(df, text_col, gazetteer, id_col)
+    return id_col
 
 
 def _substring_join_lookup(df: DataFrame, text_col: str, gaz: DataFrame, id_col: str) -> DataFrame:

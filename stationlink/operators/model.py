@@ -4,6 +4,9 @@ Spark ML throughout; the loop is over targets (a handful), never over rows."""
 
 from __future__ import annotations
 
+import math
+
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -14,6 +17,9 @@ from pyspark.sql import functions as F
 
 from ..schemas import GBT_PARAMS
 
+# Training rows per partition (four or so double features: tens of MB per partition).
+ROWS_PER_TRAIN_PARTITION = 500_000
+
 
 def gbt_pipeline(features: list, label: str, params: dict | None = None) -> Pipeline:
     """Assemble -> standardize (mean and sample deviation, fitted with the model on the
@@ -31,11 +37,27 @@ def fit_and_score(train: DataFrame, test: DataFrame, features: list, label: str,
                   params: dict | None = None) -> tuple[PipelineModel, DataFrame]:
     """ACTION (fit). Returns the fitted pipeline and the scored test rows with ``score``
     = probability of class 1."""
-    model = gbt_pipeline(features, label, params).fit(train.withColumn(label, F.col(label).cast("double")))
+    # the boosting loop runs several jobs per tree level and every job pays a task per
+    # partition: size the partitions by rows (one count), then keep them cached
+    tr = train.withColumn(label, F.col(label).cast("double"))
+    parts = max(1, math.ceil(tr.count() / ROWS_PER_TRAIN_PARTITION))
+    tr = tr.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = gbt_pipeline(features, label, params).fit(tr)
+    finally:
+        tr.unpersist()
     scored = model.transform(test.withColumn(label, F.col(label).cast("double")))
     return model, scored.withColumn("score", vector_to_array("probability")[1])
 
 
+def fit_per_target(fit_one, targets: list, parallel: int = 2) -> list:
+    """Run ``fit_one(target)`` for every target, ``parallel`` at a time: the fits are
+    independent Spark jobs and the scheduler runs them side by side."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        return list(pool.map(fit_one, targets))
+
+
 def auc(scored: DataFrame, label: str, score_col: str = "score") -> float:
     """ACTION. Exact ROC AUC (ties count half), computed distributed by Spark ML."""
     ev = BinaryClassificationEvaluator(rawPredictionCol=score_col, labelCol=label,

@@ -83,8 +83,7 @@ def q05_active_candidates(spark, d):
 # q06 -------------------------------------------------------------------------
 def q06_place_lookup(spark, d):
     p = read_table(spark, d, "part").select("p_partkey", "p_name")
-    gaz = spark.createDataFrame(part_gazetteer(), GAZETTEER_SCHEMA)
-    return geo.place_lookup(p, "p_name", gaz, id_col="p_partkey")
+    return geo.place_lookup(p, "p_name", part_gazetteer(), id_col="p_partkey")
 
 
 # q07 -------------------------------------------------------------------------
@@ -227,15 +226,18 @@ def q21_gbt_score(spark, d):
     """One boosted-tree model per target (two targets): exact stratified split, scaler and
     model fitted on the training rows, test rows scored."""
     base = _doc_features(spark, d)
-    out = None
-    for target in ("quality", "toxic"):
+
+    def fit_one(target):
         sp = feat.split_train_test(base.select("doc_id", target, *DOC_FEATURES), target, ["doc_id"], 0.2, SEED)
         _, scored = model.fit_and_score(sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test"),
                                         DOC_FEATURES, target)
-        part = scored.select(F.lit(target).alias("target"), "doc_id", F.col(target).cast("int").alias("label"),
-                             F.col("prediction").cast("int").alias("prediction"),
-                             F.round("score", 6).alias("score"))
-        out = part if out is None else out.unionByName(part)
+        return scored.select(F.lit(target).alias("target"), "doc_id", F.col(target).cast("int").alias("label"),
+                             F.col("prediction").cast("int").alias("prediction"), F.round("score", 6).alias("score"))
+
+    parts = model.fit_per_target(fit_one, ["quality", "toxic"])
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return out
 
 
