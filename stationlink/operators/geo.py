@@ -88,9 +88,14 @@ def _substring_join_lookup(df: DataFrame, text_col: str, gaz: DataFrame, id_col:
              .where(F.col("name").isNotNull()).distinct())
     lens = sorted(r[0] for r in names.select(F.length("name")).distinct().collect())  # a few ints
     t = F.col(text_col)
-    parts = [F.when(F.length(t) >= L, F.transform(F.sequence(F.lit(1), F.length(t) - L + 1),
-                                                    lambda i, L=L: F.substring(t, i, L)))
-             .otherwise(F.array().cast("array<string>")) for L in lens]
+
+    def substrings_of_len(L):
+        # one-argument lambda: transform() reads a two-argument one as (element, index)
+        return F.when(F.length(t) >= L, F.transform(F.sequence(F.lit(1), F.length(t) - L + 1),
+                                                    lambda i: F.substring(t, i, L))) \
+                .otherwise(F.array().cast("array<string>"))
+
+    parts = [substrings_of_len(L) for L in lens]
     subs = (df.select(id_col, F.explode(F.array_distinct(F.concat(*parts))).alias("name"))
             .join(names, "name", "left_semi"))
     wide_hit = subs.withColumnRenamed("name", "wide")
