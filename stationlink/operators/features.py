@@ -62,12 +62,13 @@ def replicate(df: DataFrame, count_col: str, copy_col: str = "copy") -> DataFram
     return df.withColumn(copy_col, F.explode(F.sequence(F.lit(1), n)))
 
 
-def prepare_target(df: DataFrame, features: list, target: str, copy_col: str = "copy") -> DataFrame:
+def prepare_target(df: DataFrame, features: list, target: str, id_cols: tuple = (),
+                   copy_col: str = "copy") -> DataFrame:
     """Per-target training rows: fill the target with 0, cast to int, replicate by the
-    count, binarize, drop rows with any null."""
+    count (``copy_col`` numbers the copies, so ``id_cols + copy_col`` identify a row),
+    binarize, drop rows with any null."""
     y = F.coalesce(F.col(f"`{target}`"), F.lit(0)).cast("int")
-    base = df.select(*[F.col(c) for c in features], *[c for c in df.columns if c.startswith("_id")],
-                     y.alias(target))
+    base = df.select(*[F.col(f"`{c}`") for c in list(id_cols) + list(features)], y.alias(target))
     rep = replicate(base, target, copy_col)
     return rep.withColumn(target, binarize(F.col(target))).na.drop()
 

@@ -44,9 +44,10 @@ def test_replicate_counts_and_identity(spark):
 
 
 def test_prepare_target(spark):
-    df = spark.createDataFrame([(1.0, 2), (2.0, None), (None, 5), (3.0, 0)], "x double, y int")
-    got = sorted((r.x, r.y) for r in feat.prepare_target(df, ["x"], "y").collect())
-    assert got == [(1.0, 1), (1.0, 1), (2.0, 0), (3.0, 0)]
+    df = spark.createDataFrame([(1, 1.0, 2), (2, 2.0, None), (3, None, 5), (4, 3.0, 0)], "k int, x double, y int")
+    out = feat.prepare_target(df, ["x"], "y", id_cols=("k",))
+    got = sorted((r.k, r.copy, r.x, r.y) for r in out.collect())
+    assert got == [(1, 1, 1.0, 1), (1, 2, 1.0, 1), (2, 1, 2.0, 0), (4, 1, 3.0, 0)]
 
 
 def _brute_rank(rows, seed, quota):
