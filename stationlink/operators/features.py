@@ -3,6 +3,8 @@ exact reproducible undersampling and splitting, standardization."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,19 +23,94 @@ def select_targets(panel: DataFrame, targets: list, threshold: float = TARGET_MI
     return long.where(F.col("total") > F.lit(threshold))
 
 
+# Exact quantiles: up to this many values Spark's ``percentile`` aggregate is used (its
+# buffer holds one entry per distinct value); above it, order statistics are found by
+# histogram refinement, which never holds more than this many values anywhere.
+EXACT_QUANTILE_MAX_VALUES = 1_000_000
+REFINE_BUCKETS = 4096
+REFINE_COLLECT_MAX = 10_000
+
+
+def _interpolate(vals: dict, n: int, p: float) -> float:
+    # linear interpolation between order statistics, same arithmetic as Spark's percentile
+    pos = (n - 1) * p
+    lo, hi = math.floor(pos), math.ceil(pos)
+    if lo == hi or vals[lo] == vals[hi]:
+        return float(vals[lo])
+    return (hi - pos) * float(vals[lo]) + (pos - lo) * float(vals[hi])
+
+
+def _order_statistics(df: DataFrame, col: str, ranks: list, lo: float, hi: float) -> dict:
+    """ACTION (a few small aggregates). The values at 0-based ``ranks`` of the non-null
+    values of ``col``. Each pass buckets the values inside the current interval of every
+    pending rank into ``REFINE_BUCKETS`` buckets (count, min, max per bucket: at most
+    ranks x buckets rows come back), keeps the bucket that holds the rank and narrows the
+    interval to its min and max. Done when the interval is one value or small enough to
+    be read (at most ``REFINE_COLLECT_MAX`` values)."""
+    x = F.col(col)
+    state = {r: (lo, hi, 0) for r in ranks}          # rank -> (a, b, count of values < a)
+    out: dict = {}
+    for _ in range(64):
+        pending = {r: st for r, st in state.items() if r not in out}
+        if not pending:
+            return out
+        intervals = sorted(set(pending.values()))
+        parts = []
+        for k, (a, b, _below) in enumerate(intervals):
+            width = F.lit(float(b) - float(a))
+            bucket = F.least(F.floor((x - F.lit(a)) / width * F.lit(REFINE_BUCKETS)), F.lit(REFINE_BUCKETS - 1))
+            parts.append(F.when(x.between(a, b), F.struct(F.lit(k).alias("k"), bucket.cast("int").alias("b"))))
+        hist = (df.select(F.explode(F.filter(F.array(*parts), lambda e: e.isNotNull())).alias("e"), x.alias("v"))
+                .groupBy("e.k", "e.b").agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("mn"), F.max("v").alias("mx"))
+                .collect())
+        by_k: dict = {}
+        for row in hist:
+            by_k.setdefault(row["k"], []).append((row["b"], row["c"], row["mn"], row["mx"]))
+        for r, (a, b, below) in pending.items():
+            k = intervals.index((a, b, below))
+            acc = below
+            for _bkt, c, mn, mx in sorted(by_k.get(k, [])):
+                if r < acc + c:
+                    if mn == mx:
+                        out[r] = mn
+                    elif c <= REFINE_COLLECT_MAX:
+                        vals = [v[0] for v in df.where(x.between(mn, mx)).select(x).orderBy(x).collect()]
+                        out[r] = vals[r - acc]
+                    else:
+                        state[r] = (mn, mx, acc)
+                    break
+                acc += c
+    raise RuntimeError("quantile refinement did not converge")
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: list, max_values: int = EXACT_QUANTILE_MAX_VALUES) -> list:
+    """ACTION. Exact quantiles of the non-null values of ``col`` with linear interpolation
+    (the pandas default), with bounded memory in every task and on the driver."""
+    x = F.col(col)
+    st = df.agg(F.count(x).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi")).first()
+    n = st["n"]
+    if n == 0:
+        return [None] * len(probs)
+    if n <= max_values:
+        return [float(v) for v in df.agg(F.percentile(x, F.array(*[F.lit(float(p)) for p in probs]))).first()[0]]
+    ranks = sorted({f((n - 1) * p) for p in probs for f in (math.floor, math.ceil)})
+    vals = _order_statistics(df, col, ranks, st["lo"], st["hi"])
+    return [_interpolate(vals, n, p) for p in probs]
+
+
 def quantile_bounds(df: DataFrame, col: str, k: float = 1.5, accuracy: int | None = None) -> tuple:
-    """ACTION (one aggregate, one row back). Lower and upper IQR bounds of ``col``.
-
-    Exact by default: ``percentile`` interpolates linearly between order statistics,
-    the same definition as the pandas default; its buffer holds one entry per distinct
-    value. ``accuracy`` switches to the ``percentile_approx`` sketch (bounded memory)
-    for columns with very many distinct values."""
-    probs = F.array(F.lit(0.25), F.lit(0.75))
-    q = F.percentile(F.col(col), probs) if accuracy is None else F.percentile_approx(F.col(col), probs, accuracy)
-    r = df.agg(q.alias("q")).first()["q"]
-    if r is None or r[0] is None:
+    """ACTION (small aggregates, one row back each). Lower and upper IQR bounds of ``col``.
+
+    Exact by default (``exact_quantiles``); ``accuracy`` switches to the
+    ``percentile_approx`` sketch, one pass with a fixed-size buffer."""
+    if accuracy is None:
+        q1, q3 = exact_quantiles(df, col, [0.25, 0.75])
+    else:
+        r = df.agg(F.percentile_approx(F.col(col), F.array(F.lit(0.25), F.lit(0.75)), accuracy)).first()[0]
+        q1, q3 = (None, None) if r is None else (r[0], r[1])
+    if q1 is None:
         return None, None
-    q1, q3 = float(r[0]), float(r[1])
+    q1, q3 = float(q1), float(q3)
     return q1 - k * (q3 - q1), q3 + k * (q3 - q1)
 
 

@@ -104,3 +104,21 @@ def test_standardize_fit_on_train(spark):
     z = {r.x: r.x_z for r in feat.standardize(df, ["x"], F.col("split") == "train").collect()}
     sd = math.sqrt(2.0)
     assert abs(z[1.0] + 1 / sd) < 1e-12 and abs(z[100.0] - 98 / sd) < 1e-9
+
+
+def test_exact_quantiles_refinement_equals_percentile(spark):
+    rnd = random.Random(11)
+    vals = [rnd.choice([rnd.gauss(0, 1), rnd.expovariate(0.01), 5.0, 5.0, -1e6]) for _ in range(3000)] + [None] * 5
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
+    small = feat.exact_quantiles(df, "x", probs)                  # percentile path
+    refined = feat.exact_quantiles(df, "x", probs, max_values=10)  # refinement path
+    old = feat.REFINE_COLLECT_MAX
+    feat.REFINE_COLLECT_MAX = 1                                    # force several passes
+    try:
+        deep = feat.exact_quantiles(df, "x", probs, max_values=10)
+    finally:
+        feat.REFINE_COLLECT_MAX = old
+    assert small == refined == deep
+    xs = sorted(v for v in vals if v is not None)
+    assert refined[0] == xs[0] and refined[-1] == xs[-1]
