@@ -16,6 +16,21 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for a large cluster (hundreds of TB): many shuffle partitions that AQE
+# coalesces to ~128 MB at run time and splits when skewed; scan splits of 256 MB;
+# broadcasts only below 64 MB of estimated size.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": str(256 << 20),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
 def build_session(master: str = "local[*]", app: str = "stationlink",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     """Local session for tests and benchmarks. On a cluster use the cluster's session."""
