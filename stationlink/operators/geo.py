@@ -127,7 +127,7 @@ def active_candidates(stations: DataFrame, facts: DataFrame, key: str, fact_key:
 
 def nearest_l1(queries: DataFrame, cands: DataFrame, q_id: str, q_x: str, q_y: str,
                c_x: str, c_y: str, c_ord: str, c_cols: list, wx: float = 1.0, wy: float = 1.0,
-               per_cell: float = 4.0) -> DataFrame:
+               per_cell: float = 4.0, dense_factor: float = 16.0) -> DataFrame:
     """For each query row, the candidate with the least ``wx*|dx| + wy*|dy|``; a tie goes
     to the lowest ``c_ord``. Returns ``q_id, <c_cols>, distance``; one row per query
     id (nulls when the query has no coordinates or there is no candidate).
@@ -137,15 +137,23 @@ def nearest_l1(queries: DataFrame, cands: DataFrame, q_id: str, q_x: str, q_y: s
     square of radius ``k`` around their own cell (equi-join on the cell, broadcast or
     shuffled as Catalyst decides) and keeps a query when its best distance is within
     ``k*cell`` (nothing outside the square can be nearer) or the square covers the whole
-    grid. ``k`` doubles per round. Actions: one small statistics job, then one
-    checkpoint per round (lineage is cut in ``spark.checkpoint.dir``)."""
+    grid. ``k`` doubles per round.
+
+    Clustered candidates: a cell with more than ``per_cell*dense_factor`` candidates is
+    split into its own m x m sub-grid (m from its count); a query searches such a cell
+    from its point clamped into the cell, ring by ring in the sub-grid, with the same
+    exact stopping rule. No query is ever paired with all candidates of a dense cell.
+
+    Actions: a small statistics job, a dense-cell check, then one checkpoint per round
+    (lineage is cut in ``spark.checkpoint.dir``)."""
     spark = queries.sparkSession
+    pcols = [f"_p_{c}" for c in c_cols]
     cand = (cands.where(F.col(c_x).isNotNull() & F.col(c_y).isNotNull())
             .select(F.col(c_ord).alias("_ord"), F.col(c_x).alias("_cx"), F.col(c_y).alias("_cy"),
                     *[F.col(c).alias(f"_p_{c}") for c in c_cols]))
     # candidates at the very same point: only the lowest ord can ever win
     cand = (cand.groupBy("_cx", "_cy")
-            .agg(F.min_by(F.struct("_ord", *[f"_p_{c}" for c in c_cols]), F.col("_ord")).alias("_b"))
+            .agg(F.min_by(F.struct("_ord", *pcols), F.col("_ord")).alias("_b"))
             .select("_cx", "_cy", "_b.*"))
     st = cand.agg(F.count(F.lit(1)).alias("n"), F.min("_cx").alias("x0"), F.max("_cx").alias("x1"),
                   F.min("_cy").alias("y0"), F.max("_cy").alias("y1")).first()
@@ -163,42 +171,117 @@ def nearest_l1(queries: DataFrame, cands: DataFrame, q_id: str, q_x: str, q_y: s
         s = 1.0
     nx, ny = int(rx // s) + 1, int(ry // s) + 1
 
-    def cell_x(c):
-        return F.least(F.greatest(F.floor((F.lit(wx) * (c - F.lit(st["x0"]))) / F.lit(s)), F.lit(-1)),
-                       F.lit(nx)).cast("long")
+    def sx(c):  # scaled offset from the grid origin
+        return F.lit(wx) * (c - F.lit(st["x0"]))
+
+    def sy(c):
+        return F.lit(wy) * (c - F.lit(st["y0"]))
 
-    def cell_y(c):
-        return F.least(F.greatest(F.floor((F.lit(wy) * (c - F.lit(st["y0"]))) / F.lit(s)), F.lit(-1)),
-                       F.lit(ny)).cast("long")
+    def cell(v, hi):
+        return F.least(F.greatest(F.floor(v / F.lit(s)), F.lit(-1)), F.lit(hi)).cast("long")
 
-    cand = cand.select("*", cell_x(F.col("_cx")).alias("_i"), cell_y(F.col("_cy")).alias("_j"))
+    cand = cand.select("*", cell(sx(F.col("_cx")), nx).alias("_i"), cell(sy(F.col("_cy")), ny).alias("_j"))
+    dense = (cand.groupBy("_i", "_j").agg(F.count(F.lit(1)).alias("_n"))
+             .where(F.col("_n") > F.lit(per_cell * dense_factor))
+             .select("_i", "_j", F.ceil(F.sqrt(F.col("_n") / F.lit(per_cell))).cast("long").alias("_g")))
+    checkpoint_dir(spark)
+    has_dense = not dense.isEmpty()
+    if has_dense:
+        dense = dense.checkpoint(eager=True)
+        cand = cand.join(dense, ["_i", "_j"], "left")
+        u = F.lit(s) / F.col("_g")
+        cand_dense = cand.where(F.col("_g").isNotNull()).select(
+            "*", F.least(F.greatest(F.floor((sx(F.col("_cx")) - F.col("_i") * s) / u), F.lit(0)), F.col("_g") - 1)
+            .alias("_si"), F.least(F.greatest(F.floor((sy(F.col("_cy")) - F.col("_j") * s) / u), F.lit(0)),
+                                   F.col("_g") - 1).alias("_sj")).checkpoint(eager=True)
+        cand_sparse = cand.where(F.col("_g").isNull()).drop("_g")
+    else:
+        cand_sparse = cand
     has_xy = F.col("_qx").isNotNull() & F.col("_qy").isNotNull()
     no_xy = q.where(~has_xy).select(*null_row)
-    pending = q.where(has_xy).select("*", cell_x(F.col("_qx")).alias("_qi"), cell_y(F.col("_qy")).alias("_qj"))
-    checkpoint_dir(spark)
+    pending = q.where(has_xy).select("*", cell(sx(F.col("_qx")), nx).alias("_qi"), cell(sy(F.col("_qy")), ny).alias("_qj"))
+    qattrs = ["_id", "_qx", "_qy", "_qi", "_qj", "_full"]
+    dist = F.lit(wx) * F.abs(F.col("_qx") - F.col("_cx")) + F.lit(wy) * F.abs(F.col("_qy") - F.col("_cy"))
     done_parts = []
     k = 1
     while True:
         lo_i, hi_i = F.greatest(F.col("_qi") - k, F.lit(0)), F.least(F.col("_qi") + k, F.lit(nx - 1))
         lo_j, hi_j = F.greatest(F.col("_qj") - k, F.lit(0)), F.least(F.col("_qj") + k, F.lit(ny - 1))
         full = (lo_i == 0) & (hi_i == nx - 1) & (lo_j == 0) & (hi_j == ny - 1)
-        cells = (pending.select("*", full.alias("_full"),
-                                F.explode(F.sequence(lo_i, F.greatest(hi_i, lo_i))).alias("_i"))
+        pend = pending.select("*", full.alias("_full"))
+        cells = (pend.select("*", F.explode(F.sequence(lo_i, F.greatest(hi_i, lo_i))).alias("_i"))
                  .select("*", F.explode(F.sequence(lo_j, F.greatest(hi_j, lo_j))).alias("_j")))
-        dist = F.lit(wx) * F.abs(F.col("_qx") - F.col("_cx")) + F.lit(wy) * F.abs(F.col("_qy") - F.col("_cy"))
-        pairs = cells.join(cand, ["_i", "_j"], "left").withColumn("_d", dist)
-        best = (pairs.groupBy("_id", "_qx", "_qy", "_qi", "_qj", "_full")
-                .agg(F.min_by(F.struct("_d", "_ord", *[f"_p_{c}" for c in c_cols]),
-                              # no candidate in the square: null key, ignored by min_by
+        cand_cols = ["_d", "_ord", *pcols]
+        parts = [cells.join(cand_sparse, ["_i", "_j"]).withColumn("_d", dist).select(*qattrs, *cand_cols),
+                 # every pending query once, without a candidate: it is kept even when
+                 # its square is empty
+                 pend.select(*qattrs, F.lit(None).cast("double").alias("_d"),
+                             F.lit(None).cast(cand.schema["_ord"].dataType).alias("_ord"),
+                             *[F.lit(None).cast(cand.schema[c].dataType).alias(c) for c in pcols])]
+        if has_dense:
+            sub = cells.join(dense, ["_i", "_j"])
+            parts.append(_dense_cell_search(sub, cand_dense, qattrs, cand_cols, dist, sx, sy, s))
+        pairs = parts[0]
+        for p_ in parts[1:]:
+            pairs = pairs.unionByName(p_)
+        best = (pairs.groupBy(*qattrs)
+                .agg(F.min_by(F.struct(*cand_cols),
+                              # no candidate: null key, ignored by min_by
                               F.when(F.col("_ord").isNotNull(), F.struct("_d", "_ord"))).alias("_m")))
         best = best.checkpoint(eager=True)
-        ok = F.col("_full") | (F.col("_m._d") <= F.lit(k * s * (1 - 1e-9)))
+        # no candidate in the square yet: not done (a null here would drop the query)
+        ok = F.col("_full") | F.coalesce(F.col("_m._d") <= F.lit(k * s * (1 - 1e-9)), F.lit(False))
         done_parts.append(best.where(ok).select(*out_cols))
         pending = best.where(~ok).select("_id", "_qx", "_qy", "_qi", "_qj")
         if pending.isEmpty():
             break
         k *= 2
     out = no_xy
-    for p in done_parts:
-        out = out.unionByName(p)
+    for p_ in done_parts:
+        out = out.unionByName(p_)
+    return out
+
+
+def _dense_cell_search(sub: DataFrame, cand_dense: DataFrame, qattrs: list, cand_cols: list, dist: Column,
+                       sx, sy, s: float) -> DataFrame:
+    """Exact nearest candidate inside each dense cell for (query, dense cell) pairs.
+
+    The query point is clamped into the cell box; for a candidate inside the cell the L1
+    distance is (query -> clamp) + (clamp -> candidate), so a ring search in the cell's
+    sub-grid around the clamp point stops as soon as the best distance is within
+    ``(query -> clamp) + r * sub-cell`` or the square covers the sub-grid."""
+    u = F.lit(s) / F.col("_g")
+    bx, by = F.col("_i") * F.lit(s), F.col("_j") * F.lit(s)
+    qx, qy = sx(F.col("_qx")), sy(F.col("_qy"))
+    px = F.least(F.greatest(qx, bx), bx + F.lit(s))
+    py = F.least(F.greatest(qy, by), by + F.lit(s))
+    g1 = F.col("_g") - 1
+    pend = sub.select(*qattrs, "_i", "_j", "_g",
+                      (F.abs(qx - px) + F.abs(qy - py)).alias("_d0"),
+                      F.least(F.greatest(F.floor((px - bx) / u), F.lit(0)), g1).alias("_ci"),
+                      F.least(F.greatest(F.floor((py - by) / u), F.lit(0)), g1).alias("_cj"))
+    keys = [*qattrs, "_i", "_j", "_g", "_d0", "_ci", "_cj"]
+    found = []
+    r = 1
+    while True:
+        lo_i, hi_i = F.greatest(F.col("_ci") - r, F.lit(0)), F.least(F.col("_ci") + r, g1)
+        lo_j, hi_j = F.greatest(F.col("_cj") - r, F.lit(0)), F.least(F.col("_cj") + r, g1)
+        full = (lo_i == 0) & (hi_i == g1) & (lo_j == 0) & (hi_j == g1)
+        cells = (pend.select("*", full.alias("_sfull"), F.explode(F.sequence(lo_i, hi_i)).alias("_si"))
+                 .select("*", F.explode(F.sequence(lo_j, hi_j)).alias("_sj")))
+        pairs = cells.join(cand_dense.drop("_g"), ["_i", "_j", "_si", "_sj"]).withColumn("_d", dist)
+        best = (pairs.groupBy(*keys, "_sfull")
+                .agg(F.min_by(F.struct(*cand_cols), F.struct("_d", "_ord")).alias("_m"))
+                .checkpoint(eager=True))
+        ok = F.col("_sfull") | F.coalesce(F.col("_m._d") <= (F.col("_d0") + F.lit(r) * u) * F.lit(1 - 1e-9),
+                                          F.lit(False))
+        found.append(best.where(ok).select(*qattrs, *[F.col(f"_m.{c}").alias(c) for c in cand_cols]))
+        # a (query, cell) pair without any candidate in its square goes on as well
+        pend = pend.join(best.where(ok).select(*keys), keys, "left_anti")
+        if pend.isEmpty():
+            break
+        r *= 2
+    out = found[0]
+    for f_ in found[1:]:
+        out = out.unionByName(f_)
     return out

@@ -105,3 +105,17 @@ def test_active_candidates_lowest_key(spark):
     facts = spark.createDataFrame([("A",), ("A",), ("B",), (None,)], "name string")
     got = sorted(tuple(r) for r in geo.active_candidates(st, facts, "name", order_col="k").collect())
     assert got == [("A", 1, 2.0), ("B", 2, 3.0)]
+
+
+def test_nearest_with_dense_clusters_equals_brute_force(spark):
+    rnd = random.Random(21)
+    # a tight cluster of many distinct candidates plus a sparse background
+    cs = [(i, round(10 + rnd.uniform(0, 0.5), 4), round(10 + rnd.uniform(0, 0.5), 4)) for i in range(300)]
+    cs += [(300 + i, round(rnd.uniform(-100, 100), 2), round(rnd.uniform(-100, 100), 2)) for i in range(40)]
+    qs = [(i, round(rnd.uniform(-120, 120), 2), round(rnd.uniform(-120, 120), 2)) for i in range(150)]
+    qs += [(150 + i, round(10 + rnd.uniform(-0.2, 0.7), 4), round(10 + rnd.uniform(-0.2, 0.7), 4)) for i in range(80)]
+    q = spark.createDataFrame(qs, "qid int, x double, y double")
+    c = spark.createDataFrame(cs, "cid int, x double, y double")
+    got = geo.nearest_l1(q, c, "qid", "x", "y", "x", "y", "cid", ["cid"], 1.0, 1.0, per_cell=2.0, dense_factor=4.0)
+    res = {r.qid: (r.cid, round(r.distance, 6)) for r in got.collect()}
+    assert res == _brute_nearest(qs, cs, 1.0, 1.0)
