@@ -36,6 +36,15 @@ def gazetteer_from_nested(spark: SparkSession, nested: dict) -> DataFrame:
     return spark.createDataFrame(rows, GAZETTEER_SCHEMA)
 
 
+def shared_coordinates(gazetteer: DataFrame) -> DataFrame:
+    """Data check: coordinates that appear under more than one region (a sign that a bare
+    city name was geocoded to a namesake elsewhere). ``lat, lng, regions, entries``."""
+    return (gazetteer.where(F.col("lat").isNotNull() & F.col("lng").isNotNull())
+            .groupBy("lat", "lng")
+            .agg(F.countDistinct("wide").alias("regions"), F.count(F.lit(1)).alias("entries"))
+            .where(F.col("regions") > 1))
+
+
 def _literal_lookup(text: Column, entries: list) -> Column:
     # the entries travel as one JSON text literal; from_json of a literal is folded into
     # one constant array by the optimizer (one driver call instead of one per field)

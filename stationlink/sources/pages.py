@@ -7,8 +7,23 @@ request with the stated total (a missing last page or a dropped tail shows up th
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def page_schema(row_schema: T.StructType, request_cols: tuple = ("request_date",),
+                code_field: str = "code", total_field: str = "totalCnt", rows_field: str = "row") -> T.StructType:
+    """Schema of one landed page: request columns, result code, stated total, row array."""
+    return T.StructType([T.StructField(c, T.StringType()) for c in request_cols] + [
+        T.StructField(code_field, T.StringType()), T.StructField(total_field, T.LongType()),
+        T.StructField(rows_field, T.ArrayType(row_schema))])
+
+
+def read_pages(spark: SparkSession, path: str, row_schema: T.StructType, **kw) -> DataFrame:
+    """Landed pages (JSON lines, one page per line, any number of files: the page results
+    are concatenated by the scan itself). Explicit schema: no inference pass."""
+    return spark.read.schema(page_schema(row_schema, **kw)).json(path)
 
 
 def flatten_pages(pages: DataFrame, rows_field: str = "row", code_field: str = "code",

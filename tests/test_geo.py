@@ -119,3 +119,10 @@ def test_nearest_with_dense_clusters_equals_brute_force(spark):
     got = geo.nearest_l1(q, c, "qid", "x", "y", "x", "y", "cid", ["cid"], 1.0, 1.0, per_cell=2.0, dense_factor=4.0)
     res = {r.qid: (r.cid, round(r.distance, 6)) for r in got.collect()}
     assert res == _brute_nearest(qs, cs, 1.0, 1.0)
+
+
+def test_shared_coordinates_flags_namesakes(spark):
+    gaz = geo.gazetteer_from_nested(spark, {"A": {"x": [1.0, 2.0], "y": [3.0, 4.0]}, "B": {"x": [1.0, 2.0]},
+                                            "C": {"z": ["nodata", "nodata"]}})
+    rows = geo.shared_coordinates(gaz).collect()
+    assert [(r.lat, r.lng, r.regions) for r in rows] == [(1.0, 2.0, 2)]

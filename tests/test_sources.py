@@ -125,3 +125,18 @@ def test_file_high_water(spark, tmp):
         with open(os.path.join(d, f"cattle_{stamp}.json"), "w") as f:
             f.write("{}\n")
     assert file_high_water(spark, d, "20240101000000").first().mark == "20240107000000"
+
+
+def test_read_pages_from_landed_files(spark, tmp):
+    from stationlink.sources.pages import read_pages
+    row = T.StructType([T.StructField("LKNTS_NM", T.StringType()), T.StructField("OCCRRNC_DE", T.StringType())])
+    d = os.path.join(tmp, "pages")
+    os.makedirs(d)
+    with open(os.path.join(d, "p1.json"), "w") as f:
+        f.write(json.dumps({"request_date": "20240101", "code": "INFO-000", "totalCnt": 1,
+                            "row": [{"LKNTS_NM": "a", "OCCRRNC_DE": "20240101"}]}) + "\n")
+    with open(os.path.join(d, "p2.json"), "w") as f:
+        f.write(json.dumps({"request_date": "20240102", "code": "INFO-000", "totalCnt": 0, "row": []}) + "\n")
+    pages = read_pages(spark, d, row)
+    got = sorted((r.request_date, r.LKNTS_NM) for r in flatten_pages(pages, sentinel={"LKNTS_NM": "no_data"}).collect())
+    assert got == [("20240101", "a"), ("20240102", "no_data")]
