@@ -10,9 +10,14 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import binarize, to_number
 from ..schemas import SEED, TARGET_MIN_TOTAL
+from ..session import checkpoint_dir
 
-# Hash buckets of the ranked selection: 16 bits of the md5 prefix.
-RANK_BUCKET_HEX = 4
+# Ranked selection: hex digits of the md5 per radix level (16 bits), the most rows one
+# window may rank in an edge bucket before the bucket is refined by the next digits, and
+# the most rows of a per-class table that is broadcast.
+RANK_LEVEL_HEX = 4
+EDGE_RANK_MAX = 2_000_000
+BROADCAST_ROWS_MAX = 100_000
 
 
 def select_targets(panel: DataFrame, targets: list, threshold: float = TARGET_MIN_TOTAL) -> DataFrame:
@@ -155,46 +160,82 @@ def hash_key(id_cols: list, seed: int = SEED) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in id_cols]))
 
 
+def _maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast hint only for a side whose row count was checked to be small."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS_MAX else df
+
+
+def _edge_buckets(counts: DataFrame, state: DataFrame, class_col: str) -> DataFrame:
+    """Per class: the first bucket (``_p`` in hash order under the parent prefix ``_E``)
+    where the running count passes ``_need``. Returns ``class, _E`` (extended by that
+    bucket), ``_need`` (rows still wanted inside it) and ``_en`` (its rows). A class
+    whose rows all fit comes back with a null ``_E``: every row is in."""
+    w = Window.partitionBy(class_col).orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    s = state.select(F.col(class_col).alias("_k"), F.col("_need"))
+    c = counts.withColumn("_cum", F.sum("_n").over(w))
+    c = c.join(s, c[class_col].eqNullSafe(s["_k"]), "left").drop("_k")
+    need = F.coalesce(F.col("_need"), F.lit(0))
+    passed = (c.where(F.col("_cum") > need)
+              .groupBy(class_col)
+              .agg(F.min_by(F.struct(F.concat("_E", "_p").alias("_E"), (need - (F.col("_cum") - F.col("_n")))
+                                     .alias("_need"), F.col("_n").alias("_en")), F.col("_p")).alias("_e"))
+              .select(class_col, "_e.*"))
+    everything = (counts.select(class_col).distinct()
+                  .join(passed, counts[class_col].eqNullSafe(passed[class_col]), "left_anti")
+                  .select(class_col, F.lit(None).cast("string").alias("_E"), F.lit(None).cast("long").alias("_need"),
+                          F.lit(None).cast("long").alias("_en")))
+    return passed.unionByName(everything)
+
+
 def mark_lowest_hash(df: DataFrame, class_col: str, id_cols: list, quota_of,
-                     out_col: str = "selected", seed: int = SEED) -> DataFrame:
+                     out_col: str = "selected", seed: int = SEED, level_hex: int = RANK_LEVEL_HEX,
+                     edge_max: int = EDGE_RANK_MAX) -> DataFrame:
     """Add ``out_col``: true for the ``quota`` rows of each class with the smallest
     ``hash_key`` (ties by id), exactly what ``ROW_NUMBER() OVER (PARTITION BY class
     ORDER BY md5) <= quota`` gives, without sorting a whole class in one task.
 
-    Rows are put into 65536 buckets by the hash prefix; a small aggregate counts the
-    rows per (class, bucket) and a running sum over the buckets finds, per class, the
-    edge bucket where the quota runs out. Buckets before it are wholly in, after it
-    wholly out (a comparison against one broadcast row per class); only the rows of
-    the edge bucket are shuffled and ranked by a window.
+    A radix selection on the hex md5: rows are counted per (class, first ``level_hex``
+    digits); a running sum over these buckets finds, per class, the edge bucket where the
+    quota runs out. A class whose edge bucket holds more than ``edge_max`` rows is refined
+    by the next digits, counting only the rows of that bucket, until it is small (ids
+    must be unique, so the buckets keep splitting). Then one pass: a row whose prefix is
+    before its class's edge prefix is in, after it out (a comparison with one row per
+    class, broadcast when the class count is checked small); only the rows of the edge
+    buckets are shuffled and ranked by a window.
     ``quota_of`` maps the per-class counts (``class_col, n``) to ``class_col, quota``.
-    The bucket table (at most #classes x 65536 rows) is cached: both branches and the
-    class counts reuse it."""
-    h = hash_key(id_cols, seed)
-    # the bucket is made non-nullable so Catalyst infers no extra null filter that would
-    # compute the md5 a second time
-    d = df.withColumn("_h", h).withColumn(
-        "_b", F.coalesce(F.conv(F.substring(F.col("_h"), 1, RANK_BUCKET_HEX), 16, 10).cast("int"), F.lit(-1)))
-    counts = d.groupBy(class_col, "_b").agg(F.count(F.lit(1)).alias("_n")).cache()
+    Actions: the first-level count table is cached and one small aggregate reads the
+    edges (a checkpoint per refinement level, at large scale only)."""
+    d = df.withColumn("_h", hash_key(id_cols, seed))
+    counts = (d.groupBy(class_col, F.substring("_h", 1, level_hex).alias("_p"))
+              .agg(F.count(F.lit(1)).alias("_n")).withColumn("_E", F.lit("")).cache())
     quota = quota_of(counts.groupBy(class_col).agg(F.sum("_n").alias("n")))
-    w = Window.partitionBy(class_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    q = F.coalesce(F.col("quota"), F.lit(0))
-    # per class: the first bucket whose running count passes the quota (the edge) and how
-    # many of its rows are still needed; buckets before it are in, after it out
-    edge_of = (counts.withColumn("_cum", F.sum("_n").over(w))
-               .join(quota, class_col, "left")
-               .where(F.col("_cum") > q)
-               .groupBy(class_col)
-               .agg(F.min_by(F.struct(F.col("_b").alias("_eb"), (q - (F.col("_cum") - F.col("_n"))).alias("_need")),
-                             F.col("_b")).alias("_e"))
-               .select(class_col, "_e._eb", "_e._need"))
-    # one row per class: a proven bound, broadcast
-    d = d.join(F.broadcast(edge_of), class_col, "left").withColumn(
-        "_eb", F.coalesce(F.col("_eb"), F.lit(1 << (4 * RANK_BUCKET_HEX))))
-    sure = d.where(F.col("_b") != F.col("_eb")).withColumn(out_col, F.col("_b") < F.col("_eb"))
-    rw = Window.partitionBy(class_col, "_b").orderBy("_h", *id_cols)
-    edge = (d.where(F.col("_b") == F.col("_eb"))
-            .withColumn(out_col, F.row_number().over(rw) <= F.col("_need")))
-    return sure.unionByName(edge).drop("_h", "_b", "_eb", "_need")
+    edges = _edge_buckets(counts, quota.select(class_col, F.col("quota").alias("_need")), class_col).cache()
+    st = edges.agg(F.count(F.lit(1)).alias("k"), F.max("_en").alias("big")).first()
+    depth = level_hex
+    while st["big"] is not None and st["big"] > edge_max and depth + level_hex <= 32:
+        # the classes whose edge bucket is too big for one ranking task: count the rows of
+        # that bucket only, by the next digits of the hash
+        big = edges.where(F.col("_en") > edge_max).select(F.col(class_col).alias("_k"), "_E", "_need")
+        nb = big.count()
+        sub = d.join(_maybe_broadcast(big, nb), d[class_col].eqNullSafe(F.col("_k")))
+        sub = sub.where(F.substring("_h", 1, depth) == F.col("_E"))
+        c2 = (sub.groupBy(class_col, "_E", F.substring("_h", depth + 1, level_hex).alias("_p"))
+              .agg(F.count(F.lit(1)).alias("_n")))
+        refined = _edge_buckets(c2, big.withColumnRenamed("_k", class_col), class_col)
+        small = edges.where(F.col("_en").isNull() | (F.col("_en") <= edge_max))
+        checkpoint_dir(df.sparkSession)
+        edges = small.unionByName(refined).checkpoint(eager=True)
+        st = edges.agg(F.count(F.lit(1)).alias("k"), F.max("_en").alias("big")).first()
+        depth += level_hex
+    e = edges.select(F.col(class_col).alias("_k"), "_E", "_need")
+    d = d.join(_maybe_broadcast(e, st["k"]), d[class_col].eqNullSafe(F.col("_k")), "left").drop("_k")
+    pre = F.substring(F.col("_h"), F.lit(1), F.length("_E"))
+    # no edge: the quota covers the whole class
+    sure = d.where(F.col("_E").isNull() | (pre != F.col("_E"))).withColumn(
+        out_col, F.col("_E").isNull() | (pre < F.col("_E")))
+    rw = Window.partitionBy(class_col, "_E").orderBy("_h", *id_cols)
+    edge = d.where(pre == F.col("_E")).withColumn(out_col, F.row_number().over(rw) <= F.col("_need"))
+    return sure.unionByName(edge).drop("_h", "_E", "_need")
 
 
 def undersample(df: DataFrame, class_col: str, id_cols: list, classes: tuple = (0, 1),

@@ -48,11 +48,15 @@ def build_session(master: str = "local[*]", app: str = "stationlink",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster (``spark.checkpoint.dir``).
 
-    Only when it is unset (local tests) a private scratch folder is created and set.
+    Only when it is unset on a local master (tests, bench) a private scratch folder is
+    created and set; a cluster session without it is refused, since a folder local to
+    the driver is not reachable from the executors and dies with the machine.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for this job")
         d = tempfile.mkdtemp(prefix="stationlink-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():

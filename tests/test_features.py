@@ -99,6 +99,25 @@ def test_mark_lowest_hash_many_buckets_matches_row_number(spark):
     assert got == want and m.count() == 20000
 
 
+def test_mark_lowest_hash_refines_big_edge_buckets(spark):
+    # one hex digit per level and at most 7 rows per ranked edge bucket: the edges are
+    # refined over several levels; the result must still equal ROW_NUMBER over the md5
+    df = spark.range(3000).select(F.col("id"), F.when(F.col("id") % 5 == 4, None)
+                                  .otherwise(F.col("id") % 2).cast("int").alias("c"))
+    quota = {0: 777, 1: 5, None: 600}
+
+    def quota_of(cc):
+        return cc.select("c", F.when(F.col("c").isNull(), F.lit(quota[None]))
+                         .when(F.col("c") == 0, F.lit(quota[0])).otherwise(F.lit(quota[1])).alias("quota"))
+
+    m = feat.mark_lowest_hash(df, "c", ["id"], quota_of, "sel", level_hex=1, edge_max=7)
+    w = Window.partitionBy("c").orderBy(feat.hash_key(["id"]), "id")
+    ref = df.withColumn("rn", F.row_number().over(w))
+    want = {r.id for r in ref.collect() if r.rn <= quota[r.c]}
+    got = {r.id for r in m.where("sel").collect()}
+    assert got == want and m.count() == 3000
+
+
 def test_standardize_fit_on_train(spark):
     df = spark.createDataFrame([(1.0, "train"), (3.0, "train"), (100.0, "test")], "x double, split string")
     z = {r.x: r.x_z for r in feat.standardize(df, ["x"], F.col("split") == "train").collect()}
