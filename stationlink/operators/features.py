@@ -137,11 +137,32 @@ def iqr_filter(df: DataFrame, features: list, k: float = 1.5, accuracy: int | No
     return cur
 
 
-def replicate(df: DataFrame, count_col: str, copy_col: str = "copy") -> DataFrame:
+# Copies one task writes for one input row at most: a row with a larger count (a third
+# of the output may come from one row) is first cut into chunks of this many copies,
+# and only those chunk rows are spread over the cluster before they are expanded.
+REPLICATE_CHUNK = 1_000_000
+
+
+def replicate(df: DataFrame, count_col: str, copy_col: str = "copy", chunk: int = REPLICATE_CHUNK) -> DataFrame:
     """Repeat each row ``count`` times (0, negative and null count once) and number the
-    copies 1..n so that every output row keeps a unique identity."""
-    n = F.greatest(F.coalesce(F.col(count_col), F.lit(0)), F.lit(1))
-    return df.withColumn(copy_col, F.explode(F.sequence(F.lit(1), n)))
+    copies 1..n so that every output row keeps a unique identity.
+
+    Rows with at most ``chunk`` copies are expanded where they are read. Rows with more
+    (few by nature: their copies dominate the output) become one row per chunk, which a
+    round-robin shuffle of those rows only spreads over the tasks; each chunk is then
+    expanded on its own. The filter on the count reaches the scan."""
+    c = F.col(count_col)
+    n = F.greatest(F.coalesce(c, F.lit(0)), F.lit(1))
+    light = df.where(c.isNull() | (c <= F.lit(chunk))).withColumn(copy_col, F.explode(F.sequence(F.lit(1), n)))
+    heavy = (df.where(c > F.lit(chunk))
+             .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / F.lit(chunk)))))
+             .repartition(df.sparkSession.sparkContext.defaultParallelism))
+    first = F.col("_chunk") * F.lit(chunk) + 1
+    last = F.least(first + F.lit(chunk - 1), n.cast("long"))
+    copy_type = light.schema[copy_col].dataType
+    heavy = heavy.withColumn(copy_col, F.explode(F.sequence(first.cast(copy_type), last.cast(copy_type))))
+    heavy = heavy.drop("_chunk")
+    return light.unionByName(heavy)
 
 
 def prepare_target(df: DataFrame, features: list, target: str, id_cols: tuple = (),

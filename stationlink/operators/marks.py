@@ -45,9 +45,11 @@ def day_spine(keys: DataFrame, lo, hi, day_col: str = "day") -> DataFrame:
 
 def gap_report(df: DataFrame, key: str, ts_col: str, day_col: str = "day") -> DataFrame:
     """(key, day) pairs without a row, over the table's whole day range. The range is
-    a scalar subquery; the spine is an anti join against the days present."""
+    one small aggregate; the spine is an anti join against the days present."""
     days = df.select(F.col(key), F.to_date(F.col(ts_col)).alias(day_col))
-    lo = days.agg(F.min(day_col)).scalar()
-    hi = days.agg(F.max(day_col)).scalar()
-    spine = day_spine(days.select(key).distinct(), lo, hi, day_col)
+    # ACTION: both ends in one aggregate (one row back), used as literals
+    lo, hi = days.agg(F.min(day_col), F.max(day_col)).first()
+    if lo is None:
+        return days.select(key, day_col).limit(0)
+    spine = day_spine(days.select(key).distinct(), F.lit(lo), F.lit(hi), day_col)
     return spine.join(days.distinct(), [key, day_col], "left_anti")

@@ -43,6 +43,18 @@ def test_replicate_counts_and_identity(spark):
     assert out.select("id", "copy").distinct().count() == out.count()
 
 
+def test_replicate_chunks_a_hot_row(spark):
+    # a row holding most of the output is cut into chunks of 4 copies; copies stay 1..n,
+    # unique, of the count's type, and light rows are untouched
+    df = spark.createDataFrame([(1, 3), (2, 23), (3, 8), (4, None), (5, 9)], "id int, n int")
+    out = feat.replicate(df, "n", chunk=4)
+    assert dict(out.dtypes)["copy"] == "int"
+    got = sorted((r.id, r.copy) for r in out.collect())
+    want = sorted((i, k) for i, n in [(1, 3), (2, 23), (3, 8), (4, None), (5, 9)]
+                  for k in range(1, max(n or 0, 1) + 1))
+    assert got == want
+
+
 def test_prepare_target(spark):
     df = spark.createDataFrame([(1, 1.0, 2), (2, 2.0, None), (3, None, 5), (4, 3.0, 0)], "k int, x double, y int")
     out = feat.prepare_target(df, ["x"], "y", id_cols=("k",))
