@@ -224,13 +224,19 @@ def mark_lowest_hash(df: DataFrame, class_col: str, id_cols: list, quota_of,
     class, broadcast when the class count is checked small); only the rows of the edge
     buckets are shuffled and ranked by a window.
     ``quota_of`` maps the per-class counts (``class_col, n``) to ``class_col, quota``.
-    Actions: the first-level count table is cached and one small aggregate reads the
-    edges (a checkpoint per refinement level, at large scale only)."""
+    Actions: the first-level count table (cached while it is used) gives the edge table,
+    which is checkpointed; one small aggregate reads it (a further checkpoint per
+    refinement level, at large scale only)."""
     d = df.withColumn("_h", hash_key(id_cols, seed))
     counts = (d.groupBy(class_col, F.substring("_h", 1, level_hex).alias("_p"))
               .agg(F.count(F.lit(1)).alias("_n")).withColumn("_E", F.lit("")).cache())
     quota = quota_of(counts.groupBy(class_col).agg(F.sum("_n").alias("n")))
-    edges = _edge_buckets(counts, quota.select(class_col, F.col("quota").alias("_need")), class_col).cache()
+    checkpoint_dir(df.sparkSession)
+    # one row per class, written to the checkpoint folder: the plans below read it back
+    # instead of carrying the count table's plan along
+    edges = _edge_buckets(counts, quota.select(class_col, F.col("quota").alias("_need")), class_col) \
+        .checkpoint(eager=True)
+    counts.unpersist()
     st = edges.agg(F.count(F.lit(1)).alias("k"), F.max("_en").alias("big")).first()
     depth = level_hex
     while st["big"] is not None and st["big"] > edge_max and depth + level_hex <= 32:
@@ -244,7 +250,6 @@ def mark_lowest_hash(df: DataFrame, class_col: str, id_cols: list, quota_of,
               .agg(F.count(F.lit(1)).alias("_n")))
         refined = _edge_buckets(c2, big.withColumnRenamed("_k", class_col), class_col)
         small = edges.where(F.col("_en").isNull() | (F.col("_en") <= edge_max))
-        checkpoint_dir(df.sparkSession)
         edges = small.unionByName(refined).checkpoint(eager=True)
         st = edges.agg(F.count(F.lit(1)).alias("k"), F.max("_en").alias("big")).first()
         depth += level_hex

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import GBT_PARAMS
+from ..session import checkpoint_dir
 
 # Training rows per partition (four or so double features: tens of MB per partition).
 ROWS_PER_TRAIN_PARTITION = 500_000
@@ -38,14 +39,19 @@ def fit_and_score(train: DataFrame, test: DataFrame, features: list, label: str,
     """ACTION (fit). Returns the fitted pipeline and the scored test rows with ``score``
     = probability of class 1."""
     # the boosting loop runs several jobs per tree level and every job pays a task per
-    # partition: size the partitions by rows (one count), then keep them cached
+    # partition: size the partitions by rows (one count). The rows are checkpointed to
+    # the shared folder: the loop (and a lost executor's recomputation) starts from
+    # there, not from the whole sampling lineage. The boosting loop caches its own
+    # input; the cache here only spares computing the rows twice for the checkpoint.
     tr = train.withColumn(label, F.col(label).cast("double"))
     parts = max(1, math.ceil(tr.count() / ROWS_PER_TRAIN_PARTITION))
-    tr = tr.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
+    checkpoint_dir(train.sparkSession)
+    cached = tr.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = gbt_pipeline(features, label, params).fit(tr)
+        tr = cached.checkpoint(eager=True)
     finally:
-        tr.unpersist()
+        cached.unpersist()
+    model = gbt_pipeline(features, label, params).fit(tr)
     scored = model.transform(test.withColumn(label, F.col(label).cast("double")))
     return model, scored.withColumn("score", vector_to_array("probability")[1])
 

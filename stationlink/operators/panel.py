@@ -29,10 +29,15 @@ def pivot_sum(df: DataFrame, keys: list, cat_col: str, val_col: str, values: lis
               fill: int | None = 0, out_type: str = "bigint") -> DataFrame:
     """One column per category value (explicit list: no extra job to find the values,
     the schema does not depend on the data), sum of ``val_col``, ``fill`` in empty cells.
-    One shuffle on ``keys`` with map-side partial sums."""
-    p = df.groupBy(*keys).pivot(cat_col, list(values)).agg(F.sum(val_col).cast(out_type))
+
+    Written as conditional sums in one aggregation: one shuffle on ``keys`` with
+    map-side partial sums (``GroupedData.pivot`` plans two, first on keys + category,
+    then on keys). Rows of other categories still make their key's row, as in a pivot."""
+    cat = F.col(cat_col)
+    p = df.groupBy(*keys).agg(*[F.sum(F.when(cat == F.lit(v), F.col(val_col))).cast(out_type).alias(str(v))
+                                for v in values])
     if fill is not None:
-        p = p.na.fill(fill, subset=list(values))
+        p = p.na.fill(fill, subset=[str(v) for v in values])
     return p
 
 
