@@ -146,7 +146,8 @@ def nearest_l1(queries: DataFrame, cands: DataFrame, q_id: str, q_x: str, q_y: s
     square of radius ``k`` around their own cell (equi-join on the cell, broadcast or
     shuffled as Catalyst decides) and keeps a query when its best distance is within
     ``k*cell`` (nothing outside the square can be nearer) or the square covers the whole
-    grid. ``k`` doubles per round.
+    grid. ``k`` doubles per round. A query outside the grid searches from its point
+    clamped into the grid, its distance to that point added to the bound.
 
     Clustered candidates: a cell with more than ``per_cell*dense_factor`` candidates is
     split into its own m x m sub-grid (m from its count); a query searches such a cell
@@ -208,8 +209,16 @@ def nearest_l1(queries: DataFrame, cands: DataFrame, q_id: str, q_x: str, q_y: s
         cand_sparse = cand
     has_xy = F.col("_qx").isNotNull() & F.col("_qy").isNotNull()
     no_xy = q.where(~has_xy).select(*null_row)
-    pending = q.where(has_xy).select("*", cell(sx(F.col("_qx")), nx).alias("_qi"), cell(sy(F.col("_qy")), ny).alias("_qj"))
-    qattrs = ["_id", "_qx", "_qy", "_qi", "_qj", "_full"]
+    # a query outside the grid's box searches from its point clamped into the box: for
+    # every candidate the L1 distance is (query -> clamp) + (clamp -> candidate), so the
+    # square around the clamp point is searched with the same exact stopping rule, and a
+    # far query (or a crowd of them) meets no more cells than one at the edge does
+    px = F.least(F.greatest(sx(F.col("_qx")), F.lit(0.0)), F.lit(float(rx)))
+    py = F.least(F.greatest(sy(F.col("_qy")), F.lit(0.0)), F.lit(float(ry)))
+    pending = q.where(has_xy).select(
+        "*", (F.abs(sx(F.col("_qx")) - px) + F.abs(sy(F.col("_qy")) - py)).alias("_d0"),
+        cell(px, nx).alias("_qi"), cell(py, ny).alias("_qj"))
+    qattrs = ["_id", "_qx", "_qy", "_d0", "_qi", "_qj", "_full"]
     dist = F.lit(wx) * F.abs(F.col("_qx") - F.col("_cx")) + F.lit(wy) * F.abs(F.col("_qy") - F.col("_cy"))
     done_parts = []
     k = 1
@@ -239,9 +248,10 @@ def nearest_l1(queries: DataFrame, cands: DataFrame, q_id: str, q_x: str, q_y: s
                               F.when(F.col("_ord").isNotNull(), F.struct("_d", "_ord"))).alias("_m")))
         best = best.checkpoint(eager=True)
         # no candidate in the square yet: not done (a null here would drop the query)
-        ok = F.col("_full") | F.coalesce(F.col("_m._d") <= F.lit(k * s * (1 - 1e-9)), F.lit(False))
+        ok = F.col("_full") | F.coalesce(F.col("_m._d") <= (F.col("_d0") + F.lit(k * s)) * F.lit(1 - 1e-9),
+                                         F.lit(False))
         done_parts.append(best.where(ok).select(*out_cols))
-        pending = best.where(~ok).select("_id", "_qx", "_qy", "_qi", "_qj")
+        pending = best.where(~ok).select("_id", "_qx", "_qy", "_d0", "_qi", "_qj")
         if pending.isEmpty():
             break
         k *= 2
@@ -266,10 +276,10 @@ def _dense_cell_search(sub: DataFrame, cand_dense: DataFrame, qattrs: list, cand
     py = F.least(F.greatest(qy, by), by + F.lit(s))
     g1 = F.col("_g") - 1
     pend = sub.select(*qattrs, "_i", "_j", "_g",
-                      (F.abs(qx - px) + F.abs(qy - py)).alias("_d0"),
+                      (F.abs(qx - px) + F.abs(qy - py)).alias("_dc"),
                       F.least(F.greatest(F.floor((px - bx) / u), F.lit(0)), g1).alias("_ci"),
                       F.least(F.greatest(F.floor((py - by) / u), F.lit(0)), g1).alias("_cj"))
-    keys = [*qattrs, "_i", "_j", "_g", "_d0", "_ci", "_cj"]
+    keys = [*qattrs, "_i", "_j", "_g", "_dc", "_ci", "_cj"]
     found = []
     r = 1
     while True:
@@ -282,7 +292,7 @@ def _dense_cell_search(sub: DataFrame, cand_dense: DataFrame, qattrs: list, cand
         best = (pairs.groupBy(*keys, "_sfull")
                 .agg(F.min_by(F.struct(*cand_cols), F.struct("_d", "_ord")).alias("_m"))
                 .checkpoint(eager=True))
-        ok = F.col("_sfull") | F.coalesce(F.col("_m._d") <= (F.col("_d0") + F.lit(r) * u) * F.lit(1 - 1e-9),
+        ok = F.col("_sfull") | F.coalesce(F.col("_m._d") <= (F.col("_dc") + F.lit(r) * u) * F.lit(1 - 1e-9),
                                           F.lit(False))
         found.append(best.where(ok).select(*qattrs, *[F.col(f"_m.{c}").alias(c) for c in cand_cols]))
         # a (query, cell) pair without any candidate in its square goes on as well

@@ -84,6 +84,21 @@ def test_nearest_equals_brute_force(spark):
     assert len(res) == len(qs)
 
 
+def test_nearest_far_queries_equal_brute_force(spark):
+    # queries far outside the candidates' box on every side and corner, and a crowd of
+    # 200 at one far point: searched from the clamp point, still exact
+    rnd = random.Random(5)
+    cs = [(i, round(rnd.uniform(0, 20), 2), round(rnd.uniform(0, 20), 2)) for i in range(120)]
+    far = [(-900.0, 10.0), (900.0, 3.0), (7.0, -900.0), (11.0, 900.0), (-500.0, -600.0), (800.0, 700.0),
+           (20.0, 0.0), (-0.5, 20.5)]
+    qs = [(i, x, y) for i, (x, y) in enumerate(far)] + [(100 + i, 5000.0, 5000.0) for i in range(200)]
+    q = spark.createDataFrame(qs, "qid int, x double, y double")
+    c = spark.createDataFrame(cs, "cid int, x double, y double")
+    got = geo.nearest_l1(q, c, "qid", "x", "y", "x", "y", "cid", ["cid"], 1.0, 2.0)
+    res = {r.qid: (r.cid, round(r.distance, 6)) for r in got.collect()}
+    assert res == _brute_nearest(qs, cs, 1.0, 2.0)
+
+
 def test_nearest_no_candidates(spark):
     q = spark.createDataFrame([(1, 1.0, 1.0)], "qid int, x double, y double")
     c = spark.createDataFrame([(1, None, None)], "cid int, x double, y double")
