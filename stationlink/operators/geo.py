@@ -90,23 +90,39 @@ def _need_id(id_col):
     return id_col
 
 
-def _substring_join_lookup(df: DataFrame, text_col: str, gaz: DataFrame, id_col: str) -> DataFrame:
+# The substring join cuts texts into pieces of this many start positions (overlapping by
+# the longest name) before it lists their substrings: the array built for one row stays
+# this size times the number of name lengths, however long the text is.
+SUBSTRING_PIECE = 512
+
+
+def _substring_join_lookup(df: DataFrame, text_col: str, gaz: DataFrame, id_col: str,
+                           piece: int = SUBSTRING_PIECE) -> DataFrame:
     """Exact ``contains`` by equi-join: every substring of the text whose length is the
-    length of some name is matched against the names. Whole texts, no cap."""
+    length of some name is matched against the names. Whole texts, no cap: a text is
+    first cut into pieces of ``piece`` start positions that overlap by the longest name
+    minus one, so every substring lies whole in the piece where it starts."""
     names = (gaz.select(F.col("wide").alias("name")).union(gaz.select(F.col("narrow").alias("name")))
-             .where(F.col("name").isNotNull()).distinct())
+             .where(F.col("name").isNotNull() & (F.length("name") > 0)).distinct())
     lens = sorted(r[0] for r in names.select(F.length("name")).distinct().collect())  # a few ints
     t = F.col(text_col)
-
-    def substrings_of_len(L):
-        # one-argument lambda: transform() reads a two-argument one as (element, index)
-        return F.when(F.length(t) >= L, F.transform(F.sequence(F.lit(1), F.length(t) - L + 1),
-                                                    lambda i: F.substring(t, i, L))) \
-                .otherwise(F.array().cast("array<string>"))
-
-    parts = [substrings_of_len(L) for L in lens]
-    subs = (df.select(id_col, F.explode(F.array_distinct(F.concat(*parts))).alias("name"))
-            .join(names, "name", "left_semi"))
+    if lens:
+        span = piece + lens[-1] - 1
+        n_pieces = F.greatest(F.ceil(F.length(t) / F.lit(piece)), F.lit(1)).cast("int")
+        pieces = df.select(id_col, F.explode(F.transform(F.sequence(F.lit(0), n_pieces - 1),
+                                                         lambda k: F.substring(t, k * piece + 1, span))).alias("_p"))
+        p = F.col("_p")
+
+        def substrings_of_len(L):
+            # one-argument lambda: transform() reads a two-argument one as (element, index)
+            last = F.least(F.lit(piece), F.length(p) - L + 1)
+            return F.when(last >= 1, F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(p, i, L))) \
+                    .otherwise(F.array().cast("array<string>"))
+
+        subs = (pieces.select(id_col, F.explode(F.concat(*[substrings_of_len(L) for L in lens])).alias("name"))
+                .join(names, "name", "left_semi").distinct())
+    else:
+        subs = df.select(id_col, F.lit(None).cast("string").alias("name")).limit(0)
     wide_hit = subs.withColumnRenamed("name", "wide")
     narrow_hit = subs.withColumnRenamed("name", "narrow")
     hits = (gaz.join(wide_hit, "wide").join(narrow_hit, [id_col, "narrow"])

@@ -46,6 +46,22 @@ def test_place_lookup_semantics_both_strategies(spark):
     assert 5 not in lit                               # rows without text are dropped first
 
 
+def test_substring_join_long_texts_across_pieces(spark):
+    # pieces of 4 start positions: names straddle piece borders, sit at the very end, or
+    # only fit in the overlap; the result must equal the literal scan over whole texts
+    gaz = geo.gazetteer_from_nested(spark, GAZ)
+    rnd = random.Random(3)
+    words = ["old", "cold", "anvil", "bolt", "ring", "red", "rod", "xy", "z"]
+    texts = [(i, "".join(rnd.choice(words) for _ in range(rnd.randint(0, 40)))) for i in range(60)]
+    texts += [(100, "zzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzred"), (101, "zzzrodzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzred"),
+              (102, "")]
+    df = spark.createDataFrame(texts, "id int, t string")
+    lit = {r.id: tuple(r)[2:] for r in geo.place_lookup(df, "t", gaz, "id").collect()}
+    join = {r.id: tuple(r)[2:] for r in geo._substring_join_lookup(df, "t", gaz, "id", piece=4).collect()}
+    assert lit == join and len(join) == len(texts)
+    assert join[101][:2] == ("red", "rod")
+
+
 def test_place_lookup_has_no_python_udf(spark):
     df = spark.createDataFrame([(1, "cold ring")], "id int, t string")
     plan = geo.place_lookup(df, "t", geo.gazetteer_from_nested(spark, GAZ), "id")._jdf.queryExecution().executedPlan().toString()
