@@ -219,24 +219,22 @@ def mark_lowest_hash(df: DataFrame, class_col: str, id_cols: list, quota_of,
     digits); a running sum over these buckets finds, per class, the edge bucket where the
     quota runs out. A class whose edge bucket holds more than ``edge_max`` rows is refined
     by the next digits, counting only the rows of that bucket, until it is small (ids
-    must be unique, so the buckets keep splitting). Then one pass: a row whose prefix is
-    before its class's edge prefix is in, after it out (a comparison with one row per
-    class, broadcast when the class count is checked small); only the rows of the edge
-    buckets are shuffled and ranked by a window.
+    must be unique, so the buckets keep splitting). The rows of the edge buckets alone
+    are ranked by a window, which gives per class the last (hash, ids) that is in. The
+    result is then one map-side pass: a row is in when its prefix is before its class's
+    edge prefix, or equal and its (hash, ids) not after that threshold (a comparison with
+    one row per class, broadcast when the class count is checked small).
     ``quota_of`` maps the per-class counts (``class_col, n``) to ``class_col, quota``.
-    Actions: the first-level count table (cached while it is used) gives the edge table,
-    which is checkpointed; one small aggregate reads it (a further checkpoint per
-    refinement level, at large scale only)."""
+    Actions: one small aggregate over the first-level count table (cached while it is
+    used), a checkpoint per refinement level (at large scale only), and the checkpoint of
+    the per-class table with the thresholds, so the returned plan carries no ranking."""
     d = df.withColumn("_h", hash_key(id_cols, seed))
     counts = (d.groupBy(class_col, F.substring("_h", 1, level_hex).alias("_p"))
               .agg(F.count(F.lit(1)).alias("_n")).withColumn("_E", F.lit("")).cache())
     quota = quota_of(counts.groupBy(class_col).agg(F.sum("_n").alias("n")))
     checkpoint_dir(df.sparkSession)
-    # one row per class, written to the checkpoint folder: the plans below read it back
-    # instead of carrying the count table's plan along
-    edges = _edge_buckets(counts, quota.select(class_col, F.col("quota").alias("_need")), class_col) \
-        .checkpoint(eager=True)
-    counts.unpersist()
+    # one row per class, from the cached count table
+    edges = _edge_buckets(counts, quota.select(class_col, F.col("quota").alias("_need")), class_col)
     st = edges.agg(F.count(F.lit(1)).alias("k"), F.max("_en").alias("big")).first()
     depth = level_hex
     while st["big"] is not None and st["big"] > edge_max and depth + level_hex <= 32:
@@ -253,15 +251,27 @@ def mark_lowest_hash(df: DataFrame, class_col: str, id_cols: list, quota_of,
         edges = small.unionByName(refined).checkpoint(eager=True)
         st = edges.agg(F.count(F.lit(1)).alias("k"), F.max("_en").alias("big")).first()
         depth += level_hex
+    # per class the need-th smallest (hash, ids) of its edge bucket: the bucket's rows up
+    # to it are in. Only edge-bucket rows are shuffled and ranked (one window per class
+    # over at most edge_max rows), once, into the per-class table
     e = edges.select(F.col(class_col).alias("_k"), "_E", "_need")
-    d = d.join(_maybe_broadcast(e, st["k"]), d[class_col].eqNullSafe(F.col("_k")), "left").drop("_k")
+    key = F.struct(F.col("_h"), *[F.col(c) for c in id_cols])
+    in_edge = (d.join(_maybe_broadcast(e, st["k"]), d[class_col].eqNullSafe(F.col("_k")))
+               .where((F.col("_need") > 0) & (F.substring(F.col("_h"), F.lit(1), F.length("_E")) == F.col("_E"))))
+    rw = Window.partitionBy("_k").orderBy("_h", *id_cols)
+    th = (in_edge.select(F.col("_k").alias("_k2"), key.alias("_th"), F.row_number().over(rw).alias("_rn"), "_need")
+          .where(F.col("_rn") == F.col("_need")).select("_k2", "_th"))
+    # written to the checkpoint folder: the returned plan reads it back instead of
+    # carrying the counting and ranking plans along
+    table = e.join(th, e["_k"].eqNullSafe(th["_k2"]), "left").drop("_k2").checkpoint(eager=True)
+    counts.unpersist()
+    # one map-side pass: a comparison with the class's row (no edge: the quota covers
+    # the whole class; no threshold: nothing of the edge bucket is in)
+    d = d.join(_maybe_broadcast(table, st["k"]), d[class_col].eqNullSafe(F.col("_k")), "left").drop("_k")
     pre = F.substring(F.col("_h"), F.lit(1), F.length("_E"))
-    # no edge: the quota covers the whole class
-    sure = d.where(F.col("_E").isNull() | (pre != F.col("_E"))).withColumn(
-        out_col, F.col("_E").isNull() | (pre < F.col("_E")))
-    rw = Window.partitionBy(class_col, "_E").orderBy("_h", *id_cols)
-    edge = d.where(pre == F.col("_E")).withColumn(out_col, F.row_number().over(rw) <= F.col("_need"))
-    return sure.unionByName(edge).drop("_h", "_E", "_need")
+    sel = (F.col("_E").isNull() | (pre < F.col("_E"))
+           | ((pre == F.col("_E")) & F.coalesce(key <= F.col("_th"), F.lit(False))))
+    return d.withColumn(out_col, sel).drop("_h", "_E", "_need", "_th")
 
 
 def undersample(df: DataFrame, class_col: str, id_cols: list, classes: tuple = (0, 1),
