@@ -170,6 +170,8 @@ def nearest_l1(queries: DataFrame, cands: DataFrame, q_id: str, q_x: str, q_y: s
     from its point clamped into the cell, ring by ring in the sub-grid, with the same
     exact stopping rule. No query is ever paired with all candidates of a dense cell.
 
+    The search runs once per distinct query point and is joined back to the queries.
+
     Actions: a small statistics job, a dense-cell check, then one checkpoint per round
     (lineage is cut in ``spark.checkpoint.dir``)."""
     spark = queries.sparkSession
@@ -184,8 +186,8 @@ def nearest_l1(queries: DataFrame, cands: DataFrame, q_id: str, q_x: str, q_y: s
     st = cand.agg(F.count(F.lit(1)).alias("n"), F.min("_cx").alias("x0"), F.max("_cx").alias("x1"),
                   F.min("_cy").alias("y0"), F.max("_cy").alias("y1")).first()
     q = queries.select(F.col(q_id).alias("_id"), F.col(q_x).alias("_qx"), F.col(q_y).alias("_qy"))
-    out_cols = [F.col("_id").alias(q_id)] + [F.col(f"_m._p_{c}").alias(c) for c in c_cols] + \
-               [F.col("_m._d").alias("distance")]
+    # the search runs per distinct query point, then is joined back to the queries
+    out_cols = ["_qx", "_qy"] + [F.col(f"_m._p_{c}").alias(c) for c in c_cols] + [F.col("_m._d").alias("distance")]
     null_row = [F.col("_id").alias(q_id)] + [F.lit(None).cast(cands.schema[c].dataType).alias(c) for c in c_cols] + \
                [F.lit(None).cast("double").alias("distance")]
     if st["n"] == 0:
@@ -224,17 +226,20 @@ def nearest_l1(queries: DataFrame, cands: DataFrame, q_id: str, q_x: str, q_y: s
     else:
         cand_sparse = cand
     has_xy = F.col("_qx").isNotNull() & F.col("_qy").isNotNull()
-    no_xy = q.where(~has_xy).select(*null_row)
+    # many queries share a point (places come from a gazetteer; a third of all rows may
+    # sit on one coordinate): each distinct point is searched once (map-side partial
+    # distinct), so a hot point costs one search, not one per row
+    points = q.where(has_xy).select("_qx", "_qy").distinct()
     # a query outside the grid's box searches from its point clamped into the box: for
     # every candidate the L1 distance is (query -> clamp) + (clamp -> candidate), so the
     # square around the clamp point is searched with the same exact stopping rule, and a
     # far query (or a crowd of them) meets no more cells than one at the edge does
     px = F.least(F.greatest(sx(F.col("_qx")), F.lit(0.0)), F.lit(float(rx)))
     py = F.least(F.greatest(sy(F.col("_qy")), F.lit(0.0)), F.lit(float(ry)))
-    pending = q.where(has_xy).select(
+    pending = points.select(
         "*", (F.abs(sx(F.col("_qx")) - px) + F.abs(sy(F.col("_qy")) - py)).alias("_d0"),
         cell(px, nx).alias("_qi"), cell(py, ny).alias("_qj"))
-    qattrs = ["_id", "_qx", "_qy", "_d0", "_qi", "_qj", "_full"]
+    qattrs = ["_qx", "_qy", "_d0", "_qi", "_qj", "_full"]
     dist = F.lit(wx) * F.abs(F.col("_qx") - F.col("_cx")) + F.lit(wy) * F.abs(F.col("_qy") - F.col("_cy"))
     done_parts = []
     k = 1
@@ -267,14 +272,17 @@ def nearest_l1(queries: DataFrame, cands: DataFrame, q_id: str, q_x: str, q_y: s
         ok = F.col("_full") | F.coalesce(F.col("_m._d") <= (F.col("_d0") + F.lit(k * s)) * F.lit(1 - 1e-9),
                                          F.lit(False))
         done_parts.append(best.where(ok).select(*out_cols))
-        pending = best.where(~ok).select("_id", "_qx", "_qy", "_d0", "_qi", "_qj")
+        pending = best.where(~ok).select("_qx", "_qy", "_d0", "_qi", "_qj")
         if pending.isEmpty():
             break
         k *= 2
-    out = no_xy
-    for p_ in done_parts:
-        out = out.unionByName(p_)
-    return out
+    found = done_parts[0]
+    for p_ in done_parts[1:]:
+        found = found.unionByName(p_)
+    # every query gets its point's match; a query without coordinates finds no point
+    # and keeps nulls. The found side is checkpointed data with known size: AQE
+    # broadcasts it when small and splits a hot point's partition otherwise
+    return q.join(found, ["_qx", "_qy"], "left").select(F.col("_id").alias(q_id), *c_cols, "distance")
 
 
 def _dense_cell_search(sub: DataFrame, cand_dense: DataFrame, qattrs: list, cand_cols: list, dist: Column,
