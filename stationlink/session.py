@@ -45,6 +45,18 @@ def build_session(master: str = "local[*]", app: str = "stationlink",
     return spark
 
 
+def tune_for_cluster(spark: SparkSession, overrides: dict | None = None) -> dict:
+    """Apply ``CLUSTER_CONF`` (plus ``overrides``) to a running cluster session. A setting
+    the cluster was launched with is kept. Returns what was set."""
+    launched = spark.sparkContext.getConf()
+    applied = {}
+    for k, v in {**CLUSTER_CONF, **(overrides or {})}.items():
+        if k in (overrides or {}) or not launched.contains(k):
+            spark.conf.set(k, v)
+            applied[k] = v
+    return applied
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster (``spark.checkpoint.dir``).
 

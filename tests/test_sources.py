@@ -140,3 +140,19 @@ def test_read_pages_from_landed_files(spark, tmp):
     pages = read_pages(spark, d, row)
     got = sorted((r.request_date, r.LKNTS_NM) for r in flatten_pages(pages, sentinel={"LKNTS_NM": "no_data"}).collect())
     assert got == [("20240101", "a"), ("20240102", "no_data")]
+
+
+def test_tune_for_cluster_keeps_launch_settings(spark):
+    from stationlink.session import CLUSTER_CONF, tune_for_cluster
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        applied = tune_for_cluster(spark, {"spark.sql.shuffle.partitions": "64"})
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "64"
+        assert applied["spark.sql.files.maxPartitionBytes"] == CLUSTER_CONF["spark.sql.files.maxPartitionBytes"]
+        # set when the session was built: kept
+        assert "spark.sql.session.timeZone" not in applied
+    finally:
+        for k in CLUSTER_CONF:
+            spark.conf.unset(k)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
