@@ -88,10 +88,16 @@ def _order_statistics(df: DataFrame, col: str, ranks: list, lo: float, hi: float
     raise RuntimeError("quantile refinement did not converge")
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: list, max_values: int = EXACT_QUANTILE_MAX_VALUES) -> list:
+def exact_quantiles(df: DataFrame, col: str, probs: list, max_values: int = EXACT_QUANTILE_MAX_VALUES,
+                    rows_at_most: int | None = None) -> list:
     """ACTION. Exact quantiles of the non-null values of ``col`` with linear interpolation
-    (the pandas default), with bounded memory in every task and on the driver."""
+    (the pandas default), with bounded memory in every task and on the driver.
+    ``rows_at_most``: a known bound on the row count; when it is within ``max_values``
+    the statistics job is skipped."""
     x = F.col(col)
+    if rows_at_most is not None and rows_at_most <= max_values:
+        v = df.agg(F.percentile(x, F.array(*[F.lit(float(p)) for p in probs]))).first()[0]
+        return [None] * len(probs) if v is None else [float(q) for q in v]
     st = df.agg(F.count(x).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi")).first()
     n = st["n"]
     if n == 0:
@@ -103,13 +109,14 @@ def exact_quantiles(df: DataFrame, col: str, probs: list, max_values: int = EXAC
     return [_interpolate(vals, n, p) for p in probs]
 
 
-def quantile_bounds(df: DataFrame, col: str, k: float = 1.5, accuracy: int | None = None) -> tuple:
+def quantile_bounds(df: DataFrame, col: str, k: float = 1.5, accuracy: int | None = None,
+                    rows_at_most: int | None = None) -> tuple:
     """ACTION (small aggregates, one row back each). Lower and upper IQR bounds of ``col``.
 
     Exact by default (``exact_quantiles``); ``accuracy`` switches to the
     ``percentile_approx`` sketch, one pass with a fixed-size buffer."""
     if accuracy is None:
-        q1, q3 = exact_quantiles(df, col, [0.25, 0.75])
+        q1, q3 = exact_quantiles(df, col, [0.25, 0.75], rows_at_most=rows_at_most)
     else:
         r = df.agg(F.percentile_approx(F.col(col), F.array(F.lit(0.25), F.lit(0.75)), accuracy)).first()[0]
         q1, q3 = (None, None) if r is None else (r[0], r[1])
@@ -124,13 +131,17 @@ def iqr_filter(df: DataFrame, features: list, k: float = 1.5, accuracy: int | No
     each feature in order keep ``lo <= x <= hi`` where the bounds are computed on the
     rows the previous features left.
 
-    One small aggregate job per feature (the bounds depend on the previous filter);
+    One count, then one small aggregate job per feature (the bounds depend on the
+    previous filter);
     the bounds come back as literals, so the returned plan is a plain filtered scan
     whose predicates Catalyst can push down."""
     cur = df.select(*[to_number(F.col(c)).alias(c) if c in features else F.col(c) for c in df.columns])
     cur = cur.na.drop(subset=list(features))
+    # the rows before the first filter bound the count of every later step: one count
+    # decides the exact path for all features
+    bound = cur.count() if accuracy is None else None
     for f in features:
-        lo, hi = quantile_bounds(cur, f, k, accuracy)
+        lo, hi = quantile_bounds(cur, f, k, accuracy, rows_at_most=bound)
         if lo is None:
             return cur.limit(0)
         cur = cur.where((F.col(f) >= F.lit(lo)) & (F.col(f) <= F.lit(hi)))
