@@ -4,9 +4,7 @@ Spark ML throughout; the loop is over targets (a handful), never over rows."""
 
 from __future__ import annotations
 
-import math
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -18,9 +16,6 @@ from pyspark.sql import functions as F
 from ..schemas import GBT_PARAMS
 from ..session import checkpoint_dir
 
-# Training rows per partition (four or so double features: tens of MB per partition).
-ROWS_PER_TRAIN_PARTITION = 500_000
-
 
 def gbt_pipeline(features: list, label: str, params: dict | None = None) -> Pipeline:
     """Assemble -> standardize (mean and sample deviation, fitted with the model on the
@@ -39,18 +34,12 @@ def fit_and_score(train: DataFrame, test: DataFrame, features: list, label: str,
     """ACTION (fit). Returns the fitted pipeline and the scored test rows with ``score``
     = probability of class 1."""
     # the boosting loop runs several jobs per tree level and every job pays a task per
-    # partition: size the partitions by rows (one count). The rows are checkpointed to
-    # the shared folder: the loop (and a lost executor's recomputation) starts from
-    # there, not from the whole sampling lineage. The boosting loop caches its own
-    # input; the cache here only spares computing the rows twice for the checkpoint.
-    tr = train.withColumn(label, F.col(label).cast("double"))
-    parts = max(1, math.ceil(tr.count() / ROWS_PER_TRAIN_PARTITION))
+    # partition: AQE rebalances the rows to its advisory partition size. The rows are
+    # checkpointed to the shared folder in the same single pass over the sampling
+    # lineage: the loop (and a lost executor's recomputation) starts from there. The
+    # boosting loop caches its own input.
     checkpoint_dir(train.sparkSession)
-    cached = tr.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        tr = cached.checkpoint(eager=True)
-    finally:
-        cached.unpersist()
+    tr = train.withColumn(label, F.col(label).cast("double")).hint("rebalance").checkpoint(eager=True)
     model = gbt_pipeline(features, label, params).fit(tr)
     scored = model.transform(test.withColumn(label, F.col(label).cast("double")))
     return model, scored.withColumn("score", vector_to_array("probability")[1])
