@@ -2,6 +2,8 @@ import math
 import random
 
 import pandas as pd
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -130,6 +132,28 @@ def test_mark_lowest_hash_refines_big_edge_buckets(spark):
     assert got == want and m.count() == 3000
 
 
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.sampled_from([0, 1, 2, None]), min_size=0, max_size=300),
+       st.lists(st.integers(0, 320), min_size=4, max_size=4), st.sampled_from([1, 2, 4]),
+       st.sampled_from([1, 3, 40]))
+def test_mark_lowest_hash_property(spark, classes, quotas, level_hex, edge_max):
+    # any class mix (null class included), any quota (0, partial, above the class
+    # size), any radix width and edge bound: equals ranking by md5 per class
+    rows = [(c, i) for i, c in enumerate(classes)]
+    quota = dict(zip([0, 1, 2, None], quotas))
+    df = spark.createDataFrame(rows, "c int, id int")
+
+    def quota_of(cc):
+        q = F.lit(quota[None])
+        for k in (0, 1, 2):
+            q = F.when(F.col("c") == k, F.lit(quota[k])).otherwise(q)
+        return cc.select("c", q.alias("quota"))
+
+    m = feat.mark_lowest_hash(df, "c", ["id"], quota_of, "sel", level_hex=level_hex, edge_max=edge_max)
+    got = {r.id for r in m.where("sel").collect()}
+    assert got == _brute_rank(rows, 42, quota)
+
+
 def test_standardize_fit_on_train(spark):
     df = spark.createDataFrame([(1.0, "train"), (3.0, "train"), (100.0, "test")], "x double, split string")
     z = {r.x: r.x_z for r in feat.standardize(df, ["x"], F.col("split") == "train").collect()}

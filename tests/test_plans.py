@@ -40,3 +40,14 @@ def test_pivot_is_one_aggregation_without_value_discovery(spark):
     # explicit pivot values: the plan has one shuffle on the keys, no extra distinct job
     plan = _plan(QUERIES["q08_pivot_sum"](spark, SF0001))
     assert plan.count("Exchange hashpartitioning(day") == 1
+
+
+def test_ranked_selection_result_is_map_only(plans):
+    # ranking happened once into the checkpointed per-class table: the returned plans
+    # of the split and the balance carry no window and no shuffle of their own rows
+    for name in ("q18_undersample", "q19_split"):
+        plan = plans[name]
+        assert "Window" not in plan, name
+        assert "BroadcastHashJoin" in plan, name
+    # q20 adds only the (literal) standardization on top
+    assert "Window" not in plans["q20_standardize"] and "Exchange hashpartitioning" not in plans["q20_standardize"]
