@@ -1,5 +1,7 @@
 import random
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from stationlink.operators import geo
@@ -115,6 +117,26 @@ def test_nearest_far_queries_equal_brute_force(spark):
     assert res == _brute_nearest(qs, cs, 1.0, 2.0)
 
 
+coord = st.one_of(st.none(), st.integers(-30, 30).map(float), st.sampled_from([-1e4, 1e4]))
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(coord, coord), min_size=1, max_size=60),
+       st.lists(st.tuples(coord, coord), min_size=0, max_size=80),
+       st.sampled_from([0.5, 1.0, 4.0]), st.sampled_from([1.0, 2.0]))
+def test_nearest_property(spark, cands, points, per_cell, wy):
+    # integer grid coordinates give many ties and repeated points; far values and nulls
+    # on both sides: equals brute force with ties to the lowest candidate order
+    cs = [(i, x, y) for i, (x, y) in enumerate(cands)]
+    qs = [(i, x, y) for i, (x, y) in enumerate(points)]
+    q = spark.createDataFrame(qs, "qid int, x double, y double")
+    c = spark.createDataFrame(cs, "cid int, x double, y double")
+    got = geo.nearest_l1(q, c, "qid", "x", "y", "x", "y", "cid", ["cid"], 1.0, wy, per_cell=per_cell,
+                         dense_factor=2.0)
+    res = {r.qid: (r.cid, None if r.distance is None else round(r.distance, 6)) for r in got.collect()}
+    assert res == _brute_nearest(qs, cs, 1.0, wy)
+
+
 def test_nearest_no_candidates(spark):
     q = spark.createDataFrame([(1, 1.0, 1.0)], "qid int, x double, y double")
     c = spark.createDataFrame([(1, None, None)], "cid int, x double, y double")
