@@ -245,8 +245,8 @@ def q21_gbt_score(spark, d):
 def q22_auc(spark, d):
     df = _labeled_docs(spark, d).select(F.col("n_chars").cast("double").alias("score"),
                                         F.col("quality").alias("y")).na.drop()
-    a = model.auc(df, "y", "score")
-    return spark.createDataFrame([("quality", round(a, 6))], "target string, auc double")
+    a = model.auc_frame(df, "y", "score")
+    return a.select(F.lit("quality").alias("target"), F.round("auc", 6).alias("auc"))
 
 
 # q23 -------------------------------------------------------------------------

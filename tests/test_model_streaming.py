@@ -1,5 +1,6 @@
 import json
 import os
+import random
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +32,22 @@ def test_auc_ties_half(spark):
     assert abs(got - want) < 1e-12
 
 
+def test_auc_frame_equals_brute_force_and_evaluator(spark):
+    rnd = random.Random(4)
+    rows = [(float(rnd.randint(0, 40)), rnd.random() < 0.3 + 0.01 * i % 2) for i in range(700)]
+    rows = [(s, int(y)) for s, y in rows] + [(None, 1), (3.0, None)]
+    df = spark.createDataFrame(rows, "score double, y int")
+    pos = [s for s, y in rows if y == 1 and s is not None]
+    neg = [s for s, y in rows if y == 0 and s is not None]
+    want = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+    for r in (10**9, 7, 1):   # one range, a few, one range per distinct score
+        got = model.auc_frame(df, "y", bucket_rows=r).first()["auc"]
+        assert abs(got - want) < 1e-12
+    assert abs(model.auc(df.na.drop(), "y") - want) < 1e-12
+    one_class = spark.createDataFrame([(0.1, 1), (0.2, 1)], "score double, y int")
+    assert model.auc_frame(one_class, "y").first()["auc"] is None
+
+
 def test_gbt_fit_score_small(spark, tmp):
     rows = [(float(i), float(i % 7), 1 if i > 20 else 0, i) for i in range(40)]
     df = spark.createDataFrame(rows, "a double, b double, y int, id int")
