@@ -98,14 +98,16 @@ def auc_frame(scored: DataFrame, label: str, score_col: str = "score",
     splits = [-math.inf, *sorted(set(float(c) for c in cuts)), math.inf]
     if len(splits) > 2:
         g = Bucketizer(splits=splits, inputCol="_s", outputCol="_b").transform(g)
-    else:  # one range
-        g = g.withColumn("_b", F.lit(0.0))
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (g.groupBy("_b").agg(F.sum("_neg").alias("_bn"))            # at most `buckets` rows
-               .select("_b", F.coalesce(F.sum("_bn").over(before), F.lit(0)).cast("long").alias("_off")))
-    inside = Window.partitionBy("_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    below = F.col("_off") + F.coalesce(F.sum("_neg").over(inside), F.lit(0))
-    ranked = g.join(F.broadcast(offsets), "_b").select("_pos", "_neg", below.alias("_below"))
+        before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = (g.groupBy("_b").agg(F.sum("_neg").alias("_bn"))        # at most AUC_MAX_BUCKETS rows
+                   .select("_b", F.coalesce(F.sum("_bn").over(before), F.lit(0)).cast("long").alias("_off")))
+        inside = Window.partitionBy("_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+        below = F.col("_off") + F.coalesce(F.sum("_neg").over(inside), F.lit(0))
+        ranked = g.join(F.broadcast(offsets), "_b").select("_pos", "_neg", below.alias("_below"))
+    else:
+        # one range: at most ``bucket_rows`` distinct scores, ranked by one window
+        inside = Window.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+        ranked = g.select("_pos", "_neg", F.coalesce(F.sum("_neg").over(inside), F.lit(0)).alias("_below"))
     t = ranked.agg(F.sum(F.col("_pos") * (F.lit(2) * F.col("_below") + F.col("_neg"))).alias("_num2"),
                    F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"))
     return t.select(F.try_divide(F.col("_num2").cast("double"),
