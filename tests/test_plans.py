@@ -51,3 +51,11 @@ def test_ranked_selection_result_is_map_only(plans):
         assert "BroadcastHashJoin" in plan, name
     # q20 adds only the (literal) standardization on top
     assert "Window" not in plans["q20_standardize"] and "Exchange hashpartitioning" not in plans["q20_standardize"]
+
+
+def test_replicate_branches_filter_at_the_scan(plans):
+    # light rows expand where they are read; the heavy branch's filter reaches Parquet,
+    # so row groups without huge counts are skipped by their statistics
+    plan = plans["q16_replicate"]
+    assert "LessThanOrEqual(l_linenumber,1000000)" in plan
+    assert "GreaterThan(l_linenumber,1000000)" in plan
