@@ -23,4 +23,4 @@ def test_every_query_has_an_oracle_but_the_model():
     mod = _entry()
     q, o = mod.queries(), mod.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"q21_gbt_score"}
+    assert {n for n in set(q) - set(o) if n.startswith("q")} == {"q21_gbt_score"}
