@@ -3,24 +3,58 @@ whole groups."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import logging
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch
 
+log = logging.getLogger(__name__)
 
-def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
+
+EDGES_A_TASK = 500_000  # edges (16 bytes each) that one task contracts in memory
+
+
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Union-find over the edges of one partition: its components as stars (a, smallest)."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (p := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[p]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            a, b = root(a), root(b)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+    pairs = [(x, root(x)) for x in parent]
+    pairs = [(x, r) for x, r in pairs if x != r]
+    yield pa.record_batch([pa.array([x for x, _ in pairs], pa.int64()), pa.array([r for _, r in pairs], pa.int64())],
+                          names=["a", "b"])
+
+
+def components(edges: DataFrame, scratch: Scratch, python: bool = True) -> DataFrame:
     """(id, comp) for every id of the edges (a, b): comp is the smallest id reachable.
 
-    Alternating large-star / small-star rounds, each an aggregate and an equi-join on
-    the edge table, written out per round. A hub is one aggregate row (map-side min) and
-    a skewed join key that AQE splits; nothing is gathered per component.
+    With ``python``, each partition of ``EDGES_A_TASK`` edges is first contracted to stars
+    by itself; one partition of stars is already the answer. Otherwise alternating
+    large-star / small-star rounds follow, each an aggregate and an equi-join on the edge
+    table, written out per round. A hub is one aggregate row (map-side min) and a skewed
+    join key that AQE splits; nothing is gathered per component.
     """
     e = scratch.save(edges.where("a <> b").selectExpr("greatest(a, b) AS a", "least(a, b) AS b").distinct(), "edges")
+    parts = 1 + e.count() // EDGES_A_TASK
+    if python:
+        stars = scratch.save(e.coalesce(parts).mapInArrow(_contract, "a long, b long"), "stars")
+        scratch.drop(e)
+        e = stars
     state = None
-    while True:
+    while not (python and parts == 1):
         both = e.unionByName(e.selectExpr("b AS a", "a AS b"))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -29,23 +63,25 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         small = large.join(low, "a").select(
             F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b"))))
             .alias("x")).select("x.a", "x.b").where("a <> b").distinct()
-        new = scratch.save(small, "stars")
+        new = scratch.save(small.coalesce(parts) if parts == 1 else small, "stars")
         scratch.drop(e)
         e = new
         now = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:
-            return e.select(F.col("a").alias("id"), F.col("b").alias("comp")).unionByName(
-                e.select(F.col("b").alias("id"), F.col("b").alias("comp")).distinct())
+            break
         state = now
+    return e.select(F.col("a").alias("id"), F.col("b").alias("comp")).unionByName(
+        e.select(F.col("b").alias("id"), F.col("b").alias("comp")).distinct())
 
 
 def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], scratch: Scratch,
-                 star_rounds: int = 8) -> tuple[DataFrame, DataFrame | None]:
+                 python: bool = True, star_rounds: int = 8) -> tuple[DataFrame, DataFrame | None]:
     """Link all pairs of ids that share a bucket and pass ``verify``.
 
     ``members`` (key, id), distinct and only keys of two or more ids; ``verify`` maps
     candidate pairs (a, b) to those that are linked. Returns (id, comp) of the linked ids,
-    and None or the last table behind it.
+    and the links (None if there was no candidate). ``python=False`` keeps to DataFrame
+    operations.
 
     A bucket of n near copies is not paired n x n. In each round every bucket's pivot is
     checked against its other members, the links found so far merge components, the pivot
@@ -58,12 +94,13 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], s
     rows = members
     links: DataFrame | None = None
     comp: DataFrame | None = None
+    old: list[DataFrame] = []
     for r in range(star_rounds + 1):
         if comp is not None:
             rows = rows.join(comp, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp"))
         else:
             rows = rows.withColumn("comp", F.col("id"))
-        rows = scratch.save(rows, "rows")
+        rows = rows_table = scratch.save(rows, "rows")
         sizes = rows.groupBy("key", "comp").agg(F.count("*").alias("n"))
         # the pivot is drawn by a hash of the id, the same order in all buckets, so that
         # buckets of one group share it and its pairs coincide
@@ -75,6 +112,7 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], s
         tot = keys.agg(F.sum("n"), F.sum(F.expr("(CAST(n AS DOUBLE) * n - sq) / 2"))).first()
         if not tot[0]:
             break
+        log.info("round %d: %d bucket rows, %.0f open pairs", r, tot[0], tot[1])
         if r == star_rounds or tot[1] <= 2 * tot[0]:
             open_rows = rows.join(keys.select("key"), "key", "left_semi")
             x = open_rows.selectExpr("key", "id AS a", "comp AS ca")
@@ -87,10 +125,13 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], s
             last = False
         found = scratch.save(verify(pairs), "links")
         links = found if links is None else scratch.save(links.unionByName(found), "all-links")
-        comp = scratch.save(components(links, scratch), "comp")
+        comp = scratch.save(components(links, scratch, python), "comp")
         if last:
             break
         rows = rows.join(keys.select("key", "p"), "key").where("id <> p.id").select("key", "id")
+        # the tables of the round before are not read again
+        scratch.drop(*old)
+        old = [rows_table, keys]
     if comp is None:
         comp = spark.createDataFrame([], "id bigint, comp bigint")
     return comp, links

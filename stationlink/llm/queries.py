@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from . import neardup
+from . import linededup, neardup, quality_rules, secret_scan
 
 QUERIES = {
+    "op2_line_dedup": linededup.op2,
+    "op4_quality_rules": quality_rules.op4,
     "op8_minhash_near_dedup": neardup.op8,
+    "op9_secret_scan": secret_scan.op9,
 }
 
 ORACLE_SQL: dict[str, str] = {}
