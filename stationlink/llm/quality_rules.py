@@ -2,9 +2,9 @@
 
 Each rule votes good (1) or bad (0) or abstains (-1). The votes of a document are one of
 at most 2^rules patterns; their counts over all documents are all that expectation
-maximisation needs (a bounded table, whatever the corpus). It estimates the share of good
-documents and how each rule votes on good and on bad ones (its accuracy), and a
-document's verdict is its posterior probability of being good.
+maximisation needs (a bounded table, whatever the corpus). It estimates each rule's
+accuracy, and a document's verdict is its posterior probability of being good (even odds
+before any vote).
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 KEEP_AT = 0.5  # posterior probability of being good from which a document is kept
-PRIOR_ACCURACY, PRIOR_WEIGHT = 0.95, 3.0
+START = 0.85        # accuracy a rule starts with
+CLEAN = "50 * n_symbols < n_words AND 50 * n_shouts < n_words AND 10 * n_capitals < 3 * word_chars"
 
 # (name, vote, when) over the columns of ``features``; the rule abstains otherwise. Signs of
 # junk vote bad, signs of prose vote good: that a sign is missing says nothing.
@@ -33,9 +34,9 @@ RULES: list[tuple[str, int, str]] = [
     ("variety", 0, "100 * n_distinct < 20 * n_words AND n_words < 5000"),
     ("shouting", 0, "5 * n_shouts > n_words"),
     ("word_length", 0, "word_chars < 2 * n_words OR word_chars > 20 * n_words"),
-    ("long", 1, "n_words >= 100"),
-    ("prose", 1, "word_chars BETWEEN 3 * n_words AND 10 * n_words AND 20 * n_capitals < 3 * word_chars"),
-    ("rich", 1, "100 * n_distinct > 45 * n_words"),
+    ("prose", 1, f"{CLEAN} AND word_chars BETWEEN 3 * n_words AND 10 * n_words"),
+    ("rich", 1, f"{CLEAN} AND 100 * n_distinct > 45 * n_words"),
+    ("fresh", 1, f"{CLEAN} AND 100 * n_repeat_words < 10 * n_words"),
 ]
 
 
@@ -81,55 +82,37 @@ def votes(df: DataFrame) -> DataFrame:
         F.when(F.expr(cond), vote).otherwise(-1).cast("int") for _, vote, cond in RULES]))
 
 
-Rates = list[tuple[tuple[float, float], tuple[float, float]]]  # per rule: (P(vote 0), P(vote 1)) on bad, on good
-
-
-def fit(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 200) -> tuple[float, Rates]:
-    """(share of good rows, how often each rule votes 0 and 1 on bad and on good rows) by
-    expectation maximisation over (votes, count).
-
-    It starts from: no bad vote is good at 0.95, any bad vote at 0.1. Bad votes have a
-    prior: they are right at ``PRIOR_ACCURACY``, weighing ``PRIOR_WEIGHT`` times the votes
-    seen (else a kind of junk that one rule alone sees drifts to good). Rates carry one pseudo-row; a bad vote never speaks for good, nor a good vote for bad, so the two
-    classes cannot swap. An abstention says nothing.
-    """
+def fit(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 200) -> list[float]:
+    """Accuracy of each rule (how often it is right when it votes) by expectation
+    maximisation over (votes, count): a row is good with the log-odds of the accuracies
+    that vote for it less those that vote against it; an accuracy is the share of its
+    votes that this agrees with, with one row of pseudo-votes at ``START`` and kept within
+    [0.55, 0.99], so that good and bad cannot swap."""
     m = len(patterns[0][0]) if patterns else 0
-    prior, rates = 0.5, []
-    belief = [0.1 if 0 in v else 0.95 for v, _ in patterns]
-    total = sum(n for _, n in patterns)
-    for _ in range(rounds if total else 0):
-        good = sum(n * p for (_, n), p in zip(patterns, belief, strict=True))
-        prior = min(max((good + 1) / (total + 2), 0.01), 0.99)
-        rates = []
-        for j in range(m):
-            on = [[0.0, 0.0], [0.0, 0.0]]
-            for (v, n), p in zip(patterns, belief, strict=True):
-                if v[j] >= 0:
-                    on[0][v[j]] += n * (1 - p)
-                    on[1][v[j]] += n * p
-            votes0 = on[0][0] + on[1][0]
-            on[0][0] += votes0 * PRIOR_WEIGHT * PRIOR_ACCURACY
-            on[1][0] += votes0 * PRIOR_WEIGHT * (1 - PRIOR_ACCURACY)
-            on[0][0], on[1][0] = on[0][0] / (1 + PRIOR_WEIGHT), on[1][0] / (1 + PRIOR_WEIGHT)
-            bad0, bad1 = ((x + 0.5) / (total - good + 1.5) for x in on[0])
-            good0, good1 = ((x + 0.5) / (good + 1.5) for x in on[1])
-            rates.append(((max(bad0, good0), min(bad1, good1)), (good0, good1)))
-        new = [posterior(v, prior, rates) for v, _ in patterns]
-        moved = max(abs(a - b) for a, b in zip(belief, new, strict=True))
-        belief = new
+    acc = [START] * m
+    for _ in range(rounds):
+        right, cast = [START] * m, [1.0] * m
+        for v, n in patterns:
+            p = posterior(v, acc)
+            for j, x in enumerate(v):
+                if x >= 0:
+                    right[j] += n * (p if x else 1 - p)
+                    cast[j] += n
+        new = [min(max(r / c, 0.55), 0.99) for r, c in zip(right, cast, strict=True)]
+        moved = max((abs(a - b) for a, b in zip(acc, new, strict=True)), default=0.0)
+        acc = new
         if moved < 1e-9:
             break
-    return prior, rates
+    return acc
 
 
-def weight(v: int, rate: tuple[tuple[float, float], tuple[float, float]]) -> float:
+def weight(vote: int, accuracy: float) -> float:
     """Log-odds for good that a vote adds."""
-    return 0.0 if v < 0 else math.log(rate[1][v] / rate[0][v])
+    return 0.0 if vote < 0 else (2 * vote - 1) * math.log(accuracy / (1 - accuracy))
 
 
-def posterior(v: tuple[int, ...], prior: float, rates: Rates) -> float:
-    z = math.log(prior / (1 - prior)) + sum(weight(x, r) for x, r in zip(v, rates, strict=True))
-    return 1 / (1 + math.exp(-max(min(z, 700.0), -700.0)))
+def posterior(v: tuple[int, ...], acc: list[float]) -> float:
+    return 1 / (1 + math.exp(-sum(weight(x, a) for x, a in zip(v, acc, strict=True))))
 
 
 def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -141,11 +124,10 @@ def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     scratch = scratch or Scratch(docs.sparkSession, "qualityrules")
     df = scratch.save(votes(features(docs, id_col, text_col)), "votes")
     counts = [(tuple(r.votes), r["count"]) for r in sorted(df.groupBy("votes").count().collect(), key=lambda r: r.votes)]
-    prior, rates = fit(counts)
-    z = F.lit(math.log(prior / (1 - prior)))
-    for j, rate in enumerate(rates):
+    z = F.lit(0.0)
+    for j, a in enumerate(fit(counts)):
         v = F.col("votes")[j]
-        z = z + F.when(v == 1, weight(1, rate)).when(v == 0, weight(0, rate)).otherwise(0.0)
+        z = z + F.when(v == 1, weight(1, a)).when(v == 0, weight(0, a)).otherwise(0.0)
     failed = F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words")
     out = df.withColumn("base_failed", failed).withColumn("p_good", 1 / (1 + F.exp(-z)))
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= KEEP_AT))
