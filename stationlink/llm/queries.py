@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import linededup, neardup, quality_rules, secret_scan
+from . import decontam, linededup, neardup, packing, quality_rules, secret_scan
 
 QUERIES = {
     "op2_line_dedup": linededup.op2,
     "op4_quality_rules": quality_rules.op4,
+    "op5_benchmark_decontamination": decontam.op5,
     "op8_minhash_near_dedup": neardup.op8,
     "op9_secret_scan": secret_scan.op9,
+    "op10_packing": packing.op10,
 }
 
 ORACLE_SQL: dict[str, str] = {}
