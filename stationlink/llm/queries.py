@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from . import decontam, linededup, neardup, packing, quality_rules, secret_scan
+from . import classifier, decontam, langid, linededup, lm, neardup, packing, quality_rules, secret_scan, urlfilter
 
 QUERIES = {
+    "op1_quality_classifier": classifier.op1,
     "op2_line_dedup": linededup.op2,
+    "op3_lm_scoring": lm.op3,
     "op4_quality_rules": quality_rules.op4,
     "op5_benchmark_decontamination": decontam.op5,
+    "op6_language_id": langid.op6,
+    "op7_url_filters": urlfilter.op7,
     "op8_minhash_near_dedup": neardup.op8,
     "op9_secret_scan": secret_scan.op9,
     "op10_packing": packing.op10,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op7_url_filters": urlfilter.ORACLE}
