@@ -25,6 +25,7 @@ from .neardup import semi_by_id
 
 TAU = 2
 MIN_CHARS = 20
+PIECES = 10  # of the cheap test before the edit distance
 
 
 def let(df: DataFrame, **cols: Column) -> DataFrame:
@@ -109,7 +110,11 @@ def line_marks(docs: DataFrame, tau: int = TAU, id_col: str = "doc_id", text_col
 
     def verify(pairs: DataFrame) -> DataFrame:
         p = pairs.join(text.selectExpr("id AS a", "line AS la"), "a").join(text.selectExpr("id AS b", "line AS lb"), "b")
-        return p.where(F.abs(F.length("la") - F.length("lb")) <= tau).where(within("la", "lb", tau)).select("a", "b")
+        # an edit touches one of PIECES pieces of a line, the others stand in the other line as they are
+        size = f"(length(la) DIV {PIECES})"
+        whole = sum((F.expr(f"CAST(contains(lb, substring(la, 1 + {i} * {size}, {size})) AS INT)") for i in range(PIECES)), F.lit(0))
+        near = p.where((F.abs(F.length("la") - F.length("lb")) <= tau) & (whole >= PIECES - tau))
+        return near.where(within("la", "lb", tau)).select("a", "b")
 
     comp, _ = link_buckets(members, verify, scratch, python=False)
     scratch.drop(hits, members, ids, text)

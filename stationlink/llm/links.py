@@ -3,6 +3,7 @@ whole groups."""
 
 from __future__ import annotations
 
+import itertools
 import logging
 from collections.abc import Callable, Iterator
 
@@ -55,7 +56,9 @@ def components(edges: DataFrame, scratch: Scratch, python: bool = True) -> DataF
         e = stars
     state = None
     while not (python and parts == 1):
-        both = e.unionByName(e.selectExpr("b AS a", "a AS b"))
+        # few edges stay in one partition: then no step of the round shuffles
+        few = e.coalesce(1) if parts == 1 else e
+        both = few.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("x")).select("x.*")
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.where("a <> b").distinct()
@@ -63,10 +66,10 @@ def components(edges: DataFrame, scratch: Scratch, python: bool = True) -> DataF
         small = large.join(low, "a").select(
             F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b"))))
             .alias("x")).select("x.a", "x.b").where("a <> b").distinct()
-        new = scratch.save(small.coalesce(parts) if parts == 1 else small, "stars")
+        new = scratch.save(small, "stars")
         scratch.drop(e)
         e = new
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        now = (e.coalesce(1) if parts == 1 else e).agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:
             break
         state = now
@@ -75,7 +78,7 @@ def components(edges: DataFrame, scratch: Scratch, python: bool = True) -> DataF
 
 
 def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], scratch: Scratch,
-                 python: bool = True, star_rounds: int = 8) -> tuple[DataFrame, DataFrame | None]:
+                 python: bool = True, least_gain: float = 0.3) -> tuple[DataFrame, DataFrame | None]:
     """Link all pairs of ids that share a bucket and pass ``verify``.
 
     ``members`` (key, id), distinct and only keys of two or more ids; ``verify`` maps
@@ -86,16 +89,17 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], s
     A bucket of n near copies is not paired n x n. In each round every bucket's pivot is
     checked against its other members, the links found so far merge components, the pivot
     leaves (all its pairs are decided), and members that share a component need no check.
-    When few open pairs are left, or after ``star_rounds``, all open pairs across
-    components are checked. So no pair of different components goes unchecked: the rounds
-    change the work, not the result.
+    When few open pairs are left, or a round closed less than ``least_gain`` of them, all
+    open pairs across components are checked. So no pair of different components goes
+    unchecked: the rounds change the work, not the result.
     """
     spark = scratch.spark
     rows = members
     links: DataFrame | None = None
     comp: DataFrame | None = None
     old: list[DataFrame] = []
-    for r in range(star_rounds + 1):
+    open_before = float("inf")
+    for r in itertools.count():
         if comp is not None:
             rows = rows.join(comp, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp"))
         else:
@@ -113,7 +117,7 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], s
         if not tot[0]:
             break
         log.info("round %d: %d bucket rows, %.0f open pairs", r, tot[0], tot[1])
-        if r == star_rounds or tot[1] <= 2 * tot[0]:
+        if tot[1] <= 2 * tot[0] or tot[1] > (1 - least_gain) * open_before:
             open_rows = rows.join(keys.select("key"), "key", "left_semi")
             x = open_rows.selectExpr("key", "id AS a", "comp AS ca")
             y = open_rows.selectExpr("key", "id AS b", "comp AS cb")
@@ -128,6 +132,7 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], s
         comp = scratch.save(components(links, scratch, python), "comp")
         if last:
             break
+        open_before = tot[1]
         rows = rows.join(keys.select("key", "p"), "key").where("id <> p.id").select("key", "id")
         # the tables of the round before are not read again
         scratch.drop(*old)

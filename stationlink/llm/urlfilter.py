@@ -88,7 +88,7 @@ def canonical(host: str, path: str) -> Column:
     slashes, index page and .html."""
     h = F.regexp_replace(F.regexp_replace(host, r":\d*$", ""), r"^(www\d?|m)\.", "")
     p = F.regexp_replace(F.regexp_replace(path, "/+", "/"), r"(/index)?(\.html?)?/?$", "")
-    return F.concat(h, F.lit("/"), p)
+    return F.concat(h, p)
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, block_list: DataFrame | None = None,
@@ -143,7 +143,7 @@ s AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGH
 d AS (SELECT DISTINCT host, path FROM s WHERE host <> ''),
 m AS (SELECT host, path, arg_max(h || p, length(h || p)) AS rule, arg_max(v, length(h || p)) AS v
       FROM d JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY host, path),
-c AS (SELECT host, path, regexp_replace(regexp_replace(host, ':\d*$', ''), '^(www\d?|m)\.', '') || '/' ||
+c AS (SELECT host, path, regexp_replace(regexp_replace(host, ':\d*$', ''), '^(www\d?|m)\.', '') ||
              regexp_replace(regexp_replace(path, '/+', '/', 'g'), '(/index)?(\.html?)?/?$', '') AS key FROM d),
 l AS (SELECT DISTINCT key FROM c JOIN m USING (host, path) WHERE v = 'block')
 SELECT page_id, host, path, rule, coalesce(v, CASE WHEN l.key IS NOT NULL THEN 'block' END, 'allow') AS verdict
