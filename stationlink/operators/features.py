@@ -23,9 +23,10 @@ BROADCAST_ROWS_MAX = 100_000
 def select_targets(panel: DataFrame, targets: list, threshold: float = TARGET_MIN_TOTAL) -> DataFrame:
     """``target, total`` for the targets whose column sum is above ``threshold`` (a null
     sum is dropped). One aggregate over all targets, then an unpivot: one job."""
-    sums = panel.agg(*[F.sum(F.col(f"`{t}`")).cast("bigint").alias(t) for t in targets])
+    sums = panel.agg(*[F.sum(F.col(f"`{t}`")).cast("decimal(38,6)").alias(t) for t in targets])
     long = sums.unpivot([], list(targets), "target", "total")
-    return long.where(F.col("total") > F.lit(threshold))
+    # compared before the cast: a sum of 300.6 is above 300
+    return long.where(F.col("total") > F.lit(threshold)).withColumn("total", F.col("total").cast("bigint"))
 
 
 # Exact quantiles: up to this many values Spark's ``percentile`` aggregate is used (its
@@ -56,6 +57,7 @@ def _order_statistics(df: DataFrame, col: str, ranks: list, lo: float, hi: float
     state = {r: (lo, hi, 0) for r in ranks}          # rank -> (a, b, count of values < a)
     out: dict = {}
     for _ in range(64):
+        out.update({r: a for r, (a, b, _) in state.items() if r not in out and a == b})
         pending = {r: st for r, st in state.items() if r not in out}
         if not pending:
             return out

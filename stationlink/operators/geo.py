@@ -176,7 +176,9 @@ def nearest_l1(queries: DataFrame, cands: DataFrame, q_id: str, q_x: str, q_y: s
     (lineage is cut in ``spark.checkpoint.dir``)."""
     spark = queries.sparkSession
     pcols = [f"_p_{c}" for c in c_cols]
-    cand = (cands.where(F.col(c_x).isNotNull() & F.col(c_y).isNotNull())
+    # a candidate without finite coordinates (null, NaN, infinite) can be nearest to nothing
+    finite = [F.abs(F.col(c).cast("double")) < F.lit(float("inf")) for c in (c_x, c_y)]
+    cand = (cands.where(finite[0] & finite[1])
             .select(F.col(c_ord).alias("_ord"), F.col(c_x).alias("_cx"), F.col(c_y).alias("_cy"),
                     *[F.col(c).alias(f"_p_{c}") for c in c_cols]))
     # candidates at the very same point: only the lowest ord can ever win
@@ -206,9 +208,10 @@ def nearest_l1(queries: DataFrame, cands: DataFrame, q_id: str, q_x: str, q_y: s
         return F.lit(wy) * (c - F.lit(st["y0"]))
 
     def cell(v, hi):
-        return F.least(F.greatest(F.floor(v / F.lit(s)), F.lit(-1)), F.lit(hi)).cast("long")
+        # v / s may round up to the cell past the last: clamped, for candidates and queries alike
+        return F.least(F.greatest(F.floor(v / F.lit(s)), F.lit(0)), F.lit(hi)).cast("long")
 
-    cand = cand.select("*", cell(sx(F.col("_cx")), nx).alias("_i"), cell(sy(F.col("_cy")), ny).alias("_j"))
+    cand = cand.select("*", cell(sx(F.col("_cx")), nx - 1).alias("_i"), cell(sy(F.col("_cy")), ny - 1).alias("_j"))
     dense = (cand.groupBy("_i", "_j").agg(F.count(F.lit(1)).alias("_n"))
              .where(F.col("_n") > F.lit(per_cell * dense_factor))
              .select("_i", "_j", F.ceil(F.sqrt(F.col("_n") / F.lit(per_cell))).cast("long").alias("_g")))
@@ -238,7 +241,7 @@ def nearest_l1(queries: DataFrame, cands: DataFrame, q_id: str, q_x: str, q_y: s
     py = F.least(F.greatest(sy(F.col("_qy")), F.lit(0.0)), F.lit(float(ry)))
     pending = points.select(
         "*", (F.abs(sx(F.col("_qx")) - px) + F.abs(sy(F.col("_qy")) - py)).alias("_d0"),
-        cell(px, nx).alias("_qi"), cell(py, ny).alias("_qj"))
+        cell(px, nx - 1).alias("_qi"), cell(py, ny - 1).alias("_qj"))
     qattrs = ["_qx", "_qy", "_d0", "_qi", "_qj", "_full"]
     dist = F.lit(wx) * F.abs(F.col("_qx") - F.col("_cx")) + F.lit(wy) * F.abs(F.col("_qy") - F.col("_cy"))
     done_parts = []

@@ -52,4 +52,6 @@ def gap_report(df: DataFrame, key: str, ts_col: str, day_col: str = "day") -> Da
     if lo is None:
         return days.select(key, day_col).limit(0)
     spine = day_spine(days.select(key).distinct(), F.lit(lo), F.lit(hi), day_col)
-    return spine.join(days.distinct(), [key, day_col], "left_anti")
+    there = days.distinct().select(F.col(key).alias("_k"), F.col(day_col).alias("_d"))
+    # null-safe: a null key's days are found like any other's
+    return spine.join(there, F.col(key).eqNullSafe(F.col("_k")) & (F.col(day_col) == F.col("_d")), "left_anti")

@@ -80,7 +80,8 @@ def auc_frame(scored: DataFrame, label: str, score_col: str = "score",
     count, then, only when there is more than one range, one small aggregate whose cut
     points come back as literals). The range totals (a few thousand rows at most) are
     summed in order, and a window inside each range adds the rest, so no task ranks more
-    than about ``bucket_rows`` scores. Null for a single class."""
+    than about ``bucket_rows`` scores. A NaN score ranks above all others. Null for a
+    single class."""
     y = F.col(label).cast("int")
     g = (scored.where(F.col(score_col).isNotNull() & F.col(label).isNotNull())
          .groupBy(F.col(score_col).cast("double").alias("_s"))
@@ -97,7 +98,7 @@ def auc_frame(scored: DataFrame, label: str, score_col: str = "score",
         cuts = g.agg(F.percentile_approx("_s", probs, 10 * buckets)).first()[0] or []
     splits = [-math.inf, *sorted(set(float(c) for c in cuts)), math.inf]
     if len(splits) > 2:
-        g = Bucketizer(splits=splits, inputCol="_s", outputCol="_b").transform(g)
+        g = Bucketizer(splits=splits, inputCol="_s", outputCol="_b", handleInvalid="keep").transform(g)
         before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
         offsets = (g.groupBy("_b").agg(F.sum("_neg").alias("_bn"))        # at most AUC_MAX_BUCKETS rows
                    .select("_b", F.coalesce(F.sum("_bn").over(before), F.lit(0)).cast("long").alias("_off")))
@@ -108,10 +109,11 @@ def auc_frame(scored: DataFrame, label: str, score_col: str = "score",
         # one range: at most ``bucket_rows`` distinct scores, ranked by one window
         inside = Window.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
         ranked = g.select("_pos", "_neg", F.coalesce(F.sum("_neg").over(inside), F.lit(0)).alias("_below"))
-    t = ranked.agg(F.sum(F.col("_pos") * (F.lit(2) * F.col("_below") + F.col("_neg"))).alias("_num2"),
-                   F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"))
-    return t.select(F.try_divide(F.col("_num2").cast("double"),
-                                 (F.lit(2) * F.col("_p") * F.col("_n")).cast("double")).alias("auc"))
+    # in decimals: with billions of rows the products are beyond a long
+    twice = F.lit(2).cast("decimal(1,0)") * F.col("_below").cast("decimal(18,0)") + F.col("_neg").cast("decimal(18,0)")
+    t = ranked.agg(F.sum((F.col("_pos").cast("decimal(18,0)") * twice).cast("decimal(38,0)")).alias("_num2"),
+                   F.sum("_pos").cast("double").alias("_p"), F.sum("_neg").cast("double").alias("_n"))
+    return t.select(F.try_divide(F.col("_num2").cast("double"), F.lit(2.0) * F.col("_p") * F.col("_n")).alias("auc"))
 
 
 def class_report(pred: DataFrame, label: str, prediction: str = "prediction",
@@ -142,7 +144,7 @@ def class_report(pred: DataFrame, label: str, prediction: str = "prediction",
         return sum((ms[c][i] for c in classes[1:]), ms[classes[0]][i]) / F.lit(k)
 
     def wavg(i):
-        return sum((ms[c][i] * ms[c][3] for c in classes[1:]), ms[classes[0]][i] * ms[classes[0]][3]) / support
+        return sum((ms[c][i] * ms[c][3] for c in classes[1:]), ms[classes[0]][i] * ms[classes[0]][3]) / F.nullif(support, F.lit(0))
 
     def row(name, p, r, f, n):
         return F.struct(F.lit(name).alias("class"), p.cast("double").alias("precision"),
@@ -151,7 +153,7 @@ def class_report(pred: DataFrame, label: str, prediction: str = "prediction",
 
     none = F.lit(None)
     rows = [row(str(c), *ms[c]) for c in classes]
-    rows += [row("accuracy", none, none, F.col("hit") / F.col("n"), F.col("n")),
+    rows += [row("accuracy", none, none, F.try_divide("hit", "n"), F.col("n")),
              row("macro avg", avg(0), avg(1), avg(2), F.col("n")),
              row("weighted avg", wavg(0), wavg(1), wavg(2), F.col("n"))]
     # the one-row aggregate is evaluated once; its report rows come out of one explode

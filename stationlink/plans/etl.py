@@ -21,7 +21,6 @@ from ..sources.envelope import unwrap_envelope
 from ..sources.sinks import write_run
 from ..sources.stations import active_stations, read_stations
 
-OUTBREAK_ID = ("OCCRRNC_DE", "ROW_NUM")
 
 
 def load_json_config(path: str) -> dict:
@@ -50,7 +49,9 @@ def prepare_readings(readings: DataFrame, stations: DataFrame, conf: TableConf =
     r = add_date_and_key(readings, conf, alt_formats=("%Y%m%d",))
     r = r.withColumn(conf.essential_col, strip_ws(F.col(conf.essential_col)))
     r = r.select(*[to_number(F.col(c)).alias(c) if c in features else F.col(c) for c in r.columns])
-    st = active_stations(stations).select(F.col("name"), F.col("lat").alias("obs_lat"), F.col("lng").alias("obs_lng"))
+    # one row a name, or a name that the master holds twice would double its readings
+    st = active_stations(stations).groupBy("name").agg(F.min(F.struct("lat", "lng")).alias("at")).select(
+        "name", F.col("at.lat").alias("obs_lat"), F.col("at.lng").alias("obs_lng"))
     return panel.enrich_left(r, st, conf.essential_col, "name", ["obs_lat", "obs_lng"])
 
 
@@ -60,17 +61,19 @@ def station_candidates(readings: DataFrame, stations: DataFrame, key: str = "stn
     return geo.active_candidates(st, readings, "name", fact_key=key, order_col="lat")
 
 
-def place_outbreaks(outbreaks: DataFrame, candidates: DataFrame, gazetteer, conf: TableConf = OUTBREAK_CONF,
-                    id_cols: tuple = OUTBREAK_ID) -> DataFrame:
+def place_outbreaks(outbreaks: DataFrame, candidates: DataFrame, gazetteer,
+                    conf: TableConf = OUTBREAK_CONF) -> DataFrame:
     """Outbreaks with coordinates from the gazetteer and the nearest station as the key
-    column; rows without an address are dropped (they cannot be placed)."""
-    o = add_date_and_key(outbreaks, conf).withColumn("_rid", F.concat_ws("|", *id_cols))
-    o = geo.place_lookup(o, conf.reference_col, gazetteer, id_col="_rid")
+    column; rows without an address are dropped (they cannot be placed). Each distinct
+    address is placed once and joined back, so rows need no id and repeated ones stay."""
+    o = add_date_and_key(outbreaks, conf)
+    ref = conf.reference_col
+    placed = geo.place_lookup(o.select(ref).distinct(), ref, gazetteer, id_col=ref)
     # tie between equidistant stations: the first by name (file order is not kept by a
     # distributed read, a name order is the same on every run)
-    near = geo.nearest_l1(o, candidates, "_rid", "lat", "lng", "lat", "lng", "name", ["name"])
-    near = near.select("_rid", F.col("name").alias(conf.essential_col), F.col("distance").alias("station_distance"))
-    return o.drop(conf.essential_col).join(near, "_rid", "left").drop("_rid")
+    near = geo.nearest_l1(placed, candidates, ref, "lat", "lng", "lat", "lng", "name", ["name"])
+    near = near.select(ref, F.col("name").alias(conf.essential_col), F.col("distance").alias("station_distance"))
+    return o.drop(conf.essential_col).join(placed.join(near, ref, "left"), ref)
 
 
 def outbreak_pivot(placed: DataFrame, targets=TARGETS, key: str = "stnNm") -> DataFrame:
@@ -95,16 +98,19 @@ def run_etl(spark: SparkSession, reading_src: str, outbreak_src: str, station_cs
     same run replaces it). Returns the panel as written (read back)."""
     env = {name: spark.read.schema(ENVELOPE_SCHEMA).json(src)
            for name, src in (("temperature", reading_src), ("cattle", outbreak_src))}
-    readings = unwrap_envelope(env["temperature"], READING_SCHEMA)
-    outbreaks = unwrap_envelope(env["cattle"], OUTBREAK_SCHEMA)
-    write_run(readings, f"{out_dir}/temperature_org", run_id)
-    write_run(outbreaks, f"{out_dir}/cattle_org", run_id)
-    raw_r = spark.read.parquet(f"{out_dir}/temperature_org").where(F.col("run_id") == run_id).drop("run_id")
-    raw_o = spark.read.parquet(f"{out_dir}/cattle_org").where(F.col("run_id") == run_id).drop("run_id")
+    def landed(name: str, schema) -> DataFrame:
+        """The envelope rows as they came, all fields, written before anything is parsed."""
+        write_run(env[name], f"{out_dir}/{name}_org", run_id)
+        raw = spark.read.parquet(f"{out_dir}/{name}_org").where(F.col("run_id") == run_id).drop("run_id")
+        return unwrap_envelope(raw, schema)
+
+    raw_r, raw_o = landed("temperature", READING_SCHEMA), landed("cattle", OUTBREAK_SCHEMA)
     stations = read_stations(spark, station_csv)
     entries = geo.gazetteer_from_nested(spark, gazetteer)
     pan = build_panel(raw_r, raw_o, stations, entries, targets)
-    if pan.isEmpty():
-        raise RuntimeError("the panel is empty")
     write_run(pan, f"{out_dir}/panel", run_id)
-    return spark.read.parquet(f"{out_dir}/panel").where(F.col("run_id") == run_id)
+    # checked as written: the panel is computed once
+    out = spark.read.schema(pan.withColumn("run_id", F.lit(run_id)).schema).parquet(f"{out_dir}/panel").where(F.col("run_id") == run_id)
+    if out.isEmpty():
+        raise RuntimeError("the panel is empty")
+    return out

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,18 +24,24 @@ def write_run(df: DataFrame, path: str, run_id: str, run_col: str = "run_id",
 
 def complete_years(df: DataFrame, date_col: str, year_col: str = "year") -> tuple[DataFrame, DataFrame]:
     """Split into (complete years, live remainder): every year before the newest one is
-    complete. The newest year is found by a scalar subquery (no collect)."""
+    complete. Rows without a date stay live. The newest year is found by a scalar subquery
+    (no collect)."""
     y = df.withColumn(year_col, F.year(F.col(date_col)))
     newest = y.agg(F.max(year_col)).scalar()
-    return y.where(F.col(year_col) < newest), y.where(~(F.col(year_col) < newest)).drop(year_col)
+    old = F.coalesce(F.col(year_col) < newest, F.lit(False))
+    return y.where(old), y.where(~old).drop(year_col)
 
 
-def archive_years(df: DataFrame, date_col: str, path: str, compression: str = "gzip") -> DataFrame:
-    """ACTION. Write complete years to ``path/year=<y>/`` (dynamic overwrite) and return
-    the live remainder (lazy)."""
+def archive_years(df: DataFrame, date_col: str, path: str, compression: str = "gzip",
+                  run_id: str | None = None, run_col: str = "run_id") -> DataFrame:
+    """ACTION. Write complete years to ``path/year=<y>/run_id=<run>/`` and return the live
+    remainder (lazy). A rerun of the same ``run_id`` replaces its own partitions only; late
+    rows of an archived year, in another run, are added to it. Without a ``run_id`` each
+    call is a run of its own."""
+    run_id = run_id or uuid.uuid4().hex
     archived, live = complete_years(df, date_col)
-    (archived.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .option("compression", compression).partitionBy("year").parquet(path))
+    (archived.withColumn(run_col, F.lit(run_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .option("compression", compression).partitionBy("year", run_col).parquet(path))
     return live
 
 
@@ -45,10 +54,15 @@ def json_records(df: DataFrame, cols: list, out_col: str = "json",
 
 
 def file_high_water(spark: SparkSession, path: str, base: str,
-                    pattern: str = r"_(\d{14})") -> DataFrame:
+                    pattern: str = r"(?:_|run_id=)(\d{14})") -> DataFrame:
     """Newest 14-digit run stamp found in the names of the files under ``path``; ``base``
-    when there is none. One row, column ``mark`` (lazy; reads file metadata only)."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    when there is none or no such folder. Names of ``write_run`` count too. One row, column ``mark`` (lazy; reads file metadata only)."""
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.range(1).select(F.lit(base).alias("mark"))  # first run: no folder yet
     stamp = F.regexp_extract(F.col("path"), pattern, 1)
     return (files.select(F.when(stamp != "", stamp).alias("s"))
                  .agg(F.coalesce(F.max("s"), F.lit(base)).alias("mark")))
