@@ -10,8 +10,9 @@ line number) stays. Steps:
    segment). Two lines within TAU edits share one segment, so a line of length L probes
    the entries of lengths L - TAU .. L with the few substrings whose position can still
    be right (bounds from the edits left and right of the segment).
-3. Lines that meet under an entry are compared with a banded bit-parallel edit distance.
-   ``links.link_buckets`` does so without pairing whole buckets of near copies.
+3. Lines that meet under an entry and whose ``pair_parities`` allow it are compared with
+   a banded bit-parallel edit distance. ``links.link_buckets`` does so without pairing
+   whole buckets of near copies.
 """
 
 from __future__ import annotations
@@ -54,6 +55,14 @@ def segment_keys(line: str, length: str, tau: int = TAU) -> Column:
     return F.expr(f"array({', '.join(index + probes)})")
 
 
+def pair_parities(chars: str) -> Column:
+    """64 bits for an array of characters: the parities of the numbers of its pairs of
+    neighbours, by a hash of the pair. An edit changes four of these numbers at most, so
+    that texts within tau edits differ in 4 * tau bits at most."""
+    return F.expr(f"""aggregate({chars}, named_struct('p', 0, 's', 0L), (s, x) -> named_struct('p', ascii(x),
+        's', s.s ^ shiftleft(1L, (s.p * 31 + ascii(x)) & 63)), s -> s.s)""")
+
+
 def within(a: str, b: str, tau: int = TAU) -> Column:
     """Whether two texts without line feeds are within ``tau`` edits: one machine word
     holds the vertical differences of a band of 2 * tau + 2 diagonals (Hyyro 2003)."""
@@ -106,7 +115,9 @@ def line_marks(docs: DataFrame, tau: int = TAU, id_col: str = "doc_id", text_col
     hits = scratch.save(probe.join(index, "key").where("lo <> hi OR id <> lo").select("key", "id", "lo"), "hits")
     members = scratch.save(hits.select("key", "id").unionByName(hits.select("key", F.col("lo").alias("id"))).distinct(), "members")
     ids = scratch.save(members.select("id").distinct(), "ids")
-    text = scratch.save(semi_by_id(long.select("id", "line"), ids, "id").groupBy("id").agg(F.first("line").alias("line")), "text")
+    text = semi_by_id(long.select("id", "line"), ids, "id").groupBy("id").agg(F.first("line").alias("line"))
+    text = let(let(text, c=F.split("line", "")), sketch=pair_parities("c"))
+    text = scratch.save(text.select("id", "line", "sketch"), "text")
 
     def verify(pairs: DataFrame) -> DataFrame:
         p = pairs.join(text.selectExpr("id AS a", "line AS la"), "a").join(text.selectExpr("id AS b", "line AS lb"), "b")
@@ -116,7 +127,8 @@ def line_marks(docs: DataFrame, tau: int = TAU, id_col: str = "doc_id", text_col
         near = p.where((F.abs(F.length("la") - F.length("lb")) <= tau) & (whole >= PIECES - tau))
         return near.where(within("la", "lb", tau)).select("a", "b")
 
-    comp, _ = link_buckets(members, verify, scratch, python=False)
+    comp, _ = link_buckets(members.join(text.select("id", "sketch"), "id").select("key", "id", "sketch"), verify, scratch,
+                           python=False, may=lambda x, y: f"bit_count({x} ^ {y}) <= {4 * tau}")
     scratch.drop(hits, members, ids, text)
     known = distinct.select("id", "at", "occurs").join(comp, "id", "left").select(
         "id", "at", "occurs", F.coalesce("comp", "id").alias("class_id"))

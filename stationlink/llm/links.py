@@ -78,13 +78,16 @@ def components(edges: DataFrame, scratch: Scratch, python: bool = True) -> DataF
 
 
 def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], scratch: Scratch,
-                 python: bool = True, least_gain: float = 0.3) -> tuple[DataFrame, DataFrame | None]:
+                 python: bool = True, least_gain: float = 0.3,
+                 may: Callable[[str, str], str] | None = None) -> tuple[DataFrame, DataFrame | None]:
     """Link all pairs of ids that share a bucket and pass ``verify``.
 
     ``members`` (key, id), distinct and only keys of two or more ids; ``verify`` maps
     candidate pairs (a, b) to those that are linked. Returns (id, comp) of the linked ids,
     and the links (None if there was no candidate). ``python=False`` keeps to DataFrame
-    operations.
+    operations. With ``may``, members also have a column ``sketch``, and ``may(x, y)`` is SQL
+    of a condition that the sketches of every linked pair meet: the joins that make pairs
+    test it, so that pairs that fail it are never written or compared.
 
     A bucket of n near copies is not paired n x n. In each round every bucket's pivot is
     checked against its other members, the links found so far merge components, the pivot
@@ -95,13 +98,15 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], s
     """
     spark = scratch.spark
     rows = members
+    extra = ["sketch"] if may else []
+    test = (lambda x, y: F.expr(may(x, y))) if may else (lambda x, y: F.lit(True))
     links: DataFrame | None = None
     comp: DataFrame | None = None
     old: list[DataFrame] = []
     open_before = float("inf")
     for r in itertools.count():
         if comp is not None:
-            rows = rows.join(comp, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp"))
+            rows = rows.join(comp, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp"), *extra)
         else:
             rows = rows.withColumn("comp", F.col("id"))
         rows = rows_table = scratch.save(rows, "rows")
@@ -111,7 +116,7 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], s
         keys = scratch.save(
             sizes.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.expr("CAST(n AS DOUBLE) * n")).alias("sq"),
                                      F.count("*").alias("comps")).where("comps > 1")
-            .join(rows.groupBy("key").agg(F.min_by(F.struct("id", "comp"), F.xxhash64("id", F.lit(r))).alias("p")), "key"),
+            .join(rows.groupBy("key").agg(F.min_by(F.struct("id", "comp", *extra), F.xxhash64("id", F.lit(r))).alias("p")), "key"),
             "keys")
         tot = keys.agg(F.sum("n"), F.sum(F.expr("(CAST(n AS DOUBLE) * n - sq) / 2"))).first()
         if not tot[0]:
@@ -119,12 +124,13 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], s
         log.info("round %d: %d bucket rows, %.0f open pairs", r, tot[0], tot[1])
         if tot[1] <= 2 * tot[0] or tot[1] > (1 - least_gain) * open_before:
             open_rows = rows.join(keys.select("key"), "key", "left_semi")
-            x = open_rows.selectExpr("key", "id AS a", "comp AS ca")
-            y = open_rows.selectExpr("key", "id AS b", "comp AS cb")
-            pairs = x.join(y, "key").where("ca <> cb AND a < b").select("a", "b").distinct()
+            x = open_rows.selectExpr("key", "id AS a", "comp AS ca", *(f"{c} AS a_{c}" for c in extra))
+            y = open_rows.selectExpr("key", "id AS b", "comp AS cb", *(f"{c} AS b_{c}" for c in extra))
+            pairs = x.join(y, "key").where("ca <> cb AND a < b").where(test("a_sketch", "b_sketch")).select("a", "b").distinct()
             last = True
         else:
-            pairs = rows.join(keys.select("key", "p"), "key").where("id <> p.id AND comp <> p.comp").select(
+            pairs = rows.join(keys.select("key", "p"), "key").where("id <> p.id AND comp <> p.comp").where(
+                test("sketch", "p.sketch")).select(
                 F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b")).distinct()
             last = False
         found = scratch.save(verify(pairs), "links")
@@ -133,7 +139,7 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], s
         if last:
             break
         open_before = tot[1]
-        rows = rows.join(keys.select("key", "p"), "key").where("id <> p.id").select("key", "id")
+        rows = rows.join(keys.select("key", "p"), "key").where("id <> p.id").select("key", "id", *extra)
         # the tables of the round before are not read again
         scratch.drop(*old)
         old = [rows_table, keys]

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from stationlink.llm import classifier, decontam, langid, linededup, links, lm, neardup, packing, quality_rules, secret_scan, urlfilter
 from stationlink.llm.common import Scratch
@@ -157,6 +158,33 @@ def test_banded_edit_distance(spark, tau):
     assert df.where(linededup.within("a", "b", tau) != df.want).count() == 0
 
 
+def test_pair_parities_bound(spark):
+    """n edits change 4 * n bits at most; lines of other words differ in more."""
+    r = random.Random(31)
+    rows = []
+    for _ in range(1500):
+        a = "".join(r.choice("abcdé 🎈") for _ in range(r.randint(0, 40)))
+        n = r.randint(0, 3)
+        rows.append((a, changed(r, a, n), n))
+    bits = F.bit_count(linededup.pair_parities("split(a, '')").bitwiseXOR(linededup.pair_parities("split(b, '')")))
+    df = spark.createDataFrame(rows, "a string, b string, n int").withColumn("bits", bits)
+    assert df.where("bits > 4 * n").count() == 0
+    far = [(prose(i, 20), prose(i + 1000, 20)) for i in range(200)]
+    assert spark.createDataFrame(far, "a string, b string").where(bits <= 8).count() == 0
+
+
+def test_link_buckets_with_sketches(spark):
+    """A condition on sketches that all links meet changes no component."""
+    r = random.Random(6)
+    ids = sorted(r.sample(range(600), 150))
+    rows = [(k, i, i // 10) for k in (1, 2) for i in ids if k == 1 or i % 2]
+    comp, _ = links.link_buckets(spark.createDataFrame(rows, "key long, id long, sketch long"), lambda p: p.where("abs(a - b) <= 3"),
+                                 Scratch(spark, "t"), python=False, may=lambda x, y: f"abs({x} - {y}) <= 1")
+    plain, _ = links.link_buckets(spark.createDataFrame(rows, "key long, id long, sketch long").drop("sketch"),
+                                  lambda p: p.where("abs(a - b) <= 3"), Scratch(spark, "t"))
+    assert sorted(comp.collect()) == sorted(plain.collect())
+
+
 def test_line_dedup_against_all_pairs(spark, empty):
     r = random.Random(9)
     rows = [(i, t) for i, t in enumerate(ODD)]
