@@ -6,6 +6,8 @@ Five-word shingles, linked from a Jaccard similarity of 0.75. Steps:
    of the set; only the smallest doc_id of a class goes on.
 2. Banding: 40 bands of 5 min-hashes; representatives that share a band are candidates
    (a pair at similarity 0.75 shares none with probability 2e-5).
+   The joins that make pairs also test ``PARITIES`` parity bits of the two sets, which
+   bound the size of their difference from below: an exact test, whatever the bits are.
 3. Candidates are compared signature batch by batch; a pair is dropped as soon as the
    posterior probability of reaching the threshold (uniform prior) is below
    ``MISS``.
@@ -30,6 +32,7 @@ from .links import link_buckets
 SHINGLE = 5
 BANDS, ROWS = 40, 5
 BATCH = 40          # signature values compared before each look at the posterior
+PARITIES = 512      # bits of a set's parity sketch, in words of 64
 MISS = 1e-6         # posterior probability below which a candidate is dropped
 BROADCAST_IDS = 500_000  # ids (8 bytes each) up to which a semi join broadcasts them
 
@@ -92,14 +95,36 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "c1", "c2", "bands"])
 
 
+_WORDS = [f"w{i}" for i in range(PARITIES // 64)]
+_SKETCH = pa.struct([(c, pa.int64()) for c in ["n", *_WORDS]])
+
+
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """For each set, ``PARITIES`` bits: whether an odd number of its shingles falls on each
+    (rows x words, int64). Two sets differ in as many shingles as bits, or more."""
+    cell = np.concatenate([i * PARITIES + (s % np.uint64(PARITIES)).astype(np.int64) for i, s in enumerate(sets)])
+    odd = np.bincount(cell, minlength=len(sets) * PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(len(sets), -1), axis=1).view(np.int64)
+
+
+def parity_bound(x: str, y: str, percent: int) -> str:
+    """SQL of a condition on two sketches that holds where 100 * intersection >= percent *
+    union: the difference then has at most (100 - percent) / (100 + percent) of the sum of
+    the sizes."""
+    bits = " + ".join(f"bit_count({x}.{c} ^ {y}.{c})" for c in _WORDS)
+    return f"{100 + percent} * ({bits}) <= {100 - percent} * ({x}.n + {y}.n)"
+
+
 def _load_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(0)
         for i, j, buf, off in text_slices(batch.column(1)):
             sets = shingle_sets(buf, off)
             sig = signatures(sets)  # only rows with shingles come here
-            yield pa.record_batch([ids.slice(i, j - i), pa.array([s.tobytes() for s in sig], pa.binary()),
-                                   pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "sig", "shingles"])
+            words = [np.array([len(s) for s in sets], np.int64), *np.ascontiguousarray(parities(sets).T)]
+            sketch = pa.StructArray.from_arrays([pa.array(w) for w in words], fields=list(_SKETCH))
+            yield pa.record_batch([ids.slice(i, j - i), sketch, pa.array([s.tobytes() for s in sig], pa.binary()),
+                                   pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "sketch", "sig", "shingles"])
 
 
 def min_matches(threshold: float, miss: float, batch: int = BATCH, hashes: int = BANDS * ROWS) -> list[tuple[int, int]]:
@@ -171,7 +196,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     shared = band.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key")
     members = scratch.save(band.join(shared, "key").select("key", "id"), "members")
     ids = scratch.save(members.select(F.col("id").alias("doc_id")).distinct(), "ids")
-    sets = scratch.save(semi_by_id(src, ids, "doc_id").mapInArrow(_load_sets, "id long, sig binary, shingles binary"), "sets")
+    sets = scratch.save(semi_by_id(src, ids, "doc_id").mapInArrow(
+        _load_sets, f"id long, sketch struct<{', '.join(f'{f.name}: bigint' for f in _SKETCH)}>, sig binary, shingles binary"), "sets")
     steps = min_matches(percent / 100, MISS)
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -183,7 +209,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
         return (p.join(full.selectExpr("id AS b", "shingles AS hb"), "b").join(full.selectExpr("id AS a", "shingles AS ha"), "a")
                 .select("a", "b", "ha", "hb").mapInArrow(_confirm(percent, 100), "a long, b long"))
 
-    comp, _ = link_buckets(members, verify, scratch)
+    comp, _ = link_buckets(members.join(sets.select("id", "sketch"), "id").select("key", "id", "sketch"), verify, scratch,
+                           may=lambda x, y: parity_bound(x, y, percent))
     scratch.drop(members, ids, sets)
     top = classes.join(comp.select(F.col("id").alias("rep"), "comp"), "rep", "left").select(
         "c1", "c2", "n_shingles", F.coalesce("comp", "rep").alias("comp"))

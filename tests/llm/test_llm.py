@@ -113,6 +113,25 @@ def test_near_duplicates(docs, empty):
     assert neardup.near_duplicates(empty).count() == 0
 
 
+def test_parity_bound(spark):
+    """The bound holds for every pair at or over the threshold, of any size."""
+    r = np.random.default_rng(3)
+    rows = []
+    for k in range(600):
+        n = int(r.integers(1, 1500))
+        a = np.unique(r.integers(0, 1 << 63, n, dtype=np.uint64))
+        cut = r.random() * 0.5
+        b = np.unique(np.concatenate([a[r.random(len(a)) >= cut], r.integers(0, 1 << 63, int(r.random() * 0.3 * n) + 1, dtype=np.uint64)]))
+        both = len(np.intersect1d(a, b))
+        rows.append((*((len(s), *map(int, w)) for s, w in zip((a, b), neardup.parities([a, b]), strict=True)),
+                     100 * both >= 75 * (len(a) + len(b) - both), len(a) < 200 and both < 0.5 * (len(a) + len(b) - both)))
+    sketch = f"struct<{', '.join(f'{f.name}: bigint' for f in neardup._SKETCH)}>"
+    df = spark.createDataFrame(rows, f"x {sketch}, y {sketch}, linked boolean, far boolean")
+    ok = df.withColumn("ok", F.expr(neardup.parity_bound("x", "y", 75)))
+    assert ok.where("linked").count() > 50 and ok.where("linked AND NOT ok").count() == 0
+    assert ok.where("far").count() > 5 and ok.where("far AND ok").count() == 0
+
+
 def test_posterior_bounds():
     steps = neardup.min_matches(0.75, 1e-6)
     assert [n for n, _ in steps] == [40, 80, 120, 160, 200]
