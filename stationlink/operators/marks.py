@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import BASE_DATE
@@ -45,13 +45,23 @@ def day_spine(keys: DataFrame, lo, hi, day_col: str = "day") -> DataFrame:
 
 def gap_report(df: DataFrame, key: str, ts_col: str, day_col: str = "day") -> DataFrame:
     """(key, day) pairs without a row, over the table's whole day range. The range is
-    one small aggregate; the spine is an anti join against the days present."""
+    one small aggregate; the holes are those between a key's neighbouring days and at its
+    two ends, so the work follows the days present and the days missing. A null key is a
+    key like any other; rows with a null day only name their key."""
     days = df.select(F.col(key), F.to_date(F.col(ts_col)).alias(day_col))
     # ACTION: both ends in one aggregate (one row back), used as literals
     lo, hi = days.agg(F.min(day_col), F.max(day_col)).first()
     if lo is None:
         return days.select(key, day_col).limit(0)
-    spine = day_spine(days.select(key).distinct(), F.lit(lo), F.lit(hi), day_col)
-    there = days.distinct().select(F.col(key).alias("_k"), F.col(day_col).alias("_d"))
-    # null-safe: a null key's days are found like any other's
-    return spine.join(there, F.col(key).eqNullSafe(F.col("_k")) & (F.col(day_col) == F.col("_d")), "left_anti")
+    # a key's window holds its distinct days only, however many rows it has
+    w = Window.partitionBy(key).orderBy(F.col(day_col).asc_nulls_first())
+    near = days.distinct().select(key, F.col(day_col).alias("_d"), F.lag(day_col).over(w).alias("_before"),
+                                  F.lead(day_col).over(w).alias("_after"))
+
+    def hole(first, last):
+        none = F.array().cast("array<date>")
+        return F.when(first <= last, F.sequence(first, last, F.expr("INTERVAL 1 DAY"))).otherwise(none)
+
+    before = hole(F.coalesce(F.date_add("_before", 1), F.lit(lo)), F.date_sub("_d", 1))
+    tail = hole(F.when(F.col("_after").isNull(), F.coalesce(F.date_add("_d", 1), F.lit(lo))), F.lit(hi))
+    return near.select(key, F.explode(F.concat(before, tail)).alias(day_col))

@@ -32,7 +32,8 @@ def incremental_load(spark: SparkSession, src_dir: str, schema: StructType, sink
 
     ``checkpoint`` must be on shared storage (it is the job's state). ``transform`` is any
     stateless DataFrame -> DataFrame function (e.g. envelope unwrap + date parse).
-    Returns the last progress (rows read) of the run."""
+    Returns the rows read and the batches of the run; with more batches than the session
+    remembers (``spark.sql.streaming.numRecentProgressUpdates``), both are None."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -45,5 +46,9 @@ def incremental_load(spark: SparkSession, src_dir: str, schema: StructType, sink
         w = w.partitionBy(*partition_by)
     q = w.start()
     q.awaitTermination()
-    rows = sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
-    return {"id": str(q.id), "rows": rows, "batches": len(q.recentProgress)}
+    seen = q.recentProgress
+    # a full list may have lost the first batches: no count is better than a wrong one
+    kept = int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100"))
+    whole = len(seen) < kept
+    rows = sum(int(p.get("numInputRows", 0)) for p in seen) if whole else None
+    return {"id": str(q.id), "rows": rows, "batches": len(seen) if whole else None}

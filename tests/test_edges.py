@@ -2,6 +2,7 @@
 rows, empty reports."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -69,3 +70,16 @@ def test_file_mark_without_a_folder_and_on_a_run(spark, tmp):
     assert sinks.file_high_water(spark, tmp + "/none", "20200101").first().mark == "20200101"
     sinks.write_run(spark.range(1), tmp + "/t", "20240203040506")
     assert sinks.file_high_water(spark, tmp + "/t", "20200101").first().mark == "20240203040506"
+
+
+def test_gap_report_against_all_days(spark):
+    """Repeated days, null keys and days, a key with null days only, full and single days."""
+    r = random.Random(4)
+    day0 = dt.date(2024, 2, 20)
+    rows = [(k, day0 + dt.timedelta(d)) for k in ("a", "b", None, "c") for d in r.choices(range(20), k=9)]
+    rows += [("full", day0 + dt.timedelta(d)) for d in range(20)] + [("a", None), ("none", None), ("one", day0)]
+    got = [tuple(x) for x in marks.gap_report(spark.createDataFrame(rows, "k string, ts date"), "k", "ts").collect()]
+    days = [d for _, d in rows if d]
+    span = [min(days) + dt.timedelta(i) for i in range((max(days) - min(days)).days + 1)]
+    want = [(k, d) for k in {k for k, _ in rows} for d in span if (k, d) not in rows]
+    assert len(got) == len(want) and set(got) == set(want)
