@@ -4,9 +4,10 @@ Counts of words and of word pairs over all training documents are quantised to
 1 + floor(log2 count). An n-gram of level q is put into the filter under q keys, one per
 level, so its level is read back by probing level 1, 2, ... until a probe fails. The
 filter is built segment by segment (a segment holds the n-grams of one shard of the
-counts), has a fixed size of ``BITS`` and is broadcast. Pairs seen once are not stored.
-If the n-grams would overfill it, those below a level are left out; the level follows
-from a histogram over all n-grams.
+counts) and holds every word and pair: it has ``BITS`` bits for each key, whose number
+follows from a histogram of the levels. Up to ``BROADCAST_BITS`` it is broadcast; a
+larger one is never put together: the n-grams of blocks of texts are sent to their
+shards, probed there and sent back. Both ways give the same levels.
 
 A pair's probability interpolates its share of the word before it with the smoothed
 share of the word itself.
@@ -19,14 +20,16 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, crc_mod, hash_words, mix, python_workers, read, text_slices
 
-BITS = 1 << 28         # of the filter: 32 MB
+BITS = 12              # of the filter for each key
 PROBES = 3             # bits a key sets
-FILL = 0.35            # keys' bits to filter bits at most
+BROADCAST_BITS = 1 << 29  # of the largest filter that is broadcast: 64 MB
+BLOCK = 1 << 22        # bytes of text of which the n-grams are sent to the shards together
 LEVELS = 48
 HOT = 1 << 19          # a word of more than 1/HOT of all tokens is broadcast: at most HOT words
 PAIR_SHARE = 0.3       # weight of the pair estimate
@@ -44,7 +47,11 @@ def _sequence(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     before = np.empty_like(seq)
     before[1:] = seq[:-1]
     before[first[:-1]] = BEGIN
-    return seq, mix(before * np.uint64(0x2545F4914F6CDD1D) + seq), first
+    return seq, _pairs(before, seq), first
+
+
+def _pairs(before: np.ndarray, seq: np.ndarray) -> np.ndarray:
+    return mix(before * np.uint64(0x2545F4914F6CDD1D) + seq)
 
 
 def _shard(h: np.ndarray, shards: int) -> np.ndarray:
@@ -101,7 +108,7 @@ def _count(shards: int):
 
 
 def _reduce(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-    """Sums the counts of one shard; pairs seen once go."""
+    """Sums the counts of one shard."""
     order = int(key[0])
     read_keys = (lambda b: np.frombuffer(b, np.uint64)) if order == 1 else _unpack48
     k = np.concatenate([read_keys(b) for b in pdf["keys"]])
@@ -109,8 +116,6 @@ def _reduce(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     keys, at = np.unique(k, return_inverse=True)
     n = np.bincount(at, n, len(keys)).astype(np.int64)
     tokens, distinct = int(n.sum()), len(keys)
-    if order == 2:
-        keys, n = keys[n > 1], n[n > 1]
     level = np.frexp(n.astype(np.float64))[1]
     return pd.DataFrame({"order": [order], "shard": [int(key[1])], "keys": [keys.tobytes()], "counts": [n.tobytes()], "tokens": [tokens],
                          "distinct": [distinct], "levels": [np.bincount(level, minlength=LEVELS + 1)[:LEVELS + 1].tolist()]})
@@ -123,7 +128,7 @@ def _probe_bits(k48: np.ndarray, order: int, level: int, bits: int) -> np.ndarra
     return ((g + np.arange(PROBES, dtype=np.uint64)[:, None] * step) % np.uint64(bits)).astype(np.int64).T
 
 
-def _segment(bits: int, least: int):
+def _segment(bits: int, least: int = 1):
     def build(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         table = np.zeros(bits, bool)
         for order, keys, counts in zip(pdf["order"], pdf["keys"], pdf["counts"], strict=True):
@@ -159,12 +164,8 @@ def _middle(level: np.ndarray) -> np.ndarray:
     return np.where(level > 0, (3 * 2.0 ** (level - 1) - 1) / 2, 0.0)
 
 
-def _log_prob(seq: np.ndarray, pair: np.ndarray, first: np.ndarray, filt: LogFrequencyFilter, mass: float, vocab: int,
-              begins: int) -> np.ndarray:
-    u, at = np.unique(seq, return_inverse=True)
-    cu = _middle(filt.levels(u, 1))[at]
-    p, at2 = np.unique(pair, return_inverse=True)
-    cp = _middle(filt.levels(p, 2))[at2]
+def _log_prob(word_level: np.ndarray, pair_level: np.ndarray, first: np.ndarray, mass: float, vocab: int, begins: int) -> np.ndarray:
+    cu, cp = _middle(word_level), _middle(pair_level)
     before = np.empty_like(cu)
     before[1:] = cu[:-1]
     before[first[:-1]] = begins
@@ -173,26 +174,101 @@ def _log_prob(seq: np.ndarray, pair: np.ndarray, first: np.ndarray, filt: LogFre
     return np.log10(np.where(before > 0, (1 - PAIR_SHARE) * word + PAIR_SHARE * share, word))
 
 
-def _score(tables, shards: int, bits: int, mass: float, vocab: int, begins: int, total: int):
+_ROW = ["doc_id", "held_out", "n_tokens", "known", "part", "score", "rare"]
+
+
+def _rows(ids: pa.Array, held: pa.Array, seq: np.ndarray, first: np.ndarray, log_prob: np.ndarray, hot_keys: np.ndarray,
+          hot_counts: np.ndarray, unit: float) -> list[pa.Array]:
+    """The columns ``_ROW`` of the texts of a sequence."""
+    score = np.add.reduceat(log_prob, first[:-1])
+    near = np.minimum(np.searchsorted(hot_keys, seq), max(len(hot_keys) - 1, 0))
+    is_hot = hot_keys[near] == seq if len(hot_keys) else np.zeros(len(seq), bool)
+    part = np.where(is_hot, np.log10((hot_counts[near] if len(hot_keys) else np.zeros(len(seq))) + 1.0) - unit, 0.0)
+    rows = np.searchsorted(first, np.flatnonzero(~is_hot), "right") - 1
+    words = seq[~is_hot]
+    cut = np.searchsorted(rows, np.arange(len(ids) + 1))
+    rare = pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(words.view(np.int64)))
+    return [ids, held, pa.array(np.diff(first)), pa.array(np.add.reduceat(is_hot.astype(np.int64), first[:-1])),
+            pa.array(np.add.reduceat(part, first[:-1])), pa.array(score), rare]
+
+
+def _hot_tables(tables) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(tables.value[0], np.uint64), np.frombuffer(tables.value[1], np.int64)
+
+
+def _score(filter_bytes, tables, shards: int, bits: int, mass: float, vocab: int, begins: int, unit: float):
+    """Scores texts with the whole filter."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, hot_keys, hot_counts = (np.frombuffer(b, t) for b, t in zip(tables.value, (np.uint8, np.uint64, np.int64), strict=True))
-        filt = LogFrequencyFilter(table, shards, bits)
-        unit = np.log10(float(total) + vocab + 1.0)
+        filt = LogFrequencyFilter(np.frombuffer(filter_bytes.value, np.uint8), shards, bits)
+        hot = _hot_tables(tables)
         for batch in batches:
             for i, j, buf, off in text_slices(batch.column(1), 1 << 21):
                 seq, pair, first = _sequence(buf, off)
-                score = np.add.reduceat(_log_prob(seq, pair, first, filt, mass, vocab, begins), first[:-1])
-                near = np.minimum(np.searchsorted(hot_keys, seq), max(len(hot_keys) - 1, 0))
-                is_hot = hot_keys[near] == seq if len(hot_keys) else np.zeros(len(seq), bool)
-                part = np.where(is_hot, np.log10((hot_counts[near] if len(hot_keys) else np.zeros(len(seq))) + 1.0) - unit, 0.0)
-                rows = np.searchsorted(first, np.flatnonzero(~is_hot), "right") - 1
-                words = seq[~is_hot]
-                cut = np.searchsorted(rows, np.arange(j - i + 1))
-                rare = pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(words.view(np.int64)))
+                (u, at), (p, at2) = (np.unique(x, return_inverse=True) for x in (seq, pair))
+                log_prob = _log_prob(filt.levels(u, 1)[at], filt.levels(p, 2)[at2], first, mass, vocab, begins)
+                yield pa.record_batch(_rows(batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), seq, first, log_prob, *hot, unit),
+                                      names=_ROW)
+    return run
+
+
+def _ask(shards: int):
+    """Blocks of texts (order 0: ids, held_out, firsts, and the sequence as keys) and, for
+    each shard, their distinct words (order 1) and pairs (order 2)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for i, j, buf, off in text_slices(batch.column(1), BLOCK):
+                seq, pair, first = _sequence(buf, off)
+                order, shard, keys = [0], [0], [seq.tobytes()]
+                for o, x in enumerate((seq, pair), 1):
+                    u = np.unique(x)
+                    present, at = _cuts(u, shards)
+                    for s, a, b in zip(present, at[:-1], at[1:], strict=True):
+                        order.append(o)
+                        shard.append(int(s))
+                        keys.append(_pack48(u[a:b]))
+                none = len(order) - 1
+                lists = [pa.ListArray.from_arrays(pa.array([0] + [j - i] * (none + 1), pa.int32()), batch.column(c).slice(i, j - i)) for c in (0, 2)]
                 yield pa.record_batch([
-                    batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array(np.diff(first)),
-                    pa.array(np.add.reduceat(is_hot.astype(np.int64), first[:-1])), pa.array(np.add.reduceat(part, first[:-1])),
-                    pa.array(score), rare], names=["doc_id", "held_out", "n_tokens", "known", "part", "score", "rare"])
+                    pa.array(np.full(none + 1, block)), pa.array(order, pa.int32()), pa.array(shard, pa.int32()), pa.array(keys, pa.binary()),
+                    *lists, pa.array([first.astype(np.int64).tobytes()] + [None] * none, pa.binary())],
+                    names=["block", "order", "shard", "keys", "ids", "held", "firsts"])
+                block += 1
+    return run
+
+
+def _answer(bits: int):
+    """Levels of the n-grams asked of one shard."""
+    def run(key: tuple, counts: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(asked):
+            filt = LogFrequencyFilter(np.frombuffer(_segment(bits)(key, counts)["bits"][0], np.uint8), 1, bits)
+            for order, part in asked.groupby("order"):
+                k = [_unpack48(b) for b in part["keys"]]
+                level = np.split(filt.levels(np.concatenate(k), int(order)).astype(np.uint8), np.cumsum([len(x) for x in k])[:-1])
+                out.append(pd.DataFrame({"block": part["block"].to_numpy(), "order": int(order), "shard": int(key[0]),
+                                         "levels": [x.tobytes() for x in level]}))
+        return pd.concat(out) if out else pd.DataFrame({"block": [], "order": [], "shard": [], "levels": []})
+    return run
+
+
+def _finish(tables, mass: float, vocab: int, begins: int, unit: float):
+    """Scores the texts of one block with the answers of all shards."""
+    def run(block: pa.Table, answers: pa.Table) -> pa.Table:
+        ids, held = (block.column(c).combine_chunks().flatten() for c in ("ids", "held"))
+        seq, first = (np.frombuffer(block.column(c)[0].as_py(), t) for c, t in (("keys", np.uint64), ("firsts", np.int64)))
+        before = np.empty_like(seq)
+        before[1:] = seq[:-1]
+        before[first[:-1]] = BEGIN
+        # a shard is a range of hashes: its answers in order of the shards are in order of the hashes
+        answers = answers.sort_by([("order", "ascending"), ("shard", "ascending")])
+        order = answers.column("order").to_numpy()
+        level = []
+        for o, x in ((1, seq), (2, _pairs(before, seq))):
+            got = answers.column("levels").filter(pa.array(order == o)).to_pylist()
+            level.append(np.frombuffer(b"".join(got), np.uint8).astype(np.int64)[np.unique(x, return_inverse=True)[1]])
+        log_prob = _log_prob(*level, first, mass, vocab, begins)
+        return pa.table(_rows(ids, held, seq, first, log_prob, *_hot_tables(tables), unit), names=_ROW)
     return run
 
 
@@ -220,7 +296,6 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     python_workers(spark)
     scratch = Scratch(spark, "lm")
     shards = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bits = max(BITS // shards // 8 * 8, 512)
     kind = docs.schema[id_col].dataType.simpleString()
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     src = src.withColumn("held_out", F.coalesce(crc_mod("doc_id", 7) == 2, F.lit(False)))
@@ -233,26 +308,36 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.array(*[F.sum(F.element_at("levels", q + 1)) for q in range(LEVELS + 1)]).alias("levels")).collect()}
     n, v = (totals[1].n, totals[1].v) if 1 in totals else (0, 0)
     hist = np.sum([t.levels for t in totals.values()], axis=0) if totals else np.zeros(LEVELS + 1)
-    load = hist * np.arange(LEVELS + 1) * PROBES
-    least = next(q for q in range(1, LEVELS + 2) if load[q:].sum() <= FILL * BITS)
+    bits = max(-(-int((hist * np.arange(LEVELS + 1)).sum()) * BITS // (8 * shards)) * 8, 512)
     uni = np.array(totals[1].levels, float) if 1 in totals else np.zeros(LEVELS + 1)
-    mass = float((uni * _middle(np.arange(LEVELS + 1)))[least:].sum())
-    table = np.zeros(shards * bits // 8, np.uint8)
-    for r in counts.select("shard", "order", "keys", "counts").groupBy("shard").applyInPandas(_segment(bits, least), "shard int, bits binary").toLocalIterator():
-        table[r.shard * bits // 8:(r.shard + 1) * bits // 8] = np.frombuffer(r.bits, np.uint8)
+    mass = float((uni * _middle(np.arange(LEVELS + 1))).sum())
+    grams = counts.select("shard", "order", "keys", "counts")
     words = counts.where("order = 1").select("keys", "counts")
     hot = words.mapInArrow(_hot(n / HOT), "word long, c long").toArrow()
     hot_keys = hot.column("word").to_numpy().view(np.uint64)
     order = np.argsort(hot_keys)
-    tables = spark.sparkContext.broadcast((table.tobytes(), hot_keys[order].tobytes(), hot.column("c").to_numpy()[order].tobytes()))
+    tables = spark.sparkContext.broadcast((hot_keys[order].tobytes(), hot.column("c").to_numpy()[order].tobytes()))
     begins = train.count()
-    per = scratch.save(
-        src.select("doc_id", "text", "held_out").mapInArrow(
-            _score(tables, shards, bits, mass, v, begins, n),
-            f"doc_id {kind}, held_out boolean, n_tokens long, known long, part double, score double, rare array<long>")
-        .withColumn("row", F.monotonically_increasing_id()), "scored")
+    base_unit = float(np.log10(float(n) + v + 1.0))
+    row = f"doc_id {kind}, held_out boolean, n_tokens long, known long, part double, score double, rare array<long>"
+    texts = src.select("doc_id", "text", "held_out")
+    asked = None
+    if shards * bits <= BROADCAST_BITS:
+        table = np.zeros(shards * bits // 8, np.uint8)
+        for r in grams.groupBy("shard").applyInPandas(_segment(bits), "shard int, bits binary").toLocalIterator():
+            table[r.shard * bits // 8:(r.shard + 1) * bits // 8] = np.frombuffer(r.bits, np.uint8)
+        scored = texts.mapInArrow(_score(spark.sparkContext.broadcast(table.tobytes()), tables, shards, bits, mass, v, begins, base_unit), row)
+    else:
+        asked = scratch.save(texts.mapInArrow(
+            _ask(shards), f"block long, order int, shard int, keys binary, ids array<{kind}>, held array<boolean>, firsts binary"), "asked")
+        answers = grams.groupBy("shard").cogroup(asked.where("order > 0").select("block", "order", "shard", "keys").groupBy("shard")).applyInPandas(
+            _answer(bits), "block long, order int, shard int, levels binary")
+        blocks = asked.where("order = 0").select("block", "keys", "ids", "held", "firsts")
+        scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_finish(tables, mass, v, begins, base_unit), row)
+    per = scratch.save(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
+    scratch.drop(asked)
     # the exact counts of the other words by a join; each of them is at most 1/HOT of all tokens
-    unit = F.lit(float(np.log10(float(n) + v + 1.0)))
+    unit = F.lit(base_unit)
     rare = per.select("row", F.explode("rare").alias("word"))
     cold = words.mapInArrow(_spread, "word long, c long").where(F.col("c") <= n / HOT)
     rest = rare.join(cold, "word", "left").groupBy("row").agg(

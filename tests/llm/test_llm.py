@@ -419,6 +419,25 @@ def test_language_model(docs, empty):
     assert lm.score_texts(empty).count() == 0
 
 
+def test_language_model_keeps_all_grams(spark, docs, monkeypatch):
+    """Pairs seen once count; a filter over the broadcast bound is probed by shards with the same scores."""
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
+    learn = [i for i in range(200) if zlib.crc32(str(i).encode()) % 7 != 2][:2]
+    rows = [(learn[0], "alpha beta gamma"), (learn[1], "delta"), (held[0], "alpha beta gamma"), (held[1], "gamma alpha beta")]
+    got = {r.doc_id: r.score for r in lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    same, other = got[held[0]], got[held[1]]
+    assert same > other + 0.5
+    both = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(None, "a b c"), (3, "one two")], "doc_id long, text string"))
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.n_tokens)
+    want = sorted(lm.score_texts(both).collect(), key=key)
+    monkeypatch.setattr(lm, "BROADCAST_BITS", 0)
+    monkeypatch.setattr(lm, "BLOCK", 1 << 12)
+    out = sorted(lm.score_texts(both).collect(), key=key)
+    assert len(out) == len(want)
+    for a, b in zip(out, want, strict=True):
+        assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], rel=1e-12)
+
+
 def test_filter_reads_levels_back():
     rng = np.random.default_rng(3)
     keys = np.unique(rng.integers(0, 1 << 63, 4000, dtype=np.uint64))
