@@ -169,8 +169,8 @@ def spans(text: str, rule: Rule) -> Column:
 def scan(docs: DataFrame, rules: list[Rule] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, secrets) for every row: secrets is an array of (start, rank, end, kind)
     sorted so, rank being the rule's place in the list. Null and empty text has none.
-    Repeated ids get their own rows; a row with a null id is scanned by the rules
-    without mandatory trigrams only."""
+    Repeated ids get their own rows, and so do null ids: rows of one id, null too, are
+    scanned by the rules that any of them is a candidate of."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "secretscan")
     src = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -182,7 +182,8 @@ def scan(docs: DataFrame, rules: list[Rule] = RULES, id_col: str = "doc_id", tex
         index = scratch.save(postings(src, grams), "postings")
         cand = scratch.save(candidates(index, keyed), "candidates")
         # candidates are few ids and names: joined by size, broadcast or shuffled
-        full = src.join(cand, "doc_id", "left")
+        cand = cand.withColumnRenamed("doc_id", "cand_id")
+        full = src.join(cand, F.col("doc_id").eqNullSafe(F.col("cand_id")), "left").drop("cand_id")
     else:
         full = src.withColumn("kinds", F.array().cast("array<string>"))
     empty = F.array().cast("array<struct<s:int,e:int>>")
