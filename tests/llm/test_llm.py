@@ -479,6 +479,22 @@ def test_url_filter(spark):
     assert urlfilter.judge(pages.limit(0)).count() == 0
 
 
+def test_pipeline_judges_rows_without_or_with_equal_ids(spark):
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    good = docs.join(quality_rules.quality_verdicts(docs).where("kept").select("doc_id"), "doc_id").orderBy("doc_id").limit(2).collect()
+    item = spark.read.parquet(f"{sf}/benchmark.parquet").where("length(text) > 60").first().text
+    texts_ = [good[0].text, good[1].text, "# # # spam", good[1].text + "\n" + item]
+    df = spark.createDataFrame([(None, t, len(t)) for t in texts_] + [(7, texts_[0], 1), (7, texts_[2], 1)], "doc_id long, text string, n_chars long")
+    rows = lambda d: sorted((r.doc_id or 0, texts_.index(r.text)) for r in d.collect())
+    out = corpus_pipeline.quality_stage(spark, df, sf)
+    assert rows(out) == [(0, 0), (0, 1), (0, 3), (7, 0)] and out.columns == df.columns
+    assert rows(corpus_pipeline.near_stage(spark, out, sf)) == [(0, 0), (0, 1), (0, 3), (7, 0)]
+    assert rows(corpus_pipeline.benchmark_stage(spark, out, sf)) == [(0, 0), (0, 1), (7, 0)]
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
