@@ -1,11 +1,14 @@
 """Benchmark decontamination by canonical templates.
 
-Texts become tokens (runs of letters, runs of digits; case and punctuation ignored).
+Texts become tokens (runs of letters, runs of digits, single characters of scripts
+without spaces; case and punctuation ignored).
 Numbers, units after numbers and names (capitalised inside a sentence) turn into typed
 placeholders. Windows of ``WINDOW`` template tokens of the documents are hash-joined with
 those of the benchmark; windows on one alignment (same shift between document and item)
 must fill the item's slots consistently: the same value always with the same value, one
-to one. So a copied question is found, and also one with other numbers or names.
+to one. So a copied question is found, and also one with other numbers or names. The plain
+tokens are a second reading: their windows must be equal, and any of them counts, so that
+items of numbers only or of a few tokens are found where they are copied.
 """
 
 from __future__ import annotations
@@ -20,8 +23,8 @@ from pyspark.sql import functions as F
 from .common import _VAL, Scratch, _powers, mix, python_workers, read, text_slices, windows
 
 WINDOW = 8        # template tokens of a window
-MIN_WORDS = 4     # tokens of a window that are no placeholders
-MIN_TOKENS = 5    # shorter items cannot be told from chance; they are not searched
+MIN_WORDS = 4     # tokens of a template window that are no placeholders
+MIN_TOKENS = 5    # shorter items have no template window
 MIN_COVER = 0.3   # share of an item's windows from which a document is contaminated
 BROADCAST_WINDOWS = 2_000_000  # benchmark windows (8 bytes each) up to which documents are sieved by a broadcast set
 UNITS = "mm cm m km in ft mi mg g kg lb oz ml l s min h ms hour hours minute minutes second seconds day days week weeks month months year years percent dollars dollar euros euro cents meters metres kilometers kilometres miles feet inches grams kilograms pounds liters litres degrees".split()
@@ -36,21 +39,40 @@ _TOK = np.where(_CLS > 0, _VAL[_FOLD], 0).astype(np.uint64)
 _END = np.zeros(256, np.int32)
 _END[[10, 33, 46, 58, 63]] = 1  # \n ! . : ?
 _NUM, _UNIT, _NAME = (np.uint64(x) for x in (11, 13, 17))
+TEMPLATE, PLAIN = 0, 1
+
+
+def _single(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start bytes of the characters of scripts without spaces: Thai, Lao, Tibetan, Burmese,
+    Khmer, Chinese, Japanese; their end bytes; start bytes of the punctuation of these scripts)."""
+    at = np.flatnonzero(buf >= 0xE0)
+    a, b, c = buf[at], *(buf[np.minimum(at + k, len(buf) - 1)] for k in (1, 2))
+    one = ((a == 0xE0) & (b >= 0xB8)) | ((a == 0xE1) & ((b == 0x80) | (b == 0x81) | ((b == 0x82) & (c < 0xA0)) | (b == 0x9E) | (b == 0x9F))) \
+        | ((a == 0xE3) & (b >= 0x81)) | ((a >= 0xE4) & (a <= 0xE9)) | ((a == 0xF0) & (b >= 0xA0)) \
+        | ((a == 0xEF) & (((b >= 0xA4) & (b <= 0xAB)) | ((b == 0xBD) & (c >= 0xA6)) | (b == 0xBE) | ((b == 0xBC) & (c >= 0x90) & (c <= 0x99))))
+    mark = ((a == 0xE3) & (b == 0x80)) | ((a == 0xEF) & (((b == 0xBC) & ((c < 0x90) | (c > 0x99))) | ((b == 0xBD) & (c < 0xA6))))
+    return at[one], at[one] + np.where(a[one] == 0xF0, 4, 3), at[mark]
 
 
 def _tokens(buf: np.ndarray, off: np.ndarray):
     """(hash, start byte, class of each token, first token of each row + end)."""
     n = len(buf)
     cls = _CLS[buf]
+    char, end, mark = _single(buf)
+    for k in range(3):
+        cls[mark + k] = 0
     start = cls > 0
     start[1:] &= cls[1:] != cls[:-1]
     rows = off[:-1][off[:-1] < n]
     start[rows] = cls[rows] > 0
+    start[char] = True
+    end = end[end < n]
+    start[end] = cls[end] > 0
     starts = np.flatnonzero(start)
     if not len(starts):
         return np.zeros(0, np.uint64), starts, np.zeros(0, np.uint8), np.zeros(len(off), np.int64)
     up, down = _powers(n)
-    return mix(np.add.reduceat(_TOK[buf] * up[:n], starts) * down[starts]), starts, cls[starts], np.searchsorted(starts, off)
+    return mix(np.add.reduceat(np.where(cls > 0, _TOK[buf], np.uint64(0)) * up[:n], starts) * down[starts]), starts, cls[starts], np.searchsorted(starts, off)
 
 
 def _hash_of(words: list[str]) -> np.ndarray:
@@ -61,11 +83,12 @@ def _hash_of(words: list[str]) -> np.ndarray:
 _UNIT_HASHES = np.sort(_hash_of(UNITS))
 
 
-def template(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(template token hashes, slot values (0: no slot), first token of each row + end)."""
+def readings(buf: np.ndarray, off: np.ndarray) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """((token hashes, slot values (0: no slot)) of each reading, first token of each row + end)."""
     h, starts, cls, first = _tokens(buf, off)
+    plain = h, np.zeros(len(h), np.uint64)
     if not len(h):
-        return h, h, first
+        return [plain, plain], first
     ends = np.concatenate([[0], np.cumsum(_END[buf])])[starts]
     opens = np.ones(len(h), bool)                     # first of a sentence
     opens[1:] = ends[1:] != ends[:-1]
@@ -79,11 +102,12 @@ def template(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     name = ~opens & (((lead >= 65) & (lead <= 90)) | ((lead == 0xC3) & (nxt >= 0x80) & (nxt <= 0x9E))) & ~unit
     t = h.copy()
     t[num], t[unit], t[name] = _NUM, _UNIT, _NAME
-    return t, np.where(num | unit | name, h, np.uint64(0)), first
+    return [(t, np.where(num | unit | name, h, np.uint64(0))), plain], first
 
 
-def _windows(batches: Iterator[pa.RecordBatch], sizes: list[int], sieve: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-    """Rows (id, pos, size, hash, slots) of all windows with ``MIN_WORDS`` words, or of those in the sieve."""
+def _windows(batches: Iterator[pa.RecordBatch], wanted: list[tuple[int, int]], sieve: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """Rows (id, pos, mode, size, hash, slots) of all windows of the wanted readings and
+    sizes, or of those in the sieve; ``PLAIN`` ones need not have ``MIN_WORDS`` words."""
     table = None
     if sieve is not None:
         table = np.zeros(1 << 22, bool)
@@ -91,16 +115,18 @@ def _windows(batches: Iterator[pa.RecordBatch], sizes: list[int], sieve: np.ndar
     for batch in batches:
         ids = batch.column(0)
         for i, j, buf, off in text_slices(batch.column(1)):
-            t, slot, first = template(buf, off)
-            words = np.concatenate([[0], np.cumsum(slot == 0)])
+            modes, first = readings(buf, off)
             count = np.diff(first)
-            for k in sizes:
+            for mode, k in wanted:
+                t, slot = modes[mode]
                 w = windows(t, k)
                 if not len(w):
                     continue
                 ok = table[w >> np.uint64(42)] if table is not None else np.ones(len(w), bool)
                 at = np.flatnonzero(ok)
-                at = at[words[at + k] - words[at] >= min(MIN_WORDS, k)]
+                if mode != PLAIN:
+                    words = np.concatenate([[0], np.cumsum(slot == 0)])
+                    at = at[words[at + k] - words[at] >= min(MIN_WORDS, k)]
                 if sieve is not None and len(at):
                     at = at[sieve[np.minimum(np.searchsorted(sieve, w[at]), len(sieve) - 1)] == w[at]]
                 row = np.searchsorted(first, at, "right") - 1
@@ -111,58 +137,60 @@ def _windows(batches: Iterator[pa.RecordBatch], sizes: list[int], sieve: np.ndar
                     continue
                 slots = slot[at[:, None] + np.arange(k)].view(np.int64)
                 yield pa.record_batch([
-                    ids.take(pa.array(i + row)), pa.array(at - first[row]), pa.array(np.full(len(at), k, np.int32)),
+                    ids.take(pa.array(i + row)), pa.array(at - first[row]), pa.array(np.full(len(at), mode, np.int32)), pa.array(np.full(len(at), k, np.int32)),
                     pa.array(w[at].view(np.int64)), pa.ListArray.from_arrays(
                         pa.array(np.arange(0, k * len(at) + 1, k, dtype=np.int32)), pa.array(slots.ravel())),
-                    pa.array(count[row])], names=["id", "pos", "size", "hash", "slots", "tokens"])
+                    pa.array(count[row])], names=["id", "pos", "mode", "size", "hash", "slots", "tokens"])
 
 
-_SCHEMA = "id long, pos long, size int, hash long, slots array<long>, tokens long"
+_SCHEMA = "id long, pos long, mode int, size int, hash long, slots array<long>, tokens long"
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, n_windows, item_windows, cover, n_slots, kind): a row for each
     document and item of which it holds ``MIN_COVER`` of the windows or more with
-    consistent slots. kind is ``exact`` if all slots have the item's values, else
-    ``changed``. Null and empty texts, on either side, and items of fewer than
-    ``MIN_TOKENS`` tokens match nothing; an empty table on either side gives no rows.
+    consistent slots, in the reading that covers most. kind is ``exact`` if all slots have
+    the item's values, else ``changed``. An item of fewer than ``MIN_TOKENS`` tokens is
+    found wherever its tokens stand in a row, however common they are. Null and empty
+    texts, on either side, match nothing; an empty table on either side gives no rows.
     Several equal items each match; repeated ids count as one document."""
     spark: SparkSession = docs.sparkSession
     python_workers(spark)
     scratch = Scratch(spark, "decontam")
     items = benchmark.select(F.col(item_col).cast("long"), F.col(item_text).cast("string")).where(f"{item_col} IS NOT NULL")
-    sizes = list(range(MIN_TOKENS, WINDOW + 1))
-    q = items.mapInArrow(lambda b: _windows(b, sizes, None), _SCHEMA)
+    offered = [(TEMPLATE, k) for k in range(MIN_TOKENS, WINDOW + 1)] + [(PLAIN, k) for k in range(1, WINDOW + 1)]
+    q = items.mapInArrow(lambda b: _windows(b, offered, None), _SCHEMA)
     q = scratch.save(q.where(f"size = least(tokens, {WINDOW})").selectExpr(
-        "id AS item_id", "pos AS q_pos", "size", "hash", "slots AS q_slots"), "items")
-    per_item = q.groupBy("item_id").agg(F.countDistinct("q_pos").alias("item_windows"))
+        "id AS item_id", "pos AS q_pos", "mode", "size", "hash", "slots AS q_slots"), "items")
+    per_item = q.groupBy("item_id", "mode").agg(F.countDistinct("q_pos").alias("item_windows"))
     n = q.select("hash").distinct().limit(BROADCAST_WINDOWS + 1).count()
-    used = [r.size for r in q.select("size").distinct().collect()]
+    used = sorted((r["mode"], r["size"]) for r in q.select("mode", "size").distinct().collect())
     sieve = None
     if n <= BROADCAST_WINDOWS:
         sieve = spark.sparkContext.broadcast(
             np.unique(np.array([r.hash for r in q.select("hash").distinct().collect()], np.int64).view(np.uint64)))
     src = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).where(F.col(id_col).isNotNull())
-    hits = src.mapInArrow(lambda b: _windows(b, sorted(used), sieve.value if sieve else None), _SCHEMA) if n else \
+    hits = src.mapInArrow(lambda b: _windows(b, used, sieve.value if sieve else None), _SCHEMA) if n else \
         spark.createDataFrame([], _SCHEMA)
     small = F.broadcast(q) if n <= BROADCAST_WINDOWS // 20 else q
-    joined = hits.join(small, ["hash", "size"])
+    joined = hits.join(small, ["hash", "size", "mode"])
     pairs = F.filter(F.arrays_zip("q_slots", "slots"), lambda x: x["q_slots"] != 0)
     # an alignment has at most one value per token of the item: its slot pairs are bounded by the item
-    runs = joined.withColumn("shift", F.expr("pos - q_pos")).groupBy("id", "item_id", "shift").agg(
+    runs = joined.withColumn("shift", F.expr("pos - q_pos")).groupBy("id", "item_id", "mode", "shift").agg(
         F.collect_set("q_pos").alias("at"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
     one_to_one = (F.size(F.array_distinct(F.col("pairs.q_slots"))) == F.size("pairs")) & \
         (F.size(F.array_distinct(F.col("pairs.slots"))) == F.size("pairs"))
     runs = runs.where(one_to_one)
-    found = runs.select("id", "item_id", F.explode("at").alias("q_pos"), F.size("pairs").alias("k"),
+    found = runs.select("id", "item_id", "mode", F.explode("at").alias("q_pos"), F.size("pairs").alias("k"),
                         F.forall("pairs", lambda x: x["q_slots"] == x["slots"]).alias("same"))
-    found = found.groupBy("id", "item_id").agg(
+    found = found.groupBy("id", "item_id", "mode").agg(
         F.countDistinct("q_pos").alias("n_windows"), F.max("k").cast("long").alias("n_slots"), F.min("same").alias("same"))
-    out = found.join(F.broadcast(per_item) if n <= BROADCAST_WINDOWS // 20 else per_item, "item_id")
+    out = found.join(F.broadcast(per_item) if n <= BROADCAST_WINDOWS // 20 else per_item, ["item_id", "mode"])
     out = out.withColumn("cover", F.col("n_windows") / F.col("item_windows")).where(F.col("cover") >= MIN_COVER)
-    return out.select(F.col("id").alias("doc_id"), "item_id", "n_windows", "item_windows", "cover", "n_slots",
-                      F.when(F.col("same"), "exact").otherwise("changed").alias("kind"))
+    row = F.struct("n_windows", "item_windows", "cover", "n_slots", F.when(F.col("same"), "exact").otherwise("changed").alias("kind"))
+    best = out.groupBy(F.col("id").alias("doc_id"), "item_id").agg(F.max_by(row, F.struct("cover", -F.col("mode"))).alias("best"))
+    return best.select("doc_id", "item_id", "best.*")
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:

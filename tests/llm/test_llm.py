@@ -329,6 +329,19 @@ def test_decontamination(spark, empty):
     assert decontam.contaminated(df, bench.limit(0)).count() == 0
 
 
+def decontaminated(spark, rows, items):
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r.doc_id, r.item_id): r.kind for r in decontam.contaminated(df, bench).collect()}
+
+
+def test_decontamination_without_template_windows(spark):
+    """Items of numbers, of few tokens and of scripts without spaces."""
+    items = ["Compute 3 + 4 - 5 * 6 / 7", "Oslo Bergen, Narvik", "北京是中国的首都，它有多少人口？", "กรุงเทพเป็นเมืองหลวง", "1 20 33 47 5 6 71 8 9 100 11 12"]
+    got = decontaminated(spark, [f"Some text before: {x} And after." for x in items] + ["我们说：" + items[2][:-1] + "很多。", "Compute 3 + 4 - 5 * 6 / 8", "上海不是"], items)
+    assert got == {(i, i): "exact" for i in range(5)} | {(5, 2): "exact"}
+
+
 def test_decontamination_finds_planted(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     b = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
