@@ -4,9 +4,9 @@ Texts become tokens (runs of letters, runs of digits, single characters of scrip
 without spaces; case and punctuation ignored).
 Numbers, units after numbers and names (capitalised inside a sentence) turn into typed
 placeholders. Windows of ``WINDOW`` template tokens of the documents are hash-joined with
-those of the benchmark; windows on one alignment (same shift between document and item)
-must fill the item's slots consistently: the same value always with the same value, one
-to one. So a copied question is found, and also one with other numbers or names. The plain
+those of the benchmark; a window must fill the item's slots consistently: a value that
+stands twice in it is the same value twice. Different values may become equal, and other
+windows may fill their slots otherwise. So a copied question is found, and also one with other numbers or names. The plain
 tokens are a second reading: their windows must be equal, and any of them counts, so that
 items of numbers only or of a few tokens are found where they are copied.
 """
@@ -150,8 +150,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                  item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, n_windows, item_windows, cover, n_slots, kind): a row for each
     document and item of which it holds ``MIN_COVER`` of the windows or more with
-    consistent slots, in the reading that covers most. kind is ``exact`` if all slots have
-    the item's values, else ``changed``. An item of fewer than ``MIN_TOKENS`` tokens is
+    consistent slots, in the reading that covers most. kind is ``exact`` if each
+    window found also stands there with the item's values, else ``changed``. An item of fewer than ``MIN_TOKENS`` tokens is
     found wherever its tokens stand in a row, however common they are. Null and empty
     texts, on either side, match nothing; an empty table on either side gives no rows.
     Several equal items each match; repeated ids count as one document."""
@@ -176,16 +176,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     small = F.broadcast(q) if n <= BROADCAST_WINDOWS // 20 else q
     joined = hits.join(small, ["hash", "size", "mode"])
     pairs = F.filter(F.arrays_zip("q_slots", "slots"), lambda x: x["q_slots"] != 0)
-    # an alignment has at most one value per token of the item: its slot pairs are bounded by the item
+    joined = joined.withColumn("pairs", F.array_distinct(pairs))
+    joined = joined.where(F.size(F.array_distinct(F.col("pairs.q_slots"))) == F.size("pairs"))
+    joined = joined.withColumn("same", F.forall("pairs", lambda x: x["q_slots"] == x["slots"]))
+    # an alignment (shift) has at most one value per token of the item: its slot pairs are bounded by the item
     runs = joined.withColumn("shift", F.expr("pos - q_pos")).groupBy("id", "item_id", "mode", "shift").agg(
-        F.collect_set("q_pos").alias("at"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
-    one_to_one = (F.size(F.array_distinct(F.col("pairs.q_slots"))) == F.size("pairs")) & \
-        (F.size(F.array_distinct(F.col("pairs.slots"))) == F.size("pairs"))
-    runs = runs.where(one_to_one)
-    found = runs.select("id", "item_id", "mode", F.explode("at").alias("q_pos"), F.size("pairs").alias("k"),
-                        F.forall("pairs", lambda x: x["q_slots"] == x["slots"]).alias("same"))
+        F.collect_set(F.struct("q_pos", "same")).alias("at"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
+    found = runs.select("id", "item_id", "mode", F.explode("at").alias("at"), F.size("pairs").alias("k"))
     found = found.groupBy("id", "item_id", "mode").agg(
-        F.countDistinct("q_pos").alias("n_windows"), F.max("k").cast("long").alias("n_slots"), F.min("same").alias("same"))
+        F.size(F.collect_set("at.q_pos")).cast("long").alias("n_windows"), F.max("k").cast("long").alias("n_slots"),
+        F.size(F.collect_set(F.when(F.col("at.same"), F.col("at.q_pos")))).alias("n_same"))
+    found = found.withColumn("same", F.col("n_same") == F.col("n_windows"))
     out = found.join(F.broadcast(per_item) if n <= BROADCAST_WINDOWS // 20 else per_item, ["item_id", "mode"])
     out = out.withColumn("cover", F.col("n_windows") / F.col("item_windows")).where(F.col("cover") >= MIN_COVER)
     row = F.struct("n_windows", "item_windows", "cover", "n_slots", F.when(F.col("same"), "exact").otherwise("changed").alias("kind"))

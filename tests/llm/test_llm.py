@@ -342,6 +342,18 @@ def test_decontamination_without_template_windows(spark):
     assert got == {(i, i): "exact" for i in range(5)} | {(5, 2): "exact"}
 
 
+def test_decontamination_judges_windows(spark):
+    """One of two mentions changes, two values become equal, one value gets two."""
+    item = "Anna bought 12 apples for 3 dollars and gave Peter 5 apples before Anna went home again yesterday evening."
+    broken = item.replace("before Anna", "before Maria")
+    equal = item.replace("12", "5").replace(" 3 ", " 5 ")
+    swapped = item.replace("12 apples for 3", "12 apples for 12").replace("Anna went", "Peter went").replace("gave Peter", "gave Anna")
+    roles = "A farmer has 3 cows in the barn and then each of these cows drinks about 3 buckets of fresh water every day"
+    rows = [broken, equal, swapped, roles.replace("has 3", "has 8").replace("about 3", "about 5"), "12 apples for 3 dollars", item]
+    got = decontaminated(spark, rows, [item, roles])
+    assert got == {(0, 0): "changed", (1, 0): "changed", (2, 0): "changed", (3, 1): "changed", (5, 0): "exact"}
+
+
 def test_decontamination_finds_planted(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     b = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
