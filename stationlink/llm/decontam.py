@@ -6,9 +6,12 @@ Numbers, units after numbers and names (capitalised inside a sentence) turn into
 placeholders. Windows of ``WINDOW`` template tokens of the documents are hash-joined with
 those of the benchmark; a window must fill the item's slots consistently: a value that
 stands twice in it is the same value twice. Different values may become equal, and other
-windows may fill their slots otherwise. So a copied question is found, and also one with other numbers or names. The plain
-tokens are a second reading: their windows must be equal, and any of them counts, so that
-items of numbers only or of a few tokens are found where they are copied.
+windows may fill their slots otherwise. So a copied question is found, and also one with
+other numbers or names. There are two more readings. One has no names, so that it does not
+depend on capitals. The plain tokens are the other: their windows must be equal, and any of
+them counts, so that items of numbers only or of a few tokens are found where they are
+copied. An item's first token is a word; in a document each window with a name in front
+is read with a word there, too.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import _VAL, Scratch, _powers, mix, python_workers, read, text_slices, windows
+from .common import _MUL, _VAL, Scratch, _powers, mix, python_workers, read, text_slices, windows
 
 WINDOW = 8        # template tokens of a window
 MIN_WORDS = 4     # tokens of a template window that are no placeholders
@@ -39,7 +42,7 @@ _TOK = np.where(_CLS > 0, _VAL[_FOLD], 0).astype(np.uint64)
 _END = np.zeros(256, np.int32)
 _END[[10, 33, 46, 58, 63]] = 1  # \n ! . : ?
 _NUM, _UNIT, _NAME = (np.uint64(x) for x in (11, 13, 17))
-TEMPLATE, PLAIN = 0, 1
+TEMPLATE, PLAIN, FOLDED, LED = range(4)  # LED: template windows with a name in front, read as a word
 
 
 def _single(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -88,7 +91,7 @@ def readings(buf: np.ndarray, off: np.ndarray) -> tuple[list[tuple[np.ndarray, n
     h, starts, cls, first = _tokens(buf, off)
     plain = h, np.zeros(len(h), np.uint64)
     if not len(h):
-        return [plain, plain], first
+        return [plain] * 4, first
     ends = np.concatenate([[0], np.cumsum(_END[buf])])[starts]
     opens = np.ones(len(h), bool)                     # first of a sentence
     opens[1:] = ends[1:] != ends[:-1]
@@ -102,7 +105,17 @@ def readings(buf: np.ndarray, off: np.ndarray) -> tuple[list[tuple[np.ndarray, n
     name = ~opens & (((lead >= 65) & (lead <= 90)) | ((lead == 0xC3) & (nxt >= 0x80) & (nxt <= 0x9E))) & ~unit
     t = h.copy()
     t[num], t[unit], t[name] = _NUM, _UNIT, _NAME
-    return [(t, np.where(num | unit | name, h, np.uint64(0))), plain], first
+    slot = np.where(num | unit | name, h, np.uint64(0))
+    return [(t, slot), plain, (np.where(name, h, t), np.where(name, np.uint64(0), slot)), (t, slot)], first
+
+
+def _led(t: np.ndarray, lead: np.ndarray, k: int) -> np.ndarray:
+    """``windows`` of tokens of which the first is taken from ``lead``."""
+    n = max(len(t) - k + 1, 0)
+    out = lead[:n].copy()
+    for i in range(1, k):
+        out = out * _MUL + t[i:i + n]
+    return mix(out)
 
 
 def _windows(batches: Iterator[pa.RecordBatch], wanted: list[tuple[int, int]], sieve: np.ndarray | None) -> Iterator[pa.RecordBatch]:
@@ -119,14 +132,14 @@ def _windows(batches: Iterator[pa.RecordBatch], wanted: list[tuple[int, int]], s
             count = np.diff(first)
             for mode, k in wanted:
                 t, slot = modes[mode]
-                w = windows(t, k)
+                w = _led(t, modes[PLAIN][0], k) if mode == LED else windows(t, k)
                 if not len(w):
                     continue
                 ok = table[w >> np.uint64(42)] if table is not None else np.ones(len(w), bool)
-                at = np.flatnonzero(ok)
+                at = np.flatnonzero(ok & (t[:len(w)] == _NAME)) if mode == LED else np.flatnonzero(ok)
                 if mode != PLAIN:
                     words = np.concatenate([[0], np.cumsum(slot == 0)])
-                    at = at[words[at + k] - words[at] >= min(MIN_WORDS, k)]
+                    at = at[words[at + k] - words[at] + (mode == LED) >= min(MIN_WORDS, k)]
                 if sieve is not None and len(at):
                     at = at[sieve[np.minimum(np.searchsorted(sieve, w[at]), len(sieve) - 1)] == w[at]]
                 row = np.searchsorted(first, at, "right") - 1
@@ -136,8 +149,10 @@ def _windows(batches: Iterator[pa.RecordBatch], wanted: list[tuple[int, int]], s
                 if not len(at):
                     continue
                 slots = slot[at[:, None] + np.arange(k)].view(np.int64)
+                if mode == LED:
+                    slots[:, 0] = 0
                 yield pa.record_batch([
-                    ids.take(pa.array(i + row)), pa.array(at - first[row]), pa.array(np.full(len(at), mode, np.int32)), pa.array(np.full(len(at), k, np.int32)),
+                    ids.take(pa.array(i + row)), pa.array(at - first[row]), pa.array(np.full(len(at), TEMPLATE if mode == LED else mode, np.int32)), pa.array(np.full(len(at), k, np.int32)),
                     pa.array(w[at].view(np.int64)), pa.ListArray.from_arrays(
                         pa.array(np.arange(0, k * len(at) + 1, k, dtype=np.int32)), pa.array(slots.ravel())),
                     pa.array(count[row])], names=["id", "pos", "mode", "size", "hash", "slots", "tokens"])
@@ -159,13 +174,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     python_workers(spark)
     scratch = Scratch(spark, "decontam")
     items = benchmark.select(F.col(item_col).cast("long"), F.col(item_text).cast("string")).where(f"{item_col} IS NOT NULL")
-    offered = [(TEMPLATE, k) for k in range(MIN_TOKENS, WINDOW + 1)] + [(PLAIN, k) for k in range(1, WINDOW + 1)]
+    offered = [(m, k) for m in (TEMPLATE, FOLDED) for k in range(MIN_TOKENS, WINDOW + 1)] + [(PLAIN, k) for k in range(1, WINDOW + 1)]
     q = items.mapInArrow(lambda b: _windows(b, offered, None), _SCHEMA)
     q = scratch.save(q.where(f"size = least(tokens, {WINDOW})").selectExpr(
         "id AS item_id", "pos AS q_pos", "mode", "size", "hash", "slots AS q_slots"), "items")
     per_item = q.groupBy("item_id", "mode").agg(F.countDistinct("q_pos").alias("item_windows"))
     n = q.select("hash").distinct().limit(BROADCAST_WINDOWS + 1).count()
     used = sorted((r["mode"], r["size"]) for r in q.select("mode", "size").distinct().collect())
+    used += [(LED, k) for m, k in used if m == TEMPLATE]
     sieve = None
     if n <= BROADCAST_WINDOWS:
         sieve = spark.sparkContext.broadcast(

@@ -354,6 +354,15 @@ def test_decontamination_judges_windows(spark):
     assert got == {(0, 0): "changed", (1, 0): "changed", (2, 0): "changed", (3, 1): "changed", (5, 0): "exact"}
 
 
+def test_decontamination_ignores_case(spark):
+    item = "Anna bought 12 apples for 3 dollars and gave Peter 5 apples before Anna went home again yesterday evening."
+    short = "Which river does Anna cross at night?"
+    rows = [item.lower(), item.upper(), item.lower().replace("12", "70"), "then he asked me, Which river does Anna cross at night?",
+            "then he asked me, Which river does Maria cross at night?", "which river is that"]
+    got = decontaminated(spark, rows, [item, short])
+    assert got == {(0, 0): "exact", (1, 0): "exact", (2, 0): "changed", (3, 1): "exact", (4, 1): "changed"}
+
+
 def test_decontamination_finds_planted(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     b = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
