@@ -1,7 +1,8 @@
 """Line deduplication by a segment-partition edit join, with DataFrame functions only.
 
 Lines of ``MIN_CHARS`` or more code points within ``TAU`` edits (insert, delete, replace)
-are linked; of each component of links only the first occurrence (smallest doc_id, then
+are linked, and lines of ``LONG_CHARS`` or more also within one edit of a whole word for
+each ``WORDS_AN_EDIT`` words (between spaces) of the line that allows more. Of each component of links only the first occurrence (smallest doc_id, then
 line number) stays. Steps:
 
 1. Equal lines become one (64-bit hash of the line: two different lines among 10^9 share
@@ -10,9 +11,11 @@ line number) stays. Steps:
    segment). Two lines within TAU edits share one segment, so a line of length L probes
    the entries of lengths L - TAU .. L with the few substrings whose position can still
    be right (bounds from the edits left and right of the segment).
-3. Lines that meet under an entry and whose ``pair_parities`` allow it are compared with
-   a banded bit-parallel edit distance. ``links.link_buckets`` does so without pairing
-   whole buckets of near copies.
+3. Two lines within the word edits share a run of ``RUN`` words at least. Of the hashes of
+   any ``SHINGLE`` words in a row, the smallest in each run is an entry and a probe.
+4. Lines that meet under an entry and whose parities allow it are compared with a banded
+   bit-parallel edit distance, and word by word. ``links.link_buckets`` does so without
+   pairing whole buckets of near copies.
 """
 
 from __future__ import annotations
@@ -27,6 +30,10 @@ from .neardup import semi_by_id
 TAU = 2
 MIN_CHARS = 20
 PIECES = 10  # of the cheap test before the edit distance
+LONG_CHARS = 80
+WORDS_AN_EDIT = 16
+RUN = 8      # m words with at most t = m DIV 16 edited have a run of (m - t) / (t + 1) others, 8 or more
+SHINGLE = 4
 
 
 def let(df: DataFrame, **cols: Column) -> DataFrame:
@@ -55,6 +62,32 @@ def segment_keys(line: str, length: str, tau: int = TAU) -> Column:
     return F.expr(f"array({', '.join(index + probes)})")
 
 
+def word_keys(line: str) -> Column:
+    """Array of keys of a line of ``WORDS_AN_EDIT`` - 1 words or more: the smallest shingle of each run."""
+    gram = f"transform(sequence(0, size(h) - {SHINGLE}), i -> xxhash64({', '.join(f'h[i + {k}]' for k in range(SHINGLE))}))"
+    width = RUN - SHINGLE + 1
+    least = f"transform(sequence(1, size(g) - {width - 1}), i -> array_min(slice(g, i, {width})))"
+    return F.expr(f"""transform(array(transform(split({line}, ' '), x -> xxhash64(x))), h ->
+        IF(size(h) < {WORDS_AN_EDIT - 1}, CAST(array() AS ARRAY<BIGINT>), transform(array({gram}), g -> array_distinct({least}))[0]))[0]""")
+
+
+def word_edits(line: str) -> Column:
+    """Edits of whole words that a line allows."""
+    return F.expr(f"IF(length({line}) >= {LONG_CHARS}, size(split({line}, ' ')) DIV {WORDS_AN_EDIT}, 0)")
+
+
+def word_parities(line: str) -> Column:
+    """64 bits: the parities of the numbers of words, by their hash. An edit of a word changes two at most."""
+    return F.expr(f"aggregate(split({line}, ' '), 0L, (s, x) -> s ^ shiftleft(1L, CAST(xxhash64(x) & 63 AS INT)))")
+
+
+def words_within(a: str, b: str, tau: str) -> Column:
+    """Whether two lines are within ``tau`` (SQL) edits of words. A word becomes one of 41,984
+    characters by its hash: a changed word goes unseen with probability 2.4e-5."""
+    code = "decode(unhex(array_join(transform(split({}, ' '), x -> hex(13312 + pmod(xxhash64(x), 41984))), '')), 'UTF-16BE')"
+    return F.expr(f"levenshtein({code.format(a)}, {code.format(b)}, CAST({tau} AS INT)) >= 0")
+
+
 def pair_parities(chars: str) -> Column:
     """64 bits for an array of characters: the parities of the numbers of its pairs of
     neighbours, by a hash of the pair. An edit changes four of these numbers at most, so
@@ -108,27 +141,32 @@ def line_marks(docs: DataFrame, tau: int = TAU, id_col: str = "doc_id", text_col
     # one row per distinct line; a very common line is combined before the shuffle
     distinct = scratch.save(
         long.groupBy("id").agg(F.min(F.struct("doc_id", "line_no")).alias("at"), F.count("*").alias("occurs"),
-                               F.first(segment_keys("line", "n", tau)).alias("keys")), "distinct")
-    entry = distinct.select("id", F.explode(F.slice("keys", 1, tau + 1)).alias("key"))
+                               F.first(segment_keys("line", "n", tau)).alias("keys"), F.first(word_keys("line")).alias("words")), "distinct")
+    entry = distinct.select("id", F.explode(F.concat(F.slice("keys", 1, tau + 1), "words")).alias("key"))
     index = entry.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
-    probe = distinct.select("id", F.explode("keys").alias("key")).where("key IS NOT NULL")
+    probe = distinct.select("id", F.explode(F.concat("keys", "words")).alias("key")).where("key IS NOT NULL")
     hits = scratch.save(probe.join(index, "key").where("lo <> hi OR id <> lo").select("key", "id", "lo"), "hits")
     members = scratch.save(hits.select("key", "id").unionByName(hits.select("key", F.col("lo").alias("id"))).distinct(), "members")
     ids = scratch.save(members.select("id").distinct(), "ids")
     text = semi_by_id(long.select("id", "line"), ids, "id").groupBy("id").agg(F.first("line").alias("line"))
-    text = let(let(text, c=F.split("line", "")), sketch=pair_parities("c"))
+    text = let(let(text, c=F.split("line", "")), sketch=F.struct(
+        pair_parities("c").alias("c"), word_parities("line").alias("w"), word_edits("line").alias("t")))
     text = scratch.save(text.select("id", "line", "sketch"), "text")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        p = pairs.join(text.selectExpr("id AS a", "line AS la"), "a").join(text.selectExpr("id AS b", "line AS lb"), "b")
+        p = pairs.join(text.selectExpr("id AS a", "line AS la", "sketch AS sa"), "a").join(
+            text.selectExpr("id AS b", "line AS lb", "sketch AS sb"), "b")
         # an edit touches one of PIECES pieces of a line, the others stand in the other line as they are
         size = f"(length(la) DIV {PIECES})"
         whole = sum((F.expr(f"CAST(contains(lb, substring(la, 1 + {i} * {size}, {size})) AS INT)") for i in range(PIECES)), F.lit(0))
-        near = p.where((F.abs(F.length("la") - F.length("lb")) <= tau) & (whole >= PIECES - tau))
-        return near.where(within("la", "lb", tau)).select("a", "b")
+        near = (F.abs(F.length("la") - F.length("lb")) <= tau) & (whole >= PIECES - tau) & within("la", "lb", tau)
+        return p.where(near | (F.expr(may_words("sa", "sb")) & words_within("la", "lb", "greatest(sa.t, sb.t)"))).select("a", "b")
+
+    def may_words(x: str, y: str) -> str:
+        return f"(greatest({x}.t, {y}.t) > 0 AND bit_count({x}.w ^ {y}.w) <= 2 * greatest({x}.t, {y}.t))"
 
     comp, _ = link_buckets(members.join(text.select("id", "sketch"), "id").select("key", "id", "sketch"), verify, scratch,
-                           python=False, may=lambda x, y: f"bit_count({x} ^ {y}) <= {4 * tau}")
+                           python=False, may=lambda x, y: f"(bit_count({x}.c ^ {y}.c) <= {4 * tau} OR {may_words(x, y)})")
     scratch.drop(hits, members, ids, text)
     known = distinct.select("id", "at", "occurs").join(comp, "id", "left").select(
         "id", "at", "occurs", F.coalesce("comp", "id").alias("class_id"))

@@ -246,6 +246,37 @@ def test_line_dedup_against_all_pairs(spark, empty):
     assert linededup.line_marks(empty).count() == 0 and linededup.dedup_lines(empty).count() == 0
 
 
+def test_long_lines_with_changed_words(spark):
+    """Against all pairs of long lines: word edits up to a sixteenth of the words are linked, more are not."""
+    r = random.Random(17)
+    lines = []
+    for i in range(25):
+        base = prose(500 + i, r.choice([16, 20, 31, 32, 50, 70, 130])).split()
+        lines.append(" ".join(base))
+        for n in (1, len(base) // 16, len(base) // 16 + 1, len(base) // 8 + 1):
+            w = list(base)
+            for k in r.sample(range(len(w)), n):
+                w[k] = r.choice([f"replacement{k}", w[k] + f" extra{k}", ""]) if k else f"changed{i}"
+            lines.append(" ".join(w).replace("  ", " "))
+    lines = list(dict.fromkeys(lines))
+    up = list(range(len(lines)))
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+    for i, a in enumerate(lines):
+        for k, b in enumerate(lines[:i]):
+            t = max(len(x.split(" ")) // 16 if len(x) >= 80 else 0 for x in (a, b))
+            if edits(a.split(" "), b.split(" ")) <= t or (abs(len(a) - len(b)) <= 2 and edits(a, b) <= 2):
+                x, y = root(i), root(k)
+                up[max(x, y)] = min(x, y)
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    got = {x.doc_id: x.kept for x in linededup.line_marks(df).collect()}
+    assert got == {i: root(i) == i for i in range(len(lines))}
+    assert 25 < sum(got.values()) < len(lines) - 25
+
+
 def test_quality_base_counts(docs, empty):
     got = {r.doc_id: r for r in quality_rules.quality_verdicts(docs).collect()}
     for i, t in texts(docs).items():
