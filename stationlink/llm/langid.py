@@ -3,8 +3,9 @@ n-grams (1 to 3), trained with follow-the-regularised-leader (elastic net), then
 temperature calibration.
 
 Document frequencies are counted over all labelled documents. The regression is fitted on
-a sample of at most ``SAMPLE`` of them, spread evenly over the (at most 300) languages; sampled rows
-are those with the smallest hash of their id. A text's term frequencies are its n-gram
+a sample of about ``SAMPLE`` of them, spread evenly over all languages, or of about
+``LEAST`` a language if that is more; sampled rows are those with the smallest hash of
+their id. A text's term frequencies are its n-gram
 counts over their number, so its scores are means over its n-grams, and whole texts of
 any length are scored in one pass.
 """
@@ -22,6 +23,7 @@ from .common import crc_mod, python_workers, read
 
 DIMS = 1 << 14
 SAMPLE = 3000
+LEAST = 10       # rows of a language, where there are so many
 SCALE = 30.0     # of the TF-IDF values
 ALPHA, BETA, L1, L2, EPOCHS = 0.3, 1.0, 1e-4, 1e-5, 5
 SLICE = 1 << 18  # characters worked on at once
@@ -164,19 +166,19 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     src = src.withColumn("held_out", F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False)))
     learn = src.where("NOT held_out AND lang IS NOT NULL AND doc_id IS NOT NULL AND text IS NOT NULL")
     freq = dict(learn.select("text").mapInArrow(_doc_freq, "bucket long, n long").groupBy("bucket").agg(F.sum("n")).collect())
-    counts = {r.lang: r["count"] for r in learn.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(SAMPLE // 10).collect()}
+    counts = {r.lang: r["count"] for r in learn.groupBy("lang").count().collect()}
     langs = sorted(counts)
     weights, bias, temperature = np.zeros((0, DIMS)), np.zeros(0), 1.0
     if langs:
         idf = np.log((1 + freq.get(DIMS, 0)) / (1 + np.array([freq.get(i, 0) for i in range(DIMS)]))) + 1
-        each = SAMPLE // len(langs)
+        each = max(SAMPLE // len(langs), LEAST)
         # each row's hash against its language's share; the limit cuts what chance adds
         u = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)
         share = F.create_map(*[x for g, n in counts.items() for x in (F.lit(g), F.lit(each / n))])
         sample = learn.where(u < share[F.col("lang")]).select("lang", "text", F.xxhash64("doc_id").alias("o"))
         picked = sample.select("lang", "text").mapInArrow(_features, "lang string, at binary, tf binary")
         rows = []
-        for r in picked.limit(2 * SAMPLE).collect():
+        for r in picked.limit(2 * max(SAMPLE, each * len(langs))).collect():
             at = np.frombuffer(r.at, np.uint16).astype(np.int64)
             rows.append((r.at, r.tf, langs.index(r.lang), at, np.frombuffer(r.tf, np.float32) * idf[at] * SCALE))
         rows.sort(key=lambda r: (r[2], r[0], r[1]))

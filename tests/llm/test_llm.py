@@ -467,6 +467,14 @@ def test_language_id(spark, docs, empty):
     assert {x.lang_pred for x in langid.identify(docs.selectExpr("doc_id", "text", "CAST(NULL AS STRING) lang")).collect()} == {"und"}
 
 
+def test_language_id_learns_every_language(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE", 40)
+    spell = ["".join(chr(97 + (i * 7 + k * (i + 3)) % 26) for k in range(9)) for i in range(8)]
+    rows = [(100 * i + k, f"{w} {w[::-1]} " * 8, f"l{i}") for i, w in enumerate(spell) for k in range(40 - 3 * i)]
+    out = langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert {r.lang_pred for r in out} == {f"l{i}" for i in range(8)}
+
+
 def test_classifier(spark, docs, empty):
     sf = "/root/testdata/sf0.01"
     out = classifier.op1(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").collect()
