@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import classifier, decontam, fingerprint, langid, linededup, lm, neardup, packing, quality_rules, secret_scan, urlfilter
+from . import classifier, decontam, fingerprint, langid, linededup, lm, neardup, packing, quality_rules, secret_scan, urlfilter, whitening
 
 QUERIES = {
     "op1_quality_classifier": classifier.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_minhash_near_dedup": neardup.op8,
     "op9_secret_scan": secret_scan.op9,
     "op10_packing": packing.op10,
+    "op11_embedding_whitening": whitening.op11,
     "op12_document_fingerprints": fingerprint.op12,
 }
 
