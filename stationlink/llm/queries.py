@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import classifier, decontam, fingerprint, langid, linededup, lm, neardup, packing, quality_rules, secret_scan, urlfilter, whitening
+from . import classifier, decontam, fingerprint, langid, linededup, lm, neardup, packing, prefixtrie, quality_rules, secret_scan, urlfilter, whitening
 
 QUERIES = {
     "op1_quality_classifier": classifier.op1,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_packing": packing.op10,
     "op11_embedding_whitening": whitening.op11,
     "op12_document_fingerprints": fingerprint.op12,
+    "op13_conversation_trie": prefixtrie.op13,
 }
 
 ORACLE_SQL: dict[str, str] = {"op7_url_filters": urlfilter.ORACLE}
