@@ -2,20 +2,30 @@
 
 Lines of ``MIN_CHARS`` or more code points within ``TAU`` edits (insert, delete, replace)
 are linked, and lines of ``LONG_CHARS`` or more also within one edit of a whole word for
-each ``WORDS_AN_EDIT`` words (between spaces) of the line that allows more. Of each component of links only the first occurrence (smallest doc_id, then
-line number) stays. Steps:
+each ``WORDS_AN_EDIT`` words (between spaces) of the line that allows more. Of each
+component of links only the first occurrence (smallest doc_id, nulls last, then hash of
+the row, then line number) stays. Steps:
 
 1. Equal lines become one (64-bit hash of the line: two different lines among 10^9 share
-   one with probability 0.03).
+   one with probability 0.03). All that follows is done once for each different line.
 2. A line of length l is cut into TAU + 1 segments, its index entries (l, segment number,
    segment). Two lines within TAU edits share one segment, so a line of length L probes
    the entries of lengths L - TAU .. L with the few substrings whose position can still
-   be right (bounds from the edits left and right of the segment).
-3. Two lines within the word edits share a run of ``RUN`` words at least. Of the hashes of
-   any ``SHINGLE`` words in a row, the smallest in each run is an entry and a probe.
-4. Lines that meet under an entry and whose parities allow it are compared with a banded
-   bit-parallel edit distance, and word by word. ``links.link_buckets`` does so without
-   pairing whole buckets of near copies.
+   be right (bounds from the edits left and right of the segment). Lines of words for
+   2 * TAU edits or more need none: TAU edits touch 2 * TAU words at most.
+3. For the word edits a line is cut into segments that end where a word ends in one of
+   ``ENDS``, so that the cuts stay with the text when words come or go. An edit of a word
+   changes two segments at most. Of t such edits, 2 t + 1 segments in an order of all
+   segments (longer first, then by hash) have one in common with those of the other line.
+   Lines with few cuts do so with t + 1 whole words.
+4. Lines that meet under an entry and whose sketches allow it (length, words, letter
+   counts, parities of segments) are compared: with a banded bit-parallel edit distance,
+   or word by word. ``links.link_buckets`` does so without pairing whole buckets of near
+   copies.
+
+A row is known by the hash of its doc_id and text, so rows that repeat an id, and rows
+without one, have their own lines; rows equal in both keep or lose the same lines.
+Lines below ``MIN_CHARS`` are left alone even when equal.
 """
 
 from __future__ import annotations
@@ -32,8 +42,9 @@ MIN_CHARS = 20
 PIECES = 10  # of the cheap test before the edit distance
 LONG_CHARS = 80
 WORDS_AN_EDIT = 16
-RUN = 8      # m words with at most t = m DIV 16 edited have a run of (m - t) / (t + 1) others, 8 or more
-SHINGLE = 4
+ENDS = "bdfhjlnprtvxz02468"  # of words that end a segment: about half of them
+LETTERS = "etanoirs"         # counted in the sketch of a line
+PARITIES = 2                 # 64-bit words of segment parities in the sketch
 
 
 def let(df: DataFrame, **cols: Column) -> DataFrame:
@@ -62,38 +73,77 @@ def segment_keys(line: str, length: str, tau: int = TAU) -> Column:
     return F.expr(f"array({', '.join(index + probes)})")
 
 
-def word_keys(line: str) -> Column:
-    """Array of keys of a line of ``WORDS_AN_EDIT`` - 1 words or more: the smallest shingle of each run."""
-    gram = f"transform(sequence(0, size(h) - {SHINGLE}), i -> xxhash64({', '.join(f'h[i + {k}]' for k in range(SHINGLE))}))"
-    width = RUN - SHINGLE + 1
-    least = f"transform(sequence(1, size(g) - {width - 1}), i -> array_min(slice(g, i, {width})))"
-    return F.expr(f"""transform(array(transform(split({line}, ' '), x -> xxhash64(x))), h ->
-        IF(size(h) < {WORDS_AN_EDIT - 1}, CAST(array() AS ARRAY<BIGINT>), transform(array({gram}), g -> array_distinct({least}))[0]))[0]""")
+def n_words(line: str) -> str:
+    return f"(length({line}) - length(replace({line}, ' ', '')) + 1)"
 
 
-def word_edits(line: str) -> Column:
-    """Edits of whole words that a line allows."""
-    return F.expr(f"IF(length({line}) >= {LONG_CHARS}, size(split({line}, ' ')) DIV {WORDS_AN_EDIT}, 0)")
+def _ordered(texts: str) -> str:
+    """Keys of texts: the length (up to 127) in the top byte, so that longer ones sort last, and 56 bits of the hash."""
+    return f"transform({texts}, x -> shiftleft(CAST(least(length(x), 127) AS BIGINT), 56) | (xxhash64(x) & {(1 << 56) - 1}))"
 
 
-def word_parities(line: str) -> Column:
-    """64 bits: the parities of the numbers of words, by their hash. An edit of a word changes two at most."""
-    return F.expr(f"aggregate(split({line}, ' '), 0L, (s, x) -> s ^ shiftleft(1L, CAST(xxhash64(x) & 63 AS INT)))")
+def word_segments(line: str) -> Column:
+    """Keys of the segments of a line, in its order."""
+    return F.expr(_ordered(f"split({line}, '(?<=[{ENDS}]) ')"))
+
+
+def word_keys(line: str, segments: str, words: str) -> Column:
+    """Array of keys of a line that may be within word edits of another, by its segments
+    and number of words. A partner with more words allows (words DIV 15) edits at most."""
+    t = f"({words} DIV {WORDS_AN_EDIT - 1})"
+    top = "slice(sort_array(array_distinct({}), false), 1, {})"
+    few = f"concat({top.format(segments, f'2 * {t} + 1')}, {top.format(_ordered(f'split({line}, {chr(39)} {chr(39)})'), f'{t} + 1')})"
+    return F.expr(f"""CASE WHEN {t} = 0 THEN CAST(array() AS ARRAY<BIGINT>)
+        WHEN size({segments}) > 3 * {t} THEN {top.format(segments, f'2 * {t} + 1')} ELSE {few} END""")
+
+
+def word_edits(length: str, words: str) -> str:
+    """SQL: edits of whole words that a line allows."""
+    return f"IF({length} >= {LONG_CHARS}, {words} DIV {WORDS_AN_EDIT}, 0)"
+
+
+def sketch(line: str, length: str, words: str, segments: str) -> Column:
+    """n: code points, m: words, c: counts of LETTERS (modulo 256, a byte each), p0 ..: parities of the
+    numbers of segments by their hash. An edit changes two counts by one at most, an edit of a word three parities."""
+    counts = " | ".join(f"shiftleft(CAST((length({line}) - length(replace({line}, '{x}', ''))) & 255 AS BIGINT), {8 * i})" for i, x in enumerate(LETTERS))
+    bits = ", ".join(f"'p{k}', aggregate({segments}, 0L, (s, x) -> IF(x & {PARITIES - 1} = {k}, s ^ shiftleft(1L, CAST(shiftright(x, 4) & 63 AS INT)), s))"
+                     for k in range(PARITIES))
+    return F.expr(f"named_struct('n', {length}, 'm', {words}, 'c', {counts}, {bits})")
+
+
+def may_chars(x: str, y: str, tau: int) -> str:
+    """SQL: the sketches allow ``tau`` edits, and word edits do not cover them."""
+    byte = [f"(shiftright({x}.c, {8 * i}) - shiftright({y}.c, {8 * i})) & 255" for i in range(len(LETTERS))]
+    off = " + ".join(f"least({b}, 256 - ({b}))" for b in byte)
+    return f"(abs({x}.n - {y}.n) <= {tau} AND {_allowed(x, y)} < {2 * tau} AND {off} <= {2 * tau})"
+
+
+def _allowed(x: str, y: str) -> str:
+    return f"greatest({word_edits(f'{x}.n', f'{x}.m')}, {word_edits(f'{y}.n', f'{y}.m')})"
+
+
+def may_words(x: str, y: str) -> str:
+    """SQL: the sketches allow the word edits of the line that allows more."""
+    t, off = _allowed(x, y), " + ".join(f"bit_count({x}.p{k} ^ {y}.p{k})" for k in range(PARITIES))
+    return f"({t} > 0 AND abs({x}.m - {y}.m) <= {t} AND {off} <= 3 * {t})"
 
 
 def words_within(a: str, b: str, tau: str) -> Column:
-    """Whether two lines are within ``tau`` (SQL) edits of words. A word becomes one of 41,984
-    characters by its hash: a changed word goes unseen with probability 2.4e-5."""
-    code = "decode(unhex(array_join(transform(split({}, ' '), x -> hex(13312 + pmod(xxhash64(x), 41984))), '')), 'UTF-16BE')"
-    return F.expr(f"levenshtein({code.format(a)}, {code.format(b)}, CAST({tau} AS INT)) >= 0")
+    """Whether two lines are within ``tau`` (SQL) edits of words. A word becomes one of 2^20
+    characters by its hash, in two ways: a changed word goes unseen with probability 2^-40."""
+    def near(seed: int) -> str:
+        code = "decode(unhex(array_join(transform(split({}, ' '), x -> substring(hex(4295032832 + pmod(xxhash64(x, " + str(seed) + "), 1048576)), 2)), '')), 'UTF-32')"
+        return f"levenshtein({code.format(a)}, {code.format(b)}, CAST({tau} AS INT)) >= 0"
+    return F.expr(f"{near(1)} AND {near(2)}")
 
 
-def pair_parities(chars: str) -> Column:
-    """64 bits for an array of characters: the parities of the numbers of its pairs of
-    neighbours, by a hash of the pair. An edit changes four of these numbers at most, so
-    that texts within tau edits differ in 4 * tau bits at most."""
-    return F.expr(f"""aggregate({chars}, named_struct('p', 0, 's', 0L), (s, x) -> named_struct('p', ascii(x),
-        's', s.s ^ shiftleft(1L, (s.p * 31 + ascii(x)) & 63)), s -> s.s)""")
+def uncommon(df: DataFrame, a: str, b: str, out_a: str, out_b: str) -> DataFrame:
+    """Adds the two texts without the pieces (tenths of the shorter) that they begin and end with alike; their edit distance is the same."""
+    df = let(df, _p=F.expr(f"least(length({a}), length({b})) DIV {PIECES}"))
+    df = let(df, _k=F.expr(" + ".join(f"CAST(left({a}, {i} * _p) = left({b}, {i} * _p) AS INT)" for i in range(1, PIECES))),
+             _e=F.expr(" + ".join(f"CAST(right({a}, {i} * _p) = right({b}, {i} * _p) AS INT)" for i in range(1, PIECES))))
+    cut = f"substring({{0}}, _k * _p + 1, length({{0}}) - (_k + least(_e, {PIECES - 1} - _k)) * _p)"
+    return let(df, **{out_a: F.expr(cut.format(a)), out_b: F.expr(cut.format(b))}).drop("_p", "_k", "_e")
 
 
 def within(a: str, b: str, tau: int = TAU) -> Column:
@@ -123,61 +173,73 @@ def within(a: str, b: str, tau: int = TAU) -> Column:
           q -> aggregate(q.x, named_struct('i', 0, 'vp', {vp0}L, 'vn', 0L, 'd', {tau}), (s, x) -> {step}, s -> s.d))[0] <= {tau}""")
 
 
+LAST = (1 << 63) - 1
+
+
+def row_hash(id_col: str, text_col: str) -> Column:
+    return F.xxhash64(F.col(id_col).cast("string"), F.col(text_col).cast("string"))
+
+
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t"))
-    rows = src.where("t IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", F.posexplode(F.split("t", "\n")).alias("line_no", "line"))
+    src = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), row_hash(id_col, text_col).alias("row"),
+                      F.col(text_col).cast("string").alias("t"))
+    rows = src.where("t IS NOT NULL").select("doc", "row", F.posexplode(F.split("t", "\n")).alias("line_no", "line"))
     return let(rows, n=F.length("line"))
 
 
+def _candidates(lines: DataFrame, tau: int, scratch: Scratch) -> DataFrame:
+    """(key, id) of all lines (id, line) that share an index entry with another."""
+    lines = let(lines, n=F.length("line"), m=F.expr(n_words("line")))
+    # lines whose every partner allows 2 * tau edits of words need no edits of characters
+    short = lines.where(f"m < {2 * tau * WORDS_AN_EDIT} OR n < {LONG_CHARS + tau}").select("id", segment_keys("line", "n", tau).alias("keys"))
+    words = let(lines.where(f"m >= {WORDS_AN_EDIT - 1}"), g=word_segments("line")).select("id", word_keys("line", "g", "m").alias("keys"))
+    words = scratch.save(words, "words").select("id", F.explode("keys").alias("key"))
+    entry = short.select("id", F.explode(F.slice("keys", 1, tau + 1)).alias("key")).unionByName(words)
+    index = entry.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+    probe = short.select("id", F.explode("keys").alias("key")).where("key IS NOT NULL").unionByName(words)
+    hits = scratch.save(probe.join(index, "key").where("lo <> hi OR id <> lo").select("key", "id", "lo"), "hits")
+    return scratch.save(hits.select("key", "id").unionByName(hits.select("key", F.col("lo").alias("id"))).distinct(), "members")
+
+
 def line_marks(docs: DataFrame, tau: int = TAU, id_col: str = "doc_id", text_col: str = "text",
                scratch: Scratch | None = None) -> DataFrame:
-    """(doc_id, line_no, chars, class_id, linked, kept) of every line of the texts, split
-    at line feeds. ``linked``: another line equals it or is linked with it. Lines of
-    fewer than ``MIN_CHARS`` code points are kept, unlinked, and have no class."""
+    """(doc_id, row, line_no, chars, class_id, linked, kept) of every line of the texts,
+    split at line feeds; ``row`` is the hash of the row. ``linked``: another line equals it
+    or is linked with it. Lines of fewer than ``MIN_CHARS`` code points are kept, unlinked,
+    and have no class."""
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark, "linededup")
     lines = _lines(docs, id_col, text_col)
     long = let(lines.where(F.col("n") >= MIN_CHARS), id=F.xxhash64("line"))
     # one row per distinct line; a very common line is combined before the shuffle
-    distinct = scratch.save(
-        long.groupBy("id").agg(F.min(F.struct("doc_id", "line_no")).alias("at"), F.count("*").alias("occurs"),
-                               F.first(segment_keys("line", "n", tau)).alias("keys"), F.first(word_keys("line")).alias("words")), "distinct")
-    entry = distinct.select("id", F.explode(F.concat(F.slice("keys", 1, tau + 1), "words")).alias("key"))
-    index = entry.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
-    probe = distinct.select("id", F.explode(F.concat("keys", "words")).alias("key")).where("key IS NOT NULL")
-    hits = scratch.save(probe.join(index, "key").where("lo <> hi OR id <> lo").select("key", "id", "lo"), "hits")
-    members = scratch.save(hits.select("key", "id").unionByName(hits.select("key", F.col("lo").alias("id"))).distinct(), "members")
+    distinct = scratch.save(long.groupBy("id").agg(F.min(F.struct("doc", "row", "line_no")).alias("at"), F.count("*").alias("occurs"),
+                                                   F.first("line").alias("line")), "distinct")
+    members = _candidates(distinct.select("id", "line"), tau, scratch)
     ids = scratch.save(members.select("id").distinct(), "ids")
-    text = semi_by_id(long.select("id", "line"), ids, "id").groupBy("id").agg(F.first("line").alias("line"))
-    text = let(let(text, c=F.split("line", "")), sketch=F.struct(
-        pair_parities("c").alias("c"), word_parities("line").alias("w"), word_edits("line").alias("t")))
-    text = scratch.save(text.select("id", "line", "sketch"), "text")
+    text = let(semi_by_id(distinct.select("id", "line"), ids, "id"), n=F.length("line"), m=F.expr(n_words("line")), g=word_segments("line"))
+    text = scratch.save(text.select("id", "line", sketch("line", "n", "m", "g").alias("sketch")), "text")
 
     def verify(pairs: DataFrame) -> DataFrame:
         p = pairs.join(text.selectExpr("id AS a", "line AS la", "sketch AS sa"), "a").join(
             text.selectExpr("id AS b", "line AS lb", "sketch AS sb"), "b")
-        # an edit touches one of PIECES pieces of a line, the others stand in the other line as they are
-        size = f"(length(la) DIV {PIECES})"
-        whole = sum((F.expr(f"CAST(contains(lb, substring(la, 1 + {i} * {size}, {size})) AS INT)") for i in range(PIECES)), F.lit(0))
-        near = (F.abs(F.length("la") - F.length("lb")) <= tau) & (whole >= PIECES - tau) & within("la", "lb", tau)
-        return p.where(near | (F.expr(may_words("sa", "sb")) & words_within("la", "lb", "greatest(sa.t, sb.t)"))).select("a", "b")
-
-    def may_words(x: str, y: str) -> str:
-        return f"(greatest({x}.t, {y}.t) > 0 AND bit_count({x}.w ^ {y}.w) <= 2 * greatest({x}.t, {y}.t))"
+        p = uncommon(let(p, chars=F.expr(may_chars("sa", "sb", tau))), "la", "lb", "xa", "xb")
+        words = F.expr(may_words("sa", "sb")) & words_within("la", "lb", _allowed("sa", "sb"))
+        return p.where((F.col("chars") & within("xa", "xb", tau)) | words).select("a", "b")
 
     comp, _ = link_buckets(members.join(text.select("id", "sketch"), "id").select("key", "id", "sketch"), verify, scratch,
-                           python=False, may=lambda x, y: f"(bit_count({x}.c ^ {y}.c) <= {4 * tau} OR {may_words(x, y)})")
-    scratch.drop(hits, members, ids, text)
+                           python=False, may=lambda x, y: f"({may_chars(x, y, tau)} OR {may_words(x, y)})")
+    scratch.drop(members, ids, text)
     known = distinct.select("id", "at", "occurs").join(comp, "id", "left").select(
         "id", "at", "occurs", F.coalesce("comp", "id").alias("class_id"))
     heads = known.groupBy("class_id").agg(F.min("at").alias("first"), F.sum("occurs").alias("n")).where("n > 1")
     multi = known.join(heads, "class_id").select("id", "class_id", "first")
-    where = long.select("id", "doc_id", "line_no", "n").join(multi, "id", "left").select(
-        "doc_id", "line_no", F.col("n").alias("chars"), F.coalesce("class_id", "id").alias("class_id"),
+    doc_id = F.when(F.col("doc") < LAST, F.col("doc")).alias("doc_id")
+    where = long.select("id", "doc", "row", "line_no", "n").join(multi, "id", "left").select(
+        doc_id, "row", "line_no", F.col("n").alias("chars"), F.coalesce("class_id", "id").alias("class_id"),
         F.col("first").isNotNull().alias("linked"),
-        (F.col("first").isNull() | (F.col("first") == F.struct("doc_id", "line_no"))).alias("kept"))
+        (F.col("first").isNull() | (F.col("first") == F.struct("doc", "row", "line_no"))).alias("kept"))
     short = lines.where(F.col("n") < MIN_CHARS).select(
-        "doc_id", "line_no", F.col("n").alias("chars"), F.lit(None).cast("long").alias("class_id"),
+        doc_id, "row", "line_no", F.col("n").alias("chars"), F.lit(None).cast("long").alias("class_id"),
         F.lit(False).alias("linked"), F.lit(True).alias("kept"))
     return where.unionByName(short)
 
@@ -185,24 +247,22 @@ def line_marks(docs: DataFrame, tau: int = TAU, id_col: str = "doc_id", text_col
 def dedup_lines(docs: DataFrame, tau: int = TAU, id_col: str = "doc_id", text_col: str = "text",
                 size_col: str | None = "n_chars") -> DataFrame:
     """``docs`` without their repeated lines: the same columns, ``text_col`` holding the
-    kept lines in order and ``size_col`` (if there) its code points. A document that
-    loses all of its lines goes; empty and null texts and null ids stay as they are.
-    Ids must be unique; a repeated id would lose a line number in each of its rows."""
+    kept lines in order and ``size_col`` (if there) its code points. A row that loses all
+    of its lines goes; empty and null texts stay as they are."""
     scratch = Scratch(docs.sparkSession, "linededup")
-    cut = line_marks(docs, tau, id_col, text_col, scratch).where("NOT kept").groupBy("doc_id").agg(
-        F.collect_set("line_no").alias("__cut")).withColumnRenamed("doc_id", "__id")
-    both = docs.join(cut, F.col(id_col).cast("long") == F.col("__id"), "left")
-    lines = F.split(F.col(text_col).cast("string"), "\n")
-    rest = F.filter(lines, lambda x, i: ~F.array_contains(F.col("__cut"), i))
-    both = let(both, __rest=F.when(F.col("__cut").isNotNull(), rest))
-    both = both.where("__cut IS NULL OR size(__rest) > 0")
-    text = F.when(F.col("__cut").isNull(), F.col(text_col)).otherwise(F.array_join("__rest", "\n"))
+    row, cut, rest = (next(n for n in (f"{x}{'_' * k}" for k in range(len(docs.columns) + 1)) if n not in docs.columns) for x in ("row", "cut", "rest"))
+    gone = line_marks(docs, tau, id_col, text_col, scratch).where("NOT kept").groupBy(F.col("row").alias(row)).agg(
+        F.collect_set("line_no").alias(cut))
+    both = docs.withColumn(row, row_hash(id_col, text_col)).join(gone, row, "left")
+    left = F.filter(F.split(F.col(text_col).cast("string"), "\n"), lambda x, i: ~F.array_contains(F.col(cut), i))
+    both = let(both, **{rest: F.when(F.col(cut).isNotNull(), left)}).where(F.col(cut).isNull() | (F.size(rest) > 0))
+    text = F.when(F.col(cut).isNull(), F.col(text_col)).otherwise(F.array_join(rest, "\n"))
     out = []
     for c in docs.columns:
         if c == text_col:
             out.append(text.alias(c))
         elif c == size_col:
-            out.append(F.when(F.col("__cut").isNull(), F.col(c)).otherwise(F.length(text)).cast(docs.schema[c].dataType).alias(c))
+            out.append(F.when(F.col(cut).isNull(), F.col(c)).otherwise(F.length(text)).cast(docs.schema[c].dataType).alias(c))
         else:
             out.append(F.col(c))
     return both.select(*out)
@@ -212,10 +272,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: lines, linked lines, dropped lines, code points of the kept lines and
     the classes of its linked lines."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    per = line_marks(docs).groupBy("doc_id").agg(
-        F.count("*").alias("n_lines"), F.count_if("linked").alias("n_linked"), F.count_if(~F.col("kept")).alias("n_dropped"),
-        F.sum(F.when(F.col("kept"), F.col("chars")).otherwise(0)).alias("kept_chars"),
+    # rows equal in id and text have each line as often as they are there
+    per = line_marks(docs).groupBy("row").agg(
+        *[F.expr(f"{x} DIV count_if(line_no = 0)").alias(n) for n, x in (
+            ("n_lines", "count(*)"), ("n_linked", "count_if(linked)"), ("n_dropped", "count_if(NOT kept)"), ("kept_chars", "sum(IF(kept, chars, 0))"))],
         F.sort_array(F.collect_set(F.when(F.col("linked"), F.col("class_id")))).alias("line_classes"))
-    out = docs.select("doc_id").join(per, "doc_id", "left")
+    out = docs.select("doc_id", row_hash("doc_id", "text").alias("row")).join(per, "row", "left")
     return out.select("doc_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_lines", "n_linked", "n_dropped", "kept_chars")],
                       F.coalesce("line_classes", F.array().cast("array<bigint>")).alias("line_classes"))

@@ -177,19 +177,46 @@ def test_banded_edit_distance(spark, tau):
     assert df.where(linededup.within("a", "b", tau) != df.want).count() == 0
 
 
-def test_pair_parities_bound(spark):
-    """n edits change 4 * n bits at most; lines of other words differ in more."""
+def test_sketches_allow_every_link(spark):
+    """Edits within a bound pass the sketch; lines of other words do not."""
+    def sketched(df):
+        for x in "ab":
+            df = linededup.let(df, **{f"g{x}": linededup.word_segments(x)})
+            df = linededup.let(df, **{f"s{x}": linededup.sketch(x, f"length({x})", linededup.n_words(x), f"g{x}")})
+        return df
     r = random.Random(31)
+    rows = [(a, changed(r, a, r.randint(0, 2))) for a in ("".join(r.choice("etabcdé 🎈") for _ in range(r.randint(0, 70))) for _ in range(1500))]
+    assert sketched(spark.createDataFrame(rows, "a string, b string")).where(f"NOT {linededup.may_chars('sa', 'sb', 2)}").count() == 0
     rows = []
-    for _ in range(1500):
-        a = "".join(r.choice("abcdé 🎈") for _ in range(r.randint(0, 40)))
-        n = r.randint(0, 3)
-        rows.append((a, changed(r, a, n), n))
-    bits = F.bit_count(linededup.pair_parities("split(a, '')").bitwiseXOR(linededup.pair_parities("split(b, '')")))
-    df = spark.createDataFrame(rows, "a string, b string, n int").withColumn("bits", bits)
-    assert df.where("bits > 4 * n").count() == 0
-    far = [(prose(i, 20), prose(i + 1000, 20)) for i in range(200)]
-    assert spark.createDataFrame(far, "a string, b string").where(bits <= 8).count() == 0
+    for i in range(400):
+        w = prose(i, r.randint(16, 150)).split()
+        v = list(w)
+        for _ in range(len(w) // 16):
+            k, o = r.randrange(len(v)), r.random()
+            v[k:k + 1] = [r.choice(["new", "", "end"])] if o < 0.4 else [] if o < 0.7 else [v[k], r.choice(["other", "last"])]
+        if len(" ".join(w)) >= 80:
+            rows.append((" ".join(w), " ".join(v)))
+    assert len(rows) > 300 and sketched(spark.createDataFrame(rows, "a string, b string")).where(f"NOT {linededup.may_words('sa', 'sb')}").count() == 0
+    far = [(prose(i, 40), prose(i + 1000, 40)) for i in range(200)]
+    far = sketched(spark.createDataFrame(far, "a string, b string"))
+    assert far.where(f"{linededup.may_words('sa', 'sb')} OR {linededup.may_chars('sa', 'sb', 2)}").count() < 5
+
+
+def test_uncommon_parts_keep_the_distance(spark):
+    r = random.Random(8)
+    rows = [(a, changed(r, a, r.randint(0, 3))) for a in ("".join(r.choice("abé") for _ in range(r.randint(0, 60))) for _ in range(500))]
+    df = linededup.uncommon(spark.createDataFrame(rows, "a string, b string"), "a", "b", "x", "y")
+    assert df.where("levenshtein(a, b) <> levenshtein(x, y)").count() == 0 and df.where("length(x) < length(a) DIV 2").count() > 100
+
+
+def test_rows_that_repeat_an_id_keep_their_own_lines(spark):
+    line, other = "a line of the first document of all", "words that stand in one document only"
+    rows = [(1, line), (7, f"{line}\n{other} one"), (7, f"{other} two {other}\nand {line} again"), (None, f"{line}\nan own line of a row without an id"), (9, "x"), (9, "x")]
+    df = spark.createDataFrame([(i, t, 0, "r", "c") for i, t in rows], "doc_id long, text string, n_chars long, row string, cut string")
+    got = linededup.dedup_lines(df)
+    assert got.columns == df.columns
+    assert sorted((x.doc_id or 0, x.text, x.row) for x in got.collect()) == sorted(
+        (i, t, "r") for i, t in [(1, line), (7, f"{other} one"), (7, rows[2][1]), (0, "an own line of a row without an id"), (9, "x"), (9, "x")])
 
 
 def test_link_buckets_with_sketches(spark):
