@@ -113,7 +113,7 @@ def sketch(line: str, length: str, words: str, segments: str) -> Column:
 
 def may_chars(x: str, y: str, tau: int) -> str:
     """SQL: the sketches allow ``tau`` edits, and word edits do not cover them."""
-    byte = [f"(shiftright({x}.c, {8 * i}) - shiftright({y}.c, {8 * i})) & 255" for i in range(len(LETTERS))]
+    byte = [f"((shiftright({x}.c, {8 * i}) & 255) - (shiftright({y}.c, {8 * i}) & 255)) & 255" for i in range(len(LETTERS))]
     off = " + ".join(f"least({b}, 256 - ({b}))" for b in byte)
     return f"(abs({x}.n - {y}.n) <= {tau} AND {_allowed(x, y)} < {2 * tau} AND {off} <= {2 * tau})"
 
