@@ -43,7 +43,7 @@ PIECES = 10  # of the cheap test before the edit distance
 LONG_CHARS = 80
 WORDS_AN_EDIT = 16
 ENDS = "bdfhjlnprtvxz02468"  # of words that end a segment: about half of them
-LETTERS = "etanoirs"         # counted in the sketch of a line
+LETTERS = "eatn"             # counted in the sketch of a line
 PARITIES = 2                 # 64-bit words of segment parities in the sketch
 
 
@@ -55,22 +55,20 @@ def let(df: DataFrame, **cols: Column) -> DataFrame:
 
 def segment_keys(line: str, length: str, tau: int = TAU) -> Column:
     """Array of keys of a line: its tau + 1 index entries first, then its other probes."""
-    parts = tau + 1
+    k = tau + 1
     index, probes = [], []
-    for delta in range(tau + 1):
-        ln = f"({length} - {delta})"
-        for i in range(parts):
-            # the first parts - (l mod parts) segments have l div parts characters, the others one more
-            size = f"({ln} DIV {parts} + IF({i} >= {parts} - {ln} % {parts}, 1, 0))"
-            start = f"({i} * ({ln} DIV {parts}) + GREATEST({i} - ({parts} - {ln} % {parts}), 0))"
-            lo = max(-i, delta - (tau - i))
-            hi = min(i, delta + (tau - i))
+    for delta in range(k):
+        for i in range(k):
+            lo, hi = max(-i, delta - (tau - i)), min(i, delta + (tau - i))
             for shift in range(lo, hi + 1):
-                pos = f"({start} + {shift})"
-                key = (f"IF({ln} >= {MIN_CHARS} AND {pos} >= 0 AND {pos} + {size} <= {length}, "
-                       f"xxhash64({ln}, {i}, substring({line}, CAST({pos} + 1 AS INT), CAST({size} AS INT))), NULL)")
-                (index if delta == shift == 0 else probes).append(key)
-    return F.expr(f"array({', '.join(index + probes)})")
+                (index if delta == shift == 0 else probes).append(f"named_struct('n', {delta}, 'i', {i}, 's', {shift})")
+    # small steps over a literal array, not an expression for each key: a generated method of that size is never compiled
+    places = f"transform(array({', '.join(index + probes)}), p -> named_struct('n', {length} - p.n, 'i', p.i, 's', p.s))"
+    # of k segments the last (n mod k) have a character more
+    cuts = f"""transform({places}, p -> named_struct('n', p.n, 'i', p.i, 'z', CAST(p.n DIV {k} AS INT) + IF(p.i >= {k} - p.n % {k}, 1, 0),
+        'b', p.i * CAST(p.n DIV {k} AS INT) + greatest(p.i - {k} + p.n % {k}, 0) + p.s))"""
+    return F.expr(f"""transform({cuts}, p -> IF(p.n >= {MIN_CHARS} AND p.b >= 0 AND p.b + p.z <= {length},
+        xxhash64(p.n, p.i, substring({line}, p.b + 1, p.z)), NULL))""")
 
 
 def n_words(line: str) -> str:
@@ -103,28 +101,23 @@ def word_edits(length: str, words: str) -> str:
 
 
 def sketch(line: str, length: str, words: str, segments: str) -> Column:
-    """n: code points, m: words, c: counts of LETTERS (modulo 256, a byte each), p0 ..: parities of the
-    numbers of segments by their hash. An edit changes two counts by one at most, an edit of a word three parities."""
-    counts = " | ".join(f"shiftleft(CAST((length({line}) - length(replace({line}, '{x}', ''))) & 255 AS BIGINT), {8 * i})" for i, x in enumerate(LETTERS))
+    """n: code points, m: words, t: edits of words allowed, c0 ..: counts of LETTERS, p0 ..: parities of the numbers
+    of segments by their hash. An edit changes two counts by one at most, an edit of a word three parities."""
+    counts = ", ".join(f"'c{i}', length({line}) - length(replace({line}, '{x}', ''))" for i, x in enumerate(LETTERS))
     bits = ", ".join(f"'p{k}', aggregate({segments}, 0L, (s, x) -> IF(x & {PARITIES - 1} = {k}, s ^ shiftleft(1L, CAST(shiftright(x, 4) & 63 AS INT)), s))"
                      for k in range(PARITIES))
-    return F.expr(f"named_struct('n', {length}, 'm', {words}, 'c', {counts}, {bits})")
+    return F.expr(f"named_struct('n', {length}, 'm', CAST({words} AS INT), 't', CAST({word_edits(length, words)} AS INT), {counts}, {bits})")
 
 
 def may_chars(x: str, y: str, tau: int) -> str:
     """SQL: the sketches allow ``tau`` edits, and word edits do not cover them."""
-    byte = [f"((shiftright({x}.c, {8 * i}) & 255) - (shiftright({y}.c, {8 * i}) & 255)) & 255" for i in range(len(LETTERS))]
-    off = " + ".join(f"least({b}, 256 - ({b}))" for b in byte)
-    return f"(abs({x}.n - {y}.n) <= {tau} AND {_allowed(x, y)} < {2 * tau} AND {off} <= {2 * tau})"
-
-
-def _allowed(x: str, y: str) -> str:
-    return f"greatest({word_edits(f'{x}.n', f'{x}.m')}, {word_edits(f'{y}.n', f'{y}.m')})"
+    off = " + ".join(f"abs({x}.c{i} - {y}.c{i})" for i in range(len(LETTERS)))
+    return f"(abs({x}.n - {y}.n) <= {tau} AND greatest({x}.t, {y}.t) < {2 * tau} AND {off} <= {2 * tau})"
 
 
 def may_words(x: str, y: str) -> str:
     """SQL: the sketches allow the word edits of the line that allows more."""
-    t, off = _allowed(x, y), " + ".join(f"bit_count({x}.p{k} ^ {y}.p{k})" for k in range(PARITIES))
+    t, off = f"greatest({x}.t, {y}.t)", " + ".join(f"bit_count({x}.p{k} ^ {y}.p{k})" for k in range(PARITIES))
     return f"({t} > 0 AND abs({x}.m - {y}.m) <= {t} AND {off} <= 3 * {t})"
 
 
@@ -223,7 +216,7 @@ def line_marks(docs: DataFrame, tau: int = TAU, id_col: str = "doc_id", text_col
         p = pairs.join(text.selectExpr("id AS a", "line AS la", "sketch AS sa"), "a").join(
             text.selectExpr("id AS b", "line AS lb", "sketch AS sb"), "b")
         p = uncommon(let(p, chars=F.expr(may_chars("sa", "sb", tau))), "la", "lb", "xa", "xb")
-        words = F.expr(may_words("sa", "sb")) & words_within("la", "lb", _allowed("sa", "sb"))
+        words = F.expr(may_words("sa", "sb")) & words_within("la", "lb", "greatest(sa.t, sb.t)")
         return p.where((F.col("chars") & within("xa", "xb", tau)) | words).select("a", "b")
 
     comp, _ = link_buckets(members.join(text.select("id", "sketch"), "id").select("key", "id", "sketch"), verify, scratch,
