@@ -3,12 +3,11 @@ candidate restriction.
 
 No Python UDF and no cross join: the lookup is a higher-order-function scan of a
 size-checked literal array (or a substring equi-join for a large gazetteer), the nearest
-search is a grid equi-join with ring expansion that is exact."""
+search goes down a pyramid of occupied cells by joins and is exact."""
 
 from __future__ import annotations
 
 import json
-import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +15,7 @@ from pyspark.sql import types as T
 
 from ..schemas import GAZETTEER_SCHEMA, SENTINELS
 from ..session import checkpoint_dir
+from .pyramid import Pyramid
 
 # Gazetteers up to this many entries are inlined into the plan as a literal array.
 LITERAL_GAZETTEER_MAX = 5000
@@ -152,182 +152,41 @@ def active_candidates(stations: DataFrame, facts: DataFrame, key: str, fact_key:
 
 def nearest_l1(queries: DataFrame, cands: DataFrame, q_id: str, q_x: str, q_y: str,
                c_x: str, c_y: str, c_ord: str, c_cols: list, wx: float = 1.0, wy: float = 1.0,
-               per_cell: float = 4.0, dense_factor: float = 16.0) -> DataFrame:
+               per_cell: float = 4.0, dense_factor: float = 4.0) -> DataFrame:
     """For each query row, the candidate with the least ``wx*|dx| + wy*|dy|``; a tie goes
-    to the lowest ``c_ord``. Returns ``q_id, <c_cols>, distance``; one row per query
-    id (nulls when the query has no coordinates or there is no candidate).
+    to the lowest ``c_ord``. Returns ``q_id, <c_cols>, distance``; one row per query row
+    (nulls when the query has no finite coordinates or there is no candidate).
 
-    Exact grid search: candidates are bucketed into square cells sized for about
-    ``per_cell`` candidates; each round joins the pending queries with the cells of a
-    square of radius ``k`` around their own cell (equi-join on the cell, broadcast or
-    shuffled as Catalyst decides) and keeps a query when its best distance is within
-    ``k*cell`` (nothing outside the square can be nearer) or the square covers the whole
-    grid. ``k`` doubles per round. A query outside the grid searches from its point
-    clamped into the grid, its distance to that point added to the bound.
+    Exact search in a pyramid of the cells that hold candidates (see ``pyramid``); a cell
+    of more than ``per_cell * dense_factor`` candidates is split. The search runs once per
+    distinct query point and is joined back to the queries.
 
-    Clustered candidates: a cell with more than ``per_cell*dense_factor`` candidates is
-    split into its own m x m sub-grid (m from its count); a query searches such a cell
-    from its point clamped into the cell, ring by ring in the sub-grid, with the same
-    exact stopping rule. No query is ever paired with all candidates of a dense cell.
-
-    The search runs once per distinct query point and is joined back to the queries.
+    Actions: the statistics and levels of the pyramid, and a checkpoint of the first
+    distances (lineage is cut in ``spark.checkpoint.dir``)."""
+    # a candidate without finite coordinates (null, NaN, infinite) can be nearest to nothing
+    def finite(*cols):
+        return F.expr(" AND ".join(f"abs(double(`{c}`)) < double('Infinity')" for c in cols))
 
-    Actions: a small statistics job, a dense-cell check, then one checkpoint per round
-    (lineage is cut in ``spark.checkpoint.dir``)."""
-    spark = queries.sparkSession
     pcols = [f"_p_{c}" for c in c_cols]
-    # a candidate without finite coordinates (null, NaN, infinite) can be nearest to nothing
-    finite = [F.abs(F.col(c).cast("double")) < F.lit(float("inf")) for c in (c_x, c_y)]
-    cand = (cands.where(finite[0] & finite[1])
-            .select(F.col(c_ord).alias("_ord"), F.col(c_x).alias("_cx"), F.col(c_y).alias("_cy"),
-                    *[F.col(c).alias(f"_p_{c}") for c in c_cols]))
+    cand = cands.where(finite(c_x, c_y)).select(
+        F.col(c_ord).alias("_ord"), F.col(c_x).cast("double").alias("_x"), F.col(c_y).cast("double").alias("_y"),
+        *[F.col(c).alias(p) for c, p in zip(c_cols, pcols, strict=True)])
     # candidates at the very same point: only the lowest ord can ever win
-    cand = (cand.groupBy("_cx", "_cy")
+    cand = (cand.groupBy("_x", "_y")
             .agg(F.min_by(F.struct("_ord", *pcols), F.col("_ord")).alias("_b"))
-            .select("_cx", "_cy", "_b.*"))
-    st = cand.agg(F.count(F.lit(1)).alias("n"), F.min("_cx").alias("x0"), F.max("_cx").alias("x1"),
-                  F.min("_cy").alias("y0"), F.max("_cy").alias("y1")).first()
-    q = queries.select(F.col(q_id).alias("_id"), F.col(q_x).alias("_qx"), F.col(q_y).alias("_qy"))
-    # the search runs per distinct query point, then is joined back to the queries
-    out_cols = ["_qx", "_qy"] + [F.col(f"_m._p_{c}").alias(c) for c in c_cols] + [F.col("_m._d").alias("distance")]
-    null_row = [F.col("_id").alias(q_id)] + [F.lit(None).cast(cands.schema[c].dataType).alias(c) for c in c_cols] + \
-               [F.lit(None).cast("double").alias("distance")]
-    if st["n"] == 0:
-        return q.select(*null_row)
-    rx, ry = wx * (st["x1"] - st["x0"]), wy * (st["y1"] - st["y0"])
-    n = st["n"]
-    s = max(math.sqrt(rx * ry * per_cell / n), max(rx, ry) * per_cell / n)
-    if not (s > 0 and math.isfinite(s)):
-        s = 1.0
-    nx, ny = int(rx // s) + 1, int(ry // s) + 1
-
-    def sx(c):  # scaled offset from the grid origin
-        return F.lit(wx) * (c - F.lit(st["x0"]))
-
-    def sy(c):
-        return F.lit(wy) * (c - F.lit(st["y0"]))
-
-    def cell(v, hi):
-        # v / s may round up to the cell past the last: clamped, for candidates and queries alike
-        return F.least(F.greatest(F.floor(v / F.lit(s)), F.lit(0)), F.lit(hi)).cast("long")
-
-    cand = cand.select("*", cell(sx(F.col("_cx")), nx - 1).alias("_i"), cell(sy(F.col("_cy")), ny - 1).alias("_j"))
-    dense = (cand.groupBy("_i", "_j").agg(F.count(F.lit(1)).alias("_n"))
-             .where(F.col("_n") > F.lit(per_cell * dense_factor))
-             .select("_i", "_j", F.ceil(F.sqrt(F.col("_n") / F.lit(per_cell))).cast("long").alias("_g")))
-    checkpoint_dir(spark)
-    has_dense = not dense.isEmpty()
-    if has_dense:
-        dense = dense.checkpoint(eager=True)
-        cand = cand.join(dense, ["_i", "_j"], "left")
-        u = F.lit(s) / F.col("_g")
-        cand_dense = cand.where(F.col("_g").isNotNull()).select(
-            "*", F.least(F.greatest(F.floor((sx(F.col("_cx")) - F.col("_i") * s) / u), F.lit(0)), F.col("_g") - 1)
-            .alias("_si"), F.least(F.greatest(F.floor((sy(F.col("_cy")) - F.col("_j") * s) / u), F.lit(0)),
-                                   F.col("_g") - 1).alias("_sj")).checkpoint(eager=True)
-        cand_sparse = cand.where(F.col("_g").isNull()).drop("_g")
-    else:
-        cand_sparse = cand
-    has_xy = F.col("_qx").isNotNull() & F.col("_qy").isNotNull()
+            .select("_x", "_y", "_b.*"))
+    checkpoint_dir(queries.sparkSession)
+    tree = Pyramid(cand, per_cell * dense_factor, wx, wy)
+    q = queries.select(F.col(q_id).alias("_id"), F.col(q_x).cast("double").alias("_qx"), F.col(q_y).cast("double").alias("_qy"))
+    if not tree.n:
+        return q.select(F.col("_id").alias(q_id), *[F.lit(None).cast(cands.schema[c].dataType).alias(c) for c in c_cols],
+                        F.lit(None).cast("double").alias("distance"))
     # many queries share a point (places come from a gazetteer; a third of all rows may
     # sit on one coordinate): each distinct point is searched once (map-side partial
     # distinct), so a hot point costs one search, not one per row
-    points = q.where(has_xy).select("_qx", "_qy").distinct()
-    # a query outside the grid's box searches from its point clamped into the box: for
-    # every candidate the L1 distance is (query -> clamp) + (clamp -> candidate), so the
-    # square around the clamp point is searched with the same exact stopping rule, and a
-    # far query (or a crowd of them) meets no more cells than one at the edge does
-    px = F.least(F.greatest(sx(F.col("_qx")), F.lit(0.0)), F.lit(float(rx)))
-    py = F.least(F.greatest(sy(F.col("_qy")), F.lit(0.0)), F.lit(float(ry)))
-    pending = points.select(
-        "*", (F.abs(sx(F.col("_qx")) - px) + F.abs(sy(F.col("_qy")) - py)).alias("_d0"),
-        cell(px, nx - 1).alias("_qi"), cell(py, ny - 1).alias("_qj"))
-    qattrs = ["_qx", "_qy", "_d0", "_qi", "_qj", "_full"]
-    dist = F.lit(wx) * F.abs(F.col("_qx") - F.col("_cx")) + F.lit(wy) * F.abs(F.col("_qy") - F.col("_cy"))
-    done_parts = []
-    k = 1
-    while True:
-        lo_i, hi_i = F.greatest(F.col("_qi") - k, F.lit(0)), F.least(F.col("_qi") + k, F.lit(nx - 1))
-        lo_j, hi_j = F.greatest(F.col("_qj") - k, F.lit(0)), F.least(F.col("_qj") + k, F.lit(ny - 1))
-        full = (lo_i == 0) & (hi_i == nx - 1) & (lo_j == 0) & (hi_j == ny - 1)
-        pend = pending.select("*", full.alias("_full"))
-        cells = (pend.select("*", F.explode(F.sequence(lo_i, F.greatest(hi_i, lo_i))).alias("_i"))
-                 .select("*", F.explode(F.sequence(lo_j, F.greatest(hi_j, lo_j))).alias("_j")))
-        cand_cols = ["_d", "_ord", *pcols]
-        parts = [cells.join(cand_sparse, ["_i", "_j"]).withColumn("_d", dist).select(*qattrs, *cand_cols),
-                 # every pending query once, without a candidate: it is kept even when
-                 # its square is empty
-                 pend.select(*qattrs, F.lit(None).cast("double").alias("_d"),
-                             F.lit(None).cast(cand.schema["_ord"].dataType).alias("_ord"),
-                             *[F.lit(None).cast(cand.schema[c].dataType).alias(c) for c in pcols])]
-        if has_dense:
-            sub = cells.join(dense, ["_i", "_j"])
-            parts.append(_dense_cell_search(sub, cand_dense, qattrs, cand_cols, dist, sx, sy, s))
-        pairs = parts[0]
-        for p_ in parts[1:]:
-            pairs = pairs.unionByName(p_)
-        best = (pairs.groupBy(*qattrs)
-                .agg(F.min_by(F.struct(*cand_cols),
-                              # no candidate: null key, ignored by min_by
-                              F.when(F.col("_ord").isNotNull(), F.struct("_d", "_ord"))).alias("_m")))
-        best = best.checkpoint(eager=True)
-        # no candidate in the square yet: not done (a null here would drop the query)
-        ok = F.col("_full") | F.coalesce(F.col("_m._d") <= (F.col("_d0") + F.lit(k * s)) * F.lit(1 - 1e-9),
-                                         F.lit(False))
-        done_parts.append(best.where(ok).select(*out_cols))
-        pending = best.where(~ok).select("_qx", "_qy", "_d0", "_qi", "_qj")
-        if pending.isEmpty():
-            break
-        k *= 2
-    found = done_parts[0]
-    for p_ in done_parts[1:]:
-        found = found.unionByName(p_)
+    found = tree.nearest(q.where(finite("_qx", "_qy")).select("_qx", "_qy").distinct())
+    found = found.select("_qx", "_qy", *[F.col(f"_m.{p}").alias(c) for c, p in zip(c_cols, pcols, strict=True)], F.col("_m._d").alias("distance"))
     # every query gets its point's match; a query without coordinates finds no point
-    # and keeps nulls. The found side is checkpointed data with known size: AQE
-    # broadcasts it when small and splits a hot point's partition otherwise
+    # and keeps nulls. AQE broadcasts the found side when small and splits a hot point's
+    # partition otherwise
     return q.join(found, ["_qx", "_qy"], "left").select(F.col("_id").alias(q_id), *c_cols, "distance")
-
-
-def _dense_cell_search(sub: DataFrame, cand_dense: DataFrame, qattrs: list, cand_cols: list, dist: Column,
-                       sx, sy, s: float) -> DataFrame:
-    """Exact nearest candidate inside each dense cell for (query, dense cell) pairs.
-
-    The query point is clamped into the cell box; for a candidate inside the cell the L1
-    distance is (query -> clamp) + (clamp -> candidate), so a ring search in the cell's
-    sub-grid around the clamp point stops as soon as the best distance is within
-    ``(query -> clamp) + r * sub-cell`` or the square covers the sub-grid."""
-    u = F.lit(s) / F.col("_g")
-    bx, by = F.col("_i") * F.lit(s), F.col("_j") * F.lit(s)
-    qx, qy = sx(F.col("_qx")), sy(F.col("_qy"))
-    px = F.least(F.greatest(qx, bx), bx + F.lit(s))
-    py = F.least(F.greatest(qy, by), by + F.lit(s))
-    g1 = F.col("_g") - 1
-    pend = sub.select(*qattrs, "_i", "_j", "_g",
-                      (F.abs(qx - px) + F.abs(qy - py)).alias("_dc"),
-                      F.least(F.greatest(F.floor((px - bx) / u), F.lit(0)), g1).alias("_ci"),
-                      F.least(F.greatest(F.floor((py - by) / u), F.lit(0)), g1).alias("_cj"))
-    keys = [*qattrs, "_i", "_j", "_g", "_dc", "_ci", "_cj"]
-    found = []
-    r = 1
-    while True:
-        lo_i, hi_i = F.greatest(F.col("_ci") - r, F.lit(0)), F.least(F.col("_ci") + r, g1)
-        lo_j, hi_j = F.greatest(F.col("_cj") - r, F.lit(0)), F.least(F.col("_cj") + r, g1)
-        full = (lo_i == 0) & (hi_i == g1) & (lo_j == 0) & (hi_j == g1)
-        cells = (pend.select("*", full.alias("_sfull"), F.explode(F.sequence(lo_i, hi_i)).alias("_si"))
-                 .select("*", F.explode(F.sequence(lo_j, hi_j)).alias("_sj")))
-        pairs = cells.join(cand_dense.drop("_g"), ["_i", "_j", "_si", "_sj"]).withColumn("_d", dist)
-        best = (pairs.groupBy(*keys, "_sfull")
-                .agg(F.min_by(F.struct(*cand_cols), F.struct("_d", "_ord")).alias("_m"))
-                .checkpoint(eager=True))
-        ok = F.col("_sfull") | F.coalesce(F.col("_m._d") <= (F.col("_dc") + F.lit(r) * u) * F.lit(1 - 1e-9),
-                                          F.lit(False))
-        found.append(best.where(ok).select(*qattrs, *[F.col(f"_m.{c}").alias(c) for c in cand_cols]))
-        # a (query, cell) pair without any candidate in its square goes on as well
-        pend = pend.join(best.where(ok).select(*keys), keys, "left_anti")
-        if pend.isEmpty():
-            break
-        r *= 2
-    out = found[0]
-    for f_ in found[1:]:
-        out = out.unionByName(f_)
-    return out

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import parse_date, strip_ws, to_number, typed_null
 from ..operators import geo, panel
-from ..schemas import (ENVELOPE_SCHEMA, FEATURES, OUTBREAK_CONF, OUTBREAK_SCHEMA, READING_CONF, READING_SCHEMA,
+from ..schemas import (ENVELOPE_SCHEMA, FEATURES, FULL_READING_SCHEMA, OUTBREAK_CONF, OUTBREAK_SCHEMA, READING_CONF,
                        TARGETS, TableConf)
 from ..sources.envelope import unwrap_envelope
 from ..sources.sinks import write_run
@@ -104,7 +104,7 @@ def run_etl(spark: SparkSession, reading_src: str, outbreak_src: str, station_cs
         raw = spark.read.parquet(f"{out_dir}/{name}_org").where(F.col("run_id") == run_id).drop("run_id")
         return unwrap_envelope(raw, schema)
 
-    raw_r, raw_o = landed("temperature", READING_SCHEMA), landed("cattle", OUTBREAK_SCHEMA)
+    raw_r, raw_o = landed("temperature", FULL_READING_SCHEMA), landed("cattle", OUTBREAK_SCHEMA)
     stations = read_stations(spark, station_csv)
     entries = geo.gazetteer_from_nested(spark, gazetteer)
     pan = build_panel(raw_r, raw_o, stations, entries, targets)

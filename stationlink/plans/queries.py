@@ -7,6 +7,8 @@ summed as integers (cents), so results do not depend on the order of a double su
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +21,10 @@ from ..sources.envelope import check_range_args, extract_range, unwrap_envelope
 from ..sources.pages import rows_or_sentinel
 from ..sources.sinks import complete_years, json_records
 from ..sources.tables import TABLES, read_table
+from ..session import checkpoint_dir
+from ..streaming.daystore import DayStore
 from .fixtures import part_gazetteer
+from .incremental import land
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 RANGE_LO, RANGE_HI = "2024-01-10 00:00:00", "2024-01-20 00:00:00"
@@ -280,6 +285,57 @@ def q26_gap_report(spark, d):
     return marks.gap_report(ev, "user_id", "ts")
 
 
+# q27 -------------------------------------------------------------------------
+_USER = T.StructField("user_id", T.LongType())
+_SUMS = T.StructType([_USER, T.StructField("event_type", T.StringType()), T.StructField("n", T.LongType()), T.StructField("cents", T.LongType())])
+_PANEL = T.StructType([_USER, T.StructField("n_views", T.LongType()), T.StructField("view_cents", T.LongType()),
+                       *[T.StructField(t, T.LongType()) for t in EVENT_TYPES if t != "view"]])
+
+
+def q27_incremental_panel(spark, d):
+    """The panel of views and other events after three deliveries of events, whose days
+    overlap: each run reads what landed since the one before, adds the partial sums of its
+    batches and builds the touched days again; then the complete years are archived."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/q27-{uuid.uuid4().hex}"
+    store = DayStore(spark, f"{root}/store", {"sums": _SUMS}, {"panel": _PANEL})
+    events = read_table(spark, d, "events")
+
+    def each(rows, number):
+        e = rows.select(F.to_date("ts").alias("day"), "user_id", "event_type", _cents("value").alias("cents"))
+        store.add("sums", e.groupBy("day", "user_id", "event_type").agg(F.count("*").alias("n"), F.sum("cents").cast("bigint").alias("cents")), number)
+
+    for k in range(3):
+        events.where(F.col("event_id") % 3 == k).write.parquet(f"{root}/landed/{k}")
+        land(spark, f"{root}/landed/*", f"{root}/progress", each, schema=events.schema, fmt="parquet")
+        days = store.pending("sums")
+        if days:
+            sums = store.rows("sums", days).groupBy("day", "user_id").agg(
+                *[F.sum(F.when(F.col("event_type") == "view", F.col(c))).alias(n) for c, n in (("n", "n_views"), ("cents", "view_cents"))],
+                *[F.coalesce(F.sum(F.when(F.col("event_type") == t, F.col("cents"))), F.lit(0)).alias(t) for t in EVENT_TYPES if t != "view"])
+            store.replace_days("panel", sums.where("n_views > 0"))
+        store.commit({"sums": (store.last_batch("sums"), None)})
+    store.archive("panel")
+    return store.whole("panel").select("day", *_PANEL.fieldNames())
+
+
+# q28 -------------------------------------------------------------------------
+def _two_towns(key: str, x, y):
+    """Whole coordinates in two clusters far apart."""
+    far = (F.col(key) % 2) * 1000000000
+    return [F.col(key), (x + far).cast("double").alias("x"), (y + far).cast("double").alias("y")]
+
+
+def q28_nearest_clustered(spark, d):
+    """The nearest part of each customer: parts lie on slanted lines in two small clusters
+    very far apart, some customers far outside."""
+    p, c = read_table(spark, d, "part"), read_table(spark, d, "customer")
+    cents = _cents("p_retailprice")
+    parts = p.select(*_two_towns("p_partkey", cents, F.col("p_size") * 10 - cents))
+    balance = _cents("c_acctbal")
+    custs = c.select(*_two_towns("c_custkey", F.when(F.col("c_custkey") % 10 == 3, balance * 1000).otherwise(balance), F.col("c_nationkey") * 1000 - balance))
+    return geo.nearest_l1(custs, parts, "c_custkey", "x", "y", "x", "y", "p_partkey", ["p_partkey"])
+
+
 QUERIES = {
     "q01_envelope_unwrap": q01_envelope_unwrap,
     "q02_date_normalize": q02_date_normalize,
@@ -307,6 +363,8 @@ QUERIES = {
     "q24_year_rollover": q24_year_rollover,
     "q25_json_records": q25_json_records,
     "q26_gap_report": q26_gap_report,
+    "q27_incremental_panel": q27_incremental_panel,
+    "q28_nearest_clustered": q28_nearest_clustered,
 }
 
 flagship = q09_panel
@@ -521,5 +579,23 @@ s AS (SELECT u.user_id, CAST(g.day AS DATE) AS day
       FROM (SELECT DISTINCT user_id FROM d) u, b, generate_series(b.lo, b.hi, INTERVAL 1 DAY) AS g(day))
 SELECT user_id, day FROM s
 WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.user_id IS NOT DISTINCT FROM s.user_id AND d.day = s.day)
+""",
+    "q27_incremental_panel": """
+SELECT CAST(ts AS DATE) AS day, user_id,
+       CAST(count(*) FILTER (WHERE event_type = 'view') AS BIGINT) AS n_views,
+       CAST(sum(CASE WHEN event_type = 'view' THEN CAST(round(value * 100) AS BIGINT) END) AS BIGINT) AS view_cents,
+       CAST(coalesce(sum(CASE WHEN event_type = 'click' THEN CAST(round(value * 100) AS BIGINT) END), 0) AS BIGINT) AS click,
+       CAST(coalesce(sum(CASE WHEN event_type = 'error' THEN CAST(round(value * 100) AS BIGINT) END), 0) AS BIGINT) AS error,
+       CAST(coalesce(sum(CASE WHEN event_type = 'purchase' THEN CAST(round(value * 100) AS BIGINT) END), 0) AS BIGINT) AS purchase,
+       CAST(coalesce(sum(CASE WHEN event_type = 'signup' THEN CAST(round(value * 100) AS BIGINT) END), 0) AS BIGINT) AS signup
+FROM events GROUP BY 1, 2 HAVING count(*) FILTER (WHERE event_type = 'view') > 0
+""",
+    "q28_nearest_clustered": """
+WITH p AS (SELECT p_partkey, CAST(round(p_retailprice * 100) AS BIGINT) AS cents, p_size, (p_partkey % 2) * 1000000000 AS far FROM part),
+c AS (SELECT c_custkey, CAST(round(c_acctbal * 100) AS BIGINT) AS balance, c_nationkey, (c_custkey % 2) * 1000000000 AS far FROM customer),
+pp AS (SELECT p_partkey, cents + far AS x, p_size * 10 - cents + far AS y FROM p),
+cc AS (SELECT c_custkey, CASE WHEN c_custkey % 10 = 3 THEN balance * 1000 ELSE balance END + far AS x, c_nationkey * 1000 - balance + far AS y FROM c),
+j AS (SELECT c_custkey, p_partkey, abs(cc.x - pp.x) + abs(cc.y - pp.y) AS dist FROM cc CROSS JOIN pp)
+SELECT c_custkey, arg_min(p_partkey, (dist, p_partkey)) AS p_partkey, CAST(min(dist) AS DOUBLE) AS distance FROM j GROUP BY c_custkey
 """,
 }

@@ -20,6 +20,19 @@ OUTBREAK_FIELDS = (
     "LVSTCKSPC_NM", "DGNSS_ENGN_NM", "LVSTCKSPC_CODE", "DGNSS_ENGN_CODE",
     "ICTSD_OCCRRNC_NO", "OCCRRNC_LVSTCKCNT", "FARM_LOCPLC_LEGALDONG_CODE",
 )
+# Station reading fields: what the service says about the page, then the reading.
+READING_FIELDS = (
+    "numOfRows", "pageNo", "totalCount", "resultCode", "resultMsg", "dataType",
+    "stnId", "stnNm", "tm", "avgTa", "minTa", "minTaHrmt", "maxTa", "maxTaHrmt",
+    "sumRnDur", "mi10MaxRn", "mi10MaxRnHrmt", "hr1MaxRn", "hr1MaxRnHrmt", "sumRn",
+    "maxInsWs", "maxInsWsWd", "maxInsWsHrmt", "maxWs", "maxWsWd", "maxWsHrmt", "avgWs",
+    "hr24SumRws", "maxWd", "avgTd", "minRhm", "minRhmHrmt", "avgRhm", "avgPv", "avgPa",
+    "maxPs", "maxPsHrmt", "minPs", "minPsHrmt", "avgPs", "ssDur", "sumSsHr",
+    "hr1MaxIcsrHrmt", "hr1MaxIcsr", "sumGsr", "ddMefs", "ddMefsHrmt", "ddMes", "ddMesHrmt",
+    "sumDpthFhsc", "avgTca", "avgLmac", "avgTs", "minTg", "avgCm5Te", "avgCm10Te",
+    "avgCm20Te", "avgCm30Te", "avgM05Te", "avgM10Te", "avgM15Te", "avgM30Te", "avgM50Te",
+    "sumLrgEv", "sumSmlEv", "n99Rn", "iscs", "sumFogDur",
+)
 # Weather features used for training, in this order.
 FEATURES = ("avgTa", "minTa", "maxTa", "avgRhm")
 # Disease targets (pivot values), in this order.
@@ -67,6 +80,9 @@ READING_SCHEMA = T.StructType(
     + [T.StructField(f, T.StringType()) for f in FEATURES]
 )
 
+# The whole record; READING_SCHEMA holds the fields that the panel's keys and features need.
+FULL_READING_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in READING_FIELDS])
+
 STATION_SCHEMA = T.StructType([
     T.StructField("name", T.StringType()),
     T.StructField("lat", T.DoubleType()),
