@@ -8,16 +8,15 @@ the row, then line number) stays. Steps:
 
 1. Equal lines become one (64-bit hash of the line: two different lines among 10^9 share
    one with probability 0.03). All that follows is done once for each different line.
-2. A line of length l is cut into TAU + 1 segments, its index entries (l, segment number,
-   segment). Two lines within TAU edits share one segment, so a line of length L probes
-   the entries of lengths L - TAU .. L with the few substrings whose position can still
-   be right (bounds from the edits left and right of the segment). Lines of words for
-   2 * TAU edits or more need none: TAU edits touch 2 * TAU words at most.
-3. For the word edits a line is cut into segments that end where a word ends in one of
-   ``ENDS``, so that the cuts stay with the text when words come or go. An edit of a word
-   changes two segments at most. Of t such edits, 2 t + 1 segments in an order of all
+2. A line is split into segments that end where a word ends in one of ``ENDS``, so that the
+   cuts stay with the text when it grows or shrinks. An edit of a character or of a word
+   changes two segments at most. Of n such edits, 2 n + 1 segments in an order of all
    segments (longer first, then by hash) have one in common with those of the other line.
-   Lines with few cuts do so with t + 1 whole words.
+3. A line with too few such segments is also cut into TAU + 1 segments by length, its index
+   entries (l, segment number, segment). Two lines within TAU edits share one segment, so
+   a line of length L probes the entries of lengths L - TAU .. L with the few substrings
+   whose position can still be right (bounds from the edits left and right of the
+   segment). For word edits it uses t + 1 whole words.
 4. Lines that meet under an entry and whose sketches allow it (length, words, letter
    counts, parities of segments) are compared: with a banded bit-parallel edit distance,
    or word by word. ``links.link_buckets`` does so without pairing whole buckets of near
@@ -53,8 +52,8 @@ def let(df: DataFrame, **cols: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
 
 
-def segment_keys(line: str, length: str, tau: int = TAU) -> Column:
-    """Array of keys of a line: its tau + 1 index entries first, then its other probes."""
+def segment_keys(line: str, length: str, tau: int = TAU) -> str:
+    """SQL: array of (key, entry) of a line: its tau + 1 index entries first, then its other probes."""
     k = tau + 1
     index, probes = [], []
     for delta in range(k):
@@ -63,12 +62,12 @@ def segment_keys(line: str, length: str, tau: int = TAU) -> Column:
             for shift in range(lo, hi + 1):
                 (index if delta == shift == 0 else probes).append(f"named_struct('n', {delta}, 'i', {i}, 's', {shift})")
     # small steps over a literal array, not an expression for each key: a generated method of that size is never compiled
-    places = f"transform(array({', '.join(index + probes)}), p -> named_struct('n', {length} - p.n, 'i', p.i, 's', p.s))"
+    places = f"transform(array({', '.join(index + probes)}), p -> named_struct('n', {length} - p.n, 'i', p.i, 's', p.s, 'e', p.n = 0 AND p.s = 0))"
     # of k segments the last (n mod k) have a character more
     cuts = f"""transform({places}, p -> named_struct('n', p.n, 'i', p.i, 'z', CAST(p.n DIV {k} AS INT) + IF(p.i >= {k} - p.n % {k}, 1, 0),
-        'b', p.i * CAST(p.n DIV {k} AS INT) + greatest(p.i - {k} + p.n % {k}, 0) + p.s))"""
-    return F.expr(f"""transform({cuts}, p -> IF(p.n >= {MIN_CHARS} AND p.b >= 0 AND p.b + p.z <= {length},
-        xxhash64(p.n, p.i, substring({line}, p.b + 1, p.z)), NULL))""")
+        'b', p.i * CAST(p.n DIV {k} AS INT) + greatest(p.i - {k} + p.n % {k}, 0) + p.s, 'e', p.e))"""
+    fits = f"filter({cuts}, p -> p.n >= {MIN_CHARS} AND p.b >= 0 AND p.b + p.z <= {length})"
+    return f"transform({fits}, p -> named_struct('key', xxhash64(p.n, p.i, substring({line}, p.b + 1, p.z)), 'entry', p.e))"
 
 
 def n_words(line: str) -> str:
@@ -82,17 +81,17 @@ def _ordered(texts: str) -> str:
 
 def word_segments(line: str) -> Column:
     """Keys of the segments of a line, in its order."""
-    return F.expr(_ordered(f"split({line}, '(?<=[{ENDS}]) ')"))
+    return F.expr(_ordered(f"split({line}, ' (?<=[{ENDS}] )')"))
 
 
-def word_keys(line: str, segments: str, words: str) -> Column:
-    """Array of keys of a line that may be within word edits of another, by its segments
-    and number of words. A partner with more words allows (words DIV 15) edits at most."""
-    t = f"({words} DIV {WORDS_AN_EDIT - 1})"
-    top = "slice(sort_array(array_distinct({}), false), 1, {})"
-    few = f"concat({top.format(segments, f'2 * {t} + 1')}, {top.format(_ordered(f'split({line}, {chr(39)} {chr(39)})'), f'{t} + 1')})"
-    return F.expr(f"""CASE WHEN {t} = 0 THEN CAST(array() AS ARRAY<BIGINT>)
-        WHEN size({segments}) > 3 * {t} THEN {top.format(segments, f'2 * {t} + 1')} ELSE {few} END""")
+def line_keys(line: str, length: str, words: str, segments: str, tau: int = TAU) -> Column:
+    """Array of (key, entry) of a line: entries are met by all lines of the same key, the others by entries only."""
+    t = f"({words} DIV {WORDS_AN_EDIT - 1})"            # a partner with more words allows so many edits at most
+    top = "transform(slice(sort_array(array_distinct({}), false), 1, {}), k -> named_struct('key', k, 'entry', true))"
+    own = top.format(segments, f"greatest(2 * {t}, {2 * tau}) + 1")
+    whole = top.format(_ordered(f"split({line}, ' ')"), f"IF({t} > 0, {t} + 1, 0)")
+    # an edit changes the number of segments by one: a partner has more than 2 t and 2 tau of them
+    return F.expr(f"IF(size({segments}) > greatest(3 * {t}, {3 * tau}), {own}, concat({own}, {whole}, {segment_keys(line, length, tau)}))")
 
 
 def word_edits(length: str, words: str) -> str:
@@ -110,9 +109,9 @@ def sketch(line: str, length: str, words: str, segments: str) -> Column:
 
 
 def may_chars(x: str, y: str, tau: int) -> str:
-    """SQL: the sketches allow ``tau`` edits, and word edits do not cover them."""
+    """SQL: the sketches allow ``tau`` edits."""
     off = " + ".join(f"abs({x}.c{i} - {y}.c{i})" for i in range(len(LETTERS)))
-    return f"(abs({x}.n - {y}.n) <= {tau} AND greatest({x}.t, {y}.t) < {2 * tau} AND {off} <= {2 * tau})"
+    return f"(abs({x}.n - {y}.n) <= {tau} AND {off} <= {2 * tau})"
 
 
 def may_words(x: str, y: str) -> str:
@@ -182,16 +181,12 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _candidates(lines: DataFrame, tau: int, scratch: Scratch) -> DataFrame:
     """(key, id) of all lines (id, line) that share an index entry with another."""
-    lines = let(lines, n=F.length("line"), m=F.expr(n_words("line")))
-    # lines whose every partner allows 2 * tau edits of words need no edits of characters
-    short = lines.where(f"m < {2 * tau * WORDS_AN_EDIT} OR n < {LONG_CHARS + tau}").select("id", segment_keys("line", "n", tau).alias("keys"))
-    words = let(lines.where(f"m >= {WORDS_AN_EDIT - 1}"), g=word_segments("line")).select("id", word_keys("line", "g", "m").alias("keys"))
-    words = scratch.save(words, "words").select("id", F.explode("keys").alias("key"))
-    entry = short.select("id", F.explode(F.slice("keys", 1, tau + 1)).alias("key")).unionByName(words)
-    index = entry.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
-    probe = short.select("id", F.explode("keys").alias("key")).where("key IS NOT NULL").unionByName(words)
-    hits = scratch.save(probe.join(index, "key").where("lo <> hi OR id <> lo").select("key", "id", "lo"), "hits")
-    return scratch.save(hits.select("key", "id").unionByName(hits.select("key", F.col("lo").alias("id"))).distinct(), "members")
+    lines = let(lines, n=F.length("line"), m=F.expr(n_words("line")), g=word_segments("line"))
+    rows = lines.select("id", F.inline(line_keys("line", "n", "m", "g", tau)))
+    # one shuffle; the window of a very common key spills, it is never held in memory
+    met = "OVER (PARTITION BY key)"
+    rows = rows.select("key", "id", F.expr(f"min(id) {met}").alias("lo"), F.expr(f"max(id) {met}").alias("hi"), F.expr(f"max(entry) {met}").alias("met"))
+    return scratch.save(rows.where("met AND lo <> hi").select("key", "id").distinct(), "members")
 
 
 def line_marks(docs: DataFrame, tau: int = TAU, id_col: str = "doc_id", text_col: str = "text",

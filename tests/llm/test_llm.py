@@ -177,6 +177,36 @@ def test_banded_edit_distance(spark, tau):
     assert df.where(linededup.within("a", "b", tau) != df.want).count() == 0
 
 
+def test_lines_of_words_with_changed_characters(spark):
+    """Against all pairs of lines of 4 to 70 words, with edits of letters and spaces."""
+    r = random.Random(77)
+    lines = []
+    for i in range(36):
+        base = prose(900 + i, r.choice([4, 8, 12, 14, 15, 18, 25, 40, 66]))
+        lines.append(base)
+        for _ in range(5):
+            b = list(base)
+            for _ in range(r.randint(1, 3)):
+                k, o = r.randrange(len(b)), r.random()
+                b[k:k + 1] = [" "] if o < 0.2 else [] if o < 0.45 else [b[k], r.choice(" nd")] if o < 0.7 else [r.choice("bcnd")]
+            lines.append("".join(b))
+    lines = [x for x in dict.fromkeys(lines) if len(x) >= 20]
+    up = list(range(len(lines)))
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+    for i, a in enumerate(lines):
+        for k, b in enumerate(lines[:i]):
+            t = max(len(x.split(" ")) // 16 if len(x) >= 80 else 0 for x in (a, b))
+            if (abs(len(a) - len(b)) <= 2 and edits(a, b) <= 2) or (t and abs(len(a) - len(b)) <= 60 and edits(a.split(" "), b.split(" ")) <= t):
+                x, y = root(i), root(k)
+                up[max(x, y)] = min(x, y)
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    assert {x.doc_id: x.kept for x in linededup.line_marks(df).collect()} == {i: root(i) == i for i in range(len(lines))}
+
+
 def test_sketches_allow_every_link(spark):
     """Edits within a bound pass the sketch; lines of other words do not."""
     def sketched(df):
