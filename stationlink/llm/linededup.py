@@ -38,22 +38,24 @@ from .neardup import semi_by_id
 
 TAU = 2
 MIN_CHARS = 20
-PIECES = 10  # of the cheap test before the edit distance
+PIECES = 16  # of a line, for finding what two lines begin and end with alike
 LONG_CHARS = 80
 WORDS_AN_EDIT = 16
-ENDS = "bdfhjlnprtvxz02468"  # of words that end a segment: about half of them
+ENDS = "bdfhjlnoprtvxz02468"  # of words that end a segment: a third to a half of them in most languages of Latin letters
 LETTERS = "eatn"             # counted in the sketch of a line
 PARITIES = 2                 # 64-bit words of segment parities in the sketch
 
 
-def let(df: DataFrame, **cols: Column) -> DataFrame:
+def let(df: DataFrame, replace: list | None = None, **cols: Column) -> DataFrame:
     """Add columns behind a one-row generator, so that the optimizer keeps them computed
-    once instead of copying their expressions into each use."""
-    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
+    once instead of copying their expressions into each use. Those named in ``replace``
+    take the place of columns of the same name."""
+    others = [c for c in df.columns if c not in (replace or ())] if replace else ["*"]
+    return df.select(*others, F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
 
 
 def segment_keys(line: str, length: str, tau: int = TAU) -> str:
-    """SQL: array of (key, entry) of a line: its tau + 1 index entries first, then its other probes."""
+    """SQL: array of keys of a line: its tau + 1 index entries (last bit 1) first, then its other probes."""
     k = tau + 1
     index, probes = [], []
     for delta in range(k):
@@ -67,7 +69,7 @@ def segment_keys(line: str, length: str, tau: int = TAU) -> str:
     cuts = f"""transform({places}, p -> named_struct('n', p.n, 'i', p.i, 'z', CAST(p.n DIV {k} AS INT) + IF(p.i >= {k} - p.n % {k}, 1, 0),
         'b', p.i * CAST(p.n DIV {k} AS INT) + greatest(p.i - {k} + p.n % {k}, 0) + p.s, 'e', p.e))"""
     fits = f"filter({cuts}, p -> p.n >= {MIN_CHARS} AND p.b >= 0 AND p.b + p.z <= {length})"
-    return f"transform({fits}, p -> named_struct('key', xxhash64(p.n, p.i, substring({line}, p.b + 1, p.z)), 'entry', p.e))"
+    return f"transform({fits}, p -> shiftleft(xxhash64(p.n, p.i, substring({line}, p.b + 1, p.z)), 1) | IF(p.e, 1, 0))"
 
 
 def n_words(line: str) -> str:
@@ -85,9 +87,9 @@ def word_segments(line: str) -> Column:
 
 
 def line_keys(line: str, length: str, words: str, segments: str, tau: int = TAU) -> Column:
-    """Array of (key, entry) of a line: entries are met by all lines of the same key, the others by entries only."""
+    """Array of keys of a line, the last bit 1 for entries: those are met by all lines of the same key, the others by entries only."""
     t = f"({words} DIV {WORDS_AN_EDIT - 1})"            # a partner with more words allows so many edits at most
-    top = "transform(slice(sort_array(array_distinct({}), false), 1, {}), k -> named_struct('key', k, 'entry', true))"
+    top = "transform(slice(sort_array(array_distinct({}), false), 1, {}), k -> shiftleft(k, 1) | 1)"
     own = top.format(segments, f"greatest(2 * {t}, {2 * tau}) + 1")
     whole = top.format(_ordered(f"split({line}, ' ')"), f"IF({t} > 0, {t} + 1, 0)")
     # an edit changes the number of segments by one: a partner has more than 2 t and 2 tau of them
@@ -130,11 +132,16 @@ def words_within(a: str, b: str, tau: str) -> Column:
 
 
 def uncommon(df: DataFrame, a: str, b: str, out_a: str, out_b: str) -> DataFrame:
-    """Adds the two texts without the pieces (tenths of the shorter) that they begin and end with alike; their edit distance is the same."""
+    """Adds the two texts without whole words that they begin and end with alike (found by
+    pieces, so not all of them): their edit distances, of characters and of words, are the same."""
+    def alike(side: str) -> Column:
+        return F.expr(f"size(filter(sequence(1, {PIECES - 1}), i -> {side}({a}, i * _p) = {side}({b}, i * _p))) * _p")
     df = let(df, _p=F.expr(f"least(length({a}), length({b})) DIV {PIECES}"))
-    df = let(df, _k=F.expr(" + ".join(f"CAST(left({a}, {i} * _p) = left({b}, {i} * _p) AS INT)" for i in range(1, PIECES))),
-             _e=F.expr(" + ".join(f"CAST(right({a}, {i} * _p) = right({b}, {i} * _p) AS INT)" for i in range(1, PIECES))))
-    cut = f"substring({{0}}, _k * _p + 1, length({{0}}) - (_k + least(_e, {PIECES - 1} - _k)) * _p)"
+    df = let(df, _k=alike("left"), _e=alike("right"))
+    # to the last space of the alike beginning, from the first space of the alike end
+    df = let(df, ["_e", "_k"], _e=F.expr(f"CAST(least(_e, {PIECES - 1} * _p - _k) AS INT)"), _k=F.expr(f"CAST(_k - length(substring_index(left({a}, CAST(_k AS INT)), ' ', -1)) AS INT)"))
+    df = let(df, ["_e"], _e=F.expr(f"_e - length(substring_index(right({a}, _e), ' ', 1))"))
+    cut = "substring({0}, _k + 1, length({0}) - _k - _e)"
     return let(df, **{out_a: F.expr(cut.format(a)), out_b: F.expr(cut.format(b))}).drop("_p", "_k", "_e")
 
 
@@ -182,11 +189,12 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _candidates(lines: DataFrame, tau: int, scratch: Scratch) -> DataFrame:
     """(key, id) of all lines (id, line) that share an index entry with another."""
     lines = let(lines, n=F.length("line"), m=F.expr(n_words("line")), g=word_segments("line"))
-    rows = lines.select("id", F.inline(line_keys("line", "n", "m", "g", tau)))
+    rows = lines.select("id", F.explode(line_keys("line", "n", "m", "g", tau)).alias("k"))
+    rows = rows.select("id", F.expr("shiftright(k, 1)").alias("key"), F.expr("k & 1").alias("entry"))
     # one shuffle; the window of a very common key spills, it is never held in memory
     met = "OVER (PARTITION BY key)"
     rows = rows.select("key", "id", F.expr(f"min(id) {met}").alias("lo"), F.expr(f"max(id) {met}").alias("hi"), F.expr(f"max(entry) {met}").alias("met"))
-    return scratch.save(rows.where("met AND lo <> hi").select("key", "id").distinct(), "members")
+    return scratch.save(rows.where("met = 1 AND lo <> hi").select("key", "id").distinct(), "members")
 
 
 def line_marks(docs: DataFrame, tau: int = TAU, id_col: str = "doc_id", text_col: str = "text",
@@ -211,7 +219,7 @@ def line_marks(docs: DataFrame, tau: int = TAU, id_col: str = "doc_id", text_col
         p = pairs.join(text.selectExpr("id AS a", "line AS la", "sketch AS sa"), "a").join(
             text.selectExpr("id AS b", "line AS lb", "sketch AS sb"), "b")
         p = uncommon(let(p, chars=F.expr(may_chars("sa", "sb", tau))), "la", "lb", "xa", "xb")
-        words = F.expr(may_words("sa", "sb")) & words_within("la", "lb", "greatest(sa.t, sb.t)")
+        words = F.expr(may_words("sa", "sb")) & words_within("xa", "xb", "greatest(sa.t, sb.t)")
         return p.where((F.col("chars") & within("xa", "xb", tau)) | words).select("a", "b")
 
     comp, _ = link_buckets(members.join(text.select("id", "sketch"), "id").select("key", "id", "sketch"), verify, scratch,

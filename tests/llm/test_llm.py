@@ -233,10 +233,13 @@ def test_sketches_allow_every_link(spark):
 
 
 def test_uncommon_parts_keep_the_distance(spark):
+    """Of characters and of words."""
     r = random.Random(8)
-    rows = [(a, changed(r, a, r.randint(0, 3))) for a in ("".join(r.choice("abé") for _ in range(r.randint(0, 60))) for _ in range(500))]
+    rows = [(a, changed(r, a, r.randint(0, 3)).replace("b", r.choice(["b", " "]), 1)) for a in ("".join(r.choice("abé  ") for _ in range(r.randint(0, 90))) for _ in range(500))]
     df = linededup.uncommon(spark.createDataFrame(rows, "a string, b string"), "a", "b", "x", "y")
-    assert df.where("levenshtein(a, b) <> levenshtein(x, y)").count() == 0 and df.where("length(x) < length(a) DIV 2").count() > 100
+    got = df.selectExpr("*", "levenshtein(a, b) = levenshtein(x, y) AS same").collect()
+    assert all(g.same and edits(g.a.split(" "), g.b.split(" ")) == edits(g.x.split(" "), g.y.split(" ")) for g in got)
+    assert sum(len(g.x) < len(g.a) / 2 for g in got) > 100
 
 
 def test_rows_that_repeat_an_id_keep_their_own_lines(spark):
