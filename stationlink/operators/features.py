@@ -30,11 +30,13 @@ def select_targets(panel: DataFrame, targets: list, threshold: float = TARGET_MI
 
 
 # Exact quantiles: up to this many values Spark's ``percentile`` aggregate is used (its
-# buffer holds one entry per distinct value); above it, order statistics are found by
-# histogram refinement, which never holds more than this many values anywhere.
+# buffer holds one entry per distinct value). Above it, a sketch brackets each rank to
+# ``4 / SKETCH_ACCURACY`` of the rows and a second scan gathers what lies inside; at most
+# ``REFINE_COLLECT_MAX`` distinct values are read, more are first narrowed by ``CUTS`` values.
 EXACT_QUANTILE_MAX_VALUES = 1_000_000
-REFINE_BUCKETS = 4096
+SKETCH_ACCURACY = 20_000
 REFINE_COLLECT_MAX = 10_000
+CUTS = 1_000
 
 
 def _interpolate(vals: dict, n: int, p: float) -> float:
@@ -46,79 +48,126 @@ def _interpolate(vals: dict, n: int, p: float) -> float:
     return (hi - pos) * float(vals[lo]) + (pos - lo) * float(vals[hi])
 
 
-def _order_statistics(df: DataFrame, col: str, ranks: list, lo: float, hi: float) -> dict:
-    """ACTION (a few small aggregates). The values at 0-based ``ranks`` of the non-null
-    values of ``col``. Each pass buckets the values inside the current interval of every
-    pending rank into ``REFINE_BUCKETS`` buckets (count, min, max per bucket: at most
-    ranks x buckets rows come back), keeps the bucket that holds the rank and narrows the
-    interval to its min and max. Done when the interval is one value or small enough to
-    be read (at most ``REFINE_COLLECT_MAX`` values)."""
+def _regions(x: Column, brackets: list) -> Column:
+    """Number of the region of a value: 2 i + 1 in the i-th bracket, 2 i below it, else after all."""
+    out = F.lit(2 * len(brackets))
+    for i, (a, b) in reversed(list(enumerate(brackets))):
+        out = F.when(x < F.lit(a), 2 * i).when(x <= F.lit(b), 2 * i + 1).otherwise(out)
+    return out
+
+
+def _merged(brackets: list) -> list:
+    out: list = []
+    for a, b in sorted(brackets):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def _value_at(counts: DataFrame, rank: int, collect_max: int) -> float:
+    """ACTION. The value at a 0-based rank of (``v``, ``c``): how often each value is there."""
+    while True:
+        n = counts.count()
+        if n <= collect_max:
+            for v, c in counts.orderBy("v").collect():
+                if rank < c:
+                    return v
+                rank -= c
+            raise ValueError("rank beyond the values")
+        # cuts of about equal numbers of distinct values; the one with the rank goes on
+        cuts = sorted(set(counts.agg(F.percentile_approx("v", [k / CUTS for k in range(1, CUTS)], 10 * CUTS)).first()[0]))
+        part = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("v")))
+        sums = dict(counts.groupBy(part.alias("p")).agg(F.sum("c")).collect())
+        for p in sorted(sums):
+            if rank < sums[p]:
+                break
+            rank -= sums[p]
+        if p > 0:
+            counts = counts.where(F.col("v") >= F.lit(cuts[p - 1]))
+        if p < len(cuts):
+            counts = counts.where(F.col("v") < F.lit(cuts[p]))
+
+
+def _order_statistics(df: DataFrame, col: str, ranks: list, lo: float, hi: float, n: int | None = None, brackets: list | None = None,
+                      collect_max: int | None = None) -> dict:
+    """ACTION. The values at 0-based ``ranks`` of the non-null values of ``col``, whose
+    least and greatest value are ``lo`` and ``hi``. One scan brackets all ranks by a
+    quantile sketch (left out if ``n`` and the ``brackets`` are given). One more scan counts
+    the rows outside the brackets and the occurrences of each value inside, in one
+    aggregate; the ranks are found in these counts. Only if a bracket should miss its rank
+    is the region that holds it scanned as well."""
     x = F.col(col)
-    state = {r: (lo, hi, 0) for r in ranks}          # rank -> (a, b, count of values < a)
+    if brackets is None:
+        n = n if n is not None else df.agg(F.count(x)).first()[0]
+        brackets = _sketch(df, x, [(r + 0.5) / n for r in ranks])[1]
+    brackets = _merged(brackets)
+    checkpoint_dir(df.sparkSession)
     out: dict = {}
-    for _ in range(64):
-        out.update({r: a for r, (a, b, _) in state.items() if r not in out and a == b})
-        pending = {r: st for r, st in state.items() if r not in out}
-        if not pending:
-            return out
-        intervals = sorted(set(pending.values()))
-        parts = []
-        for k, (a, b, _below) in enumerate(intervals):
-            width = F.lit(float(b) - float(a))
-            bucket = F.least(F.floor((x - F.lit(a)) / width * F.lit(REFINE_BUCKETS)), F.lit(REFINE_BUCKETS - 1))
-            parts.append(F.when(x.between(a, b), F.struct(F.lit(k).alias("k"), bucket.cast("int").alias("b"))))
-        hist = (df.select(F.explode(F.filter(F.array(*parts), lambda e: e.isNotNull())).alias("e"), x.alias("v"))
-                .groupBy("e.k", "e.b").agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("mn"), F.max("v").alias("mx"))
-                .collect())
-        by_k: dict = {}
-        for row in hist:
-            by_k.setdefault(row["k"], []).append((row["b"], row["c"], row["mn"], row["mx"]))
-        for r, (a, b, below) in pending.items():
-            k = intervals.index((a, b, below))
-            acc = below
-            for _bkt, c, mn, mx in sorted(by_k.get(k, [])):
-                if r < acc + c:
-                    if mn == mx:
-                        out[r] = mn
-                    elif c <= REFINE_COLLECT_MAX:
-                        vals = [v[0] for v in df.where(x.between(mn, mx)).select(x).orderBy(x).collect()]
-                        out[r] = vals[r - acc]
-                    else:
-                        state[r] = (mn, mx, acc)
+    while len(out) < len(ranks):
+        region = _regions(x, brackets)
+        counts = (df.where(x.isNotNull()).groupBy(region.alias("region"), F.when(region % 2 == 1, x).alias("v"))
+                  .agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True))
+        sums = dict(counts.groupBy("region").agg(F.sum("c")).collect())
+        ends = [lo, *[e for b in brackets for e in b], hi]
+        missed = []
+        for r in ranks:
+            if r in out:
+                continue
+            below = 0
+            for region_no in sorted(sums):
+                if r < below + sums[region_no]:
                     break
-                acc += c
-    raise RuntimeError("quantile refinement did not converge")
+                below += sums[region_no]
+            if region_no % 2:
+                a, b = brackets[region_no // 2]
+                out[r] = a if a == b else _value_at(counts.where(F.col("region") == region_no).select("v", "c"), r - below, collect_max or REFINE_COLLECT_MAX)
+            else:
+                missed.append((ends[region_no], ends[region_no + 1]))
+        brackets = _merged(missed) if missed else brackets
+    return out
+
+
+def _sketch(df: DataFrame, x: Column, shares: list) -> tuple:
+    """ACTION. (count, brackets, least, greatest) by one aggregate: a bracket is a value below and one above a share."""
+    gap = 2 / SKETCH_ACCURACY
+    at = [min(max(s + d, 0.0), 1.0) for s in shares for d in (-gap, gap)]
+    r = df.agg(F.count(x).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi"), F.percentile_approx(x, at, SKETCH_ACCURACY).alias("q")).first()
+    if not r.n:
+        return 0, [], None, None
+    ends = [r.lo if s <= 0 else r.hi if s >= 1 else v for s, v in zip(at, r.q, strict=True)]
+    return r.n, list(zip(ends[::2], ends[1::2], strict=True)), r.lo, r.hi
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: list, max_values: int = EXACT_QUANTILE_MAX_VALUES,
                     rows_at_most: int | None = None) -> list:
     """ACTION. Exact quantiles of the non-null values of ``col`` with linear interpolation
-    (the pandas default), with bounded memory in every task and on the driver.
-    ``rows_at_most``: a known bound on the row count; when it is within ``max_values``
-    the statistics job is skipped."""
+    (the pandas default), with bounded memory in every task and on the driver, in two
+    scans. ``rows_at_most``: a known bound on the row count; when it is within
+    ``max_values`` one scan does."""
     x = F.col(col)
     if rows_at_most is not None and rows_at_most <= max_values:
         v = df.agg(F.percentile(x, F.array(*[F.lit(float(p)) for p in probs]))).first()[0]
         return [None] * len(probs) if v is None else [float(q) for q in v]
-    st = df.agg(F.count(x).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi")).first()
-    n = st["n"]
+    n, brackets, lo, hi = _sketch(df, x, [float(p) for p in probs])
     if n == 0:
         return [None] * len(probs)
     if n <= max_values:
         return [float(v) for v in df.agg(F.percentile(x, F.array(*[F.lit(float(p)) for p in probs]))).first()[0]]
     ranks = sorted({f((n - 1) * p) for p in probs for f in (math.floor, math.ceil)})
-    vals = _order_statistics(df, col, ranks, st["lo"], st["hi"])
+    vals = _order_statistics(df, col, ranks, lo, hi, n, brackets)
     return [_interpolate(vals, n, p) for p in probs]
 
 
 def quantile_bounds(df: DataFrame, col: str, k: float = 1.5, accuracy: int | None = None,
-                    rows_at_most: int | None = None) -> tuple:
+                    rows_at_most: int | None = None, max_values: int = EXACT_QUANTILE_MAX_VALUES) -> tuple:
     """ACTION (small aggregates, one row back each). Lower and upper IQR bounds of ``col``.
 
     Exact by default (``exact_quantiles``); ``accuracy`` switches to the
     ``percentile_approx`` sketch, one pass with a fixed-size buffer."""
     if accuracy is None:
-        q1, q3 = exact_quantiles(df, col, [0.25, 0.75], rows_at_most=rows_at_most)
+        q1, q3 = exact_quantiles(df, col, [0.25, 0.75], max_values, rows_at_most)
     else:
         r = df.agg(F.percentile_approx(F.col(col), F.array(F.lit(0.25), F.lit(0.75)), accuracy)).first()[0]
         q1, q3 = (None, None) if r is None else (r[0], r[1])
@@ -128,7 +177,8 @@ def quantile_bounds(df: DataFrame, col: str, k: float = 1.5, accuracy: int | Non
     return q1 - k * (q3 - q1), q3 + k * (q3 - q1)
 
 
-def iqr_filter(df: DataFrame, features: list, k: float = 1.5, accuracy: int | None = None) -> DataFrame:
+def iqr_filter(df: DataFrame, features: list, k: float = 1.5, accuracy: int | None = None,
+               max_values: int = EXACT_QUANTILE_MAX_VALUES) -> DataFrame:
     """Coerce the features to double, drop rows with a null in any of them, then for
     each feature in order keep ``lo <= x <= hi`` where the bounds are computed on the
     rows the previous features left.
@@ -143,7 +193,7 @@ def iqr_filter(df: DataFrame, features: list, k: float = 1.5, accuracy: int | No
     # decides the exact path for all features
     bound = cur.count() if accuracy is None else None
     for f in features:
-        lo, hi = quantile_bounds(cur, f, k, accuracy, rows_at_most=bound)
+        lo, hi = quantile_bounds(cur, f, k, accuracy, bound, max_values)
         if lo is None:
             return cur.limit(0)
         cur = cur.where((F.col(f) >= F.lit(lo)) & (F.col(f) <= F.lit(hi)))

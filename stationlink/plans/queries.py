@@ -336,6 +336,15 @@ def q28_nearest_clustered(spark, d):
     return geo.nearest_l1(custs, parts, "c_custkey", "x", "y", "x", "y", "p_partkey", ["p_partkey"])
 
 
+# q29 -------------------------------------------------------------------------
+def q29_iqr_selected(spark, d):
+    """The sequential filter with quantiles by bracketed selection, as on large tables: one
+    feature does not vary, one has few values."""
+    li = read_table(spark, d, "lineitem")
+    df = li.select("l_orderkey", "l_linenumber", "l_extendedprice", F.lit(7.5).alias("fixed"), "l_quantity", "l_discount")
+    return feat.iqr_filter(df, ["l_extendedprice", "fixed", "l_quantity", "l_discount"], k=0.3, max_values=1000)
+
+
 QUERIES = {
     "q01_envelope_unwrap": q01_envelope_unwrap,
     "q02_date_normalize": q02_date_normalize,
@@ -365,6 +374,7 @@ QUERIES = {
     "q26_gap_report": q26_gap_report,
     "q27_incremental_panel": q27_incremental_panel,
     "q28_nearest_clustered": q28_nearest_clustered,
+    "q29_iqr_selected": q29_iqr_selected,
 }
 
 flagship = q09_panel
@@ -597,5 +607,17 @@ pp AS (SELECT p_partkey, cents + far AS x, p_size * 10 - cents + far AS y FROM p
 cc AS (SELECT c_custkey, CASE WHEN c_custkey % 10 = 3 THEN balance * 1000 ELSE balance END + far AS x, c_nationkey * 1000 - balance + far AS y FROM c),
 j AS (SELECT c_custkey, p_partkey, abs(cc.x - pp.x) + abs(cc.y - pp.y) AS dist FROM cc CROSS JOIN pp)
 SELECT c_custkey, arg_min(p_partkey, (dist, p_partkey)) AS p_partkey, CAST(min(dist) AS DOUBLE) AS distance FROM j GROUP BY c_custkey
+""",
+    "q29_iqr_selected": """
+WITH t0 AS (SELECT l_orderkey, l_linenumber, l_extendedprice, CAST(7.5 AS DOUBLE) AS fixed, l_quantity, l_discount FROM lineitem),
+b0 AS (SELECT quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.75) AS q3 FROM t0),
+t1 AS (SELECT t0.* FROM t0, b0 WHERE l_extendedprice BETWEEN q1 - 0.3 * (q3 - q1) AND q3 + 0.3 * (q3 - q1)),
+b1 AS (SELECT quantile_cont(fixed, 0.25) AS q1, quantile_cont(fixed, 0.75) AS q3 FROM t1),
+t2 AS (SELECT t1.* FROM t1, b1 WHERE fixed BETWEEN q1 - 0.3 * (q3 - q1) AND q3 + 0.3 * (q3 - q1)),
+b2 AS (SELECT quantile_cont(l_quantity, 0.25) AS q1, quantile_cont(l_quantity, 0.75) AS q3 FROM t2),
+t3 AS (SELECT t2.* FROM t2, b2 WHERE l_quantity BETWEEN q1 - 0.3 * (q3 - q1) AND q3 + 0.3 * (q3 - q1)),
+b3 AS (SELECT quantile_cont(l_discount, 0.25) AS q1, quantile_cont(l_discount, 0.75) AS q3 FROM t3),
+t4 AS (SELECT t3.* FROM t3, b3 WHERE l_discount BETWEEN q1 - 0.3 * (q3 - q1) AND q3 + 0.3 * (q3 - q1))
+SELECT * FROM t4
 """,
 }

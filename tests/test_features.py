@@ -177,3 +177,36 @@ def test_exact_quantiles_refinement_equals_percentile(spark):
     assert small == refined == deep
     xs = sorted(v for v in vals if v is not None)
     assert refined[0] == xs[0] and refined[-1] == xs[-1]
+
+
+def test_bracketed_selection_in_two_scans(spark):
+    """Every rank of skewed values, some held by a third of all rows, from two scans."""
+    rnd = random.Random(12)
+    vals = [round(rnd.gauss(0, 1), 3) for _ in range(24000)] + [0.5] * 16000 + [-7.25] * 6400 + [1e12, -1e12]
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    df = spark.createDataFrame([(v,) for v in vals] + [(None,)] * 5, "v double").repartition(3)
+    counted = df.mapInArrow(count, "v double")
+    order = sorted(vals)
+    probs = [0.0, 0.001, 0.25, 0.333, 0.5, 0.75, 0.9999, 1.0]
+    got = feat.exact_quantiles(counted, "v", probs, max_values=10)
+    assert seen.value == 2 * (len(vals) + 5)
+    want = [float(x) for x in df.agg(F.percentile("v", F.array(*[F.lit(p) for p in probs]))).first()[0]]
+    assert got == want
+    ranks = [0, 1, 6399, 6400, 6401, 19200, 27000, 32000, len(vals) - 2, len(vals) - 1]
+    assert feat._order_statistics(df, "v", ranks, order[0], order[-1]) == {r: order[r] for r in ranks}
+    # few values may be read at once: narrowed by cuts; a bracket that misses is made good
+    assert feat._order_statistics(df, "v", ranks, order[0], order[-1], collect_max=5) == {r: order[r] for r in ranks}
+    assert feat._order_statistics(df, "v", ranks, order[0], order[-1], len(vals), [(0.1, 0.2)]) == {r: order[r] for r in ranks}
+
+
+def test_iqr_filter_selected_equals_plain(spark):
+    rnd = random.Random(13)
+    df = spark.createDataFrame([(i, rnd.gauss(0, 1), 4.0, float(rnd.randrange(3)), rnd.choice([None, "x", "1.5", "900"])) for i in range(600)],
+                               "id long, a double, b double, c double, d string")
+    for cols in (["a", "b", "c"], ["c", "d", "a"]):
+        assert sorted(r.id for r in feat.iqr_filter(df, cols, max_values=20).collect()) == sorted(r.id for r in feat.iqr_filter(df, cols).collect())
