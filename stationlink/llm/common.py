@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import tempfile
 import uuid
@@ -69,6 +70,12 @@ class Scratch:
         out._scratch_path = path
         return out
 
+    def free(self) -> None:
+        """Have Spark delete shuffle files of plans that nothing refers to any more: it does so
+        when the driver's heap is collected, which may not happen during a long job."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, *tables: DataFrame | None) -> None:
         for t in tables:
             path = getattr(t, "_scratch_path", None)

@@ -10,8 +10,9 @@ the row, then line number) stays. Steps:
    one with probability 0.03). All that follows is done once for each different line.
 2. A line is split into segments that end where a word ends in one of ``ENDS``, so that the
    cuts stay with the text when it grows or shrinks. An edit of a character or of a word
-   changes two segments at most. Of n such edits, 2 n + 1 segments in an order of all
-   segments (longer first, then by hash) have one in common with those of the other line.
+   changes two segments at most. Of n such edits, the first 2 n + 2 segments in an order of
+   all segments (longer first, then by hash) have two in common with those of the other
+   line, whose number of words differs by n at most; a line of fewer has one in common.
 3. A line with too few such segments is also cut into TAU + 1 segments by length, its index
    entries (l, segment number, segment). Two lines within TAU edits share one segment, so
    a line of length L probes the entries of lengths L - TAU .. L with the few substrings
@@ -73,7 +74,7 @@ def segment_keys(line: str, length: str, tau: int = TAU) -> str:
 
 
 def n_words(line: str) -> str:
-    return f"(length({line}) - length(replace({line}, ' ', '')) + 1)"
+    return f"(octet_length({line}) - octet_length(replace({line}, ' ', '')) + 1)"
 
 
 def _ordered(texts: str) -> str:
@@ -90,7 +91,7 @@ def line_keys(line: str, length: str, words: str, segments: str, tau: int = TAU)
     """Array of keys of a line, the last bit 1 for entries: those are met by all lines of the same key, the others by entries only."""
     t = f"({words} DIV {WORDS_AN_EDIT - 1})"            # a partner with more words allows so many edits at most
     top = "transform(slice(sort_array(array_distinct({}), false), 1, {}), k -> shiftleft(k, 1) | 1)"
-    own = top.format(segments, f"greatest(2 * {t}, {2 * tau}) + 1")
+    own = top.format(segments, f"greatest(2 * {t}, {2 * tau}) + 2")
     whole = top.format(_ordered(f"split({line}, ' ')"), f"IF({t} > 0, {t} + 1, 0)")
     # an edit changes the number of segments by one: a partner has more than 2 t and 2 tau of them
     return F.expr(f"IF(size({segments}) > greatest(3 * {t}, {3 * tau}), {own}, concat({own}, {whole}, {segment_keys(line, length, tau)}))")
@@ -186,15 +187,24 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return let(rows, n=F.length("line"))
 
 
-def _candidates(lines: DataFrame, tau: int, scratch: Scratch) -> DataFrame:
-    """(key, id) of all lines (id, line) that share an index entry with another."""
+def _candidates(lines: DataFrame, tau: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(key, id) of all lines (id, line) that share entries with lines of about as many words, and their ids."""
     lines = let(lines, n=F.length("line"), m=F.expr(n_words("line")), g=word_segments("line"))
-    rows = lines.select("id", F.explode(line_keys("line", "n", "m", "g", tau)).alias("k"))
-    rows = rows.select("id", F.expr("shiftright(k, 1)").alias("key"), F.expr("k & 1").alias("entry"))
-    # one shuffle; the window of a very common key spills, it is never held in memory
-    met = "OVER (PARTITION BY key)"
-    rows = rows.select("key", "id", F.expr(f"min(id) {met}").alias("lo"), F.expr(f"max(id) {met}").alias("hi"), F.expr(f"max(entry) {met}").alias("met"))
-    return scratch.save(rows.where("met = 1 AND lo <> hi").select("key", "id").distinct(), "members")
+    few = F.expr(f"size(g) <= greatest(3 * (m DIV {WORDS_AN_EDIT - 1}), {3 * tau}) OR size(array_distinct(g)) < greatest(2 * (m DIV {WORDS_AN_EDIT - 1}), {2 * tau}) + 2")
+    rows = lines.select("id", F.col("m").cast("int").alias("m"), F.when(few, 1).otherwise(2).alias("need"), F.explode(line_keys("line", "n", "m", "g", tau)).alias("k"))
+    rows = rows.select("id", "m", "need", F.expr("shiftright(k, 1)").alias("key"), F.expr("CAST(k & 1 AS INT)").alias("entry"))
+    # one shuffle; the window of a very common key spills, it is never held in memory. In the
+    # order of the words, a line with a partner has a neighbour that is near enough
+    met = "OVER (PARTITION BY key ORDER BY m"
+    rows = rows.select("key", "id", "need", "m", F.expr(f"lag(m) {met})").alias("before"), F.expr(f"lead(m) {met})").alias("after"),
+                       F.expr(f"max(entry) {met} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)").alias("met"))
+    off = f"greatest(m DIV {WORDS_AN_EDIT - 1}, {tau})"
+    rows = scratch.save(rows.where(f"met = 1 AND (m - before <= {off} OR after - m <= {off})").select("key", "id", "need").distinct(), "met")
+    scratch.free()
+    ids = scratch.save(rows.groupBy("id").agg(F.count("*").alias("n"), F.max("need").alias("need")).where("n >= need").select("id"), "ids")
+    members = scratch.save(rows.select("key", "id").join(ids, "id", "left_semi"), "members")
+    scratch.drop(rows)
+    return members, ids
 
 
 def line_marks(docs: DataFrame, tau: int = TAU, id_col: str = "doc_id", text_col: str = "text",
@@ -210,10 +220,11 @@ def line_marks(docs: DataFrame, tau: int = TAU, id_col: str = "doc_id", text_col
     # one row per distinct line; a very common line is combined before the shuffle
     distinct = scratch.save(long.groupBy("id").agg(F.min(F.struct("doc", "row", "line_no")).alias("at"), F.count("*").alias("occurs"),
                                                    F.first("line").alias("line")), "distinct")
-    members = _candidates(distinct.select("id", "line"), tau, scratch)
-    ids = scratch.save(members.select("id").distinct(), "ids")
+    scratch.free()
+    members, ids = _candidates(distinct.select("id", "line"), tau, scratch)
     text = let(semi_by_id(distinct.select("id", "line"), ids, "id"), n=F.length("line"), m=F.expr(n_words("line")), g=word_segments("line"))
     text = scratch.save(text.select("id", "line", sketch("line", "n", "m", "g").alias("sketch")), "text")
+    scratch.free()
 
     def verify(pairs: DataFrame) -> DataFrame:
         p = pairs.join(text.selectExpr("id AS a", "line AS la", "sketch AS sa"), "a").join(
