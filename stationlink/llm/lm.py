@@ -7,7 +7,8 @@ filter is built segment by segment (a segment holds the n-grams of one shard of
 counts) and holds every word and pair: it has ``BITS`` bits for each key, whose number
 follows from a histogram of the levels. Up to ``BROADCAST_BITS`` it is broadcast; a
 larger one is never put together: the n-grams of blocks of texts are sent to their
-shards, probed there and sent back. Both ways give the same levels.
+shards, probed there and sent back, with the exact counts of words that the base score
+needs. Both ways give the same levels.
 
 A pair's probability interpolates its share of the word before it with the smoothed
 share of the word itself.
@@ -20,6 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,12 +32,12 @@ BITS = 12              # of the filter for each key
 PROBES = 3             # bits a key sets
 BROADCAST_BITS = 1 << 29  # of the largest filter that is broadcast: 64 MB
 BLOCK = 1 << 22        # bytes of text of which the n-grams are sent to the shards together
+ASKED = 1 << 26        # bytes of requests that one task answers together
 LEVELS = 48
 HOT = 1 << 19          # a word of more than 1/HOT of all tokens is broadcast: at most HOT words
 PAIR_SHARE = 0.3       # weight of the pair estimate
 FLUSH = 2_000_000      # tokens a task counts before it hands counts on
 END, BEGIN = np.uint64(0xE0D), np.uint64(0xB061)
-LOW48 = np.uint64((1 << 48) - 1)
 
 
 def _sequence(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -65,16 +67,37 @@ def _cuts(keys: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
     return s[at[:-1]], at
 
 
-def _pack48(k: np.ndarray) -> bytes:
-    return np.ascontiguousarray((k & LOW48).view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+def _pack(keys: np.ndarray) -> bytes:
+    """The top 48 bits of sorted hashes of a shard: the first, then steps of 32 bits; all in
+    6 bytes if a step is too long for that."""
+    k = keys >> np.uint64(16)
+    steps = np.diff(k)
+    if len(steps) and int(steps.max()) >> 32:
+        return b"\0" + np.ascontiguousarray(k.view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+    return b"\1" + k[:1].tobytes() + steps.astype(np.uint32).tobytes()
 
 
-def _unpack48(b: bytes) -> np.ndarray:
-    out = np.zeros((len(b) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(b, np.uint8).reshape(-1, 6)
+def _unpack(b: bytes) -> np.ndarray:
+    if b[:1] == b"\1":
+        first = np.frombuffer(b[1:9], np.uint64)
+        return np.cumsum(np.concatenate([first, np.frombuffer(b[9:], np.uint32).astype(np.uint64)]), dtype=np.uint64)
+    out = np.zeros(((len(b) - 1) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(b[1:], np.uint8).reshape(-1, 6)
     return out.view(np.uint64).ravel()
 
 
+def _pack_counts(n: np.ndarray) -> bytes:
+    """A byte for each count; 255 stands for a larger one, which follows at the end."""
+    large = n[n >= 255].astype(np.uint64)
+    return np.minimum(n, 255).astype(np.uint8).tobytes() + large.tobytes()
+
+
+def _unpack_counts(b: bytes, size: int) -> np.ndarray:
+    n = np.frombuffer(b[:size], np.uint8).astype(np.int64)
+    n[n == 255] = np.frombuffer(b[size:], np.uint64).astype(np.int64)
+    return n
+
+
 def _count(shards: int):
     def flush(held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
         rows = []
@@ -84,7 +107,7 @@ def _count(shards: int):
                 ids, at = _cuts(keys, shards)
                 for s, a, b in zip(ids, at[:-1], at[1:], strict=True):
                     k = keys[a:b]
-                    rows.append((order, int(s), k.tobytes() if order == 1 else _pack48(k), n[a:b].astype(np.uint32).tobytes()))
+                    rows.append((order, int(s), k.tobytes() if order == 1 else _pack(k), _pack_counts(n[a:b])))
             parts.clear()
         for i in range(0, len(rows), 256):
             cols = list(zip(*rows[i:i + 256], strict=True))
@@ -108,19 +131,27 @@ def _count(shards: int):
 
 
 def _reduce(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-    """Sums the counts of one shard."""
+    """Sums the counts of one shard. Of words the counts are kept, of pairs their levels (a byte)."""
     order = int(key[0])
-    read_keys = (lambda b: np.frombuffer(b, np.uint64)) if order == 1 else _unpack48
-    k = np.concatenate([read_keys(b) for b in pdf["keys"]])
-    n = np.concatenate([np.frombuffer(b, np.uint32) for b in pdf["counts"]]).astype(np.int64)
-    keys, at = np.unique(k, return_inverse=True)
+    read_keys = (lambda b: np.frombuffer(b, np.uint64)) if order == 1 else _unpack
+    k = [read_keys(b) for b in pdf["keys"]]
+    n = np.concatenate([_unpack_counts(b, len(x)) for b, x in zip(pdf["counts"], k, strict=True)])
+    keys, at = np.unique(np.concatenate(k), return_inverse=True)
     n = np.bincount(at, n, len(keys)).astype(np.int64)
     tokens, distinct = int(n.sum()), len(keys)
     level = np.frexp(n.astype(np.float64))[1]
-    return pd.DataFrame({"order": [order], "shard": [int(key[1])], "keys": [keys.tobytes()], "counts": [n.tobytes()], "tokens": [tokens],
+    return pd.DataFrame({"order": [order], "shard": [int(key[1])], "keys": [keys.tobytes() if order == 1 else _pack(keys << np.uint64(16))],
+                         "counts": [n.tobytes() if order == 1 else level.astype(np.uint8).tobytes()], "tokens": [tokens],
                          "distinct": [distinct], "levels": [np.bincount(level, minlength=LEVELS + 1)[:LEVELS + 1].tolist()]})
 
 
+def _levels_of(order: int, keys: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Keys (the top 48 bits of the hashes) and levels of a row of the counts."""
+    if order == 1:
+        return np.frombuffer(keys, np.uint64) >> np.uint64(16), np.frexp(np.frombuffer(counts, np.int64).astype(np.float64))[1]
+    return _unpack(keys), np.frombuffer(counts, np.uint8).astype(np.int64)
+
+
 def _probe_bits(k48: np.ndarray, order: int, level: int, bits: int) -> np.ndarray:
     """Places (rows x PROBES) in a segment of a key's level."""
     g = mix(k48 * np.uint64(2) + np.uint64((order - 1 + level * 0xD6E8FEB86659FD93) % (1 << 64)))
@@ -132,8 +163,7 @@ def _segment(bits: int, least: int = 1):
     def build(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         table = np.zeros(bits, bool)
         for order, keys, counts in zip(pdf["order"], pdf["keys"], pdf["counts"], strict=True):
-            k = np.frombuffer(keys, np.uint64) & LOW48
-            level = np.frexp(np.frombuffer(counts, np.int64).astype(np.float64))[1]
+            k, level = _levels_of(int(order), keys, counts)
             k, level = k[level >= least], level[level >= least]
             for q in range(1, int(level.max(initial=0)) + 1):
                 table[_probe_bits(k[level >= q], int(order), q, bits).ravel()] = True
@@ -148,8 +178,10 @@ class LogFrequencyFilter:
         self.table, self.shards, self.bits = table, shards, bits
 
     def levels(self, h: np.ndarray, order: int) -> np.ndarray:
-        base, k = _shard(h, self.shards) * self.bits, h & LOW48
-        out, live = np.zeros(len(h), np.int64), np.arange(len(h))
+        return self.of_keys(h >> np.uint64(16), _shard(h, self.shards) * self.bits, order)
+
+    def of_keys(self, k: np.ndarray, base: np.ndarray, order: int) -> np.ndarray:
+        out, live = np.zeros(len(k), np.int64), np.arange(len(k))
         for q in range(1, LEVELS + 1):
             if not len(live):
                 break
@@ -159,17 +191,16 @@ class LogFrequencyFilter:
         return out
 
 
-def _middle(level: np.ndarray) -> np.ndarray:
-    """Count that a level stands for: the middle of 2^(q-1) .. 2^q - 1."""
-    return np.where(level > 0, (3 * 2.0 ** (level - 1) - 1) / 2, 0.0)
-
-
-def _log_prob(word_level: np.ndarray, pair_level: np.ndarray, first: np.ndarray, mass: float, vocab: int, begins: int) -> np.ndarray:
-    cu, cp = _middle(word_level), _middle(pair_level)
+def _log_prob(word_level: np.ndarray, pair_level: np.ndarray, first: np.ndarray, n: int, vocab: int, begins: int) -> np.ndarray:
+    """log10 of PAIR_SHARE * pair / before + the rest * (word + 1) / (n + vocab + 1). A level q
+    stands for 2^(q-1) above a fraction and for 2^q - 1 below it, so that the shares of the
+    words after a context do not exceed 1."""
+    cu, cp = (np.where(x > 0, 2.0 ** (x - 1), 0.0) for x in (word_level, pair_level))
+    most = np.maximum(2.0 ** word_level - 1, 0.0)
     before = np.empty_like(cu)
-    before[1:] = cu[:-1]
+    before[1:] = most[:-1]
     before[first[:-1]] = begins
-    word = (cu + 1) / (mass + vocab + 1)
+    word = (cu + 1) / (n + vocab + 1)
     share = np.where(before > 0, np.minimum(cp / np.maximum(before, 1), 1.0), 0.0)
     return np.log10(np.where(before > 0, (1 - PAIR_SHARE) * word + PAIR_SHARE * share, word))
 
@@ -196,7 +227,7 @@ def _hot_tables(tables) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(tables.value[0], np.uint64), np.frombuffer(tables.value[1], np.int64)
 
 
-def _score(filter_bytes, tables, shards: int, bits: int, mass: float, vocab: int, begins: int, unit: float):
+def _score(filter_bytes, tables, shards: int, bits: int, n: int, vocab: int, begins: int, unit: float):
     """Scores texts with the whole filter."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filt = LogFrequencyFilter(np.frombuffer(filter_bytes.value, np.uint8), shards, bits)
@@ -205,70 +236,95 @@ def _score(filter_bytes, tables, shards: int, bits: int, mass: float, vocab: int
             for i, j, buf, off in text_slices(batch.column(1), 1 << 21):
                 seq, pair, first = _sequence(buf, off)
                 (u, at), (p, at2) = (np.unique(x, return_inverse=True) for x in (seq, pair))
-                log_prob = _log_prob(filt.levels(u, 1)[at], filt.levels(p, 2)[at2], first, mass, vocab, begins)
+                log_prob = _log_prob(filt.levels(u, 1)[at], filt.levels(p, 2)[at2], first, n, vocab, begins)
                 yield pa.record_batch(_rows(batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), seq, first, log_prob, *hot, unit),
                                       names=_ROW)
     return run
 
 
-def _ask(shards: int):
-    """Blocks of texts (order 0: ids, held_out, firsts, and the sequence as keys) and, for
-    each shard, their distinct words (order 1) and pairs (order 2)."""
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts in blocks of about ``BLOCK`` bytes: a row (block, ids, held, texts)."""
+    block = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        for i, j, _, _ in text_slices(batch.column(1), BLOCK):
+            cols = [batch.column(c).slice(i, j - i) for c in (0, 2, 1)]
+            cols[2] = pc.fill_null(cols[2], "").cast(pa.large_string()).cast(pa.string())
+            ends = pa.array([0, j - i], pa.int32())
+            yield pa.record_batch([pa.array([block]), *(pa.ListArray.from_arrays(ends, c) for c in cols)], names=["block", "ids", "held", "texts"])
+            block += 1
+
+
+def _block_sequence(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    parts = [_sequence(buf, off) for _, _, buf, off in text_slices(texts, 1 << 40)]
+    return parts[0]
+
+
+def _ask(shards: int, parts: int):
+    """For each block and shard, the distinct words (order 1) and pairs (order 2) of its texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for i, j, buf, off in text_slices(batch.column(1), BLOCK):
-                seq, pair, first = _sequence(buf, off)
-                order, shard, keys = [0], [0], [seq.tobytes()]
+            for r in range(batch.num_rows):
+                block = batch.column(0)[r].as_py()
+                seq, pair, _ = _block_sequence(batch.column(1).slice(r, 1).flatten())
+                order, shard, keys = [], [], []
                 for o, x in enumerate((seq, pair), 1):
                     u = np.unique(x)
                     present, at = _cuts(u, shards)
                     for s, a, b in zip(present, at[:-1], at[1:], strict=True):
                         order.append(o)
                         shard.append(int(s))
-                        keys.append(_pack48(u[a:b]))
-                none = len(order) - 1
-                lists = [pa.ListArray.from_arrays(pa.array([0] + [j - i] * (none + 1), pa.int32()), batch.column(c).slice(i, j - i)) for c in (0, 2)]
-                yield pa.record_batch([
-                    pa.array(np.full(none + 1, block)), pa.array(order, pa.int32()), pa.array(shard, pa.int32()), pa.array(keys, pa.binary()),
-                    *lists, pa.array([first.astype(np.int64).tobytes()] + [None] * none, pa.binary())],
-                    names=["block", "order", "shard", "keys", "ids", "held", "firsts"])
-                block += 1
+                        keys.append(u[a:b].tobytes() if o == 1 else _pack(u[a:b]))
+                yield pa.record_batch([pa.array([block] * len(order), pa.int64()), pa.array(order, pa.int32()), pa.array(shard, pa.int32()),
+                                       pa.array([block % parts] * len(order), pa.int32()), pa.array(keys, pa.binary())],
+                                      names=["block", "order", "shard", "part", "keys"])
     return run
 
 
 def _answer(bits: int):
-    """Levels of the n-grams asked of one shard."""
+    """Levels of the n-grams asked of one shard, and of words the counts."""
     def run(key: tuple, counts: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(asked):
             filt = LogFrequencyFilter(np.frombuffer(_segment(bits)(key, counts)["bits"][0], np.uint8), 1, bits)
+            word = counts[counts["order"] == 1]
+            word = [(np.frombuffer(k, np.uint64), np.frombuffer(c, np.int64)) for k, c in zip(word["keys"], word["counts"], strict=True)]
+            known, n = word[0] if word else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
             for order, part in asked.groupby("order"):
-                k = [_unpack48(b) for b in part["keys"]]
-                level = np.split(filt.levels(np.concatenate(k), int(order)).astype(np.uint8), np.cumsum([len(x) for x in k])[:-1])
+                k = [np.frombuffer(b, np.uint64) if order == 1 else _unpack(b) for b in part["keys"]]
+                every = np.concatenate(k)
+                cut = np.cumsum([len(x) for x in k])[:-1]
+                top = every >> np.uint64(16) if order == 1 else every
+                level = np.split(filt.of_keys(top, np.zeros(len(top), np.int64), int(order)).astype(np.uint8), cut)
+                exact = [b""] * len(k)
+                if order == 1:
+                    at = np.minimum(np.searchsorted(known, every), max(len(known) - 1, 0))
+                    found = np.where(known[at] == every, n[at], 0) if len(known) else np.zeros(len(every), np.int64)
+                    exact = [_pack_counts(x) for x in np.split(found, cut)]
                 out.append(pd.DataFrame({"block": part["block"].to_numpy(), "order": int(order), "shard": int(key[0]),
-                                         "levels": [x.tobytes() for x in level]}))
-        return pd.concat(out) if out else pd.DataFrame({"block": [], "order": [], "shard": [], "levels": []})
+                                         "levels": [x.tobytes() for x in level], "counts": exact}))
+        return pd.concat(out) if out else pd.DataFrame({"block": [], "order": [], "shard": [], "levels": [], "counts": []})
     return run
 
 
-def _finish(tables, mass: float, vocab: int, begins: int, unit: float):
+def _finish(n: int, vocab: int, begins: int, unit: float):
     """Scores the texts of one block with the answers of all shards."""
     def run(block: pa.Table, answers: pa.Table) -> pa.Table:
-        ids, held = (block.column(c).combine_chunks().flatten() for c in ("ids", "held"))
-        seq, first = (np.frombuffer(block.column(c)[0].as_py(), t) for c, t in (("keys", np.uint64), ("firsts", np.int64)))
-        before = np.empty_like(seq)
-        before[1:] = seq[:-1]
-        before[first[:-1]] = BEGIN
+        ids, held, texts = (block.column(c).combine_chunks().flatten() for c in ("ids", "held", "texts"))
+        seq, pair, first = _block_sequence(texts)
         # a shard is a range of hashes: its answers in order of the shards are in order of the hashes
         answers = answers.sort_by([("order", "ascending"), ("shard", "ascending")])
         order = answers.column("order").to_numpy()
         level = []
-        for o, x in ((1, seq), (2, _pairs(before, seq))):
-            got = answers.column("levels").filter(pa.array(order == o)).to_pylist()
-            level.append(np.frombuffer(b"".join(got), np.uint8).astype(np.int64)[np.unique(x, return_inverse=True)[1]])
-        log_prob = _log_prob(*level, first, mass, vocab, begins)
-        return pa.table(_rows(ids, held, seq, first, log_prob, *_hot_tables(tables), unit), names=_ROW)
+        for o, x in ((1, seq), (2, pair)):
+            mine = answers.filter(pa.array(order == o))
+            got = mine.column("levels").to_pylist()
+            at = np.unique(x, return_inverse=True)[1]
+            level.append(np.frombuffer(b"".join(got), np.uint8).astype(np.int64)[at])
+            if o == 1:
+                count = np.concatenate([_unpack_counts(c, len(q)) for c, q in zip(mine.column("counts").to_pylist(), got, strict=True)])[at]
+        log_prob = _log_prob(*level, first, n, vocab, begins)
+        sums = [np.add.reduceat(x, first[:-1]) for x in (np.log10(count + 1.0) - unit, log_prob, (count > 0).astype(np.int64))]
+        return pa.table([ids, held, pa.array(np.diff(first)), pa.array(sums[2]), pa.array(sums[0]), pa.array(sums[1])], names=_ROW[:-1])
     return run
 
 
@@ -309,8 +365,6 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     n, v = (totals[1].n, totals[1].v) if 1 in totals else (0, 0)
     hist = np.sum([t.levels for t in totals.values()], axis=0) if totals else np.zeros(LEVELS + 1)
     bits = max(-(-int((hist * np.arange(LEVELS + 1)).sum()) * BITS // (8 * shards)) * 8, 512)
-    uni = np.array(totals[1].levels, float) if 1 in totals else np.zeros(LEVELS + 1)
-    mass = float((uni * _middle(np.arange(LEVELS + 1))).sum())
     grams = counts.select("shard", "order", "keys", "counts")
     words = counts.where("order = 1").select("keys", "counts")
     hot = words.mapInArrow(_hot(n / HOT), "word long, c long").toArrow()
@@ -319,23 +373,27 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     tables = spark.sparkContext.broadcast((hot_keys[order].tobytes(), hot.column("c").to_numpy()[order].tobytes()))
     begins = train.count()
     base_unit = float(np.log10(float(n) + v + 1.0))
+    done = "doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score".split(", ")
+    scratch.free()
     row = f"doc_id {kind}, held_out boolean, n_tokens long, known long, part double, score double, rare array<long>"
     texts = src.select("doc_id", "text", "held_out")
-    asked = None
-    if shards * bits <= BROADCAST_BITS:
-        table = np.zeros(shards * bits // 8, np.uint8)
-        for r in grams.groupBy("shard").applyInPandas(_segment(bits), "shard int, bits binary").toLocalIterator():
-            table[r.shard * bits // 8:(r.shard + 1) * bits // 8] = np.frombuffer(r.bits, np.uint8)
-        scored = texts.mapInArrow(_score(spark.sparkContext.broadcast(table.tobytes()), tables, shards, bits, mass, v, begins, base_unit), row)
-    else:
-        asked = scratch.save(texts.mapInArrow(
-            _ask(shards), f"block long, order int, shard int, keys binary, ids array<{kind}>, held array<boolean>, firsts binary"), "asked")
-        answers = grams.groupBy("shard").cogroup(asked.where("order > 0").select("block", "order", "shard", "keys").groupBy("shard")).applyInPandas(
-            _answer(bits), "block long, order int, shard int, levels binary")
-        blocks = asked.where("order = 0").select("block", "keys", "ids", "held", "firsts")
-        scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_finish(tables, mass, v, begins, base_unit), row)
+    if shards * bits > BROADCAST_BITS:
+        row = row.removesuffix(", rare array<long>")
+        blocks = scratch.save(texts.mapInArrow(_blocks, f"block long, ids array<{kind}>, held array<boolean>, texts array<string>"), "blocks")
+        # a shard with many requests is answered in parts
+        parts = 1 + 5 * n // (shards * ASKED)
+        asked = blocks.select("block", "texts").mapInArrow(_ask(shards, parts), "block long, order int, shard int, part int, keys binary")
+        held = grams.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        answers = held.groupBy("shard", "part").cogroup(asked.groupBy("shard", "part")).applyInPandas(
+            _answer(bits), "block long, order int, shard int, levels binary, counts binary")
+        scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_finish(n, v, begins, base_unit), row)
+        out = scored.withColumnsRenamed({"known": "n_known", "part": "base_score"}).withColumn("train_tokens", F.lit(int(n)).cast("long"))
+        return out.select(*done)
+    table = np.zeros(shards * bits // 8, np.uint8)
+    for r in grams.groupBy("shard").applyInPandas(_segment(bits), "shard int, bits binary").toLocalIterator():
+        table[r.shard * bits // 8:(r.shard + 1) * bits // 8] = np.frombuffer(r.bits, np.uint8)
+    scored = texts.mapInArrow(_score(spark.sparkContext.broadcast(table.tobytes()), tables, shards, bits, n, v, begins, base_unit), row)
     per = scratch.save(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
-    scratch.drop(asked)
     # the exact counts of the other words by a join; each of them is at most 1/HOT of all tokens
     unit = F.lit(base_unit)
     rare = per.select("row", F.explode("rare").alias("word"))

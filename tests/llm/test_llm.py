@@ -580,6 +580,39 @@ def test_language_model_keeps_all_grams(spark, docs, monkeypatch):
         assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], rel=1e-12)
 
 
+def test_language_model_is_a_probability():
+    """The shares of all words after a context and in none do not exceed 1; with exact counts
+    for levels they would differ by the quantisation only."""
+    r = random.Random(6)
+    words = [r.choices(range(40), [1 / (i + 1) for i in range(40)])[0] for _ in range(3000)]
+    c, pairs = Counter(words), Counter(zip(words, words[1:], strict=False))
+    n, v = len(words), len(c)
+    level = lambda x: int(x).bit_length()
+    for context in list(c) + [None]:
+        seq = [x for w in c for x in (context, w)] if context is not None else list(c)
+        got = []
+        for w in c:
+            if context is None:
+                out = lm._log_prob(np.array([level(c[w])]), np.array([0]), np.array([0, 1]), n, v, 0)
+                got.append(10 ** out[0])
+                continue
+            out = lm._log_prob(np.array([level(c[context]), level(c[w])]), np.array([0, level(pairs[context, w])]), np.array([0, 2]), n, v, 0)
+            got.append(10 ** out[1])
+            exact = 0.7 * (c[w] + 1) / (n + v + 1) + 0.3 * pairs[context, w] / c[context]
+            assert exact / 4 <= got[-1] * 1.0001 and got[-1] <= exact * 1.0001
+        assert sum(got) <= 1 and len(seq)
+
+
+def test_packed_keys_and_counts():
+    rng = np.random.default_rng(8)
+    for n in (0, 1, 5, 3000):
+        h = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        for keys in (h, h >> np.uint64(20)):
+            assert (lm._unpack(lm._pack(keys)) == keys >> np.uint64(16)).all()
+        counts = rng.integers(1, 400, n)
+        assert (lm._unpack_counts(lm._pack_counts(counts), n) == counts).all()
+
+
 def test_filter_reads_levels_back():
     rng = np.random.default_rng(3)
     keys = np.unique(rng.integers(0, 1 << 63, 4000, dtype=np.uint64))
