@@ -224,6 +224,8 @@ def line_marks(docs: DataFrame, tau: int = TAU, id_col: str = "doc_id", text_col
     members, ids = _candidates(distinct.select("id", "line"), tau, scratch)
     text = let(semi_by_id(distinct.select("id", "line"), ids, "id"), n=F.length("line"), m=F.expr(n_words("line")), g=word_segments("line"))
     text = scratch.save(text.select("id", "line", sketch("line", "n", "m", "g").alias("sketch")), "text")
+    firsts = scratch.save(distinct.select("id", "at", "occurs"), "firsts")
+    scratch.drop(distinct)
     scratch.free()
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -236,7 +238,8 @@ def line_marks(docs: DataFrame, tau: int = TAU, id_col: str = "doc_id", text_col
     comp, _ = link_buckets(members.join(text.select("id", "sketch"), "id").select("key", "id", "sketch"), verify, scratch,
                            python=False, may=lambda x, y: f"({may_chars(x, y, tau)} OR {may_words(x, y)})")
     scratch.drop(members, ids, text)
-    known = distinct.select("id", "at", "occurs").join(comp, "id", "left").select(
+    scratch.free()
+    known = firsts.join(comp, "id", "left").select(
         "id", "at", "occurs", F.coalesce("comp", "id").alias("class_id"))
     heads = known.groupBy("class_id").agg(F.min("at").alias("first"), F.sum("occurs").alias("n")).where("n > 1")
     multi = known.join(heads, "class_id").select("id", "class_id", "first")

@@ -142,6 +142,7 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], s
         rows = rows.join(keys.select("key", "p"), "key").where("id <> p.id").select("key", "id", *extra)
         # the tables of the round before are not read again
         scratch.drop(*old)
+        scratch.free()
         old = [rows_table, keys]
     if comp is None:
         comp = spark.createDataFrame([], "id bigint, comp bigint")
