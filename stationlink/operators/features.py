@@ -281,8 +281,8 @@ def mark_lowest_hash(df: DataFrame, class_col: str, id_cols: list, quota_of,
     A radix selection on the hex md5: rows are counted per (class, first ``level_hex``
     digits); a running sum over these buckets finds, per class, the edge bucket where the
     quota runs out. A class whose edge bucket holds more than ``edge_max`` rows is refined
-    by the next digits, counting only the rows of that bucket, until it is small (ids
-    must be unique, so the buckets keep splitting). The rows of the edge buckets alone
+    by the next digits, counting only the rows of that bucket, until it is small. Rows that
+    repeat their ids are equal in hash: of those at a threshold as many as fit are in. The rows of the edge buckets alone
     are ranked by a window, which gives per class the last (hash, ids) that is in. The
     result is then one map-side pass: a row is in when its prefix is before its class's
     edge prefix, or equal and its (hash, ids) not after that threshold (a comparison with
@@ -323,11 +323,15 @@ def mark_lowest_hash(df: DataFrame, class_col: str, id_cols: list, quota_of,
         in_edge = (d.join(_maybe_broadcast(e, st["k"]), d[class_col].eqNullSafe(F.col("_k")))
                    .where((F.col("_need") > 0) & (F.substring(F.col("_h"), F.lit(1), F.length("_E")) == F.col("_E"))))
         rw = Window.partitionBy("_k").orderBy("_h", *id_cols)
-        th = (in_edge.select(F.col("_k").alias("_k2"), key.alias("_th"), F.row_number().over(rw).alias("_rn"), "_need")
-              .where(F.col("_rn") == F.col("_need")).select("_k2", "_th"))
+        same = Window.partitionBy("_k", "_h", *id_cols)
+        # of rows equal to the threshold in hash and ids, _eq of _eqn are in
+        th = (in_edge.select(F.col("_k").alias("_k2"), key.alias("_th"), F.row_number().over(rw).alias("_rn"), "_need",
+                             (F.col("_need") - F.rank().over(rw) + 1).alias("_eq"), F.count(F.lit(1)).over(same).alias("_eqn"))
+              .where(F.col("_rn") == F.col("_need")).select("_k2", "_th", "_eq", "_eqn"))
         # written to the checkpoint folder: the returned plan reads it back instead of
         # carrying the counting and ranking plans along
         table = e.join(th, e["_k"].eqNullSafe(th["_k2"]), "left").drop("_k2").checkpoint(eager=True)
+        split = table.where("_eqn > _eq").count() > 0
     finally:
         counts.unpersist()
     # one map-side pass: a comparison with the class's row (no edge: the quota covers
@@ -336,7 +340,13 @@ def mark_lowest_hash(df: DataFrame, class_col: str, id_cols: list, quota_of,
     pre = F.substring(F.col("_h"), F.lit(1), F.length("_E"))
     sel = (F.col("_E").isNull() | (pre < F.col("_E"))
            | ((pre == F.col("_E")) & F.coalesce(key <= F.col("_th"), F.lit(False))))
-    return d.withColumn(out_col, sel).drop("_h", "_E", "_need", "_th")
+    if not split:
+        return d.withColumn(out_col, sel).drop("_h", "_E", "_need", "_th", "_eq", "_eqn")
+    # repeated ids at a threshold: these rows alone are numbered
+    tie = F.coalesce((pre == F.col("_E")) & (key == F.col("_th")), F.lit(False))
+    number = F.row_number().over(Window.partitionBy(class_col).orderBy(F.xxhash64(*df.columns)))
+    ties = d.where(tie).withColumn("_i", number).withColumn(out_col, F.col("_i") <= F.col("_eq")).drop("_i")
+    return d.where(~tie).withColumn(out_col, sel).unionByName(ties).drop("_h", "_E", "_need", "_th", "_eq", "_eqn")
 
 
 def undersample(df: DataFrame, class_col: str, id_cols: list, classes: tuple = (0, 1),

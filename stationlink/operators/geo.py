@@ -62,18 +62,18 @@ def place_lookup(df: DataFrame, text_col: str, gazetteer, id_col: str | None = N
     ``gazetteer`` is either the flattened config as a list of ``(ord, wide, narrow, lat,
     lng)`` or a DataFrame of that shape. Up to ``literal_max`` entries (a list's length,
     or one count on the DataFrame) it is inlined as a literal array (no join, no
-    shuffle); above it a substring equi-join is used, which needs a unique ``id_col``."""
+    shuffle); above it an index of rare grams is joined (``id_col`` is not needed)."""
     if drop_missing:
         df = df.where(F.col(text_col).isNotNull())
     if not isinstance(gazetteer, DataFrame):
         entries = sorted((tuple(e) for e in gazetteer), key=lambda e: e[0])
         if len(entries) > literal_max:
             gazetteer = df.sparkSession.createDataFrame(entries, GAZETTEER_SCHEMA)
-            return _substring_join_lookup(df, text_col, gazetteer, _need_id(id_col))
+            return _substring_join_lookup(df, text_col, gazetteer)
     elif gazetteer.count() <= literal_max:
         entries = [tuple(r) for r in gazetteer.select("ord", "wide", "narrow", "lat", "lng").orderBy("ord").collect()]
     else:
-        return _substring_join_lookup(df, text_col, gazetteer, _need_id(id_col))
+        return _substring_join_lookup(df, text_col, gazetteer)
     if not entries:
         return df.select("*", *[F.lit(None).cast(t).alias(c) for c, t in
                                 (("wide", "string"), ("narrow", "string"), ("lat", "double"), ("lng", "double"))])
@@ -84,54 +84,55 @@ def place_lookup(df: DataFrame, text_col: str, gazetteer, id_col: str | None = N
         F.col("_hit.lat").alias("lat"), F.col("_hit.lng").alias("lng"))
 
 
-def _need_id(id_col):
-    if id_col is None:
-        raise ValueError("a unique id_col is needed for a large gazetteer")
-    return id_col
-
-
-# The substring join cuts texts into pieces of this many start positions (overlapping by
-# the longest name) before it lists their substrings: the array built for one row stays
-# this size times the number of name lengths, however long the text is.
+# Grams of names: at most this many characters. Texts are cut into pieces of this many
+# start positions before their grams are listed: the array built for one row stays that
+# size times the gram lengths, however long the text is.
+GRAM = 3
 SUBSTRING_PIECE = 512
+BROADCAST_NAMES = 100_000   # grams or entries (under 100 bytes each) that are broadcast
 
 
-def _substring_join_lookup(df: DataFrame, text_col: str, gaz: DataFrame, id_col: str,
+def _substring_join_lookup(df: DataFrame, text_col: str, gaz: DataFrame, id_col: str | None = None,
                            piece: int = SUBSTRING_PIECE) -> DataFrame:
-    """Exact ``contains`` by equi-join: every substring of the text whose length is the
-    length of some name is matched against the names. Whole texts, no cap: a text is
-    first cut into pieces of ``piece`` start positions that overlap by the longest name
-    minus one, so every substring lies whole in the piece where it starts."""
-    names = (gaz.select(F.col("wide").alias("name")).union(gaz.select(F.col("narrow").alias("name")))
-             .where(F.col("name").isNotNull() & (F.length("name") > 0)).distinct())
-    lens = sorted(r[0] for r in names.select(F.length("name")).distinct().collect())  # a few ints
-    t = F.col(text_col)
-    if lens:
-        span = piece + lens[-1] - 1
-        n_pieces = F.greatest(F.ceil(F.length(t) / F.lit(piece)), F.lit(1)).cast("int")
-        pieces = df.select(id_col, F.explode(F.transform(F.sequence(F.lit(0), n_pieces - 1),
-                                                         lambda k: F.substring(t, k * piece + 1, span))).alias("_p"))
-        p = F.col("_p")
-
-        def substrings_of_len(L):
-            # one-argument lambda: transform() reads a two-argument one as (element, index)
-            last = F.least(F.lit(piece), F.length(p) - L + 1)
-            return F.when(last >= 1, F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(p, i, L))) \
-                    .otherwise(F.array().cast("array<string>"))
-
-        subs = (pieces.select(id_col, F.explode(F.concat(*[substrings_of_len(L) for L in lens])).alias("name"))
-                .join(names, "name", "left_semi").distinct())
-    else:
-        subs = df.select(id_col, F.lit(None).cast("string").alias("name")).limit(0)
-    wide_hit = subs.withColumnRenamed("name", "wide")
-    narrow_hit = subs.withColumnRenamed("name", "narrow")
-    hits = (gaz.join(wide_hit, "wide").join(narrow_hit, [id_col, "narrow"])
-            .groupBy(id_col)
-            .agg(F.min_by(F.struct("wide", "narrow", "lat", "lng"), F.col("ord")).alias("_hit")))
-    return df.join(hits, id_col, "left").select(
-        *[F.col(f"`{c}`") for c in df.columns],
-        F.col("_hit.wide").alias("wide"), F.col("_hit.narrow").alias("narrow"),
-        F.col("_hit.lat").alias("lat"), F.col("_hit.lng").alias("lng"))
+    """The lookup by an index of rare grams, for any number of entries: region and city
+    are looked for together, under the gram of either name that occurs in the fewest
+    texts. Texts meet the entries of their grams by an equi-join and ``contains`` confirms;
+    a common name costs nothing unless its entry's rarest gram is common too. Texts are
+    told apart by a 64-bit hash: equal ones are looked up once, ids play no part. An empty
+    name is in every text, a null one in none."""
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    gaz = gaz.where("wide IS NOT NULL AND narrow IS NOT NULL")
+    text = df.select(F.xxhash64(text_col).alias("_t"), F.col(text_col).alias("_s")).where("_s IS NOT NULL")
+
+    def grams(c: str, q: str) -> str:
+        return f"IF(length({c}) = 0, CAST(array() AS ARRAY<STRING>), transform(sequence(1, length({c}) - {q} + 1), i -> substring({c}, i, {q})))"
+
+    names = [grams(c, f"least({GRAM}, length({c}))") for c in ("wide", "narrow")]
+    entries = gaz.select("ord", F.explode(F.array_distinct(F.expr(f"concat({names[0]}, {names[1]})"))).alias("gram"))
+    entries = entries.checkpoint(eager=True)
+    wanted = entries.select("gram").distinct()
+    few = F.broadcast if wanted.count() <= BROADCAST_NAMES else (lambda x: x)
+    lens = sorted(r[0] for r in wanted.select(F.length("gram")).distinct().collect())       # 1 .. GRAM
+    pieces = text.select("_t", F.explode(F.expr(
+        f"transform(sequence(0, greatest((length(_s) - 1) DIV {piece}, 0)), k -> substring(_s, CAST(k * {piece} + 1 AS INT), {piece + GRAM - 1}))")).alias("_p"))
+    every = ", ".join(f"IF(length(_p) < {q}, CAST(array() AS ARRAY<STRING>), transform(sequence(1, length(_p) - {q} + 1), i -> substring(_p, i, {q})))" for q in lens)
+    found = pieces.select("_t", F.explode(F.array_distinct(F.expr(f"concat({every or 'CAST(array() AS ARRAY<STRING>)'})"))).alias("gram"))
+    found = found.join(few(wanted), "gram", "left_semi").distinct().checkpoint(eager=True)
+    texts_of = found.groupBy("gram").agg(F.count("*").alias("n"))
+    # an entry with a gram that no text has drops out here
+    rarest = entries.join(texts_of, "gram", "left").groupBy("ord").agg(
+        F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("gram"))
+    hits = found.join(rarest, "gram").select("_t", "ord")
+    nameless = gaz.where("wide = '' AND narrow = ''").agg(F.min("ord")).first()[0]
+    if nameless is not None:
+        hits = hits.unionByName(text.select("_t", F.lit(nameless).alias("ord"))).distinct()
+    hits = hits.join(gaz, "ord")
+    read = text.join(hits.select("_t").distinct(), "_t", "left_semi").groupBy("_t").agg(F.first("_s").alias("_s"))
+    hits = hits.join(read, "_t").where("contains(_s, wide) AND contains(_s, narrow)").groupBy("_t").agg(
+        F.min_by(F.struct("wide", "narrow", "lat", "lng"), F.col("ord")).alias("_hit"))
+    return df.withColumn("_t", F.xxhash64(text_col)).join(hits, "_t", "left").select(
+        *[F.col(f"`{c}`") for c in df.columns], *[F.when(F.col(text_col).isNotNull(), F.col(f"_hit.{c}")).alias(c) for c in ("wide", "narrow", "lat", "lng")])
 
 
 def active_candidates(stations: DataFrame, facts: DataFrame, key: str, fact_key: str | None = None,

@@ -49,6 +49,7 @@ class Pyramid:
         at = points.agg(F.count("*").alias("n"), F.min(x).alias("x0"), F.max(x).alias("x1"), F.min(y).alias("y0"), F.max(y).alias("y1"),
                         F.coalesce(F.bool_and(_whole(x) & _whole(y)), F.lit(True)).alias("whole")).first()
         self.n, self.whole = at.n, at.whole and self.wx.is_integer() and self.wy.is_integer()
+        self.reach = max(abs(at.x0), abs(at.x1)) + max(abs(at.y0), abs(at.y1)) if self.n else 0.0
         if self.n:
             self._build(points, at, max(int(capacity), 1))
 
@@ -131,8 +132,10 @@ class Pyramid:
                 x = x.groupBy("_qx", "_qy").agg(F.min_by(F.struct("_i", "_j", "_leaf"), F.struct("_low", "_first")).alias("_c")).select("_qx", "_qy", "_c.*")
             else:
                 best = F.col("_b._d")
-                # rounding must not lose a point: the bound is lowered by more than it can be off
-                near = F.col("_low") * (1 - 1e-12) <= best
+                # rounding must not lose a point: the bound is lowered by more than it can be off,
+                # which grows with the coordinates, however small the distance
+                x0, y0 = self._scaled("_qx", "_qy")
+                near = F.col("_low") - (F.abs(x0) + F.abs(y0) + F.lit(self.reach)) * 1e-14 <= best
                 x = x.where(near if not exact else (F.col("_low") < best) | ((F.col("_low") == best) & (F.col("_first") <= F.col("_b._ord"))))
             x = x.select(*keep, "_i", "_j", "_leaf")
             last = k == len(self.levels) - 1

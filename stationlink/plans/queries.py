@@ -345,6 +345,17 @@ def q29_iqr_selected(spark, d):
     return feat.iqr_filter(df, ["l_extendedprice", "fixed", "l_quantity", "l_discount"], k=0.3, max_values=1000)
 
 
+# q30 -------------------------------------------------------------------------
+def q30_place_lookup_indexed(spark, d):
+    """Place lookup in documents by the rare-gram index, as for a large gazetteer: an entry
+    is the first and the third word of a benchmark item."""
+    word = lambda k: F.split_part("text", F.lit(" "), F.lit(k))
+    gaz = read_table(spark, d, "benchmark").select(F.col("item_id").cast("int").alias("ord"), word(1).alias("wide"), word(3).alias("narrow"),
+                                                   F.col("item_id").cast("double").alias("lat"), F.lit(0.5).alias("lng"))
+    docs = read_table(spark, d, "documents").select("doc_id", "text")
+    return geo.place_lookup(docs, "text", gaz, literal_max=0).drop("text")
+
+
 QUERIES = {
     "q01_envelope_unwrap": q01_envelope_unwrap,
     "q02_date_normalize": q02_date_normalize,
@@ -375,6 +386,7 @@ QUERIES = {
     "q27_incremental_panel": q27_incremental_panel,
     "q28_nearest_clustered": q28_nearest_clustered,
     "q29_iqr_selected": q29_iqr_selected,
+    "q30_place_lookup_indexed": q30_place_lookup_indexed,
 }
 
 flagship = q09_panel
@@ -619,5 +631,11 @@ t3 AS (SELECT t2.* FROM t2, b2 WHERE l_quantity BETWEEN q1 - 0.3 * (q3 - q1) AND
 b3 AS (SELECT quantile_cont(l_discount, 0.25) AS q1, quantile_cont(l_discount, 0.75) AS q3 FROM t3),
 t4 AS (SELECT t3.* FROM t3, b3 WHERE l_discount BETWEEN q1 - 0.3 * (q3 - q1) AND q3 + 0.3 * (q3 - q1))
 SELECT * FROM t4
+""",
+    "q30_place_lookup_indexed": """
+WITH g AS (SELECT item_id, split_part(text, ' ', 1) AS wide, split_part(text, ' ', 3) AS narrow FROM benchmark WHERE text IS NOT NULL),
+h AS (SELECT doc_id, min(item_id) AS ord FROM documents JOIN g ON contains(documents.text, g.wide) AND contains(documents.text, g.narrow) GROUP BY doc_id)
+SELECT d.doc_id, g.wide, g.narrow, CAST(g.item_id AS DOUBLE) AS lat, CASE WHEN g.item_id IS NOT NULL THEN CAST(0.5 AS DOUBLE) END AS lng
+FROM documents d LEFT JOIN h USING (doc_id) LEFT JOIN g ON g.item_id = h.ord WHERE d.text IS NOT NULL
 """,
 }

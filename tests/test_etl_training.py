@@ -95,3 +95,14 @@ def test_run_etl_and_training(spark, tmp):
     rep = training.train_targets(big, threshold=1, params={"maxIter": 3, "maxDepth": 2},
                                  out_dir=os.path.join(tmp, "models"))
     assert rep.columns == ["target", "class", "precision", "recall", "f1", "support", "auc"]
+
+
+def test_training_skips_a_bad_target(spark, tmp):
+    """A target with a single positive row cannot be split; the healthy one is trained."""
+    rows = [("2024-01-%02d" % (i % 28 + 1), f"s{i}", float(i % 9), float(i % 5), float(i % 7), float(i), int(i >= 30), int(i == 4)) for i in range(60)]
+    df = spark.createDataFrame(rows, "newdate string, stnNm string, avgTa double, minTa double, maxTa double, avgRhm double, good int, bad int")
+    skipped = {}
+    rep = training.train_targets(df, targets=("good", "bad"), threshold=0, params={"maxIter": 2, "maxDepth": 2}, out_dir=tmp, skipped=skipped)
+    assert {r.target for r in rep.collect()} == {"good"} and rep.where("auc > 0.9").count() == 5
+    assert list(skipped) == ["bad"] and "no row of class" in skipped["bad"]
+    assert spark.read.parquet(os.path.join(tmp, "bad_skipped")).first().target == "bad"

@@ -210,3 +210,13 @@ def test_iqr_filter_selected_equals_plain(spark):
                                "id long, a double, b double, c double, d string")
     for cols in (["a", "b", "c"], ["c", "d", "a"]):
         assert sorted(r.id for r in feat.iqr_filter(df, cols, max_values=20).collect()) == sorted(r.id for r in feat.iqr_filter(df, cols).collect())
+
+
+def test_undersample_is_exact_on_repeated_ids(spark):
+    rows = [(i // 3, 0) for i in range(40)] + [(i, 1) for i in range(7)]
+    df = spark.createDataFrame(rows, "id int, y int")
+    out = feat.mark_lowest_hash(df, "y", ["id"], lambda cc: cc.select("y", F.lit(7).alias("quota")), level_hex=1)
+    assert sorted((r.y, r["count"]) for r in out.where("selected").groupBy("y").count().collect()) == [(0, 7), (1, 7)]
+    assert out.count() == 47
+    bal = feat.undersample(df, "y", ["id"])
+    assert sorted((r.y, r["count"]) for r in bal.groupBy("y").count().collect()) == [(0, 7), (1, 7)]

@@ -179,3 +179,45 @@ def test_shared_coordinates_flags_namesakes(spark):
                                             "C": {"z": ["nodata", "nodata"]}})
     rows = geo.shared_coordinates(gaz).collect()
     assert [(r.lat, r.lng, r.regions) for r in rows] == [(1.0, 2.0, 2)]
+
+
+def test_indexed_lookup_equals_literal_on_odd_rows(spark):
+    """Repeated and null ids, equal texts, empty and null names, a name shorter than a gram."""
+    gaz = spark.createDataFrame([(0, None, "x", 9.0, 9.0), (1, "red", "", 1.0, 1.0), (2, "blue", "sky", 2.0, 2.0), (3, "b", "q", 3.0, 3.0),
+                                 (4, "", "green", 4.0, 4.0), (5, "a very long region name", "sky", 5.0, 5.0)], GAZETTEER_SCHEMA)
+    texts = ["red", "the blue sky", "blue", "bq", "b", "green", "", None, "sky over a very long region name " * 40, "x" * 2000 + "blue" + "y" * 1500 + "sky"]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, "red"), (None, "the blue sky"), (1, "green"), (1, "green"), (1, "nothing")]
+    df = spark.createDataFrame(rows, "id int, t string")
+    both = [sorted((str(tuple(r)) for r in geo.place_lookup(df, "t", gaz, drop_missing=drop, literal_max=m).collect()))
+            for drop in (True, False) for m in (100, 0)]
+    assert both[0] == both[1] and both[2] == both[3] and len(both[2]) == len(rows) and len(both[0]) == len(rows) - 1
+    any_text = gaz.unionByName(spark.createDataFrame([(7, "", "", 7.0, 7.0)], GAZETTEER_SCHEMA))
+    both = [sorted((str(tuple(r)) for r in geo.place_lookup(df, "t", any_text, literal_max=m).collect())) for m in (100, 0)]
+    assert both[0] == both[1]
+    assert geo.place_lookup(df, "t", gaz.limit(0), literal_max=-1).where("wide IS NOT NULL").count() == 0
+
+
+def test_nearest_two_far_clusters_and_collinear(spark):
+    """Clusters a billion apart, candidates on lines that tie for far queries, a crowd in one leaf."""
+    rnd = random.Random(4)
+    cs = [(i, float(i), float(400 - i)) for i in range(400)] + [(400 + i, 1e9 + i * 1e-3, 1e9) for i in range(300)]
+    cs += [(700 + i, 1e9 + 5, 1e9 + 1e-6 * i) for i in range(100)] + [(900, float("nan"), 1.0), (901, float("inf"), 1.0)]
+    qs = [(i, rnd.uniform(-1000, 1000), rnd.uniform(-1000, 1000)) for i in range(60)] + [(60 + i, 1e9 + rnd.uniform(-1, 6), 1e9 + rnd.uniform(-1, 1)) for i in range(60)]
+    qs += [(200 + i, -5000.0 - i, -5000.0 + 3 * i) for i in range(20)] + [(300, 5e8, 5e8), (301, None, 1.0), (302, float("nan"), 1.0)]
+    q = spark.createDataFrame(qs, "qid int, x double, y double")
+    c = spark.createDataFrame(cs, "cid int, x double, y double")
+    got = {r.qid: (r.cid, r.distance) for r in geo.nearest_l1(q, c, "qid", "x", "y", "x", "y", "cid", ["cid"]).collect()}
+    want = _brute_nearest([x for x in qs if x[0] != 302], [x for x in cs if x[0] < 900], 1.0, 1.0)
+    assert {k: v[0] for k, v in got.items()} == {**{k: v[0] for k, v in want.items()}, 302: None}
+
+
+def test_pyramid_pairs_stay_few(spark):
+    """Whole coordinates that all tie for the queries: only cells with a lower order are entered."""
+    from stationlink.operators.pyramid import Pyramid
+    pts = spark.range(4000).select(F.col("id").alias("_ord"), F.col("id").cast("double").alias("_x"), (4000.0 - F.col("id")).alias("_y"))
+    tree = Pyramid(pts, 16)
+    q = spark.createDataFrame([(-9000.0 - i, -9000.0 + i) for i in range(50)], "_qx double, _qy double")
+    start = q.select("_qx", "_qy", (F.col("_qx") * 0).cast("long").alias("_pi"), (F.col("_qx") * 0).cast("long").alias("_pj"))
+    best = tree._down(start, None).groupBy("_qx", "_qy").agg(F.min_by(F.struct("_d", "_ord"), F.struct("_d", "_ord")).alias("_b"))
+    assert tree._down(start.join(best, ["_qx", "_qy"]), True).count() <= 50 * 32
+    assert {r._m._ord for r in tree.nearest(q).collect()} == {0}
