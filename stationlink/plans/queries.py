@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,7 +18,8 @@ from ..operators import features as feat
 from ..operators import geo, marks, model, panel
 from ..schemas import GAZETTEER_SCHEMA, SEED
 from ..sources.envelope import check_range_args, extract_range, unwrap_envelope
-from ..sources.pages import rows_or_sentinel
+from ..sources.pages import READING_SERVICE, flatten_responses, outbreak_service, page_completeness, parse_responses, rows_or_sentinel
+from ..sources.rejects import bad_date, bad_document, bad_number, left_out, measured, rejected
 from ..sources.sinks import complete_years, json_records
 from ..sources.tables import TABLES, read_table
 from ..session import checkpoint_dir
@@ -356,6 +357,56 @@ def q30_place_lookup_indexed(spark, d):
     return geo.place_lookup(docs, "text", gaz, literal_max=0).drop("text")
 
 
+# q31 -------------------------------------------------------------------------
+def q31_response_pages(spark, d):
+    """Long user turns as landed responses of two services with different documents, three
+    rows a page, some requests without their later pages: flattened, a sentinel with the
+    request's date for those that state no row, and whether each request is complete."""
+    c = read_table(spark, d, "conversations").select("conv_id", "turn", (F.coalesce((F.col("role") == "user") & (F.length("text") > 200), F.lit(False))).alias("long"), "text")
+    total = c.groupBy("conv_id").agg(F.count_if("long").alias("total"))
+    number = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")) - 1
+    paged = c.where("long").select("conv_id", "turn", "text", F.floor(number / 3).alias("page")).groupBy("conv_id", "page").agg(
+        F.collect_list(F.struct(F.col("turn").cast("string").alias("tm"), F.col("text").alias("stnNm"))).alias("rows"))
+    landed = total.join(paged, "conv_id", "left").where("NOT (conv_id % 7 = 3 AND coalesce(page, 0) > 0)")
+    rows = F.coalesce("rows", F.array().cast("array<struct<tm:string,stnNm:string>>"))
+    first = F.struct(F.struct(F.struct(F.lit("00").alias("resultCode")).alias("header"), F.struct(
+        F.col("total").alias("totalCount"), F.struct(rows.alias("item")).alias("items")).alias("body")).alias("response"))
+    other = F.struct(F.struct(F.struct(F.lit("INFO-000").alias("code")).alias("result"), F.col("total").alias("totalCnt"), F.transform(
+        rows, lambda r: F.struct(r.tm.alias("OCCRRNC_DE"), r.stnNm.alias("LKNTS_NM"))).alias("row")).alias("section"))
+    landed = landed.select("conv_id", F.concat(F.lit("day "), F.col("conv_id").cast("string")).alias("request_date"),
+                           F.when(F.col("conv_id") % 2 == 0, F.to_json(first)).otherwise(F.to_json(other)).alias("body"))
+    out = []
+    for service, odd in ((READING_SERVICE, 0), (outbreak_service("section"), 1)):
+        keys = ("conv_id", "request_date")
+        pages = parse_responses(landed.where(F.col("conv_id") % 2 == odd), service, request_cols=keys)
+        fields = T.StructType([T.StructField(service.date_field, T.StringType()), T.StructField(service.marked[0], T.StringType())])
+        flat = flatten_responses(pages, service, fields, keys)
+        state = page_completeness(pages, ok_codes=service.ok_codes, request_cols=keys).select("conv_id", "complete")
+        out.append(flat.join(state, "conv_id").select("conv_id", F.col(service.date_field).alias("date"), F.col(service.marked[0]).alias("text"), "complete"))
+    return out[0].unionByName(out[1])
+
+
+# q32 -------------------------------------------------------------------------
+def q32_rejects(spark, d):
+    """Events with bad rows planted among them, written once: the counts of each check come
+    with the write, and agree with the rows set aside."""
+    e = read_table(spark, d, "events")
+    i = F.col("event_id")
+    e = e.select(i, F.when(i % 97 == 0, F.substring("props", 1, 3)).otherwise(F.col("props")).alias("doc"),
+                 F.when(i % 89 == 1, F.lit("2024-13-45")).when(i % 89 == 2, F.lit("no_data")).otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("date"),
+                 F.when(i % 83 == 2, F.lit("x")).when(i % 83 == 3, F.lit(None)).otherwise(F.col("value").cast("string")).alias("number"), "event_type")
+    checks = {"document": bad_document("doc"), "date": bad_date("date", "%Y-%m-%d", "%Y%m%d"), "number": bad_number("number"),
+              "category": left_out("event_type", EVENT_TYPES[:3])}
+    root = f"{checkpoint_dir(spark).rstrip('/')}/q32-{uuid.uuid4().hex}"
+    rows, seen = measured(e, checks)
+    rows.write.parquet(root)
+    bad = rejected(spark.read.schema(rows.schema).parquet(root), checks)
+    kinds = spark.createDataFrame([(k, v) for k, v in seen.get.items()], "kind string, n long")
+    aside = bad.select(F.explode("reasons").alias("kind"), "event_id").groupBy("kind").agg(
+        F.count("*").alias("n_rows"), F.min("event_id").alias("first_id"))
+    return kinds.join(aside, "kind", "left")
+
+
 QUERIES = {
     "q01_envelope_unwrap": q01_envelope_unwrap,
     "q02_date_normalize": q02_date_normalize,
@@ -387,6 +438,8 @@ QUERIES = {
     "q28_nearest_clustered": q28_nearest_clustered,
     "q29_iqr_selected": q29_iqr_selected,
     "q30_place_lookup_indexed": q30_place_lookup_indexed,
+    "q31_response_pages": q31_response_pages,
+    "q32_rejects": q32_rejects,
 }
 
 flagship = q09_panel
@@ -637,5 +690,24 @@ WITH g AS (SELECT item_id, split_part(text, ' ', 1) AS wide, split_part(text, '
 h AS (SELECT doc_id, min(item_id) AS ord FROM documents JOIN g ON contains(documents.text, g.wide) AND contains(documents.text, g.narrow) GROUP BY doc_id)
 SELECT d.doc_id, g.wide, g.narrow, CAST(g.item_id AS DOUBLE) AS lat, CASE WHEN g.item_id IS NOT NULL THEN CAST(0.5 AS DOUBLE) END AS lng
 FROM documents d LEFT JOIN h USING (doc_id) LEFT JOIN g ON g.item_id = h.ord WHERE d.text IS NOT NULL
+""",
+    "q31_response_pages": """
+WITH l AS (SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS rn FROM conversations
+           WHERE role = 'user' AND length(text) > 200),
+t AS (SELECT k.conv_id, count(l.conv_id) AS total FROM (SELECT DISTINCT conv_id FROM conversations) k LEFT JOIN l USING (conv_id) GROUP BY 1)
+SELECT l.conv_id, CAST(l.turn AS VARCHAR) AS date, l.text, NOT (l.conv_id % 7 = 3 AND t.total > 3) AS complete
+FROM l JOIN t USING (conv_id) WHERE NOT (l.conv_id % 7 = 3 AND l.rn >= 3)
+UNION ALL
+SELECT conv_id, 'day ' || CAST(conv_id AS VARCHAR), 'no_data', true FROM t WHERE total = 0
+""",
+    "q32_rejects": """
+WITH e AS (SELECT event_id, event_type, event_id % 97 = 0 AS document, event_id % 89 = 1 AS date, event_id % 83 = 2 AS number,
+                  event_type NOT IN ('click', 'error', 'purchase') AS category FROM events),
+k AS (SELECT 'rows' AS kind, count(*) AS n, CAST(NULL AS BIGINT) AS n_rows, CAST(NULL AS BIGINT) AS first_id FROM e
+UNION ALL SELECT 'document', count(*), count(*), min(event_id) FROM e WHERE document
+UNION ALL SELECT 'date', count(*), count(*), min(event_id) FROM e WHERE date
+UNION ALL SELECT 'number', count(*), count(*), min(event_id) FROM e WHERE number
+UNION ALL SELECT 'category', count(*), count(*), min(event_id) FROM e WHERE category)
+SELECT kind, n, CASE WHEN n_rows = 0 THEN NULL ELSE n_rows END AS n_rows, first_id FROM k
 """,
 }

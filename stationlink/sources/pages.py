@@ -7,10 +7,14 @@ request with the stated total (a missing last page or a dropped tail shows up th
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..schemas import SENTINELS
+
 
 def page_schema(row_schema: T.StructType, request_cols: tuple = ("request_date",),
                 code_field: str = "code", total_field: str = "totalCnt", rows_field: str = "row") -> T.StructType:
@@ -68,3 +72,52 @@ def rows_or_sentinel(keys: DataFrame, rows: DataFrame, key_cols: list, sentinel:
     filler = [F.lit(sentinel.get(f.name)).cast(f.dataType).alias(f.name)
               for f in rows.schema.fields if f.name not in key_cols]
     return rows.unionByName(empty.select(*key_cols, *filler))
+
+
+@dataclass(frozen=True)
+class Service:
+    """Where a service's responses hold the result code, the stated total and the rows
+    (paths into the JSON document), the codes of good responses, and what a day without
+    rows is filled with: ``date_field`` takes the request's date, the others a marker."""
+
+    code: str
+    total: str
+    rows: str
+    ok_codes: tuple
+    date_field: str
+    marked: tuple = ()
+    marker: str = SENTINELS[0]
+
+
+def outbreak_service(section: str) -> Service:
+    """Outbreak records: everything below one section of the document."""
+    return Service(f"$.{section}.result.code", f"$.{section}.totalCnt", f"$.{section}.row", ("INFO-000",), "OCCRRNC_DE", ("LKNTS_NM",))
+
+
+READING_SERVICE = Service("$.response.header.resultCode", "$.response.body.totalCount", "$.response.body.items.item", ("00",), "tm", ("stnNm",))
+
+
+def parse_responses(raw: DataFrame, service: Service, json_col: str = "body", request_cols: tuple = ("request_date",)) -> DataFrame:
+    """Landed responses (request columns and the document as text) in the shape that
+    ``flatten_pages`` and ``page_completeness`` take: code, total and an array of rows, which
+    stay semi-structured. A row that is not in an array is an array of one; a document
+    that cannot be read has no code."""
+    doc = raw.select(*request_cols, F.try_parse_json(F.col(json_col)).alias("_v"))
+    one = F.try_variant_get("_v", service.rows, "variant")
+    rows = F.coalesce(F.try_variant_get("_v", service.rows, "array<variant>"),
+                      F.when(F.schema_of_variant(one).startswith("OBJECT"), F.array(one)), F.array().cast("array<variant>"))
+    return doc.select(*request_cols, F.try_variant_get("_v", service.code, "string").alias("code"),
+                      F.try_variant_get("_v", service.total, "bigint").alias("totalCnt"), rows.alias("row"))
+
+
+def flatten_responses(pages: DataFrame, service: Service, fields: T.StructType, request_cols: tuple = ("request_date",),
+                      date_col: str = "request_date") -> DataFrame:
+    """The rows of all good pages of ``parse_responses`` with typed ``fields`` (what cannot be
+    read as its type is null), and one row for each request that states a total of 0, with
+    the request's date and the service's marker."""
+    good = pages.where(F.col("code").isin(*service.ok_codes))
+    rows = good.select(*request_cols, F.explode("row").alias("_r")).select(
+        *request_cols, *[F.try_variant_get("_r", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in fields])
+    empty = good.groupBy(*request_cols).agg(F.max("totalCnt").alias("_t")).where("_t = 0")
+    fill = {service.date_field: F.col(date_col).cast("string"), **{m: F.lit(service.marker) for m in service.marked}}
+    return rows.unionByName(empty.select(*request_cols, *[fill.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in fields]))

@@ -156,3 +156,35 @@ def test_tune_for_cluster_keeps_launch_settings(spark):
             spark.conf.unset(k)
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_both_response_shapes(spark):
+    from stationlink.sources.pages import READING_SERVICE, outbreak_service, parse_responses, flatten_responses
+    weather = lambda code, total, item: json.dumps({"response": {"header": {"resultCode": code}, "body": {"totalCount": total, "items": {"item": item}}}})
+    raw = [("20240101", weather("00", 2, [{"stnNm": "a", "tm": "2024-01-01", "avgTa": 1.5}, {"stnNm": "b", "avgTa": "x"}])),
+           ("20240102", weather("00", 0, [])), ("20240102", weather("00", 0, None)), ("20240103", weather("99", 5, [{"stnNm": "lost"}])),
+           ("20240104", weather("00", "1", {"stnNm": "alone", "tm": "2024-01-04"})), ("20240105", "not json"), ("20240106", None)]
+    df = spark.createDataFrame(raw, "request_date string, body string")
+    fields = T.StructType([T.StructField("stnNm", T.StringType()), T.StructField("tm", T.StringType()), T.StructField("avgTa", T.DoubleType())])
+    pages = parse_responses(df, READING_SERVICE)
+    got = sorted((tuple(r) for r in flatten_responses(pages, READING_SERVICE, fields).collect()), key=str)
+    assert got == [("20240101", "a", "2024-01-01", 1.5), ("20240101", "b", None, None), ("20240102", "no_data", "20240102", None),
+                   ("20240104", "alone", "2024-01-04", None)]
+    state = {r.request_date: (r.complete, r.bad_pages) for r in page_completeness(pages, ok_codes=READING_SERVICE.ok_codes).collect()}
+    assert state["20240101"] == (True, 0) and state["20240104"] == (True, 0) and state["20240103"] == (False, 1)
+    cattle = outbreak_service("Grid_1")
+    raw = [("20240101", json.dumps({"Grid_1": {"result": {"code": "INFO-000"}, "totalCnt": 0, "row": []}}))]
+    one = flatten_responses(parse_responses(spark.createDataFrame(raw, "request_date string, body string"), cattle), cattle,
+                            T.StructType([T.StructField("LKNTS_NM", T.StringType()), T.StructField("OCCRRNC_DE", T.StringType())])).collect()
+    assert [tuple(r) for r in one] == [("20240101", "no_data", "20240101")]
+
+
+def test_rejects_are_counted_and_kept(spark, tmp):
+    from stationlink.sources.rejects import bad_date, bad_document, bad_number, measured, rejected
+    rows = [(1, "{}", "20240101", "1"), (2, "{", "x", "y"), (3, None, None, None), (4, "{}", "nodata", "nan"), (5, "[1]", "2024-01-01", " 7 ")]
+    df = spark.createDataFrame(rows, "id int, doc string, d string, n string")
+    checks = {"doc": bad_document("doc"), "date": bad_date("d", "%Y%m%d", "%Y-%m-%d"), "number": bad_number("n")}
+    out, seen = measured(df, checks)
+    out.write.parquet(os.path.join(tmp, "rows"))
+    assert seen.get == {"rows": 5, "doc": 1, "date": 1, "number": 1}
+    assert [(r.id, r.reasons) for r in rejected(df, checks).collect()] == [(2, ["doc", "date", "number"])]
