@@ -31,7 +31,7 @@ from .common import Scratch, crc_mod, hash_words, mix, python_workers, read, tex
 BITS = 12              # of the filter for each key
 PROBES = 3             # bits a key sets
 BROADCAST_BITS = 1 << 29  # of the largest filter that is broadcast: 64 MB
-BLOCK = 1 << 22        # bytes of text of which the n-grams are sent to the shards together
+BLOCK = 1 << 23        # bytes of text of which the n-grams are sent to the shards together
 ASKED = 1 << 26        # bytes of requests that one task answers together
 LEVELS = 48
 HOT = 1 << 19          # a word of more than 1/HOT of all tokens is broadcast: at most HOT words
@@ -244,14 +244,25 @@ def _score(filter_bytes, tables, shards: int, bits: int, n: int, vocab: int, beg
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts in blocks of about ``BLOCK`` bytes: a row (block, ids, held, texts)."""
-    block = TaskContext.get().partitionId() << 32
+    number, size = TaskContext.get().partitionId() << 32, 0
+    held: list[list[pa.Array]] = []
+
+    def block() -> pa.RecordBatch:
+        cols = [pa.concat_arrays(c) for c in zip(*held, strict=True)]
+        ends = pa.array([0, len(cols[0])], pa.int32())
+        return pa.record_batch([pa.array([number]), *(pa.ListArray.from_arrays(ends, c) for c in cols)], names=["block", "ids", "held", "texts"])
+
     for batch in batches:
-        for i, j, _, _ in text_slices(batch.column(1), BLOCK):
+        for i, j, buf, _ in text_slices(batch.column(1), BLOCK):
             cols = [batch.column(c).slice(i, j - i) for c in (0, 2, 1)]
-            cols[2] = pc.fill_null(cols[2], "").cast(pa.large_string()).cast(pa.string())
-            ends = pa.array([0, j - i], pa.int32())
-            yield pa.record_batch([pa.array([block]), *(pa.ListArray.from_arrays(ends, c) for c in cols)], names=["block", "ids", "held", "texts"])
-            block += 1
+            held.append([*cols[:2], pc.fill_null(cols[2], "").cast(pa.string())])
+            size += len(buf)
+            if size >= BLOCK:
+                yield block()
+                number, size = number + 1, 0
+                held.clear()
+    if held:
+        yield block()
 
 
 def _block_sequence(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
