@@ -266,8 +266,15 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _block_sequence(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    parts = [_sequence(buf, off) for _, _, buf, off in text_slices(texts, 1 << 40)]
-    return parts[0]
+    """``_sequence`` of all texts of a block, made a megabyte at a time."""
+    seq, pair, first, n = [], [], [np.zeros(1, np.int64)], 0
+    for _, _, buf, off in text_slices(texts, 1 << 20):
+        s, p, f = _sequence(buf, off)
+        seq.append(s)
+        pair.append(p)
+        first.append(n + f[1:])
+        n += len(s)
+    return np.concatenate(seq), np.concatenate(pair), np.concatenate(first)
 
 
 def _ask(shards: int, parts: int):
