@@ -14,13 +14,12 @@ query meets a cell without points, and a leaf costs at most ``capacity`` compari
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import scratch_folder
 
 BITS = 40          # halvings of an axis, two a level
 CAPACITY = 16      # points of a leaf
@@ -42,7 +41,7 @@ class Pyramid:
 
     def __init__(self, points: DataFrame, capacity: int = CAPACITY, wx: float = 1.0, wy: float = 1.0):
         self.spark, self.wx, self.wy = points.sparkSession, float(wx), float(wy)
-        self.root = f"{checkpoint_dir(self.spark).rstrip('/')}/pyramid-{uuid.uuid4().hex}"
+        self.root = scratch_folder(self.spark, "pyramid")
         self.levels: list[Level] = []
         self.payload = points.columns
         x, y = self._scaled("_x", "_y")

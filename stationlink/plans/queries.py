@@ -7,8 +7,6 @@ summed as integers (cents), so results do not depend on the order of a double su
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,7 +20,7 @@ from ..sources.pages import READING_SERVICE, flatten_responses, outbreak_service
 from ..sources.rejects import bad_date, bad_document, bad_number, left_out, measured, rejected
 from ..sources.sinks import complete_years, json_records
 from ..sources.tables import TABLES, read_table
-from ..session import checkpoint_dir
+from ..session import scratch_folder
 from ..streaming.daystore import DayStore
 from .fixtures import part_gazetteer
 from .incremental import land
@@ -297,7 +295,7 @@ def q27_incremental_panel(spark, d):
     """The panel of views and other events after three deliveries of events, whose days
     overlap: each run reads what landed since the one before, adds the partial sums of its
     batches and builds the touched days again; then the complete years are archived."""
-    root = f"{checkpoint_dir(spark).rstrip('/')}/q27-{uuid.uuid4().hex}"
+    root = scratch_folder(spark, "q27")
     store = DayStore(spark, f"{root}/store", {"sums": _SUMS}, {"panel": _PANEL})
     events = read_table(spark, d, "events")
 
@@ -397,10 +395,10 @@ def q32_rejects(spark, d):
                  F.when(i % 83 == 2, F.lit("x")).when(i % 83 == 3, F.lit(None)).otherwise(F.col("value").cast("string")).alias("number"), "event_type")
     checks = {"document": bad_document("doc"), "date": bad_date("date", "%Y-%m-%d", "%Y%m%d"), "number": bad_number("number"),
               "category": left_out("event_type", EVENT_TYPES[:3])}
-    root = f"{checkpoint_dir(spark).rstrip('/')}/q32-{uuid.uuid4().hex}"
+    path = scratch_folder(spark, "q32") + "/rows"
     rows, seen = measured(e, checks)
-    rows.write.parquet(root)
-    bad = rejected(spark.read.schema(rows.schema).parquet(root), checks)
+    rows.write.parquet(path)
+    bad = rejected(spark.read.schema(rows.schema).parquet(path), checks)
     kinds = spark.createDataFrame([(k, v) for k, v in seen.get.items()], "kind string, n long")
     aside = bad.select(F.explode("reasons").alias("kind"), "event_id").groupBy("kind").agg(
         F.count("*").alias("n_rows"), F.min("event_id").alias("first_id"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -74,3 +76,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for tables of one job below the checkpoint folder, deleted when the
+    Python process ends."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+    def delete() -> None:
+        try:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        except Exception:  # noqa: BLE001 - the session may have ended; the folder is scratch
+            pass
+
+    atexit.register(delete)
+    return root
