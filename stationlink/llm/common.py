@@ -65,7 +65,14 @@ class Scratch:
     def save(self, df: DataFrame, name: str) -> DataFrame:
         self.n += 1
         path = f"{self.root}/{self.n:03d}-{name}"
-        df.write.mode("overwrite").parquet(path)
+        # the shuffle files of the write go with its end, not when the driver's heap is collected
+        clean = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+        before = self.spark.conf.get(clean)
+        self.spark.conf.set(clean, "true")
+        try:
+            df.write.mode("overwrite").parquet(path)
+        finally:
+            self.spark.conf.set(clean, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out
