@@ -84,53 +84,75 @@ def place_lookup(df: DataFrame, text_col: str, gazetteer, id_col: str | None = N
         F.col("_hit.lat").alias("lat"), F.col("_hit.lng").alias("lng"))
 
 
-# Grams of names: at most this many characters. Texts are cut into pieces of this many
-# start positions before their grams are listed: the array built for one row stays that
-# size times the gram lengths, however long the text is.
+# Grams of names: at most this many characters. Words are cut into pieces of this many
+# start positions before their grams are listed: the array built for one word stays that
+# size times the gram lengths, however long the word is.
 GRAM = 3
 SUBSTRING_PIECE = 512
-BROADCAST_NAMES = 100_000   # grams or entries (under 100 bytes each) that are broadcast
+SPACES = r"\\s"              # SQL text of the pattern that ends a word, in texts and in names alike
+BROADCAST_BYTES = 32 << 20  # of words with their entries, or of grams, that are broadcast
+COMMON_WORDS = 1000         # an entry of more words that are in many texts is tried on every text
 
 
 def _substring_join_lookup(df: DataFrame, text_col: str, gaz: DataFrame, id_col: str | None = None,
-                           piece: int = SUBSTRING_PIECE) -> DataFrame:
+                           piece: int = SUBSTRING_PIECE, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """The lookup by an index of rare grams, for any number of entries: region and city
-    are looked for together, under the gram of either name that occurs in the fewest
-    texts. Texts meet the entries of their grams by an equi-join and ``contains`` confirms;
-    a common name costs nothing unless its entry's rarest gram is common too. Texts are
-    told apart by a 64-bit hash: equal ones are looked up once, ids play no part. An empty
-    name is in every text, a null one in none."""
+    are looked for together, under the gram of either name that the fewest texts hold
+    (of its longest grams; none spans a space). Grams are listed once per distinct word of
+    all texts, not per text: the words that hold an entry's gram, and the part of the name
+    around it, stand for the entry. Texts meet the entries of their words by an equi-join
+    and ``contains`` confirms; a common name costs nothing unless its entry's rarest gram is
+    common too. Texts are told apart by a 64-bit hash: ids play no part. An empty name is in
+    every text, a null one in none."""
     spark = df.sparkSession
     checkpoint_dir(spark)
-    gaz = gaz.where("wide IS NOT NULL AND narrow IS NOT NULL")
+    # of entries with the same names only the first can be found
+    gaz = gaz.where("ord IS NOT NULL AND wide IS NOT NULL AND narrow IS NOT NULL").groupBy("wide", "narrow").agg(
+        F.min(F.struct("ord", "lat", "lng")).alias("entry"))
     text = df.select(F.xxhash64(text_col).alias("_t"), F.col(text_col).alias("_s")).where("_s IS NOT NULL")
-
-    def grams(c: str, q: str) -> str:
-        return f"IF(length({c}) = 0, CAST(array() AS ARRAY<STRING>), transform(sequence(1, length({c}) - {q} + 1), i -> substring({c}, i, {q})))"
-
-    names = [grams(c, f"least({GRAM}, length({c}))") for c in ("wide", "narrow")]
-    entries = gaz.select("ord", F.explode(F.array_distinct(F.expr(f"concat({names[0]}, {names[1]})"))).alias("gram"))
-    entries = entries.checkpoint(eager=True)
-    wanted = entries.select("gram").distinct()
-    few = F.broadcast if wanted.count() <= BROADCAST_NAMES else (lambda x: x)
-    lens = sorted(r[0] for r in wanted.select(F.length("gram")).distinct().collect())       # 1 .. GRAM
-    pieces = text.select("_t", F.explode(F.expr(
-        f"transform(sequence(0, greatest((length(_s) - 1) DIV {piece}, 0)), k -> substring(_s, CAST(k * {piece} + 1 AS INT), {piece + GRAM - 1}))")).alias("_p"))
-    every = ", ".join(f"IF(length(_p) < {q}, CAST(array() AS ARRAY<STRING>), transform(sequence(1, length(_p) - {q} + 1), i -> substring(_p, i, {q})))" for q in lens)
-    found = pieces.select("_t", F.explode(F.array_distinct(F.expr(f"concat({every or 'CAST(array() AS ARRAY<STRING>)'})"))).alias("gram"))
-    found = found.join(few(wanted), "gram", "left_semi").distinct().checkpoint(eager=True)
-    texts_of = found.groupBy("gram").agg(F.count("*").alias("n"))
+    # every text has the empty word: under it stand entries without a gram
+    words = F.explode(F.expr(f"array_distinct(concat(split(_s, '{SPACES}'), array('')))")).alias("word")
+
+    def listed(c: str, q: str) -> str:
+        return f"IF(length({c}) < {q}, CAST(array() AS ARRAY<STRING>), transform(sequence(1, length({c}) - {q} + 1), i -> substring({c}, i, {q})))"
+
+    names = f"filter(concat(split(wide, '{SPACES}'), split(narrow, '{SPACES}')), p -> p <> '')"
+    of_names = F.array_distinct(F.expr(f"flatten(transform({names}, p -> {listed('p', f'least({GRAM}, length(p))')}))"))
+    grams = gaz.select("wide", "narrow", of_names.alias("g")).select(
+        "wide", "narrow", F.explode(F.expr("IF(size(g) = 0, array(''), filter(g, x -> length(x) = array_max(transform(g, y -> length(y)))))")).alias("gram"))
+    grams = grams.checkpoint(eager=True)
+    wanted = grams.select("gram").distinct()
+
+    def few(x: DataFrame, *cols: str) -> bool:
+        return (x.agg(F.sum(F.expr("50 + " + " + ".join(f"octet_length({c})" for c in cols)))).first()[0] or 0) <= broadcast_bytes
+
+    lens = sorted(r[0] for r in wanted.select(F.length("gram")).distinct().collect())       # 0 .. GRAM
+    vocabulary = text.select(words).groupBy("word").agg(F.count("*").alias("n"))
+    pieces = vocabulary.select("word", "n", F.explode(F.expr(
+        f"transform(sequence(0, greatest((length(word) - 1) DIV {piece}, 0)), k -> substring(word, CAST(k * {piece} + 1 AS INT), {piece + GRAM - 1}))")).alias("_p"))
+    every = ", ".join(listed("_p", str(q)) if q else "IF(word = '', array(''), CAST(array() AS ARRAY<STRING>))" for q in lens) or "CAST(array() AS ARRAY<STRING>)"
+    found = pieces.select("word", "n", F.explode(F.array_distinct(F.expr(f"concat({every})"))).alias("gram"))
+    found = found.join(F.broadcast(wanted) if few(wanted, "gram") else wanted, "gram", "left_semi").distinct().checkpoint(eager=True)
+    texts_of = found.groupBy("gram").agg(F.sum("n").alias("n"))
     # an entry with a gram that no text has drops out here
-    rarest = entries.join(texts_of, "gram", "left").groupBy("ord").agg(
+    rarest = grams.join(texts_of, "gram", "left").groupBy("wide", "narrow").agg(
         F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("gram"))
-    hits = found.join(rarest, "gram").select("_t", "ord")
-    nameless = gaz.where("wide = '' AND narrow = ''").agg(F.min("ord")).first()[0]
-    if nameless is not None:
-        hits = hits.unionByName(text.select("_t", F.lit(nameless).alias("ord"))).distinct()
-    hits = hits.join(gaz, "ord")
-    read = text.join(hits.select("_t").distinct(), "_t", "left_semi").groupBy("_t").agg(F.first("_s").alias("_s"))
-    hits = hits.join(read, "_t").where("contains(_s, wide) AND contains(_s, narrow)").groupBy("_t").agg(
-        F.min_by(F.struct("wide", "narrow", "lat", "lng"), F.col("ord")).alias("_hit"))
+    near = found.join(rarest, "gram").where(f"exists({names}, p -> contains(p, gram) AND contains(word, p)) OR gram = ''").select("word", "wide", "narrow", "n")
+    near = near.checkpoint(eager=True)
+    n_texts = text.count()
+    common = near.groupBy("wide", "narrow").agg(F.count("*").alias("k"), F.sum("n").alias("n")).where(
+        (F.col("k") > COMMON_WORDS) & (F.col("n") > n_texts / 4)).select("wide", "narrow")
+    places = near.select("word", "wide", "narrow").join(common, ["wide", "narrow"], "left_anti").unionByName(common.select(F.lit("").alias("word"), "wide", "narrow"))
+    places = places.join(gaz, ["wide", "narrow"]).checkpoint(eager=True)
+    if few(places, "word", "wide", "narrow"):
+        hits = text.select("_t", "_s", words).join(F.broadcast(places), "word")
+    else:
+        # texts are not copied for each of their words: the pairs are made without them
+        hits = text.select("_t", words).join(places, "word").select("_t", "wide", "narrow", "entry").distinct()
+        read = text.join(hits.select("_t").distinct(), "_t", "left_semi").groupBy("_t").agg(F.first("_s").alias("_s"))
+        hits = hits.join(read, "_t")
+    hits = hits.where("contains(_s, wide) AND contains(_s, narrow)").groupBy("_t").agg(
+        F.min(F.struct("entry.ord", "wide", "narrow", "entry.lat", "entry.lng")).alias("_hit"))
     return df.withColumn("_t", F.xxhash64(text_col)).join(hits, "_t", "left").select(
         *[F.col(f"`{c}`") for c in df.columns], *[F.when(F.col(text_col).isNotNull(), F.col(f"_hit.{c}")).alias(c) for c in ("wide", "narrow", "lat", "lng")])
 
