@@ -17,6 +17,7 @@ share of the word itself.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -30,8 +31,9 @@ from .common import Scratch, crc_mod, hash_words, mix, python_workers, read, tex
 
 BITS = 12              # of the filter for each key
 PROBES = 3             # bits a key sets
-BROADCAST_BITS = 1 << 29  # of the largest filter that is broadcast: 64 MB
-BLOCK = 1 << 23        # bytes of text of which the n-grams are sent to the shards together
+BROADCAST_BITS = 1 << 25  # of the largest filter that is broadcast: 4 MB
+BLOCK = 1 << 21        # bytes of text of which the n-grams are sent to the shards together
+STEP = 1 << 17         # tokens of a block that are scored together
 ASKED = 1 << 26        # bytes of requests that one task answers together
 LEVELS = 48
 HOT = 1 << 19          # a word of more than 1/HOT of all tokens is broadcast: at most HOT words
@@ -328,20 +330,28 @@ def _finish(n: int, vocab: int, begins: int, unit: float):
     """Scores the texts of one block with the answers of all shards."""
     def run(block: pa.Table, answers: pa.Table) -> pa.Table:
         ids, held, texts = (block.column(c).combine_chunks().flatten() for c in ("ids", "held", "texts"))
-        seq, pair, first = _block_sequence(texts)
+        *grams, first = _block_sequence(texts)
         # a shard is a range of hashes: its answers in order of the shards are in order of the hashes
         answers = answers.sort_by([("order", "ascending"), ("shard", "ascending")])
         order = answers.column("order").to_numpy()
         level = []
-        for o, x in ((1, seq), (2, pair)):
+        for o in (1, 2):
             mine = answers.filter(pa.array(order == o))
             got = mine.column("levels").to_pylist()
-            at = np.unique(x, return_inverse=True)[1]
-            level.append(np.frombuffer(b"".join(got), np.uint8).astype(np.int64)[at])
+            at = np.unique(grams.pop(0), return_inverse=True)[1]
+            level.append(np.frombuffer(b"".join(got), np.uint8)[at])
             if o == 1:
                 count = np.concatenate([_unpack_counts(c, len(q)) for c, q in zip(mine.column("counts").to_pylist(), got, strict=True)])[at]
-        log_prob = _log_prob(*level, first, n, vocab, begins)
-        sums = [np.add.reduceat(x, first[:-1]) for x in (np.log10(count + 1.0) - unit, log_prob, (count > 0).astype(np.int64))]
+        sums, i = [[], [], []], 0
+        while i < len(first) - 1:
+            # whole texts of about ``STEP`` tokens together
+            j = max(i + 1, int(np.searchsorted(first, first[i] + STEP, "right")) - 1)
+            part, cut = slice(first[i], first[j]), first[i:j + 1] - first[i]
+            log_prob = _log_prob(*(x[part].astype(np.int64) for x in level), cut, n, vocab, begins)
+            for out, x in zip(sums, (np.log10(count[part] + 1.0) - unit, log_prob, (count[part] > 0).astype(np.int64)), strict=True):
+                out.append(np.add.reduceat(x, cut[:-1]))
+            i = j
+        sums = [np.concatenate(x) for x in sums]
         return pa.table([ids, held, pa.array(np.diff(first)), pa.array(sums[2]), pa.array(sums[0]), pa.array(sums[1])], names=_ROW[:-1])
     return run
 
@@ -361,6 +371,24 @@ def _hot(least: float):
     return run
 
 
+@contextmanager
+def _one_block(spark: SparkSession):
+    """While it lasts, a task reads and hands on one block of texts at a time, not all
+    blocks of its partition together."""
+    new = {"spark.sql.execution.arrow.maxBytesPerBatch": str(BLOCK), "spark.sql.parquet.enableNestedColumnVectorizedReader": "false"}
+    old = {k: spark.conf.get(k, None) for k in new}
+    for k, v in new.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row.
     Learns from rows whose crc32(id) mod 7 is not 2. Null text is empty: one end token.
@@ -404,7 +432,12 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         held = grams.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
         answers = held.groupBy("shard", "part").cogroup(asked.groupBy("shard", "part")).applyInPandas(
             _answer(bits), "block long, order int, shard int, levels binary, counts binary")
-        scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_finish(n, v, begins, base_unit), row)
+        # the answers are written, so that the requests (several times as large) are gone before texts are shuffled
+        with _one_block(spark):
+            answers = scratch.save(answers, "answers")
+            scratch.drop(counts)
+            scored = scratch.save(blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_finish(n, v, begins, base_unit), row), "scored")
+        scratch.drop(blocks, answers)
         out = scored.withColumnsRenamed({"known": "n_known", "part": "base_score"}).withColumn("train_tokens", F.lit(int(n)).cast("long"))
         return out.select(*done)
     table = np.zeros(shards * bits // 8, np.uint8)

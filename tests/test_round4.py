@@ -37,3 +37,22 @@ def test_indexed_lookup_entries_of_one_order(spark):
     df = spark.createDataFrame([(1, "a red rod"), (2, "a blue sky"), (3, "red sky")], "id int, t string")
     got = {r.id: r.wide for r in geo.place_lookup(df, "t", gaz, literal_max=0).collect()}
     assert got == {1: "red", 2: "blue", 3: None}
+
+
+def test_lm_blocks_one_at_a_time(spark, tmp_path, monkeypatch):
+    """No batch that the requests are made from holds more than one block; settings come back."""
+    lm = pytest.importorskip("stationlink.llm.lm")
+    monkeypatch.setattr(lm, "BLOCK", 1 << 12)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+
+    def sizes(batches):
+        import pyarrow as pa
+        for b in batches:
+            yield pa.record_batch([pa.array([b.num_rows])], names=["n"])
+    docs = spark.createDataFrame([(i, "some words " * 200) for i in range(30)], "id int, text string").coalesce(1)
+    path = str(tmp_path / "blocks")
+    docs.selectExpr("id", "array(text, text) AS texts").write.parquet(path)
+    with lm._one_block(spark):
+        n = [r.n for r in spark.read.parquet(path).mapInArrow(sizes, "n long").collect()]
+    assert n == [1] * 30 and spark.conf.get(key, None) == before
