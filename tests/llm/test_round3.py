@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from stationlink.llm import fingerprint, prefixtrie, whitening
+from stationlink.llm import fingerprint, linededup, prefixtrie, whitening
 
 WORDS = "the of and river stone light cold green north house walked slowly under bridge morning water table seven paper glass".split()
 
@@ -271,3 +271,61 @@ def test_likeness_estimates_jaccard(spark):
         x, y = ({tuple(t.split()[i:i + 5]) for i in range(296)} for t in (a, b))
         errors.append(like(fa[k], fb[k]) - len(x & y) / len(x | y))
     assert abs(np.mean(errors)) < 0.015 and np.std(errors) < 0.05
+
+
+# ---- line dedup in groups of near copies ----
+
+def _word_edits(a, b, most):
+    """Edits of words between two lists, or more than ``most``."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i] + [most + 1] * len(b)
+        for j in range(max(1, i - most), min(len(b), i + most) + 1):
+            new[j] = min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (x != b[j - 1]))
+        row = new
+    return row[-1]
+
+
+def test_near_copies_of_a_line_are_not_paired_with_all_others(spark, monkeypatch):
+    """Members of a large group that differ from most of it are compared with few lines, and
+    the components are those of all pairs."""
+    r = random.Random(77)
+    vocabulary = ["".join(r.choice("abdefhinorst") for _ in range(r.randint(2, 8))) for _ in range(300)]
+    lines = []
+    for n, m in ((130, 90), (60, 70)):
+        base = [r.choice(vocabulary) for _ in range(m)]
+        for _ in range(n):
+            w = list(base)
+            for _ in range(r.randint(0, 8)):
+                k, o = r.randrange(len(w)), r.random()
+                w[k:k + 1] = [r.choice(vocabulary)] if o < 0.6 else [] if o < 0.8 else [w[k], r.choice(vocabulary)]
+            lines.append(w)
+    lines += [[r.choice(vocabulary) for _ in range(40)] for _ in range(50)]
+    lines = [x.split() for x in dict.fromkeys(" ".join(w) for w in lines)]
+    up = list(range(len(lines)))
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+    links = 0
+    for i, x in enumerate(lines):
+        for j in range(i):
+            t = max(len(x), len(lines[j])) // linededup.WORDS_AN_EDIT
+            if abs(len(x) - len(lines[j])) <= t and _word_edits(x, lines[j], t) <= t:
+                links += 1
+                a, b = root(i), root(j)
+                up[max(a, b)] = min(a, b)
+    compared, link_buckets = [], linededup.link_buckets
+
+    def counting(members, verify, *args, **more):
+        def counted(pairs):
+            compared.append(pairs.count())
+            return verify(pairs)
+        return link_buckets(members, counted, *args, **more)
+    monkeypatch.setattr(linededup, "link_buckets", counting)
+    df = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(lines)], "doc_id long, text string")
+    got = {x.doc_id: x.kept for x in linededup.line_marks(df).collect()}
+    assert got == {i: root(i) == i for i in range(len(lines))}
+    assert links > 500 and 80 < sum(not k for k in got.values())
+    assert sum(compared) < 4 * len(lines), (compared, links)
